@@ -159,13 +159,14 @@ def detection_order() -> list[Layout]:
 
 
 def fingerprints_df(spark: SparkSession) -> DataFrame:
-    """Long form (version, column, bit, fp_size, position) — 54 rows, fixed."""
+    """Long form (version, column, flag, fp_size, position) — 54 rows, fixed;
+    ``flag`` is the column's bit in its layout's fingerprint mask."""
     rows = [
-        (l.version, c, i, len(l.fingerprint), l.position)
+        (l.version, c, 1 << i, len(l.fingerprint), l.position)
         for l in LAYOUTS.values()
         for i, c in enumerate(l.fingerprint)
     ]
-    return spark.createDataFrame(rows, "version string, column string, bit int, fp_size int, position int")
+    return spark.createDataFrame(rows, "version string, column string, flag int, fp_size int, position int")
 
 
 def updated_at_columns() -> dict[str, str]:

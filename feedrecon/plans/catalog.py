@@ -18,7 +18,15 @@ from feedrecon.operators import checks as C
 from feedrecon.operators import normalise as N
 from feedrecon.operators import report as RP
 from feedrecon.plans import scenarios as S
-from feedrecon.sources.fixtures import layout_feed
+from feedrecon.operators import classify as CL
+from feedrecon.operators import control as CT
+from feedrecon.operators import export as EX
+from feedrecon.operators import extensions as XT
+from feedrecon.operators import ingest as IG
+from feedrecon.session import new_work_dir
+from feedrecon.sources import csv_feeds as CSV
+from feedrecon.sources.fixtures import header_manifest, layout_feed
+from feedrecon.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -224,3 +232,202 @@ def recon_overall(spark, sf_dir):
 @query("recon_gate")
 def recon_gate(spark, sf_dir):
     return RP.gate(_results(spark, sf_dir))
+
+
+# ============================================================================ J1
+@query("feed_classify")
+def feed_classify(spark, sf_dir):
+    return CL.classify_headers(header_manifest(spark, sf_dir)).select("feed", "version")
+
+
+@query("feed_classify_ambiguous")
+def feed_classify_ambiguous(spark, sf_dir):
+    c = CL.classify_headers(header_manifest(spark, sf_dir))
+    return c.where(F.col("matches") > 1).select("feed", "matches", "version")
+
+
+@query("feed_classify_long")
+def feed_classify_long(spark, sf_dir):
+    long_form = header_manifest(spark, sf_dir).select("feed", F.explode("header").alias("column"))
+    return CL.classify_long(long_form)
+
+
+@query("feed_unknown")
+def feed_unknown(spark, sf_dir):
+    return CL.unknown_feeds(CL.classify_headers(header_manifest(spark, sf_dir)))
+
+
+@query("feed_manifest")
+def feed_manifest(spark, sf_dir):
+    """CLS-4 over real files: the staged rows exported as one CSV feed per
+    layout, plus a damaged copy of each whose header lost its id column."""
+    d = exported_feeds(spark, sf_dir)
+    return CSV.classify_directory(spark, d).select("feed", "version", "matches")
+
+
+# ============================================================================ J3
+def _fmt_ts(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def _state(spark, target) -> DataFrame:
+    st = CT.current_state(CT.read_log(spark, target.control))
+    return st.select("schema_version", _fmt_ts("last_processed_at").alias("last_processed_at"), "last_run_row_count",
+                     _fmt_ts("last_run_timestamp").alias("last_run_timestamp"), _fmt_ts("created_at").alias("created_at"))
+
+
+@query("incremental_extract")
+def incremental_extract(spark, sf_dir):
+    marks = spark.createDataFrame(
+        [(v, S.RUN1_TS if v in ("v1", "v2", "v3", "v4") else CT.EPOCH) for v in LAYOUTS], "ver string, watermark timestamp_ntz")
+    return IG.incremental_extract(S.feeds(spark, sf_dir), marks).select("k", "copy_no", "ver", "raw_updated_at")
+
+
+@query("watermark_state")
+def watermark_state(spark, sf_dir):
+    return _state(spark, S.two_runs(spark, sf_dir)).drop("created_at")
+
+
+@query("watermark_upsert")
+def watermark_upsert(spark, sf_dir):
+    return _state(spark, S.two_runs(spark, sf_dir))
+
+
+@query("watermark_reset")
+def watermark_reset(spark, sf_dir):
+    return _state(spark, S.two_runs(spark, sf_dir, reset_versions=("v3", "v5")))
+
+
+@query("watermark_advance")
+def watermark_advance(spark, sf_dir):
+    t = S.two_runs(spark, sf_dir)
+    summ = spark.read.parquet(t.summaries).where("run_id = 'run2'")
+    dec = summ.groupBy(F.col("schema_version")).agg(F.sum("mapped_rows").alias("mapped_rows"),
+                                                   F.sum("mapping_errors").alias("mapping_errors"))
+    adv = (F.col("mapping_errors") == 0) | (F.col("mapped_rows") > 0)
+    return dec.select("schema_version", "mapped_rows", "mapping_errors", adv.alias("advanced"))
+
+
+def _staged(spark, target) -> DataFrame:
+    return IG.read_staging(spark, target).select("run_id", *N.CANONICAL)
+
+
+@query("ingest_append")
+def ingest_append(spark, sf_dir):
+    return _staged(spark, S.two_runs(spark, sf_dir)).where("run_id = 'run1'")
+
+
+@query("ingest_two_runs")
+def ingest_two_runs(spark, sf_dir):
+    return _staged(spark, S.two_runs(spark, sf_dir))
+
+
+@query("full_reload")
+def full_reload(spark, sf_dir):
+    return _staged(spark, S.two_runs(spark, sf_dir, full_reload_third=True))
+
+
+@query("run_summary")
+def run_summary(spark, sf_dir):
+    t = S.two_runs(spark, sf_dir)
+    return spark.read.parquet(t.summaries).where("run_id = 'run2'").drop("run_id")
+
+
+@query("run_totals")
+def run_totals(spark, sf_dir):
+    t = S.two_runs(spark, sf_dir)
+    return IG.run_totals(spark.read.parquet(t.summaries).where("run_id = 'run2'"))
+
+
+@query("quarantine_table")
+def quarantine_table(spark, sf_dir):
+    t = S.two_runs(spark, sf_dir)
+    return IG.read_quarantine(spark, t).select("run_id", "source_schema_version", "source_student_id", "reason")
+
+
+# ============================================================================ J11
+def _export(version: str) -> Query:
+    lay = LAYOUTS[version]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return EX.export_layout(S.staging(spark, sf_dir), lay, F.lit(S.LOAD_TS))
+    run.__name__ = f"export_{version}"
+    return run
+
+
+for _v in LAYOUTS:
+    REGISTRY[f"export_{_v}"] = _export(_v)
+
+
+@query("export_roundtrip")
+def export_roundtrip(spark, sf_dir):
+    """Every staged row written out in every layout and mapped back: rows per
+    layout and rows whose compared fields changed (preferred name only where
+    the layout carries it)."""
+    st = S.staging(spark, sf_dir)
+    orig = [F.col(c).alias(f"o_{c}") for c in N.CANONICAL]
+    parts = []
+    for v, lay in LAYOUTS.items():
+        out = EX.export_layout(st.select("*", *orig), lay, F.lit(S.LOAD_TS), *[f"o_{c}" for c in N.CANONICAL])
+        back = N.tag(N.bind_layout(out, lay, *[f"o_{c}" for c in N.CANONICAL]), *[f"o_{c}" for c in N.CANONICAL])
+        fields = ["student_id", "first_name", "last_name", "school_id", "credential_type", "issue_date", "status"]
+        if lay.has_preferred:
+            fields.append("preferred_name")
+        same = F.size("reasons") == 0
+        for c in fields:
+            same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
+        parts.append(back.select(F.lit(v).alias("layout"), same.alias("same")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("layout").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("same")).alias("mismatches"))
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Staged rows exported to CSV files, read back through the CSV source
+    (header classification, positional binding) and normalised again."""
+    d = exported_feeds(spark, sf_dir)
+    slots, _ = CSV.read_feeds(spark, d)
+    return N.normalise(slots).select(*N.CANONICAL)
+
+
+def exported_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Staged rows written as CSV feeds, one folder per layout, plus for each
+    layout a damaged copy whose header lost the layout's id column. Returns a
+    glob over all feed files (each part file is one feed)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with S._LOCK:
+        if key not in _EXPORTED:
+            root = new_work_dir(spark, "csv-feeds")
+            st = S.staging(spark, sf_dir)
+            for v, lay in LAYOUTS.items():
+                out = EX.export_layout(st.where(F.col("source_schema_version") == v), lay, F.lit(S.LOAD_TS))
+                EX.write_csv(out, f"{root}/{v}")
+                EX.write_csv(out.select(*[c for c in lay.columns if c != lay.fingerprint[0]]), f"{root}/{v}_damaged")
+            _EXPORTED[key] = f"{root}/*"
+    return _EXPORTED[key]
+
+
+_EXPORTED: dict[tuple, str] = {}
+
+
+# ============================================================================ J12
+@query("orphan_schools")
+def orphan_schools(spark, sf_dir):
+    return XT.orphan_schools(S.staging(spark, sf_dir), XT.school_dimension(table(spark, sf_dir, "nation", "n_nationkey")))
+
+
+@query("cross_version_dates")
+def cross_version_dates(spark, sf_dir):
+    return XT.cross_version_dates(S.staging(spark, sf_dir))
+
+
+@query("dedupe_exact")
+def dedupe_exact(spark, sf_dir):
+    return XT.dedupe_exact(S.staging(spark, sf_dir))
+
+
+@query("row_counts_total")
+def row_counts_total(spark, sf_dir):
+    return XT.row_counts_total(C.source_counts(S.feeds(spark, sf_dir)), S.staging(spark, sf_dir))

@@ -279,7 +279,7 @@ ORACLE["allowed_status"] = f"{BASE}\n{_STATUS_ARM}"
 _DUP_GROUPS = ("(SELECT student_id, school_id, credential_type, issue_date, count(*) AS cnt FROM acc "
                "GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)")
 ORACLE["exact_duplicates"] = f"{BASE}\nSELECT * FROM {_DUP_GROUPS}"
-ORACLE["duplicate_excess"] = (f"{BASE}\nSELECT count(*) AS duplicate_groups, coalesce(sum(cnt - 1), 0) AS excess_rows "
+ORACLE["duplicate_excess"] = (f"{BASE}\nSELECT count(*) AS duplicate_groups, CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS excess_rows "
                               f"FROM {_DUP_GROUPS}")
 _DUP_ARM = f"""SELECT 4 AS ordinal, 1 AS seq, 'DUPLICATE_DETECTION' AS check_type,
   'Exact duplicates (same student_id + credential + date)' AS check_name,
@@ -342,3 +342,189 @@ ORACLE["recon_gate"] = (f"{RESULTS}\nSELECT overall_status, CASE WHEN overall_st
 ORACLE["sample_values"] = (f"{RESULTS}\nSELECT check_name, CAST(i - 1 AS INT) AS pos, "
                            "string_split(sample_values, ',')[i] AS sample FROM results, range(1, 11) AS t(i) "
                            "WHERE sample_values <> '' AND i <= len(string_split(sample_values, ','))")
+
+# ============================================================================ J1
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+
+
+_LAYS = list(LAYOUTS.values())
+_COLS_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN {_list(l.columns)}" for i, l in enumerate(_LAYS)) + " END"
+_NEXT_CASE = "CASE (k + 1) % 8 " + " ".join(f"WHEN {i} THEN {_list(l.columns)}" for i, l in enumerate(_LAYS)) + " END"
+_FP0_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN '{l.fingerprint[0]}'" for i, l in enumerate(_LAYS)) + " END"
+_FP_VALUES = ", ".join(f"('{l.version}', '{c}', {len(l.fingerprint)}, {l.position})"
+                       for l in _LAYS for c in l.fingerprint)
+MANIFEST = f"""WITH h0 AS (
+  SELECT o_orderkey AS k, {_COLS_CASE} AS cols, {_FP0_CASE} AS fp0, {_NEXT_CASE} AS nxt FROM orders
+), h1 AS (SELECT k, CASE WHEN k % 37 = 0 THEN list_filter(cols, lambda x: x <> fp0) ELSE cols END AS h, nxt FROM h0
+), h2 AS (SELECT k, CASE WHEN k % 41 = 0 THEN list_concat(h, nxt) ELSE h END AS h FROM h1
+), h3 AS (SELECT k, CASE WHEN k % 3 = 0 THEN list_append(h, 'extra_col') ELSE h END AS h FROM h2
+), manifest AS (SELECT k AS feed, CASE WHEN k % 43 = 0 THEN list_transform(h, lambda x: upper(x)) ELSE h END AS header FROM h3
+), lng AS (SELECT feed, unnest(header) AS col FROM manifest
+), fp(version, col, fp_size, pos) AS (VALUES {_FP_VALUES}
+), m AS (SELECT feed, version, fp_size, pos FROM lng JOIN fp ON lng.col = fp.col
+         GROUP BY feed, version, fp_size, pos HAVING count(DISTINCT lng.col) = fp_size
+), r AS (SELECT feed, version, count(*) OVER (PARTITION BY feed) AS matches,
+                row_number() OVER (PARTITION BY feed ORDER BY fp_size DESC, pos) AS rn FROM m
+), classified AS (
+  SELECT manifest.feed, header, coalesce(r.version, 'UNKNOWN') AS version, coalesce(r.matches, 0) AS matches
+  FROM manifest LEFT JOIN r ON manifest.feed = r.feed AND r.rn = 1
+)"""
+ORACLE["feed_classify"] = f"{MANIFEST}\nSELECT feed, version FROM classified"
+ORACLE["feed_classify_long"] = f"{MANIFEST}\nSELECT feed, version, matches FROM classified"
+ORACLE["feed_classify_ambiguous"] = f"{MANIFEST}\nSELECT feed, matches, version FROM classified WHERE matches > 1"
+ORACLE["feed_unknown"] = (f"{MANIFEST}\nSELECT feed, array_to_string(list_sort(header), ',') AS sorted_columns "
+                          "FROM classified WHERE version = 'UNKNOWN'")
+
+# ============================================================================ J3
+def _ts(d) -> str:
+    return f"TIMESTAMP '{d:%Y-%m-%d %H:%M:%S}'"
+
+
+def _fmt_ts(x: str) -> str:
+    return f"strftime({x}, '%Y-%m-%dT%H:%M:%S')"
+
+
+from feedrecon.operators.control import EPOCH as _EPOCH  # noqa: E402
+from feedrecon.plans.scenarios import LATE_MOD, LATE_REM, RUN1_TS, RUN2_TS, RUN3_TS, LOAD_TS  # noqa: E402
+
+_U_S = "split_part(replace(replace(raw_updated_at, 'Z', ''), 'T', ' '), '.', 1)"
+_U = _UPD.replace("u_s", _U_S)
+BASE_U = BASE.replace("FROM feed\n), tagged0", "FROM feed\n), tagged0").replace(
+    "    string_split_regex(", f"    {_U} AS u,\n    string_split_regex(", 1)
+E0, T1, T2, T3 = _ts(_EPOCH), _ts(RUN1_TS), _ts(RUN2_TS), _ts(RUN3_TS)
+
+
+def _runs(reset: tuple[str, ...] = ()) -> str:
+    keep = f" AND ver NOT IN {_in(reset)}" if reset else ""
+    return f"""{BASE_U},
+r1 AS (SELECT *, 'run1' AS run_id FROM tagged
+       WHERE (u IS NULL OR u <= {T1}) AND k % {LATE_MOD} <> {LATE_REM} AND (u IS NULL OR u > {E0})),
+d1 AS (SELECT ver, count(*) FILTER (WHERE reason IS NULL) AS mapped, count(*) FILTER (WHERE reason IS NOT NULL) AS errors
+       FROM r1 GROUP BY ver),
+wm1 AS (SELECT ver, {T1} AS wm FROM d1 WHERE (errors = 0 OR mapped > 0){keep}),
+del2 AS (SELECT t.*, (u IS NULL OR u > coalesce(w.wm, {E0})) AS ext FROM tagged t LEFT JOIN wm1 w ON t.ver = w.ver
+         WHERE u IS NULL OR u <= {T2}),
+r2 AS (SELECT *, 'run2' AS run_id FROM del2 WHERE ext),
+d2 AS (SELECT ver, count(*) FILTER (WHERE reason IS NULL) AS mapped, count(*) FILTER (WHERE reason IS NOT NULL) AS errors
+       FROM r2 GROUP BY ver),
+a1 AS (SELECT ver, mapped FROM d1 WHERE (errors = 0 OR mapped > 0){keep}),
+a2 AS (SELECT ver, mapped FROM d2 WHERE errors = 0 OR mapped > 0),
+st AS (SELECT coalesce(a2.ver, a1.ver) AS schema_version,
+              CASE WHEN a2.ver IS NOT NULL THEN {T2} ELSE {T1} END AS lp,
+              coalesce(a2.mapped, a1.mapped) AS cnt,
+              CASE WHEN a1.ver IS NOT NULL THEN {T1} ELSE {T2} END AS created
+       FROM a1 FULL JOIN a2 ON a1.ver = a2.ver)"""
+
+
+_STATE = (f"SELECT schema_version, {_fmt_ts('lp')} AS last_processed_at, cnt AS last_run_row_count, "
+          f"{_fmt_ts('lp')} AS last_run_timestamp")
+ORACLE["watermark_state"] = f"{_runs()}\n{_STATE} FROM st"
+ORACLE["watermark_upsert"] = f"{_runs()}\n{_STATE}, {_fmt_ts('created')} AS created_at FROM st"
+ORACLE["watermark_reset"] = f"{_runs(('v3', 'v5'))}\n{_STATE}, {_fmt_ts('created')} AS created_at FROM st"
+ORACLE["watermark_advance"] = (f"{_runs()}\nSELECT ver AS schema_version, mapped AS mapped_rows, errors AS mapping_errors, "
+                               "(errors = 0 OR mapped > 0) AS advanced FROM d2")
+ORACLE["ingest_append"] = f"{_runs()}\nSELECT run_id, {CANON} FROM r1 WHERE reason IS NULL"
+ORACLE["ingest_two_runs"] = (f"{_runs()}\nSELECT run_id, {CANON} FROM r1 WHERE reason IS NULL "
+                             f"UNION ALL SELECT run_id, {CANON} FROM r2 WHERE reason IS NULL")
+ORACLE["full_reload"] = (f"{BASE_U}\nSELECT 'run3' AS run_id, {CANON} FROM tagged "
+                         f"WHERE (u IS NULL OR u <= {T3}) AND (u IS NULL OR u > {E0}) AND reason IS NULL")
+_SUMMARY = """SELECT ver AS schema_version, feed AS file, count(*) AS total_rows,
+  count(*) FILTER (WHERE ext) AS extracted_rows, count(*) FILTER (WHERE ext AND reason IS NULL) AS mapped_rows,
+  count(*) FILTER (WHERE ext AND reason IS NOT NULL) AS mapping_errors,
+  count(*) - count(*) FILTER (WHERE ext) AS skipped_rows FROM del2 GROUP BY ver, feed"""
+ORACLE["run_summary"] = f"{_runs()}\n{_SUMMARY}"
+ORACLE["run_totals"] = (f"{_runs()}\nSELECT CAST(sum(mapped_rows) AS BIGINT) AS staged, CAST(sum(skipped_rows) AS BIGINT) AS skipped, "
+                        "CAST(sum(mapping_errors) AS BIGINT) AS errors, CASE WHEN sum(mapping_errors) = 0 THEN 'COMPLETED' "
+                        f"ELSE 'COMPLETED WITH WARNINGS' END AS status FROM ({_SUMMARY})")
+ORACLE["quarantine_table"] = (f"{_runs()}\nSELECT run_id, source_schema_version, source_student_id, reason FROM r1 "
+                              "WHERE reason IS NOT NULL UNION ALL SELECT run_id, source_schema_version, source_student_id, "
+                              "reason FROM r2 WHERE reason IS NOT NULL")
+ORACLE["incremental_extract"] = (f"{BASE_U}\nSELECT k, copy_no, ver, raw_updated_at FROM tagged WHERE u IS NULL OR "
+                                 f"u > CASE WHEN ver IN ('v1', 'v2', 'v3', 'v4') THEN {T1} ELSE {E0} END")
+
+
+# ============================================================================ J11
+def _strftime(pattern: str) -> str:
+    out, i = "", 0
+    tokens = [("yyyy", "%Y"), ("MMM", "%b"), ("MM", "%m"), ("dd", "%d"), ("HH", "%H"), ("mm", "%M"), ("ss", "%S")]
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            out += pattern[i + 1:j]
+            i = j + 1
+            continue
+        for tok, rep in tokens:
+            if pattern.startswith(tok, i):
+                out += rep
+                i += len(tok)
+                break
+        else:
+            out += pattern[i]
+            i += 1
+    return out
+
+
+def _export_select(lay) -> str:
+    status = ("CASE status " + " ".join(f"WHEN '{c}' THEN '{w}'" for c, w in
+                                       zip(("ACTIVE", "EXPIRED", "REVOKED", "PENDING"), lay.status_vocab))
+              + " ELSE status END")
+    cells = {
+        lay.student_id: f"'{lay.id_prefix}' || student_id",
+        lay.school_id: "school_id",
+        lay.credential_type: "credential_type",
+        lay.issue_date: f"strftime(issue_date, '{_strftime(lay.date_pattern)}')",
+        lay.status: status,
+        lay.updated_at: f"'{LOAD_TS:%Y-%m-%dT%H:%M:%S}'",
+    }
+    if lay.has_full_name:
+        cells[lay.full_name] = "first_name || ' ' || last_name"
+    else:
+        cells[lay.first_name] = "first_name"
+        cells[lay.last_name] = "last_name"
+    if lay.has_preferred:
+        cells[lay.preferred_name] = f"coalesce(preferred_name, '{lay.missing_token}')"
+    return ", ".join(f'{cells[c]} AS "{c}"' for c in lay.columns)
+
+
+for _v, _lay in LAYOUTS.items():
+    ORACLE[f"export_{_v}"] = f"{BASE}\nSELECT {_export_select(_lay)} FROM acc"
+
+
+def _roundtrip_loss(lay) -> str:
+    conds = []
+    if lay.id_prefix:
+        conds.append("NOT regexp_full_match(student_id, '[0-9]+')")
+    else:
+        conds.append("student_id = ''")
+    if lay.has_full_name:
+        conds.append(r"(regexp_matches(last_name, '\s') OR regexp_matches(first_name, '^\s|\s$|\s\s') "
+                     r"OR (first_name = '' AND last_name <> '') OR (last_name = '' AND regexp_matches(first_name, '\s')))")
+    conds.append("school_id = ''")
+    return " OR ".join(conds)
+
+
+ORACLE["export_roundtrip"] = f"{BASE}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{v}' AS layout, count(*) AS rows, count(*) FILTER (WHERE {_roundtrip_loss(l)}) AS mismatches FROM acc"
+    for v, l in LAYOUTS.items())
+ORACLE["csv_roundtrip"] = f"{BASE}\nSELECT {CANON} FROM acc"
+
+# ============================================================================ J12
+ORACLE["orphan_schools"] = (f"{BASE},\ndim AS (SELECT 'DIST' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || '-SCH' || "
+                            "lpad(CAST(s AS VARCHAR), 3, '0') AS school_id FROM nation, range(0, 30) AS t(s))\n"
+                            "SELECT school_id, count(*) AS rows, count(DISTINCT student_id) AS students FROM acc "
+                            "WHERE school_id NOT IN (SELECT school_id FROM dim) GROUP BY school_id")
+ORACLE["cross_version_dates"] = (f"{BASE}\nSELECT student_id FROM acc WHERE student_id IN {_MULTI} "
+                                 "GROUP BY student_id HAVING count(DISTINCT issue_date) > 1")
+ORACLE["dedupe_exact"] = (f"{BASE}\nSELECT {CANON} FROM (SELECT *, row_number() OVER (PARTITION BY student_id, school_id, "
+                          "credential_type, issue_date ORDER BY source_schema_version, source_student_id, first_name, "
+                          "last_name, preferred_name NULLS FIRST, status) AS rn FROM acc) WHERE rn = 1")
+ORACLE["row_counts_total"] = f"""{BASE},
+src AS (SELECT ver, count(*) AS source_count FROM feed GROUP BY ver),
+stg AS (SELECT source_schema_version AS ver, count(*) AS staged_count FROM acc GROUP BY 1),
+j AS (SELECT coalesce(src.ver, stg.ver) AS ver, coalesce(source_count, 0) AS source_count,
+             coalesce(staged_count, 0) AS staged_count FROM src FULL JOIN stg ON src.ver = stg.ver)
+SELECT ver AS schema_version, source_count, staged_count, staged_count - source_count AS delta FROM j
+UNION ALL
+SELECT 'TOTAL', CAST(sum(source_count) AS BIGINT), CAST(sum(staged_count) AS BIGINT),
+       CAST(sum(staged_count) - sum(source_count) AS BIGINT) FROM j"""
