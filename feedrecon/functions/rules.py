@@ -66,13 +66,24 @@ def blank_to_empty(c: Column | str) -> Column:
 
 
 def parse_issue_date(c: Column | str) -> Column:
-    """Trimmed text -> DATE using the first format whose shape fits the whole
-    value; NULL when none fits or the date is invalid (30 Feb, year 0)."""
+    """Trimmed text -> DATE using the format whose shape fits the whole value;
+    NULL when none fits or the date is invalid (30 Feb, year 0). The shapes
+    are mutually exclusive, so cheap character tests first pick the family
+    (4-digit-year-first, slash, other) and only that family's full-shape
+    regexes run."""
     t = strip_ws(c)
-    parsed = None
-    for shape, pattern in DATE_FORMATS:
-        branch = F.try_to_date(t, pattern)
-        parsed = F.when(t.rlike(shape), branch) if parsed is None else parsed.when(t.rlike(shape), branch)
+
+    def chain(items):
+        out = None
+        for shape, pattern in items:
+            branch = F.try_to_date(t, pattern)
+            out = F.when(t.rlike(shape), branch) if out is None else out.when(t.rlike(shape), branch)
+        return out
+
+    iso, slash, rest = DATE_FORMATS[:3], DATE_FORMATS[3:4], DATE_FORMATS[4:]
+    parsed = (F.when(F.substring(t, 5, 1) == "-", chain(iso[::-1]))
+              .when(F.instr(t, "/") > 0, chain(slash))
+              .otherwise(chain(rest)))
     return F.when(F.year(parsed) >= 1, parsed)
 
 
@@ -91,14 +102,12 @@ def normalise_student_id(c: Column | str) -> Column:
 
 def split_full_name(c: Column | str) -> tuple[Column, Column]:
     """Whitespace-run split: no word -> ('', ''), one -> (w, ''), more ->
-    (all but last joined by one blank, last)."""
-    t = strip_ws(blank_to_empty(c))
-    words = F.split(t, WS_RUN)
+    (all but last joined by one blank, last). The split array is referenced
+    outside any conditional branch, so it is computed once per row."""
+    words = F.split(strip_ws(blank_to_empty(c)), WS_RUN)
     n = F.size(words)
-    first = (F.when(t == "", F.lit(""))
-             .when(n == 1, t)
-             .otherwise(F.array_join(F.slice(words, 1, n - 1), " ")))
-    last = F.when((t == "") | (n == 1), F.lit("")).otherwise(F.element_at(words, -1))
+    first = F.array_join(F.slice(words, 1, F.greatest(n - 1, F.lit(1))), " ")
+    last = F.when(n > 1, F.element_at(words, -1)).otherwise(F.lit(""))
     return first, last
 
 

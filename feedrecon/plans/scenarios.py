@@ -25,14 +25,32 @@ RESET_TS = _dt.datetime(2019, 1, 1)
 RUN2_TS = _dt.datetime(2022, 1, 1)
 RUN3_TS = _dt.datetime(2022, 6, 30)
 LATE_MOD, LATE_REM = 17, 3   # records that reach the second delivery only
+_LOCK = threading.RLock()
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All delivered records (slot form) with the file each arrived in."""
+def derived_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All legacy records derived from the tables (slot form) with the file each arrives in."""
     f = credential_feed(spark, sf_dir)
     return f.withColumn("feed", feed_file_name(F.col("ver")))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivered feeds as stored files: the derived records are landed
+    once per session and data directory (parquet, partitioned by layout, in
+    the shared work folder) and every job scans them like real feed files,
+    so the mapping plans start from a scan, not from the derivation."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if key not in _LANDED:
+            path = new_work_dir(spark, "landed-feeds")
+            derived_feeds(spark, sf_dir).write.partitionBy("ver").parquet(path)
+            _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def full_extract(feed_df: DataFrame) -> DataFrame:
     """First-run extraction: every record newer than the epoch, plus those
     whose update time is empty or unparseable."""
@@ -46,7 +64,6 @@ def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LOADED: dict[tuple[str, str], str] = {}
-_LOCK = threading.RLock()
 
 
 def loaded_target(spark: SparkSession, sf_dir: str) -> Tables:
