@@ -7,10 +7,9 @@ larger fingerprint wins, ties go to registry order; no match is UNKNOWN.
 ``classify_headers`` works on one row per feed (``feed, header`` array): eight
 ``array_except`` tests per row, no shuffle, no join. ``classify_long`` does
 the same on long-form input (``feed, column``) as a relational division
-against the broadcast fingerprint table (54 fixed rows): a bit mask per
-(feed, layout) is OR-ed in a hash aggregate, so duplicate header names are
-harmless, and the winner per feed is a ``max_by`` in a second aggregate on the
-same key (the exchange on ``feed`` is reused).
+against the broadcast fingerprint table (54 fixed rows): one bit mask per
+layout is OR-ed per feed in a single hash aggregate (one exchange), so
+duplicate header names are harmless.
 """
 
 from __future__ import annotations
@@ -45,19 +44,25 @@ def classify_headers(headers: DataFrame, header_col: str = "header") -> DataFram
 
 
 def classify_long(long_df: DataFrame) -> DataFrame:
-    """``feed, column`` → ``feed, version, matches`` (relational division)."""
+    """``feed, column`` → ``feed, version, matches`` (relational division).
+
+    One broadcast join to the fingerprint rows (a column may sit in several
+    layouts) and **one** aggregation per feed holding a bit mask per layout
+    (``bit_or`` combines map-side); a layout matches when its mask is full.
+    Columns in no fingerprint keep their feed in the result (left join)."""
     fps = F.broadcast(fingerprints_df(long_df.sparkSession))
-    hits = long_df.join(fps, "column", "inner")
-    per_layout = (hits.groupBy("feed", "version", "fp_size", "position")
-                  .agg(F.bit_or("flag").alias("mask"))
-                  .where(F.bit_count("mask") == F.col("fp_size")))
-    best = per_layout.groupBy("feed").agg(
-        F.max_by("version", F.struct("fp_size", -F.col("position"))).alias("version"),
-        F.count(F.lit(1)).alias("matches"))
-    feeds = long_df.select("feed").distinct()
-    return (feeds.join(best, "feed", "left")
-            .select("feed", F.coalesce("version", F.lit(UNKNOWN)).alias("version"),
-                    F.coalesce("matches", F.lit(0)).cast("long").alias("matches")))
+    hits = long_df.join(fps, "column", "left")
+    masks = hits.groupBy("feed").agg(*[
+        F.coalesce(F.bit_or(F.when(F.col("version") == v, F.col("flag"))), F.lit(0)).alias(f"m_{v}")
+        for v in LAYOUTS])
+    full = {v: (1 << len(l.fingerprint)) - 1 for v, l in LAYOUTS.items()}
+    flags = {v: F.col(f"m_{v}") == full[v] for v in LAYOUTS}
+    chosen = None
+    for lay in detection_order():
+        cond = flags[lay.version]
+        chosen = F.when(cond, F.lit(lay.version)) if chosen is None else chosen.when(cond, F.lit(lay.version))
+    n = sum((F.when(c, 1).otherwise(0) for c in flags.values()), F.lit(0))
+    return masks.select("feed", chosen.otherwise(F.lit(UNKNOWN)).alias("version"), n.cast("long").alias("matches"))
 
 
 def unknown_feeds(classified: DataFrame, header_col: str = "header") -> DataFrame:

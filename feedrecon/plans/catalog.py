@@ -431,3 +431,24 @@ def dedupe_exact(spark, sf_dir):
 @query("row_counts_total")
 def row_counts_total(spark, sf_dir):
     return XT.row_counts_total(C.source_counts(S.feeds(spark, sf_dir)), S.staging(spark, sf_dir))
+
+
+# ============================================================================ J3 (streaming)
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    """The staged v1 rows delivered as CSV files and ingested by the
+    AvailableNow file stream (foreachBatch → run_ingest)."""
+    from feedrecon.streaming.ingest_stream import start_ingest_stream
+    key = (spark.sparkContext.applicationId, sf_dir, "stream")
+    with S._LOCK:
+        if key not in _EXPORTED:
+            root = new_work_dir(spark, "stream")
+            lay = LAYOUTS["v1"]
+            st = S.staging(spark, sf_dir).where(F.col("source_schema_version") == "v1")
+            EX.write_csv(EX.export_layout(st, lay, F.lit(S.LOAD_TS)), f"{root}/in")
+            target = IG.Tables(f"{root}/out")
+            q = start_ingest_stream(spark, f"{root}/in", lay, target, f"{root}/ckpt", "stream",
+                                    run_ts=lambda epoch: S.LOAD_TS)
+            q.awaitTermination()
+            _EXPORTED[key] = target.root
+    return IG.read_staging(spark, IG.Tables(_EXPORTED[key])).select(*N.CANONICAL)

@@ -528,3 +528,4 @@ SELECT ver AS schema_version, source_count, staged_count, staged_count - source_
 UNION ALL
 SELECT 'TOTAL', CAST(sum(source_count) AS BIGINT), CAST(sum(staged_count) AS BIGINT),
        CAST(sum(staged_count) - sum(source_count) AS BIGINT) FROM j"""
+ORACLE["stream_ingest"] = f"{BASE}\nSELECT {CANON} FROM acc WHERE source_schema_version = 'v1'"
