@@ -15,14 +15,19 @@ class GateFailed(RuntimeError):
     """Raised by ``assert_gate`` when the suite's overall status is FAIL."""
 
 
-def build_results(feed_counts: DataFrame, staging: DataFrame, tolerance_pct: float = C.DEFAULT_TOLERANCE_PCT) -> DataFrame:
+def build_results(feed_counts: DataFrame, staging: DataFrame, tolerance_pct: float = C.DEFAULT_TOLERANCE_PCT,
+                  materialize_profile: bool = True) -> DataFrame:
     """CHK-12: all five check families in suite order, as one results frame.
 
     ``staging`` has several consumers here (row counts, one null aggregate,
-    three integrity aggregates, the duplicate groups and one per-student
-    profile); callers should pass a staging table read from storage (or a
-    persisted frame) so the staging job is not recomputed per consumer."""
+    three integrity aggregates, the duplicate groups and the per-student
+    profile); pass a staging table read from storage. The per-student profile
+    feeds four consumers (two counts, two samples), so by default it is
+    computed once and its lineage cut with a reliable ``checkpoint()`` into
+    the session's checkpoint folder (one row per student, five columns)."""
     profile = C.student_profile(staging)
+    if materialize_profile:
+        profile = profile.checkpoint(eager=True)
     return (C.reconcile_row_counts(feed_counts, staging, tolerance_pct)
             .unionByName(C.null_assertions(staging))
             .unionByName(C.referential_integrity(staging))

@@ -529,3 +529,24 @@ UNION ALL
 SELECT 'TOTAL', CAST(sum(source_count) AS BIGINT), CAST(sum(staged_count) AS BIGINT),
        CAST(sum(staged_count) - sum(source_count) AS BIGINT) FROM j"""
 ORACLE["stream_ingest"] = f"{BASE}\nSELECT {CANON} FROM acc WHERE source_schema_version = 'v1'"
+ORACLE["row_counts_unknown_feed"] = f"""{BASE},
+f2 AS (SELECT *, k % 37 = 0 AS damaged,
+              CASE WHEN k % 37 = 0 THEN 'credentials_' || ver || '_damaged.csv' ELSE feed END AS feed2 FROM feed),
+src AS (SELECT feed2 AS feed, CASE WHEN damaged THEN NULL ELSE ver END AS ver, count(*) AS source_count
+        FROM f2 GROUP BY ALL),
+stg AS (SELECT source_schema_version AS ver, count(*) AS staged_count FROM acc WHERE k % 37 <> 0 GROUP BY 1),
+j AS (SELECT feed, src.ver, source_count, coalesce(staged_count, 0) AS staged_count,
+             coalesce(staged_count, 0) - source_count AS delta FROM src LEFT JOIN stg ON src.ver = stg.ver),
+j2 AS (SELECT *, CASE WHEN source_count > 0 THEN abs(delta / source_count * 100) ELSE 0.0 END AS delta_pct FROM j)
+SELECT 1 AS ordinal, 1 AS seq, 'ROW_RECONCILIATION' AS check_type,
+  CASE WHEN ver IS NULL THEN 'Row count: ' || feed ELSE 'Row count: ' || ver || ' (' || feed || ')' END AS check_name,
+  CASE WHEN ver IS NULL THEN 'FAIL' WHEN delta = 0 THEN 'PASS' WHEN delta_pct <= 0.0 THEN 'WARNING' ELSE 'FAIL' END AS status,
+  'FAIL' AS severity,
+  CASE WHEN ver IS NULL THEN 'Could not detect schema version for ' || feed || ' — skipped'
+       WHEN delta = 0 THEN 'source=' || {_fmt_int('source_count')} || ', staged=' || {_fmt_int('staged_count')} || ', delta=0'
+       ELSE 'source=' || {_fmt_int('source_count')} || ', staged=' || {_fmt_int('staged_count')} || ', delta='
+            || CASE WHEN delta >= 0 THEN '+' ELSE '' END || {_fmt_int('delta')} || ' (' || {_fmt_pct('delta_pct')}
+            || '% — ' || CASE WHEN delta_pct <= 0.0 THEN 'within ' ELSE 'exceeds ' END || '0.0% tolerance)' END AS detail,
+  CASE WHEN ver IS NOT NULL THEN CAST(source_count AS VARCHAR) END AS expected,
+  CASE WHEN ver IS NOT NULL THEN CAST(staged_count AS VARCHAR) END AS actual, '' AS sample_values
+FROM j2"""
