@@ -58,32 +58,29 @@ def classify_directory(spark: SparkSession, directory: str) -> DataFrame:
     return classify_headers(read_headers(spark, list_feeds(spark, directory)))
 
 
-def _positional_schema(header: list[str]) -> tuple[StructType, list[str]]:
-    """All-string schema with unique field names; returns it and, per
-    position, the header name the field stands for."""
-    seen: dict[str, int] = {}
-    fields = []
-    for i, name in enumerate(header):
-        n = seen.get(name, 0)
-        seen[name] = n + 1
-        fields.append(StructField(f"c{i}", StringType(), True))
-    return StructType(fields), list(header)
-
-
-def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str) -> DataFrame:
+def _positional_schema(width: int) -> StructType:
+    """All-string schema with one field per header position (``c0`` …), so
+    duplicate or case-colliding header names never clash."""
+    return StructType([StructField(f"c{i}", StringType(), True) for i in range(width)])
+
+
+def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str,
+                      multi_line: bool = False) -> DataFrame:
     """SRC-3: files of one layout sharing one header → slot form with ``feed``.
-    The first occurrence of a duplicated name wins (dict semantics)."""
-    schema, names = _positional_schema(header)
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
-    first_pos = {}
-    for i, n in enumerate(names):
+    The first occurrence of a duplicated name wins (dict semantics).
+    ``multi_line`` parses quoted cells with embedded newlines; it makes each
+    file one split, so it is a per-feed option, off by default."""
+    df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
+          .schema(_positional_schema(len(header))).csv(paths))
+    first_pos: dict[str, int] = {}
+    for i, n in enumerate(header):
         first_pos.setdefault(n, i)
     named = df.select(F.col("_metadata.file_name").alias("feed"),
                       *[F.col(f"c{i}").alias(n) for n, i in first_pos.items()])
     return bind_layout(named, LAYOUTS[version], "feed")
 
 
-def read_feeds(spark: SparkSession, directory: str) -> tuple[DataFrame | None, DataFrame]:
+def read_feeds(spark: SparkSession, directory: str, multi_line: bool = False) -> tuple[DataFrame | None, DataFrame]:
     """All recognised feeds of a folder in slot form (``feed, ver, raw_*``),
     and the classification of every file (incl. UNKNOWN ones)."""
     classified = classify_directory(spark, directory)
@@ -92,7 +89,7 @@ def read_feeds(spark: SparkSession, directory: str) -> tuple[DataFrame | None, D
     for r in rows:
         if r.version != UNKNOWN:
             groups.setdefault((r.version, tuple(r.header)), []).append(r.path)
-    frames = [read_layout_files(spark, ps, list(h), v) for (v, h), ps in sorted(groups.items())]
+    frames = [read_layout_files(spark, ps, list(h), v, multi_line) for (v, h), ps in sorted(groups.items())]
     if not frames:
         return None, classified
     out = frames[0]

@@ -64,3 +64,12 @@ def test_empty_folder_has_no_feeds(spark, tmp_dir):
     assert CSV.list_feeds(spark, d) == []
     slots, classified = CSV.read_feeds(spark, d)
     assert slots is None and classified.count() == 0
+
+
+def test_embedded_newline_with_multiline(spark, tmp_dir):
+    d = _local(tmp_dir)
+    _write(d, "ml.csv", V2_HEADER + 'S100001,"Ann\nMarie",Lee,DIST001-SCH001,ged,01/05/2021,Active,N/A,\n'
+           + "S100002,Bo,Li,DIST001-SCH002,ged,01/05/2021,Active,N/A,\n")
+    slots, _ = CSV.read_feeds(spark, d, multi_line=True)
+    rows = {r.source_student_id: r for r in N.tag(slots).collect()}
+    assert len(rows) == 2 and rows["S100001"].first_name == "Ann\nMarie"
