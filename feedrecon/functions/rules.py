@@ -51,6 +51,11 @@ UPDATED_AT_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(.[0-9]{2}(:[0-9]{2}(:[0-9]{2})?
 STUDENT_ID_SHAPE = r"^[0-9]{6}$"
 
 
+def ntz(ts) -> Column:
+    """A TIMESTAMP_NTZ literal (wall-clock, independent of the session time zone)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

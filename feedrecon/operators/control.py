@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from feedrecon.functions.rules import ntz
 from feedrecon.layouts import VERSIONS
 
 # ---------------------------------------------------------------------------
@@ -66,7 +67,7 @@ def watermarks(state: DataFrame, epoch: _dt.datetime = EPOCH) -> DataFrame:
     known = spark.createDataFrame([(v,) for v in VERSIONS], "ver string")
     s = state.select(F.col("schema_version").alias("ver"), "last_processed_at")
     return known.join(s, "ver", "left").select(
-        "ver", F.coalesce("last_processed_at", F.lit(epoch).cast("timestamp_ntz")).alias("watermark"))
+        "ver", F.coalesce("last_processed_at", ntz(epoch)).alias("watermark"))
 
 
 def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str) -> DataFrame:
@@ -74,7 +75,7 @@ def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str) -> D
     watermark (no mapping errors, or at least one row mapped). ``decisions``
     has ``ver, mapped_rows, mapping_errors``."""
     ok = (F.col("mapping_errors") == 0) | (F.col("mapped_rows") > 0)
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = ntz(run_ts)
     return decisions.where(ok).select(
         F.col("ver").alias("schema_version"), F.lit("advance").alias("event"), ts.alias("last_processed_at"),
         F.col("mapped_rows").cast("long").alias("last_run_row_count"), ts.alias("last_run_timestamp"),

@@ -72,7 +72,7 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None) -> D
         R.strip_ws(R.blank_to_empty(raw_id)).alias("source_student_id"),
     ]
     if run_ts is not None:
-        cols.append(F.lit(run_ts).cast("timestamp_ntz").alias("staged_at"))
+        cols.append(R.ntz(run_ts).alias("staged_at"))
     return slot_df.select(*keep, *cols, reasons.alias("reasons"))
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedrecon.functions.rules import ntz
 from feedrecon.layouts import LAYOUTS
 from feedrecon.operators import checks as C
 from feedrecon.operators import normalise as N
@@ -350,7 +351,7 @@ def _export(version: str) -> Query:
     lay = LAYOUTS[version]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return EX.export_layout(S.staging(spark, sf_dir), lay, F.lit(S.LOAD_TS))
+        return EX.export_layout(S.staging(spark, sf_dir), lay, ntz(S.LOAD_TS))
     run.__name__ = f"export_{version}"
     return run
 
@@ -368,7 +369,7 @@ def export_roundtrip(spark, sf_dir):
     orig = [F.col(c).alias(f"o_{c}") for c in N.CANONICAL]
     parts = []
     for v, lay in LAYOUTS.items():
-        out = EX.export_layout(st.select("*", *orig), lay, F.lit(S.LOAD_TS), *[f"o_{c}" for c in N.CANONICAL])
+        out = EX.export_layout(st.select("*", *orig), lay, ntz(S.LOAD_TS), *[f"o_{c}" for c in N.CANONICAL])
         back = N.tag(N.bind_layout(out, lay, *[f"o_{c}" for c in N.CANONICAL]), *[f"o_{c}" for c in N.CANONICAL])
         fields = ["student_id", "first_name", "last_name", "school_id", "credential_type", "issue_date", "status"]
         if lay.has_preferred:
@@ -402,7 +403,7 @@ def exported_feeds(spark: SparkSession, sf_dir: str) -> str:
             root = new_work_dir(spark, "csv-feeds")
             st = S.staging(spark, sf_dir)
             for v, lay in LAYOUTS.items():
-                out = EX.export_layout(st.where(F.col("source_schema_version") == v), lay, F.lit(S.LOAD_TS))
+                out = EX.export_layout(st.where(F.col("source_schema_version") == v), lay, ntz(S.LOAD_TS))
                 EX.write_csv(out, f"{root}/{v}")
                 EX.write_csv(out.select(*[c for c in lay.columns if c != lay.fingerprint[0]]), f"{root}/{v}_damaged")
             _EXPORTED[key] = f"{root}/*"
@@ -445,7 +446,7 @@ def stream_ingest(spark, sf_dir):
             root = new_work_dir(spark, "stream")
             lay = LAYOUTS["v1"]
             st = S.staging(spark, sf_dir).where(F.col("source_schema_version") == "v1")
-            EX.write_csv(EX.export_layout(st, lay, F.lit(S.LOAD_TS)), f"{root}/in")
+            EX.write_csv(EX.export_layout(st, lay, ntz(S.LOAD_TS)), f"{root}/in")
             target = IG.Tables(f"{root}/out")
             q = start_ingest_stream(spark, f"{root}/in", lay, target, f"{root}/ckpt", "stream",
                                     run_ts=lambda epoch: S.LOAD_TS)

@@ -55,7 +55,7 @@ def full_extract(feed_df: DataFrame) -> DataFrame:
     """First-run extraction: every record newer than the epoch, plus those
     whose update time is empty or unparseable."""
     u = R.lenient_updated_at(F.col("raw_updated_at"))
-    return feed_df.where(u.isNull() | (u > F.lit(EPOCH)))
+    return feed_df.where(u.isNull() | (u > R.ntz(EPOCH)))
 
 
 def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def delivery(feed_df: DataFrame, as_of: _dt.datetime, include_late: bool) -> Dat
     """What a feed file holds at ``as_of``: records updated by then (and those
     with no usable update time); late records only when ``include_late``."""
     u = R.lenient_updated_at(F.col("raw_updated_at"))
-    visible = u.isNull() | (u <= F.lit(as_of))
+    visible = u.isNull() | (u <= R.ntz(as_of))
     late = (F.col("k") % LATE_MOD) == LATE_REM
     return feed_df.where(visible if include_late else (visible & ~late))
 

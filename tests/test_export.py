@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from feedrecon.functions.rules import ntz
 from feedrecon.layouts import LAYOUTS
 from feedrecon.operators import export as EX
 from feedrecon.operators import normalise as N
@@ -11,7 +12,7 @@ from feedrecon.plans import scenarios as S
 def test_roundtrip_every_layout(spark, sf_small):
     st = S.staging(spark, sf_small)
     for v, lay in LAYOUTS.items():
-        out = EX.export_layout(st, lay, F.lit(S.LOAD_TS))
+        out = EX.export_layout(st, lay, ntz(S.LOAD_TS))
         assert out.columns == list(lay.columns)
         back = N.normalise(N.bind_layout(out, lay))
         cols = ["student_id", "first_name", "last_name", "school_id", "credential_type", "issue_date", "status"]

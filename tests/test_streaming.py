@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from feedrecon.functions.rules import ntz
 from feedrecon.layouts import LAYOUTS
 from feedrecon.operators import export as EX
 from feedrecon.operators import ingest as IG
@@ -16,14 +17,14 @@ def test_available_now_stream_picks_up_new_files(spark, sf_small, tmp_dir):
     lay = LAYOUTS["v2"]
     st = S.staging(spark, sf_small).where(F.col("source_schema_version") == "v2")
     first, second = st.where(F.col("school_id") < "DIST012"), st.where(F.col("school_id") >= "DIST012")
-    EX.write_csv(EX.export_layout(first, lay, F.lit(S.LOAD_TS)), f"{tmp_dir}/in")
+    EX.write_csv(EX.export_layout(first, lay, ntz(S.LOAD_TS)), f"{tmp_dir}/in")
     target = IG.Tables(f"{tmp_dir}/out")
     q = start_ingest_stream(spark, f"{tmp_dir}/in", lay, target, f"{tmp_dir}/ckpt", "s", run_ts=lambda e: S.LOAD_TS)
     q.awaitTermination()
     assert IG.read_staging(spark, target).count() == first.count()
     # a new file arrives; the next AvailableNow run ingests only it (the old file is not re-read)
     # updated after run 1 (a record stamped before the last run would be skipped: P3)
-    EX.write_csv(EX.export_layout(second, lay, F.lit(S.LOAD_TS + dt.timedelta(days=1))), f"{tmp_dir}/in2")
+    EX.write_csv(EX.export_layout(second, lay, ntz(S.LOAD_TS + dt.timedelta(days=1))), f"{tmp_dir}/in2")
     src = f"{tmp_dir}/in2".replace("file:", "")
     dst = f"{tmp_dir}/in".replace("file:", "")
     for name in os.listdir(src):
