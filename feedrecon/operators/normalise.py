@@ -53,11 +53,13 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None) -> D
     raw_id = F.col("raw_student_id")
     raw_school = F.col("raw_school_id")
     issue = R.parse_issue_date(F.col("raw_issue_date"))
-    reasons = F.filter(F.array(
-        F.when(R.is_missing_text(raw_id), F.lit(REASONS[0])),
-        F.when(R.is_missing_text(raw_school), F.lit(REASONS[1])),
-        F.when(issue.isNull(), F.lit(REASONS[2])),
-    ), lambda x: x.isNotNull())
+    # concat_ws skips NULLs and stays in generated code (a lambda-based array
+    # filter would be evaluated row by row outside codegen, date parse included)
+    reason_txt = F.concat_ws(",",
+                             F.when(R.is_missing_text(raw_id), F.lit(REASONS[0])),
+                             F.when(R.is_missing_text(raw_school), F.lit(REASONS[1])),
+                             F.when(issue.isNull(), F.lit(REASONS[2])))
+    reasons = F.when(reason_txt == "", F.array().cast("array<string>")).otherwise(F.split(reason_txt, ","))
     cols = [
         R.normalise_student_id(raw_id).alias("student_id"),
         F.when(is_full, full_first).otherwise(R.strip_ws(R.blank_to_empty("raw_first_name"))).alias("first_name"),
