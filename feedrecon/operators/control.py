@@ -41,6 +41,14 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+def as_seen_by(log: DataFrame, run_id: str, run_ts: _dt.datetime) -> DataFrame:
+    """The log as a run must see it: events of earlier runs plus the run's own
+    resets. A re-executed run therefore reads the same watermarks as its
+    first attempt and rewrites identical partitions (idempotent retries)."""
+    own = F.col("run_id") == run_id
+    return log.where((own & (F.col("event") == "reset")) | (~own & (F.col("logged_at") < ntz(run_ts))))
+
+
 def current_state(log: DataFrame) -> DataFrame:
     """SRC-6: one row per layout with a live watermark, ordered by layout.
     A reset (tombstone) hides earlier advances; ``created_at`` is the first

@@ -115,12 +115,13 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     run summary read back from storage (one row per feed).
 
     Order: (full reload: reset events, staging overwritten) → watermarks read
-    once (P5: a second feed of a layout sees the same watermark) → extract +
+    once, from the events before this run (P5: a second feed of a layout sees
+    the same watermark; a re-executed run sees what its first attempt saw) → extract +
     tag (persisted delta) → write staging, quarantine, summary → append the
     advance events last."""
     if full_reload:
         CT.reset(spark, target.control, run_ts, run_id)
-    marks = CT.watermarks(CT.current_state(CT.read_log(spark, target.control)))
+    marks = CT.watermarks(CT.current_state(CT.as_seen_by(CT.read_log(spark, target.control), run_id, run_ts)))
     tagged = N.tag(incremental_extract(feed_df, marks), "feed", run_ts=run_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         staged = N.accepted(tagged).select(*N.STAGING).withColumn("run_id", F.lit(run_id))

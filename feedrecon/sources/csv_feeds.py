@@ -1,7 +1,8 @@
 """Legacy CSV feeds on storage: list, read headers, classify, read as text.
 
-* Listing is a distributed file listing (``binaryFile`` source, path column
-  only, so no file content is read), name-sorted.
+* Listing comes from a file index (``binaryFile`` source, ``inputFiles``: no
+  file content is read; Spark parallelises the listing of large folders),
+  name-sorted.
 * A header is the first CSV record of a file, read with a one-row limit per
   file (each task stops after one line). Headers are bound by position, so
   duplicate or case-colliding names never clash.
@@ -30,27 +31,32 @@ def list_feeds(spark: SparkSession, directory: str) -> list[str]:
     """SRC-1: ``*.csv`` directly in ``directory``, name-sorted. The list of
     file paths (one per file) is the only thing brought to the driver."""
     try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                   .option("recursiveFileLookup", "false").load(directory).select("path"))
-        paths = [r.path for r in listing.collect()]
+        # the file index of the binaryFile source (no content read, no scan; an
+        # empty file is listed too, which a scan would skip)
+        paths = list(spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+                     .option("recursiveFileLookup", "false").load(directory).inputFiles())
     except Exception:  # noqa: BLE001 — an empty or missing folder has no feeds
         return []
     return sorted(paths, key=posixpath.basename)
 
 
 def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SRC-2: ``feed, path, header`` (array of names, in file order)."""
-    if not paths:
-        return spark.createDataFrame([], "feed string, path string, header array<string>")
+    """SRC-2: ``feed, path, header`` (array of names, in file order) for every
+    listed file; an empty file has an empty header (it classifies as UNKNOWN)."""
+    listing = spark.createDataFrame([(posixpath.basename(p), p) for p in paths], "feed string, path string")
     parts = []
     for p in paths:
         first = spark.read.options(header="false", quote='"', escape='"', encoding="UTF-8").csv(p).limit(1)
-        parts.append(first.select(F.lit(posixpath.basename(p)).alias("feed"), F.lit(p).alias("path"),
-                                  F.array(*[F.col(c) for c in first.columns]).alias("header")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if first.columns:
+            parts.append(first.select(F.lit(p).alias("path"),
+                                      F.array(*[F.col(c) for c in first.columns]).alias("header")))
+    if not parts:
+        return listing.withColumn("header", F.array().cast("array<string>"))
+    heads = parts[0]
+    for h in parts[1:]:
+        heads = heads.unionByName(h)
+    return (listing.join(heads, "path", "left")
+            .select("feed", "path", F.coalesce("header", F.array().cast("array<string>")).alias("header")))
 
 
 def classify_directory(spark: SparkSession, directory: str) -> DataFrame:
@@ -106,3 +112,12 @@ def count_records(spark: SparkSession, directory: str) -> DataFrame:
         return spark.createDataFrame([], "feed string, source_count long")
     df = spark.read.options(**CSV_OPTIONS).schema("c0 string").csv(paths)
     return df.groupBy(F.col("_metadata.file_name").alias("feed")).agg(F.count(F.lit(1)).alias("source_count"))
+
+
+def feed_counts(spark: SparkSession, directory: str, classified: DataFrame | None = None) -> DataFrame:
+    """CHK-1/CHK-2 input for a folder: every file with its layout (NULL when
+    unknown) and its record count (0 for an empty file) — one row per file."""
+    c = classified if classified is not None else classify_directory(spark, directory)
+    files = c.select("feed", F.when(F.col("version") != UNKNOWN, F.col("version")).alias("ver"))
+    return (files.join(count_records(spark, directory), "feed", "left")
+            .select("feed", "ver", F.coalesce("source_count", F.lit(0)).cast("long").alias("source_count")))

@@ -31,11 +31,12 @@ def test_read_classify_and_map(spark, tmp_dir):
            + "S100003,Cy,Xu\n"
            + "S100004,Di,C:\\\\path,DIST001-SCH003,ged,03/07/2021,Pending,,\n")
     _write(d, "b_unknown.csv", "foo,bar\n1,2\n")
+    _write(d, "d_empty.csv", "")
     _write(d, "c_v3_bom.csv", "stu_id,firstName,lastName,school_code,credential_category,issued_on,status_code,"
            "modified_timestamp\nstu100009,Ed,Ng,DIST002-SCH001,GED,2020-01-02,ACT,\n", bom=True)
     slots, classified = CSV.read_feeds(spark, d)
     versions = {r.feed: r.version for r in classified.collect()}
-    assert versions == {"a_v2.csv": "v2", "b_unknown.csv": "UNKNOWN", "c_v3_bom.csv": "v3"}
+    assert versions == {"a_v2.csv": "v2", "b_unknown.csv": "UNKNOWN", "c_v3_bom.csv": "v3", "d_empty.csv": "UNKNOWN"}
     tagged = N.tag(slots, "feed")
     rows = {r.source_student_id: r for r in tagged.collect()}
     assert rows["S100001"].first_name == 'Ann "Jo"' and rows["S100001"].preferred_name is None
@@ -73,3 +74,15 @@ def test_embedded_newline_with_multiline(spark, tmp_dir):
     slots, _ = CSV.read_feeds(spark, d, multi_line=True)
     rows = {r.source_student_id: r for r in N.tag(slots).collect()}
     assert len(rows) == 2 and rows["S100001"].first_name == "Ann\nMarie"
+
+
+def test_folder_row_counts_against_staging(spark, tmp_dir):
+    from feedrecon.operators import checks as C
+    d = _local(tmp_dir)
+    _write(d, "a_v2.csv", V2_HEADER + "S100001,A,B,S1,ged,01/05/2021,Active,N/A,\nS100002,A,B,,ged,01/05/2021,Active,N/A,\n")
+    _write(d, "z_empty.csv", "")
+    slots, classified = CSV.read_feeds(spark, d)
+    res = {r.check_name: r for r in C.reconcile_row_counts(CSV.feed_counts(spark, d, classified),
+                                                           N.normalise(slots)).collect()}
+    assert res["Row count: v2 (a_v2.csv)"].detail.startswith("source=2, staged=1, delta=-1 (50.00%")
+    assert res["Row count: z_empty.csv"].status == "FAIL"
