@@ -1,7 +1,7 @@
 """Benchmark the headline jobs at one data directory.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Each job runs once to warm up, then BENCH_RUNS times;
+BENCH_RUNS (default 3), BENCH_ONLY (comma-separated job names, default all). Each job runs once to warm up, then BENCH_RUNS times;
 the median is reported. Jobs are forced with the ``noop`` sink (the whole
 plan runs, nothing is collected to the driver); ingest jobs write real
 tables into fresh folders under the session's checkpoint folder each time.
@@ -68,8 +68,11 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="feedrecon-bench")
     S.loaded_target(spark, sf)   # the staging table the checks read (timed separately as full_load)
+    only = {x for x in os.environ.get("BENCH_ONLY", "").split(",") if x}
     times = {}
     for name, fn in jobs(spark, sf).items():
+        if only and name not in only:
+            continue
         fn()
         samples = []
         for _ in range(runs):

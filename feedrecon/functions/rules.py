@@ -32,17 +32,15 @@ STATUS_WORDS = {
 UNKNOWN_STATUS = "UNKNOWN"
 # Optional-text values treated as missing (compared after trim + lower-case).
 MISSING_WORDS = ("", "n/a", "null", "unknown", "none", "na")
-# Accepted issue-date formats, in the legacy order, as (shape, Spark pattern).
-# Shapes reproduce the legacy parser's field widths: 4-digit year, 1-2 digit
-# month/day/time fields, 3-letter month name (any case), literal T/Z (any case).
-DATE_FORMATS = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}[Zz]$", "yyyy-M-d'T'H:m:s'Z'"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
-    (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
-    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$", "d-MMM-yyyy"),
-)
+# Accepted issue-date formats (legacy order): ISO date-time with Z, ISO
+# date-time, ISO date, month/day/year, month-day-year, day-Mon-year. Field
+# widths as the legacy parser reads them: 4-digit year, 1-2 digit month, day,
+# hour (0-23), minute and second (0-59); literal T/Z and month names in any case.
+_TIME = r"(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]"
+ISO_DATE_SHAPE = rf"^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}(?:[Tt]{_TIME}[Zz]?)?$"
+MDY_SHAPE = r"^[0-9]{1,2}([/-])[0-9]{1,2}\1[0-9]{4}$"
+DMONY_SHAPE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
+MONTH_ABBREVIATIONS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 # Update-time text accepted by the lenient watermark parser after its clean-up
 # (drop every Z, T -> blank, cut at the first dot): ISO date, optionally with
 # hour, minute, second.
@@ -71,25 +69,22 @@ def blank_to_empty(c: Column | str) -> Column:
 
 
 def parse_issue_date(c: Column | str) -> Column:
-    """Trimmed text -> DATE using the format whose shape fits the whole value;
-    NULL when none fits or the date is invalid (30 Feb, year 0). The shapes
-    are mutually exclusive, so cheap character tests first pick the family
-    (4-digit-year-first, slash, other) and only that family's full-shape
-    regexes run."""
+    """Trimmed text -> DATE if it has one of the six accepted shapes and is a
+    real date (not 30 Feb, not year 0); else NULL. The shapes are mutually
+    exclusive; once a shape is validated its parts are rearranged to
+    ``y-m-d`` and converted with the plain string-to-date cast (no
+    per-row formatter)."""
     t = strip_ws(c)
-
-    def chain(items):
-        out = None
-        for shape, pattern in items:
-            branch = F.try_to_date(t, pattern)
-            out = F.when(t.rlike(shape), branch) if out is None else out.when(t.rlike(shape), branch)
-        return out
-
-    iso, slash, rest = DATE_FORMATS[:3], DATE_FORMATS[3:4], DATE_FORMATS[4:]
-    parsed = (F.when(F.substring(t, 5, 1) == "-", chain(iso[::-1]))
-              .when(F.instr(t, "/") > 0, chain(slash))
-              .otherwise(chain(rest)))
-    return F.when(F.year(parsed) >= 1, parsed)
+    parts = F.split(t, "[-/]")
+    months = F.create_map(*[F.lit(x) for i, m in enumerate(MONTH_ABBREVIATIONS) for x in (m, str(i + 1))])
+    ymd = (F.when(t.rlike(ISO_DATE_SHAPE), F.substring_index(F.translate(t, "t", "T"), "T", 1))
+           .when(t.rlike(MDY_SHAPE), F.concat_ws("-", F.element_at(parts, 3), F.element_at(parts, 1),
+                                                 F.element_at(parts, 2)))
+           .when(t.rlike(DMONY_SHAPE), F.concat_ws("-", F.element_at(parts, 3),
+                                                   F.try_element_at(months, F.lower(F.element_at(parts, 2))),
+                                                   F.element_at(parts, 1))))
+    d = ymd.try_cast("date")
+    return F.when(F.year(d) >= 1, d)
 
 
 def normalise_status(c: Column | str) -> Column:

@@ -24,9 +24,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # test-scale inputs are a few MB: a small open cost lets each file be
-        # its own split so all local cores get work (cluster defaults stay).
-        .config("spark.sql.files.openCostInBytes", str(128 * 1024))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FEEDRECON_DRIVER_MEMORY", "16g"))
