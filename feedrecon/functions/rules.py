@@ -77,12 +77,14 @@ def parse_issue_date(c: Column | str) -> Column:
     t = strip_ws(c)
     parts = F.split(t, "[-/]")
     months = F.create_map(*[F.lit(x) for i, m in enumerate(MONTH_ABBREVIATIONS) for x in (m, str(i + 1))])
+    def ymd_of(y: Column, m: Column, d: Column) -> Column:   # NULL if any part is NULL (unknown month)
+        return F.concat(y, F.lit("-"), m, F.lit("-"), d)
+
     ymd = (F.when(t.rlike(ISO_DATE_SHAPE), F.substring_index(F.translate(t, "t", "T"), "T", 1))
-           .when(t.rlike(MDY_SHAPE), F.concat_ws("-", F.element_at(parts, 3), F.element_at(parts, 1),
-                                                 F.element_at(parts, 2)))
-           .when(t.rlike(DMONY_SHAPE), F.concat_ws("-", F.element_at(parts, 3),
-                                                   F.try_element_at(months, F.lower(F.element_at(parts, 2))),
-                                                   F.element_at(parts, 1))))
+           .when(t.rlike(MDY_SHAPE), ymd_of(F.element_at(parts, 3), F.element_at(parts, 1), F.element_at(parts, 2)))
+           .when(t.rlike(DMONY_SHAPE), ymd_of(F.element_at(parts, 3),
+                                              F.try_element_at(months, F.lower(F.element_at(parts, 2))),
+                                              F.element_at(parts, 1))))
     d = ymd.try_cast("date")
     return F.when(F.year(d) >= 1, d)
 
