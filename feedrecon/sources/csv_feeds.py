@@ -3,9 +3,10 @@
 * Listing comes from a file index (``binaryFile`` source, ``inputFiles``: no
   file content is read; Spark parallelises the listing of large folders),
   name-sorted.
-* A header is the first CSV record of a file, read with a one-row limit per
-  file (each task stops after one line). Headers are bound by position, so
-  duplicate or case-colliding names never clash.
+* A header is the first CSV record of a file; all headers are read in one
+  job (one row per file, each task reads a few KB of its files through the
+  Arrow file system). Headers are bound by position, so duplicate or
+  case-colliding names never clash.
 * Each layout's files are read with an all-string schema built from their
   header (``enforceSchema``), cells kept as text (``""`` escapes honoured),
   then bound onto the canonical slots. Files sharing a header are read as one
@@ -40,23 +41,54 @@ def list_feeds(spark: SparkSession, directory: str) -> list[str]:
     return sorted(paths, key=posixpath.basename)
 
 
+HEADER_CHUNK = 64 * 1024
+
+
+def _open_uri(path: str):
+    """(filesystem, path) for a Hadoop-style URI as Spark lists it."""
+    from pyarrow import fs
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    elif path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)
+
+
+def first_record(path: str) -> list[str]:
+    """The first CSV record of a file (quotes and doubled quotes honoured, a
+    byte-order mark dropped), reading only as many bytes as it needs."""
+    import csv
+    import io
+    filesystem, p = _open_uri(path)
+    data = b""
+    with filesystem.open_input_stream(p) as f:
+        while True:
+            chunk = f.read(HEADER_CHUNK)
+            data += chunk
+            text = data.decode("utf-8-sig", errors="replace")
+            rows = csv.reader(io.StringIO(text, newline=""))
+            row = next(rows, [])
+            # complete once the file ended or a second record has started
+            if len(chunk) < HEADER_CHUNK or next(rows, None) is not None:
+                return row
+
+
+def _headers_batch(batches):
+    import pandas as pd
+    for pdf in batches:
+        yield pd.DataFrame({"feed": pdf["feed"], "path": pdf["path"],
+                            "header": [first_record(p) for p in pdf["path"]]})
+
+
 def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """SRC-2: ``feed, path, header`` (array of names, in file order) for every
-    listed file; an empty file has an empty header (it classifies as UNKNOWN)."""
+    listed file, in **one** job: the path list (one row per file) is spread
+    over the cluster and each task reads the first record of its files
+    (a few KB each). An empty file has an empty header (UNKNOWN)."""
     listing = spark.createDataFrame([(posixpath.basename(p), p) for p in paths], "feed string, path string")
-    parts = []
-    for p in paths:
-        first = spark.read.options(header="false", quote='"', escape='"', encoding="UTF-8").csv(p).limit(1)
-        if first.columns:
-            parts.append(first.select(F.lit(p).alias("path"),
-                                      F.array(*[F.col(c) for c in first.columns]).alias("header")))
-    if not parts:
-        return listing.withColumn("header", F.array().cast("array<string>"))
-    heads = parts[0]
-    for h in parts[1:]:
-        heads = heads.unionByName(h)
-    return (listing.join(heads, "path", "left")
-            .select("feed", "path", F.coalesce("header", F.array().cast("array<string>")).alias("header")))
+    return listing.mapInPandas(_headers_batch, "feed string, path string, header array<string>")
 
 
 def classify_directory(spark: SparkSession, directory: str) -> DataFrame:
