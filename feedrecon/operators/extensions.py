@@ -3,9 +3,9 @@
 * DOC-1 ``orphan_schools``: staged school ids missing from a school dimension.
 * DOC-2 ``cross_version_dates``: students in several layouts whose issue
   dates disagree (same single aggregation per student as J8/J9).
-* DOC-3 ``dedupe_exact``: keep one row per exact-duplicate key. A hash
-  aggregate picking the smallest row per key (``min`` of a struct) combines
-  map-side, so a key holding a third of all rows is reduced in every task
+* DOC-3 ``dedupe_exact``: keep one row per exact-duplicate key. An aggregate
+  picking the smallest row per key (``min`` of a struct) has a map-side
+  partial step, so a key holding a third of all rows is reduced in every task
   before the shuffle, unlike a window that sorts the whole key in one task.
 * DOC-4 ``row_counts_total``: per-layout counts with a TOTAL line (rollup).
 """
