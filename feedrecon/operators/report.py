@@ -104,3 +104,16 @@ def save_report(lines: DataFrame, path: str) -> None:
     """SNK-7: write the rendered report as one UTF-8 text file (tens of lines,
     so a single output partition is right)."""
     lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
+def suite_run_id(ts) -> str:
+    """SCL-13: the suite's run id, ``sim_run_<UTC yyyymmdd_hhmmss>`` (a parameter, never read from a clock here)."""
+    return f"sim_run_{ts:%Y%m%d_%H%M%S}"
+
+
+def publish_if_passed(results: DataFrame, staging: DataFrame, path: str) -> str:
+    """DOC-5: load the next layer only when the gate is open. The gate is a
+    one-row aggregate; on FAIL nothing is written and ``GateFailed`` is raised."""
+    status = assert_gate(results)
+    staging.write.mode("overwrite").parquet(path)
+    return status

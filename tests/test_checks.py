@@ -72,3 +72,16 @@ def test_gate(spark):
         RP.assert_gate(results)
     lines = [r.line for r in RP.render(results, "run-1", "2024-01-01 00:00:00 UTC").orderBy("line_no").collect()]
     assert lines[2].endswith("RECONCILIATION REPORT") and lines[-4].startswith("  Passed")
+
+
+def test_publish_only_when_gate_open(spark, tmp_dir):
+    import datetime as _d
+    stg = _stg(spark, ROWS[:1])
+    feeds_ok = spark.createDataFrame([("f.csv", "v1", 1)], "feed string, ver string, source_count long")
+    ok = RP.build_results(feeds_ok, stg)
+    assert RP.publish_if_passed(ok, stg, f"{tmp_dir}/gold") == "PASS"
+    assert spark.read.parquet(f"{tmp_dir}/gold").count() == 1
+    bad = RP.build_results(spark.createDataFrame([("f.csv", "v1", 5)], "feed string, ver string, source_count long"), stg)
+    with pytest.raises(RP.GateFailed):
+        RP.publish_if_passed(bad, stg, f"{tmp_dir}/gold2")
+    assert RP.suite_run_id(_d.datetime(2024, 1, 2, 3, 4, 5)) == "sim_run_20240102_030405"
