@@ -1,11 +1,12 @@
 """J3 — incremental ingest: watermark filter → map → stage → advance.
 
 One plan for all delivered feeds (slot form, ``feed`` + ``ver`` per record):
-the watermarks (≤ one row per layout) are broadcast into the feed scan; only
-the extracted delta is tagged and persisted, for its consumers (staging write,
-quarantine write, mapping totals); file totals come from a narrow second scan
-(feed, layout, update time). The control log is appended last, only after the
-staging write succeeded. Staging is partitioned by
+the watermarks (≤ one row per layout) are broadcast into the feed scan, the
+source is scanned **once**, every record is flagged ``extracted`` or not and
+only extracted records go through the mapping rules; that frame is persisted
+(a skipped record keeps just its feed name, layout and flag) and feeds the
+staging write, the quarantine write and the per-feed summary. The control
+log is appended last, only after the staging write succeeded. Staging is partitioned by
 ``run_id, source_schema_version`` and written with dynamic partition
 overwrite, so re-running a run (after an executor loss or a driver retry)
 replaces exactly that run's partitions and never duplicates rows.
@@ -116,22 +117,35 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
 
     Order: (full reload: reset events, staging overwritten) → watermarks read
     once, from the events before this run (P5: a second feed of a layout sees
-    the same watermark; a re-executed run sees what its first attempt saw) → extract +
-    tag (persisted delta) → write staging, quarantine, summary → append the
-    advance events last."""
+    the same watermark; a re-executed run sees what its first attempt saw) → one
+    scan: flag + map the extracted records (persisted) → write staging,
+    quarantine, summary → append the advance events last."""
     if full_reload:
         CT.reset(spark, target.control, run_ts, run_id)
     marks = CT.watermarks(CT.current_state(CT.as_seen_by(CT.read_log(spark, target.control), run_id, run_ts)))
-    tagged = N.tag(incremental_extract(feed_df, marks), "feed", run_ts=run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    # One scan: every record gets its ``extracted`` flag; the mapping rules run
+    # only for extracted records. Persisted once, the frame feeds the staging
+    # write, the quarantine write and the per-feed summary; a skipped record
+    # costs only its feed name, layout and flag in the cache.
+    flagged = feed_df.join(F.broadcast(marks), "ver", "left").withColumn("extracted", _extracted()).drop("watermark")
+    tagged = (N.tag(flagged, "feed", "extracted", run_ts=run_ts, only_when=F.col("extracted"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        staged = N.accepted(tagged).select(*N.STAGING).withColumn("run_id", F.lit(run_id))
+        delta = tagged.where("extracted")
+        staged = N.accepted(delta).drop("feed", "extracted").withColumn("run_id", F.lit(run_id))
         mode = "static" if full_reload else "dynamic"
         (staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy("run_id", "source_schema_version").parquet(target.staging))
-        (N.quarantined(tagged).withColumn("run_id", F.lit(run_id))
+        (N.quarantined(delta).drop("extracted").withColumn("run_id", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.quarantine))
-        summary = run_summary(feed_totals(feed_df, marks), mapping_totals(tagged)).withColumn("run_id", F.lit(run_id))
+        ok = F.col("extracted") & (F.size("reasons") == 0)
+        bad = F.col("extracted") & (F.size("reasons") > 0)
+        summary = (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
+                   .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
+                        F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"))
+                   .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows"))
+                   .withColumn("run_id", F.lit(run_id)))
         (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.summaries))
     finally:

@@ -44,9 +44,13 @@ def bind_layout(df: DataFrame, lay: Layout, *keep: str) -> DataFrame:
     return df.select(*keep, F.lit(lay.version).alias("ver"), *[cell(s) for s in SLOTS])
 
 
-def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None) -> DataFrame:
+def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
+        only_when: Column | None = None) -> DataFrame:
     """Canonical columns plus ``reasons`` (array of broken rules, empty when the
-    row is accepted). ``keep`` names pass-through columns (lineage, feed)."""
+    row is accepted). ``keep`` names pass-through columns (lineage, feed).
+    With ``only_when`` the rules run only for rows meeting it (the others get
+    NULL canonical columns and NULL ``reasons``; ``source_schema_version`` is
+    always set)."""
     ver = F.col("ver")
     full_first, full_last = R.split_full_name("raw_full_name")
     is_full = ver.isin(*FULL_NAME_VERSIONS)
@@ -60,22 +64,26 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None) -> D
                              F.when(R.is_missing_text(raw_school), F.lit(REASONS[1])),
                              F.when(issue.isNull(), F.lit(REASONS[2])))
     reasons = F.when(reason_txt == "", F.array().cast("array<string>")).otherwise(F.split(reason_txt, ","))
-    cols = [
-        R.normalise_student_id(raw_id).alias("student_id"),
-        F.when(is_full, full_first).otherwise(R.strip_ws(R.blank_to_empty("raw_first_name"))).alias("first_name"),
-        F.when(is_full, full_last).otherwise(R.strip_ws(R.blank_to_empty("raw_last_name"))).alias("last_name"),
-        F.when(ver.isin(*PREFERRED_VERSIONS), R.clean_optional(R.blank_to_empty("raw_preferred")))
-         .otherwise(F.lit(None).cast("string")).alias("preferred_name"),
-        R.strip_ws(R.blank_to_empty(raw_school)).alias("school_id"),
-        R.normalise_code("raw_type").alias("credential_type"),
-        issue.alias("issue_date"),
-        R.normalise_status("raw_status").alias("status"),
-        ver.alias("source_schema_version"),
-        R.strip_ws(R.blank_to_empty(raw_id)).alias("source_student_id"),
-    ]
+    exprs = {
+        "student_id": R.normalise_student_id(raw_id),
+        "first_name": F.when(is_full, full_first).otherwise(R.strip_ws(R.blank_to_empty("raw_first_name"))),
+        "last_name": F.when(is_full, full_last).otherwise(R.strip_ws(R.blank_to_empty("raw_last_name"))),
+        "preferred_name": F.when(ver.isin(*PREFERRED_VERSIONS), R.clean_optional(R.blank_to_empty("raw_preferred")))
+                           .otherwise(F.lit(None).cast("string")),
+        "school_id": R.strip_ws(R.blank_to_empty(raw_school)),
+        "credential_type": R.normalise_code("raw_type"),
+        "issue_date": issue,
+        "status": R.normalise_status("raw_status"),
+        "source_schema_version": ver,
+        "source_student_id": R.strip_ws(R.blank_to_empty(raw_id)),
+    }
     if run_ts is not None:
-        cols.append(R.ntz(run_ts).alias("staged_at"))
-    return slot_df.select(*keep, *cols, reasons.alias("reasons"))
+        exprs["staged_at"] = R.ntz(run_ts)
+    exprs["reasons"] = reasons
+    always = {"source_schema_version"}
+    return slot_df.select(*keep, *[
+        (e if only_when is None or name in always else F.when(only_when, e)).alias(name)
+        for name, e in exprs.items()])
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
