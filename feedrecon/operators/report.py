@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.operators import checks as C
+from feedrecon.session import work_root
 
 REPORT_WIDTH = 74
 TITLE = "MIGRATION — RECONCILIATION REPORT"
@@ -27,6 +28,7 @@ def build_results(feed_counts: DataFrame, staging: DataFrame, tolerance_pct: flo
     the session's checkpoint folder (one row per student, five columns)."""
     profile = C.student_profile(staging)
     if materialize_profile:
+        work_root(staging.sparkSession)      # the shared checkpoint folder (made only for local sessions)
         profile = profile.checkpoint(eager=True)
     return (C.reconcile_row_counts(feed_counts, staging, tolerance_pct)
             .unionByName(C.null_assertions(staging))
