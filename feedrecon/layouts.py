@@ -167,7 +167,3 @@ def fingerprints_df(spark: SparkSession) -> DataFrame:
         for i, c in enumerate(l.fingerprint)
     ]
     return spark.createDataFrame(rows, "version string, column string, flag int, fp_size int, position int")
-
-
-def updated_at_columns() -> dict[str, str]:
-    return {v: l.updated_at for v, l in LAYOUTS.items()}

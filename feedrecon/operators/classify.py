@@ -66,10 +66,11 @@ def classify_long(long_df: DataFrame) -> DataFrame:
 
 
 def unknown_feeds(classified: DataFrame, header_col: str = "header") -> DataFrame:
-    """CLS-3: feeds no layout fits, with their columns sorted (the detail the
-    legacy error message lists)."""
+    """CLS-3: feeds no layout fits, with their columns sorted and the legacy
+    error text (sorted columns and every fingerprint)."""
+    sorted_cols = F.array_join(F.array_sort(F.col(header_col)), ",")
     return (classified.where(F.col("version") == UNKNOWN)
-            .select("feed", F.array_join(F.array_sort(F.col(header_col)), ",").alias("sorted_columns")))
+            .select("feed", sorted_cols.alias("sorted_columns"), unknown_message(sorted_cols).alias("message")))
 
 
 def unknown_message(sorted_columns: Column) -> Column:

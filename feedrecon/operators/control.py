@@ -29,8 +29,6 @@ EPOCH = _dt.datetime(2000, 1, 1)
 LOG_SCHEMA = ("schema_version string, event string, last_processed_at timestamp_ntz, "
               "last_run_row_count long, last_run_timestamp timestamp_ntz, logged_at timestamp_ntz, "
               "step int, run_id string")
-STATE_SCHEMA = ("schema_version string, last_processed_at timestamp_ntz, last_run_row_count long, "
-                "last_run_timestamp timestamp_ntz, created_at timestamp_ntz")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

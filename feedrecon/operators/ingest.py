@@ -61,36 +61,23 @@ def incremental_extract(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
     return j.where(_extracted()).drop("watermark")
 
 
-def feed_totals(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
-    """Per delivered feed: ``feed, ver, total_rows, extracted_rows``. Reads only
-    the feed, layout and update-time columns (a narrow, pruned scan) and
-    aggregates map-side; the key space is the number of files."""
-    j = feed_df.select("feed", "ver", "raw_updated_at").join(F.broadcast(marks), "ver", "left")
-    return j.groupBy("feed", "ver").agg(F.count(F.lit(1)).alias("total_rows"),
-                                        F.count_if(_extracted()).alias("extracted_rows"))
-
-
-def mapping_totals(tagged_extract: DataFrame) -> DataFrame:
-    """Per delivered feed: ``feed, ver, mapped_rows, mapping_errors``."""
-    ok = F.size("reasons") == 0
-    return tagged_extract.groupBy("feed", F.col("source_schema_version").alias("ver")).agg(
-        F.count_if(ok).alias("mapped_rows"), F.count_if(~ok).alias("mapping_errors"))
-
-
-def run_summary(totals: DataFrame, mapping: DataFrame) -> DataFrame:
-    """AGG-11: per feed — total, extracted, mapped, mapping errors, skipped
-    (= total − extracted). Both sides have one row per feed."""
-    j = totals.join(mapping, ["feed", "ver"], "left")
-    return j.select(F.col("ver").alias("schema_version"), F.col("feed").alias("file"), "total_rows",
-                    "extracted_rows", F.coalesce("mapped_rows", F.lit(0)).alias("mapped_rows"),
-                    F.coalesce("mapping_errors", F.lit(0)).alias("mapping_errors"),
-                    (F.col("total_rows") - F.col("extracted_rows")).alias("skipped_rows"))
-
-
-def summarise(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
-    """Run summary of a delivery against given watermarks, without writing."""
-    return run_summary(feed_totals(feed_df, marks),
-                       mapping_totals(N.tag(incremental_extract(feed_df, marks), "feed")))
+def summary_of(tagged: DataFrame) -> DataFrame:
+    """AGG-11: per delivered file — total, extracted, mapped, mapping errors,
+    skipped (= total − extracted), from the flagged and tagged records of a run.
+    Map-side partial aggregation; the key space is the number of files."""
+    ok = F.col("extracted") & (F.size("reasons") == 0)
+    bad = F.col("extracted") & (F.size("reasons") > 0)
+    return (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
+            .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
+                 F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"))
+            .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows")))
+
+
+def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
+    """Every record with its ``extracted`` flag (FLT-1 against the broadcast
+    watermarks); the mapping rules run only for extracted records."""
+    flagged = feed_df.join(F.broadcast(marks), "ver", "left").withColumn("extracted", _extracted()).drop("watermark")
+    return N.tag(flagged, "feed", "extracted", run_ts=run_ts, only_when=F.col("extracted"))
 
 
 def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFrame:
@@ -127,9 +114,7 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     # only for extracted records. Persisted once, the frame feeds the staging
     # write, the quarantine write and the per-feed summary; a skipped record
     # costs only its feed name, layout and flag in the cache.
-    flagged = feed_df.join(F.broadcast(marks), "ver", "left").withColumn("extracted", _extracted()).drop("watermark")
-    tagged = (N.tag(flagged, "feed", "extracted", run_ts=run_ts, only_when=F.col("extracted"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = flag_and_tag(feed_df, marks, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         delta = tagged.where("extracted")
         staged = N.accepted(delta).drop("feed", "extracted").withColumn("run_id", F.lit(run_id))
@@ -139,13 +124,7 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
         (N.quarantined(delta).drop("extracted").withColumn("run_id", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.quarantine))
-        ok = F.col("extracted") & (F.size("reasons") == 0)
-        bad = F.col("extracted") & (F.size("reasons") > 0)
-        summary = (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
-                   .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
-                        F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"))
-                   .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows"))
-                   .withColumn("run_id", F.lit(run_id)))
+        summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))
         (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.summaries))
     finally:

@@ -34,7 +34,8 @@ def build_results(feed_counts: DataFrame, staging: DataFrame, tolerance_pct: flo
             .unionByName(C.null_assertions(staging))
             .unionByName(C.referential_integrity(staging))
             .unionByName(C.duplicate_detection(staging, profile))
-            .unionByName(C.check_cross_version(profile)))
+            .unionByName(C.check_cross_version(profile))
+            .select(*C.RESULT_COLUMNS))
 
 
 def overall(results: DataFrame) -> DataFrame:

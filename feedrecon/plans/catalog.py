@@ -65,14 +65,14 @@ def normalise_all(spark, sf_dir):
     return S.staged_rows(spark, sf_dir)
 
 
-def _tagged(spark, sf_dir) -> DataFrame:
-    return N.tag(S.feeds(spark, sf_dir), "k", "copy_no", *N_RAW)
-
-
 N_RAW = ("raw_full_name", "raw_first_name", "raw_last_name", "raw_issue_date", "raw_status", "raw_type",
          "raw_preferred")
 
 
+def _tagged(spark, sf_dir) -> DataFrame:
+    return N.tag(S.feeds(spark, sf_dir), "k", "copy_no", *N_RAW)
+
+
 @query("normalise_names")
 def normalise_names(spark, sf_dir):
     return _tagged(spark, sf_dir).select("k", "copy_no", "source_schema_version", "first_name", "last_name")
@@ -255,7 +255,7 @@ def feed_classify_long(spark, sf_dir):
 
 @query("feed_unknown")
 def feed_unknown(spark, sf_dir):
-    return CL.unknown_feeds(CL.classify_headers(header_manifest(spark, sf_dir)))
+    return CL.unknown_feeds(CL.classify_headers(header_manifest(spark, sf_dir))).select("feed", "sorted_columns")
 
 
 @query("feed_manifest")
