@@ -53,3 +53,36 @@ def test_long_form_agrees_with_array_form(spark, sf_small):
 def test_array_form_has_no_shuffle(spark, sf_small):
     from tests.plan_utils import plan_text
     assert "Exchange" not in plan_text(REGISTRY["feed_classify"](spark, sf_small))
+
+
+def _py_detect(header):
+    cols = set(header)
+    matches = [v for v, l in LAYOUTS.items() if set(l.fingerprint) <= cols]
+    if not matches:
+        return UNKNOWN
+    best = matches[0]
+    for v in matches[1:]:
+        if len(LAYOUTS[v].fingerprint) > len(LAYOUTS[best].fingerprint):
+            best = v
+    return best
+
+
+def test_random_headers_agree_with_brute_force(spark):
+    import random
+    rng = random.Random(11)
+    pool = sorted({c for l in LAYOUTS.values() for c in l.columns}) + ["extra", "ID", "Status", "notes"]
+    heads = []
+    for _ in range(2000):
+        base = list(rng.choice(list(LAYOUTS.values())).columns) if rng.random() < 0.6 else []
+        base = [c for c in base if rng.random() > 0.08]
+        base += rng.sample(pool, rng.randint(0, 12))
+        rng.shuffle(base)
+        heads.append(base)
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(heads)], "feed int, header array<string>")
+    got = {r.feed: r.version for r in classify_headers(df).collect()}
+    long_got = {r.feed: r.version for r in
+                classify_long(df.select("feed", F.explode("header").alias("column"))).collect()}
+    for i, h in enumerate(heads):
+        assert got[i] == _py_detect(h), (h, got[i])
+        if h:
+            assert long_got[i] == got[i], h
