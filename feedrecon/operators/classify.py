@@ -4,8 +4,8 @@ A layout matches when its fingerprint is a subset of the header (case
 sensitive, order free, extra columns allowed); among several matches the
 larger fingerprint wins, ties go to registry order; no match is UNKNOWN.
 
-``classify_headers`` works on one row per feed (``feed, header`` array): eight
-``array_except`` tests per row, no shuffle, no join. ``classify_long`` does
+``classify_headers`` works on one row per feed (``feed, header`` array): one
+``array_contains`` per fingerprint column per row, no shuffle, no join. ``classify_long`` does
 the same on long-form input (``feed, column``) as a relational division
 against the broadcast fingerprint table (54 fixed rows): one bit mask per
 layout is OR-ed per feed in a single hash aggregate (one exchange), so
@@ -22,12 +22,17 @@ from feedrecon.layouts import LAYOUTS, detection_order, fingerprints_df
 UNKNOWN = "UNKNOWN"
 
 
-def _fp(version: str) -> Column:
-    return F.array(*[F.lit(c) for c in LAYOUTS[version].fingerprint])
-
-
 def match_flags(header: Column) -> dict[str, Column]:
-    return {v: F.size(F.array_except(_fp(v), header)) == 0 for v in LAYOUTS}
+    """Per layout: every fingerprint column is in the header. One
+    ``array_contains`` per distinct fingerprint column, shared by layouts."""
+    has = {c: F.array_contains(header, c) for l in LAYOUTS.values() for c in l.fingerprint}
+    out = {}
+    for v, l in LAYOUTS.items():
+        cond = has[l.fingerprint[0]]
+        for c in l.fingerprint[1:]:
+            cond = cond & has[c]
+        out[v] = F.coalesce(cond, F.lit(False))
+    return out
 
 
 def classify_headers(headers: DataFrame, header_col: str = "header") -> DataFrame:
