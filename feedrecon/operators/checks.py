@@ -160,45 +160,54 @@ def reconcile_row_counts(feed_counts: DataFrame, staging: DataFrame,
 
 
 # ----------------------------------------------------------------------------- J5
+def _missing_sql(c: str) -> str:
+    return f"(`{c}` IS NULL OR CAST(`{c}` AS STRING) = '')"
+
+
+def _lit_sql(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _null_counts(df: DataFrame, columns) -> DataFrame:
+    """One global aggregate: ``total`` and ``n<i>`` = NULL-or-empty count of column i."""
+    return df.agg(F.expr("count(1) AS total"),
+                  *[F.expr(f"count_if({_missing_sql(c)}) AS n{i}") for i, c in enumerate(columns)])
+
+
 def null_profile(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     """AGG-3 in one pass: ``column, total, null_count, null_pct`` per column
     (NULL-or-empty counted), from a single global aggregate unpivoted to rows."""
-    aggs = [F.count(F.lit(1)).alias("total")] + [
-        F.count_if(R.is_missing_text(F.col(c).cast("string"))).alias(f"n{i}") for i, c in enumerate(columns)]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("pos"), F.lit(c).alias("column"), F.col(f"n{i}").alias("null_count"))
-        for i, c in enumerate(columns)]))
-    return (one.select("total", rows.alias("r"))
-            .select(F.col("r.pos").alias("pos"), F.col("r.column").alias("column"), "total",
-                    F.col("r.null_count").alias("null_count"))
-            .withColumn("null_pct", pct(F.col("null_count"), F.col("total"))))
+    rows = "explode(array(" + ", ".join(
+        f"named_struct('pos', {i + 1}, 'column', {_lit_sql(c)}, 'null_count', n{i})" for i, c in enumerate(columns)) + ")) AS r"
+    return (_null_counts(df, columns).selectExpr("total", rows)
+            .selectExpr("r.pos AS pos", "r.column AS column", "total", "r.null_count AS null_count",
+                        "CASE WHEN total > 0 THEN r.null_count / total * 100 ELSE 0.0D END AS null_pct"))
 
 
 def null_assertions(staging: DataFrame, thresholds=NULL_THRESHOLDS) -> DataFrame:
     """CHK-3/CHK-4: one row per column against its threshold; a single FAIL
-    row when staging is empty. Everything comes from one aggregate."""
-    aggs = [F.count(F.lit(1)).alias("total")] + [
-        F.count_if(R.is_missing_text(F.col(c).cast("string"))).alias(f"n{i}") for i, (c, _, _) in enumerate(thresholds)]
-    one = staging.agg(*aggs)
-    total = F.col("total")
+    row when staging is empty. Everything comes from one aggregate; the
+    per-column rows are one SQL expression (built JVM-side in one call)."""
+    one = _null_counts(staging, [c for c, _, _ in thresholds])
+
+    def row(ordinal, seq, name, status, severity, detail, expected, actual):
+        return (f"named_struct('ordinal', {ordinal}, 'seq', {seq}, 'check_type', '{NULLS}', 'check_name', {name}, "
+                f"'status', {status}, 'severity', {severity}, 'detail', {detail}, 'expected', {expected}, "
+                f"'actual', {actual}, 'sample_values', CAST(array() AS ARRAY<STRING>))")
+
     per_col = []
     for i, (c, limit, severity) in enumerate(thresholds):
-        n = F.col(f"n{i}")
-        p = pct(n, total)
-        ok = p <= F.lit(float(limit))
+        p = f"(CASE WHEN total > 0 THEN n{i} / total * 100 ELSE 0.0D END)"
         lim = repr(float(limit))
-        detail = F.when(ok, F.concat(F.lit("null_count="), fmt_int(n), F.lit(", null_pct="), fmt_pct(p),
-                                     F.lit(f"% (threshold={lim}%)"))) \
-            .otherwise(F.concat(F.lit("null_count="), fmt_int(n), F.lit(", null_pct="), fmt_pct(p),
-                                F.lit(f"% EXCEEDS threshold={lim}%")))
-        per_col.append(F.struct(*_result(2, i + 1, NULLS, f"Null check: {c}",
-                                         F.when(ok, F.lit("PASS")).otherwise(F.lit(severity)), severity, detail,
-                                         F.lit(f"≤{lim}%"), F.concat(fmt_pct(p), F.lit("%")))))
-    empty = F.struct(*_result(2, 1, NULLS, "Null assertions: staging table", "FAIL", "FAIL",
-                              F.lit("Staging table is empty — no records to check")))
-    rows = F.when(total == 0, F.array(empty)).otherwise(F.array(*per_col))
-    return one.select(F.explode(rows).alias("r")).select("r.*")
+        ok = f"({p} <= {lim}D)"
+        detail = (f"concat('null_count=', format_number(n{i}, 0), ', null_pct=', format_number({p}, '0.00'), "
+                  f"CASE WHEN {ok} THEN '% (threshold={lim}%)' ELSE '% EXCEEDS threshold={lim}%' END)")
+        per_col.append(row(2, i + 1, _lit_sql(f"Null check: {c}"), f"CASE WHEN {ok} THEN 'PASS' ELSE '{severity}' END",
+                           f"'{severity}'", detail, _lit_sql(f"≤{lim}%"), f"concat(format_number({p}, '0.00'), '%')"))
+    empty = row(2, 1, "'Null assertions: staging table'", "'FAIL'", "'FAIL'",
+                "'Staging table is empty — no records to check'", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)")
+    rows = f"explode(CASE WHEN total = 0 THEN array({empty}) ELSE array({', '.join(per_col)}) END) AS r"
+    return one.selectExpr(rows).select("r.*")
 
 
 # ----------------------------------------------------------------------------- J6

@@ -5,7 +5,8 @@ sensitive, order free, extra columns allowed); among several matches the
 larger fingerprint wins, ties go to registry order; no match is UNKNOWN.
 
 ``classify_headers`` works on one row per feed (``feed, header`` array): one
-``array_contains`` per fingerprint column per row, no shuffle, no join. ``classify_long`` does
+``array_contains`` per fingerprint column per row, no shuffle, no join.
+The per-row decision is one SQL CASE expression. ``classify_long`` does
 the same on long-form input (``feed, column``) as a relational division
 against the broadcast fingerprint table (54 fixed rows): one bit mask per
 layout is OR-ed per feed in a single hash aggregate (one exchange), so
@@ -22,30 +23,27 @@ from feedrecon.layouts import LAYOUTS, detection_order, fingerprints_df
 UNKNOWN = "UNKNOWN"
 
 
-def match_flags(header: Column) -> dict[str, Column]:
-    """Per layout: every fingerprint column is in the header. One
-    ``array_contains`` per distinct fingerprint column, shared by layouts."""
-    has = {c: F.array_contains(header, c) for l in LAYOUTS.values() for c in l.fingerprint}
-    out = {}
-    for v, l in LAYOUTS.items():
-        cond = has[l.fingerprint[0]]
-        for c in l.fingerprint[1:]:
-            cond = cond & has[c]
-        out[v] = F.coalesce(cond, F.lit(False))
-    return out
+def _has_all_sql(header: str, cols) -> str:
+    return "(" + " AND ".join(f"coalesce(array_contains({header}, '{c}'), false)" for c in cols) + ")"
+
+
+def classify_sql(header: str = "header") -> tuple[str, str]:
+    """SQL for (winning layout or UNKNOWN, number of matching layouts) of a
+    header array column: every fingerprint column must be in the header
+    (``array_contains``); the CASE lists layouts larger-first, registry order
+    among equals, so its first hit is the winner."""
+    flags = {v: _has_all_sql(header, l.fingerprint) for v, l in LAYOUTS.items()}
+    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order())
+               + f" ELSE '{UNKNOWN}' END")
+    matches = "CAST(" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags.values()) + " AS BIGINT)"
+    return version, matches
 
 
 def classify_headers(headers: DataFrame, header_col: str = "header") -> DataFrame:
     """``feed, header`` → ``feed, header, version, matches`` (``matches`` = how
-    many layouts fit; ``version`` = winner or UNKNOWN)."""
-    h = F.col(header_col)
-    flags = match_flags(h)
-    chosen = None
-    for lay in detection_order():
-        cond = flags[lay.version]
-        chosen = F.when(cond, F.lit(lay.version)) if chosen is None else chosen.when(cond, F.lit(lay.version))
-    n = sum((F.when(c, 1).otherwise(0) for c in flags.values()), F.lit(0))
-    return headers.select("*", chosen.otherwise(F.lit(UNKNOWN)).alias("version"), n.cast("long").alias("matches"))
+    many layouts fit; ``version`` = winner or UNKNOWN). One projection."""
+    version, matches = classify_sql(f"`{header_col}`")
+    return headers.select("*", F.expr(version).alias("version"), F.expr(matches).alias("matches"))
 
 
 def classify_long(long_df: DataFrame) -> DataFrame:
@@ -58,16 +56,13 @@ def classify_long(long_df: DataFrame) -> DataFrame:
     fps = F.broadcast(fingerprints_df(long_df.sparkSession))
     hits = long_df.join(fps, "column", "left")
     masks = hits.groupBy("feed").agg(*[
-        F.coalesce(F.bit_or(F.when(F.col("version") == v, F.col("flag"))), F.lit(0)).alias(f"m_{v}")
-        for v in LAYOUTS])
+        F.expr(f"coalesce(bit_or(CASE WHEN version = '{v}' THEN flag END), 0) AS m_{v}") for v in LAYOUTS])
     full = {v: (1 << len(l.fingerprint)) - 1 for v, l in LAYOUTS.items()}
-    flags = {v: F.col(f"m_{v}") == full[v] for v in LAYOUTS}
-    chosen = None
-    for lay in detection_order():
-        cond = flags[lay.version]
-        chosen = F.when(cond, F.lit(lay.version)) if chosen is None else chosen.when(cond, F.lit(lay.version))
-    n = sum((F.when(c, 1).otherwise(0) for c in flags.values()), F.lit(0))
-    return masks.select("feed", chosen.otherwise(F.lit(UNKNOWN)).alias("version"), n.cast("long").alias("matches"))
+    flags = {v: f"(m_{v} = {full[v]})" for v in LAYOUTS}
+    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order())
+               + f" ELSE '{UNKNOWN}' END AS version")
+    matches = "CAST(" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags.values()) + " AS BIGINT) AS matches"
+    return masks.selectExpr("feed", version, matches)
 
 
 def unknown_feeds(classified: DataFrame, header_col: str = "header") -> DataFrame:
