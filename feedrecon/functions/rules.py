@@ -76,7 +76,7 @@ def parse_issue_date(c: Column | str) -> Column:
     per-row formatter)."""
     t = strip_ws(c)
     parts = F.split(t, "[-/]")
-    months = F.create_map(*[F.lit(x) for i, m in enumerate(MONTH_ABBREVIATIONS) for x in (m, str(i + 1))])
+    months = F.expr("map(" + ", ".join(f"'{m}', '{i + 1}'" for i, m in enumerate(MONTH_ABBREVIATIONS)) + ")")
     def ymd_of(y: Column, m: Column, d: Column) -> Column:   # NULL if any part is NULL (unknown month)
         return F.concat(y, F.lit("-"), m, F.lit("-"), d)
 
@@ -91,7 +91,7 @@ def parse_issue_date(c: Column | str) -> Column:
 
 def normalise_status(c: Column | str) -> Column:
     """Case-sensitive vocabulary lookup after trim; anything else is UNKNOWN."""
-    vocab = F.create_map(*[F.lit(x) for kv in STATUS_WORDS.items() for x in kv])
+    vocab = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in STATUS_WORDS.items()) + ")")
     return F.coalesce(F.try_element_at(vocab, strip_ws(blank_to_empty(c))), F.lit(UNKNOWN_STATUS))
 
 

@@ -52,45 +52,35 @@ ROW, NULLS, INTEGRITY, DUPLICATES, CONSISTENCY = (
 
 
 # ----------------------------------------------------------------------------- helpers
-def fmt_int(c: Column) -> Column:
-    """Integer with thousands separators (Python ``{:,}``)."""
-    return F.format_number(c.cast("long"), 0)
+def sql_int(x: str) -> str:
+    return f"format_number(CAST({x} AS BIGINT), 0)"
 
 
-def fmt_signed(c: Column) -> Column:
-    """Signed integer with thousands separators (Python ``{:+,}``)."""
-    return F.concat(F.when(c >= 0, F.lit("+")).otherwise(F.lit("")), fmt_int(c))
+def sql_signed(x: str) -> str:
+    return f"concat(CASE WHEN {x} >= 0 THEN '+' ELSE '' END, format_number(CAST({x} AS BIGINT), 0))"
 
 
-def fmt_pct(c: Column) -> Column:
-    """Two decimals, half-even on the binary value (Python ``{:.2f}``)."""
-    return F.call_function("format_number", c.cast("double"), F.lit("0.00"))
+def sql_pct(x: str) -> str:
+    return f"format_number(CAST({x} AS DOUBLE), '0.00')"
 
 
-def pct(part: Column, whole: Column) -> Column:
-    """part / whole * 100, or 0.0 when whole is 0."""
-    return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
+def sql_py_list(arr: str, n: int = 5) -> str:
+    """First n strings rendered like a Python list literal: ['a', 'b']."""
+    q = sql_str("'")
+    return f"concat('[', array_join(transform(slice({arr}, 1, {n}), x -> concat({q}, x, {q})), ', '), ']')"
 
 
-def py_list(arr: Column, n: int = 5) -> Column:
-    """First n strings rendered like a Python list literal: ['a', 'b']."""
-    quoted = F.transform(F.slice(arr, 1, n), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+def sql_str(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _result(ordinal: int, seq: Column | int, check_type: str, check_name: Column | str, status: Column | str,
-            severity: Column | str, detail: Column, expected: Column | None = None,
-            actual: Column | None = None, samples: Column | None = None) -> list[Column]:
-    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
-    none = F.lit(None).cast("string")
-    return [
-        F.lit(ordinal).alias("ordinal"), lit(seq).cast("int").alias("seq"),
-        F.lit(check_type).alias("check_type"), lit(check_name).alias("check_name"),
-        lit(status).alias("status"), lit(severity).alias("severity"), detail.alias("detail"),
-        (expected if expected is not None else none).alias("expected"),
-        (actual if actual is not None else none).alias("actual"),
-        (samples if samples is not None else F.array().cast("array<string>")).alias("sample_values"),
-    ]
+def result_sql(ordinal: int, seq: int, check_type: str, check_name: str, status: str, severity: str,
+               detail: str, expected: str = "CAST(NULL AS STRING)", actual: str = "CAST(NULL AS STRING)",
+               samples: str = "CAST(array() AS ARRAY<STRING>)") -> list[str]:
+    """The common result columns as SQL expressions (one ``selectExpr``)."""
+    return [f"{ordinal} AS ordinal", f"{seq} AS seq", f"{sql_str(check_type)} AS check_type",
+            f"{check_name} AS check_name", f"{status} AS status", f"{severity} AS severity", f"{detail} AS detail",
+            f"{expected} AS expected", f"{actual} AS actual", f"{samples} AS sample_values"]
 
 
 def with_samples(stats: DataFrame, offenders: DataFrame, value: str, *order: str) -> DataFrame:
@@ -133,30 +123,21 @@ def reconcile_row_counts(feed_counts: DataFrame, staging: DataFrame,
     staged = (staging.groupBy("source_schema_version").agg(F.count(F.lit(1)).alias("staged_count"))
               .withColumnRenamed("source_schema_version", "ver"))
     j = feed_counts.join(staged, "ver", "left").withColumn("staged_count", F.coalesce("staged_count", F.lit(0)))
-    src, stg = F.col("source_count"), F.col("staged_count")
-    delta = stg - src
-    delta_pct = F.when(src > 0, F.abs(delta / src * 100)).otherwise(F.lit(0.0))
-    tol = F.lit(float(tolerance_pct))
-    tol_txt = F.lit(repr(float(tolerance_pct)))
-    head = F.concat(F.lit("source="), fmt_int(src), F.lit(", staged="), fmt_int(stg), F.lit(", delta="))
-    status = (F.when(delta == 0, F.lit("PASS")).when(delta_pct <= tol, F.lit("WARNING")).otherwise(F.lit("FAIL")))
-    detail = (F.when(delta == 0, F.concat(head, F.lit("0")))
-              .otherwise(F.concat(head, fmt_signed(delta), F.lit(" ("), fmt_pct(delta_pct), F.lit("% — "),
-                                  F.when(delta_pct <= tol, F.lit("within ")).otherwise(F.lit("exceeds ")),
-                                  tol_txt, F.lit("% tolerance)"))))
-    known = F.col("ver").isNotNull()
+    tol, tol_txt = f"{float(tolerance_pct)!r}D", repr(float(tolerance_pct))
+    delta = "(staged_count - source_count)"
+    pct_ = f"(CASE WHEN source_count > 0 THEN abs({delta} / source_count * 100) ELSE 0.0D END)"
+    head = f"'source=', {sql_int('source_count')}, ', staged=', {sql_int('staged_count')}, ', delta='"
+    detail = (f"CASE WHEN ver IS NULL THEN concat('Could not detect schema version for ', feed, ' — skipped') "
+              f"WHEN {delta} = 0 THEN concat({head}, '0') "
+              f"ELSE concat({head}, {sql_signed(delta)}, ' (', {sql_pct(pct_)}, '% — ', "
+              f"CASE WHEN {pct_} <= {tol} THEN 'within ' ELSE 'exceeds ' END, '{tol_txt}% tolerance)') END")
+    status = (f"CASE WHEN ver IS NULL THEN 'FAIL' WHEN {delta} = 0 THEN 'PASS' "
+              f"WHEN {pct_} <= {tol} THEN 'WARNING' ELSE 'FAIL' END")
+    name = "CASE WHEN ver IS NULL THEN concat('Row count: ', feed) ELSE concat('Row count: ', ver, ' (', feed, ')') END"
     # All row-count rows share seq 1; reports order them by check name.
-    return j.select(*_result(
-        1, 1, ROW,
-        F.when(known, F.concat(F.lit("Row count: "), F.col("ver"), F.lit(" ("), F.col("feed"), F.lit(")")))
-         .otherwise(F.concat(F.lit("Row count: "), F.col("feed"))),
-        F.when(known, status).otherwise(F.lit("FAIL")),
-        "FAIL",
-        F.when(known, detail).otherwise(F.concat(F.lit("Could not detect schema version for "), F.col("feed"),
-                                                 F.lit(" — skipped"))),
-        F.when(known, src.cast("string")),
-        F.when(known, stg.cast("string")),
-    ))
+    return j.selectExpr(*result_sql(1, 1, ROW, name, status, "'FAIL'", detail,
+                                    "CASE WHEN ver IS NOT NULL THEN CAST(source_count AS STRING) END",
+                                    "CASE WHEN ver IS NOT NULL THEN CAST(staged_count AS STRING) END"))
 
 
 # ----------------------------------------------------------------------------- J5
@@ -164,10 +145,6 @@ def _missing_sql(c: str) -> str:
     return f"(`{c}` IS NULL OR CAST(`{c}` AS STRING) = '')"
 
 
-def _lit_sql(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _null_counts(df: DataFrame, columns) -> DataFrame:
     """One global aggregate: ``total`` and ``n<i>`` = NULL-or-empty count of column i."""
     return df.agg(F.expr("count(1) AS total"),
@@ -178,7 +155,7 @@ def null_profile(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFra
     """AGG-3 in one pass: ``column, total, null_count, null_pct`` per column
     (NULL-or-empty counted), from a single global aggregate unpivoted to rows."""
     rows = "explode(array(" + ", ".join(
-        f"named_struct('pos', {i + 1}, 'column', {_lit_sql(c)}, 'null_count', n{i})" for i, c in enumerate(columns)) + ")) AS r"
+        f"named_struct('pos', {i + 1}, 'column', {sql_str(c)}, 'null_count', n{i})" for i, c in enumerate(columns)) + ")) AS r"
     return (_null_counts(df, columns).selectExpr("total", rows)
             .selectExpr("r.pos AS pos", "r.column AS column", "total", "r.null_count AS null_count",
                         "CASE WHEN total > 0 THEN r.null_count / total * 100 ELSE 0.0D END AS null_pct"))
@@ -202,8 +179,8 @@ def null_assertions(staging: DataFrame, thresholds=NULL_THRESHOLDS) -> DataFrame
         ok = f"({p} <= {lim}D)"
         detail = (f"concat('null_count=', format_number(n{i}, 0), ', null_pct=', format_number({p}, '0.00'), "
                   f"CASE WHEN {ok} THEN '% (threshold={lim}%)' ELSE '% EXCEEDS threshold={lim}%' END)")
-        per_col.append(row(2, i + 1, _lit_sql(f"Null check: {c}"), f"CASE WHEN {ok} THEN 'PASS' ELSE '{severity}' END",
-                           f"'{severity}'", detail, _lit_sql(f"≤{lim}%"), f"concat(format_number({p}, '0.00'), '%')"))
+        per_col.append(row(2, i + 1, sql_str(f"Null check: {c}"), f"CASE WHEN {ok} THEN 'PASS' ELSE '{severity}' END",
+                           f"'{severity}'", detail, sql_str(f"≤{lim}%"), f"concat(format_number({p}, '0.00'), '%')"))
     empty = row(2, 1, "'Null assertions: staging table'", "'FAIL'", "'FAIL'",
                 "'Staging table is empty — no records to check'", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)")
     rows = f"explode(CASE WHEN total = 0 THEN array({empty}) ELSE array({', '.join(per_col)}) END) AS r"
@@ -216,17 +193,13 @@ def check_id_format(staging: DataFrame, column: str = "student_id", pattern: str
     bad = ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
     stats = staging.agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("invalid"))
     s = with_samples(stats, staging.where(bad), column)
-    name = "student_id: format validation (6-digit numeric)"
-    inv = F.col("invalid")
-    return s.select(*_result(
-        3, 1, INTEGRITY, name,
-        F.when(inv == 0, F.lit("PASS")).otherwise(F.lit("FAIL")), "FAIL",
-        F.when(inv == 0, F.concat(F.lit("All "), fmt_int(F.col("total")), F.lit(" student_id values match expected format")))
-         .otherwise(F.concat(fmt_int(inv), F.lit(" student_id values do not match expected format"))),
-        None,
-        F.when(inv > 0, inv.cast("string")),
-        F.when(inv > 0, F.col("samples")).otherwise(F.array().cast("array<string>")),
-    ))
+    return s.selectExpr(*result_sql(
+        3, 1, INTEGRITY, "'student_id: format validation (6-digit numeric)'",
+        "CASE WHEN invalid = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
+        f"CASE WHEN invalid = 0 THEN concat('All ', {sql_int('total')}, ' student_id values match expected format') "
+        f"ELSE concat({sql_int('invalid')}, ' student_id values do not match expected format') END",
+        actual="CASE WHEN invalid > 0 THEN CAST(invalid AS STRING) END",
+        samples="CASE WHEN invalid > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:
@@ -243,25 +216,19 @@ def check_allowed(staging: DataFrame, column: str, allowed, seq: int, fail_statu
     stats = offenders.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("invalid_rows"),
                           F.count(F.lit(1)).alias("invalid_values"))
     s = with_samples(stats, offenders, "value")
-    none_bad = F.col("invalid_values") == 0
     if column == "credential_type":
-        name = "credential_type: allowed values check"
-        ok_text = F.lit(f"All credential_type values are in the allowed set ({len(allowed)} types)")
-        bad_text = F.concat(fmt_int(F.col("invalid_rows")), F.lit(" records have unrecognised credential_type values: "),
-                            py_list(F.col("samples")))
+        ok_text = f"All credential_type values are in the allowed set ({len(allowed)} types)"
+        bad_text = " records have unrecognised credential_type values: "
     else:
-        name = f"{column}: allowed values check"
-        ok_text = F.lit(f"All {column} values are in canonical set {sorted(allowed)}")
-        bad_text = F.concat(fmt_int(F.col("invalid_rows")), F.lit(f" records have non-canonical {column} values: "),
-                            py_list(F.col("samples")))
-    return s.select(*_result(
-        3, seq, INTEGRITY, name,
-        F.when(none_bad, F.lit("PASS")).otherwise(F.lit(fail_status)), fail_status,
-        F.when(none_bad, ok_text).otherwise(bad_text),
-        None,
-        F.when(~none_bad, F.col("invalid_rows").cast("string")),
-        F.when(~none_bad, F.col("samples")).otherwise(F.array().cast("array<string>")),
-    ))
+        ok_text = f"All {column} values are in canonical set {sorted(allowed)}"
+        bad_text = f" records have non-canonical {column} values: "
+    return s.selectExpr(*result_sql(
+        3, seq, INTEGRITY, sql_str(f"{column}: allowed values check"),
+        f"CASE WHEN invalid_values = 0 THEN 'PASS' ELSE '{fail_status}' END", f"'{fail_status}'",
+        f"CASE WHEN invalid_values = 0 THEN {sql_str(ok_text)} "
+        f"ELSE concat({sql_int('invalid_rows')}, {sql_str(bad_text)}, {sql_py_list('samples')}) END",
+        actual="CASE WHEN invalid_values > 0 THEN CAST(invalid_rows AS STRING) END",
+        samples="CASE WHEN invalid_values > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
 
 
 def referential_integrity(staging: DataFrame) -> DataFrame:
@@ -281,18 +248,14 @@ def check_exact_duplicates(staging: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame
     groups = exact_duplicates(staging, keys)
     stats = groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("excess"))
     s = with_samples(stats, groups, keys[0], *keys)
-    none = F.col("groups") == 0
-    return s.select(*_result(
-        4, 1, DUPLICATES, "Exact duplicates (same student_id + credential + date)",
-        F.when(none, F.lit("PASS")).otherwise(F.lit("WARNING")), "WARNING",
-        F.when(none, F.lit("No exact duplicate records found across all schema versions"))
-         .otherwise(F.concat(fmt_int(F.col("groups")),
-                             F.lit(" student_ids appear in multiple schema versions with identical data ("),
-                             fmt_int(F.col("excess")), F.lit(" excess rows)"))),
-        None,
-        F.when(~none, F.col("groups").cast("string")),
-        F.when(~none, F.col("samples")).otherwise(F.array().cast("array<string>")),
-    ))
+    return s.selectExpr(*result_sql(
+        4, 1, DUPLICATES, "'Exact duplicates (same student_id + credential + date)'",
+        "CASE WHEN groups = 0 THEN 'PASS' ELSE 'WARNING' END", "'WARNING'",
+        "CASE WHEN groups = 0 THEN 'No exact duplicate records found across all schema versions' "
+        f"ELSE concat({sql_int('groups')}, ' student_ids appear in multiple schema versions with identical data (', "
+        f"{sql_int('excess')}, ' excess rows)') END",
+        actual="CASE WHEN groups > 0 THEN CAST(groups AS STRING) END",
+        samples="CASE WHEN groups > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
 
 
 # ----------------------------------------------------------------------------- J8/J9
@@ -323,17 +286,14 @@ def check_school_conflicts(profile: DataFrame) -> DataFrame:
     off = profile.where("multi_school")
     stats = off.agg(F.count(F.lit(1)).alias("n"))
     s = with_samples(stats, off, "student_id")
-    none = F.col("n") == 0
-    return s.select(*_result(
-        4, 2, DUPLICATES, "Conflict duplicates (same student_id, different school_id)",
-        F.when(none, F.lit("PASS")).otherwise(F.lit("FAIL")), "FAIL",
-        F.when(none, F.lit("No student_ids with conflicting school_id found"))
-         .otherwise(F.concat(fmt_int(F.col("n")),
-                             F.lit(" student_ids appear with >1 distinct school_id — requires investigation before Gold load"))),
-        None,
-        F.when(~none, F.col("n").cast("string")),
-        F.when(~none, F.col("samples")).otherwise(F.array().cast("array<string>")),
-    ))
+    return s.selectExpr(*result_sql(
+        4, 2, DUPLICATES, "'Conflict duplicates (same student_id, different school_id)'",
+        "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
+        "CASE WHEN n = 0 THEN 'No student_ids with conflicting school_id found' "
+        f"ELSE concat({sql_int('n')}, ' student_ids appear with >1 distinct school_id — requires investigation "
+        "before Gold load') END",
+        actual="CASE WHEN n > 0 THEN CAST(n AS STRING) END",
+        samples="CASE WHEN n > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
 
 
 def duplicate_detection(staging: DataFrame, profile: DataFrame | None = None) -> DataFrame:
@@ -349,19 +309,16 @@ def check_cross_version(profile: DataFrame) -> DataFrame:
     off = multi.where("multi_type")
     stats = multi.agg(F.count(F.lit(1)).alias("multi"), F.count_if(F.col("multi_type")).alias("n"))
     s = with_samples(stats, off, "student_id")
-    no_multi = F.col("multi") == 0
-    none = F.col("n") == 0
-    return s.select(*_result(
+    hit = "(multi > 0 AND n > 0)"
+    return s.selectExpr(*result_sql(
         5, 1, CONSISTENCY,
-        F.when(no_multi, F.lit("Students appearing in multiple schema versions"))
-         .otherwise(F.lit("Cross-version: credential_type consistency")),
-        F.when(no_multi | none, F.lit("PASS")).otherwise(F.lit("WARNING")), "WARNING",
-        F.when(no_multi, F.lit("No student_ids appear across multiple schema versions"))
-         .when(none, F.concat(fmt_int(F.col("multi")),
-                              F.lit(" students appear in multiple schema versions — all have consistent credential_type")))
-         .otherwise(F.concat(fmt_int(F.col("n")),
-                             F.lit(" students have different credential_type values across schema versions — review before deduplication"))),
-        None,
-        F.when(~no_multi & ~none, F.col("n").cast("string")),
-        F.when(~no_multi & ~none, F.col("samples")).otherwise(F.array().cast("array<string>")),
-    ))
+        "CASE WHEN multi = 0 THEN 'Students appearing in multiple schema versions' "
+        "ELSE 'Cross-version: credential_type consistency' END",
+        f"CASE WHEN {hit} THEN 'WARNING' ELSE 'PASS' END", "'WARNING'",
+        "CASE WHEN multi = 0 THEN 'No student_ids appear across multiple schema versions' "
+        f"WHEN n = 0 THEN concat({sql_int('multi')}, ' students appear in multiple schema versions — all have "
+        "consistent credential_type') "
+        f"ELSE concat({sql_int('n')}, ' students have different credential_type values across schema versions — "
+        "review before deduplication') END",
+        actual=f"CASE WHEN {hit} THEN CAST(n AS STRING) END",
+        samples=f"CASE WHEN {hit} THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))

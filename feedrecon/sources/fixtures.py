@@ -147,15 +147,10 @@ def header_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     %3 add an extra column, %43 upper-case every name."""
     k = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders", "o_orderkey")
-    v = (k % 8).cast("int")  # layout index 0..7  (layout = v + 1)
-
-    def by_layout(arrays: list[list[str]]) -> Column:
-        return _pick_array(v, arrays)
-
     lays = list(LAYOUTS.values())
-    cols = by_layout([list(l.columns) for l in lays])
-    first_fp = by_layout([[l.fingerprint[0]] for l in lays])
-    nxt = _pick_array((v + 1) % 8, [list(l.columns) for l in lays])
+    cols = _pick_array("o_orderkey % 8", [list(l.columns) for l in lays])   # layout index 0..7
+    first_fp = _pick_array("o_orderkey % 8", [[l.fingerprint[0]] for l in lays])
+    nxt = _pick_array("(o_orderkey + 1) % 8", [list(l.columns) for l in lays])
     h = F.when(k % 37 == 0, F.array_except(cols, first_fp)).otherwise(cols)
     h = F.when(k % 41 == 0, F.concat(h, nxt)).otherwise(h)
     h = F.when(k % 3 == 0, F.concat(h, F.array(F.lit("extra_col")))).otherwise(h)
@@ -163,9 +158,7 @@ def header_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(k.alias("feed"), h.alias("header"))
 
 
-def _pick_array(index: Column, arrays: list[list[str]]) -> Column:
-    out = None
-    for i, arr in enumerate(arrays):
-        lit = F.array(*[F.lit(x) for x in arr])
-        out = F.when(index == i, lit) if out is None else out.when(index == i, lit)
-    return out
+def _pick_array(index_sql: str, arrays: list[list[str]]) -> Column:
+    """arrays[index] as one SQL CASE over array literals."""
+    return F.expr(f"CASE {index_sql} " + " ".join(
+        f"WHEN {i} THEN array(" + ", ".join(f"'{x}'" for x in arr) + ")" for i, arr in enumerate(arrays)) + " END")
