@@ -47,7 +47,7 @@ def start_ingest_stream(spark: SparkSession, folder: str, lay: Layout, target: T
                         available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops by itself once every
     file present at start has been ingested."""
-    clock = run_ts or (lambda epoch: _dt.datetime.utcnow().replace(microsecond=0))
+    clock = run_ts or (lambda epoch: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         run_ingest(spark, batch, target, clock(epoch_id), f"{run_prefix}-{epoch_id}")
