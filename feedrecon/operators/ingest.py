@@ -127,13 +127,15 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
         summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))
         (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.summaries))
+        # advance decisions per layout from the same persisted frame (no re-read),
+        # appended only now that staging, quarantine and summary are written
+        decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(
+            F.count_if(F.col("extracted") & (F.size("reasons") == 0)).alias("mapped_rows"),
+            F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors"))
+        CT.append_events(CT.advance_events(decisions, run_ts, run_id), target.control)
     finally:
         tagged.unpersist()
-    written = spark.read.parquet(target.summaries).where(F.col("run_id") == run_id)
-    decisions = written.groupBy(F.col("schema_version").alias("ver")).agg(
-        F.sum("mapped_rows").alias("mapped_rows"), F.sum("mapping_errors").alias("mapping_errors"))
-    CT.append_events(CT.advance_events(decisions, run_ts, run_id), target.control)
-    return written.drop("run_id")
+    return spark.read.parquet(target.summaries).where(F.col("run_id") == run_id).drop("run_id")
 
 
 def read_staging(spark: SparkSession, target: Tables) -> DataFrame:
