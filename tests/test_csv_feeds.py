@@ -86,3 +86,38 @@ def test_folder_row_counts_against_staging(spark, tmp_dir):
                                                            N.normalise(slots)).collect()}
     assert res["Row count: v2 (a_v2.csv)"].detail.startswith("source=2, staged=1, delta=-1 (50.00%")
     assert res["Row count: z_empty.csv"].status == "FAIL"
+
+
+def test_directory_jobs_end_to_end(spark, sf_small, tmp_dir):
+    """Export the staged sample to one CSV feed per layout plus an unreadable
+    file, ingest the folder, reconcile it, and check the gate."""
+    from pyspark.sql import functions as F
+
+    from feedrecon.functions.rules import ntz
+    from feedrecon.layouts import LAYOUTS
+    from feedrecon.operators import export as EX
+    from feedrecon.operators import ingest as IG
+    from feedrecon.operators import report as RP
+    from feedrecon.plans import scenarios as S
+    from feedrecon.plans.jobs import ingest_directory, reconcile_directory
+    st = S.staging(spark, sf_small)
+    src = f"{tmp_dir}/feeds"
+    for v, lay in LAYOUTS.items():
+        EX.write_csv(EX.export_layout(st.where(F.col("source_schema_version") == v), lay, ntz(S.LOAD_TS)),
+                     f"{tmp_dir}/parts/{v}")
+    d = _local(src)
+    os.makedirs(d, exist_ok=True)
+    for v in LAYOUTS:
+        part_dir = _local(f"{tmp_dir}/parts/{v}")
+        for name in os.listdir(part_dir):
+            if name.endswith(".csv"):
+                os.rename(os.path.join(part_dir, name), os.path.join(d, f"credentials_{v}.csv"))
+    _write(d, "notes.csv", "foo,bar\n1,2\n")
+    target = IG.Tables(f"{tmp_dir}/target")
+    summary, totals = ingest_directory(spark, src, target, S.RUN1_TS, "r1")
+    t = totals.collect()[0]
+    assert t.staged == st.count() and t.errors == 1 and t.status == "COMPLETED WITH WARNINGS"
+    results = {r.check_name: r for r in reconcile_directory(spark, src, target).collect()}
+    assert results["Row count: v1 (credentials_v1.csv)"].status == "PASS"
+    assert results["Row count: notes.csv"].status == "FAIL"
+    assert RP.overall(reconcile_directory(spark, src, target)).collect()[0].overall_status == "FAIL"
