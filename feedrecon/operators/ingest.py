@@ -53,6 +53,11 @@ def _extracted(marks_col: str = "watermark"):
     return u.isNull() | (u > F.col(marks_col))
 
 
+def _no_update_time():
+    """The record has no usable update time, so every run extracts it again (P2)."""
+    return R.lenient_updated_at(F.col("raw_updated_at")).isNull()
+
+
 def incremental_extract(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
     """FLT-1: records strictly newer than their layout's watermark, plus those
     whose update time is empty or unparseable. ``marks`` is ``ver, watermark``
@@ -63,21 +68,25 @@ def incremental_extract(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
 
 def summary_of(tagged: DataFrame) -> DataFrame:
     """AGG-11: per delivered file — total, extracted, mapped, mapping errors,
-    skipped (= total − extracted), from the flagged and tagged records of a run.
+    skipped (= total − extracted), and the records with no usable update time
+    (re-extracted on every run, P2), from the flagged and tagged records of a run.
     Map-side partial aggregation; the key space is the number of files."""
     ok = F.col("extracted") & (F.size("reasons") == 0)
     bad = F.col("extracted") & (F.size("reasons") > 0)
     return (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
             .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
-                 F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"))
+                 F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"),
+                 F.count_if("no_update_time").alias("no_update_time_rows"))
             .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows")))
 
 
 def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
     """Every record with its ``extracted`` flag (FLT-1 against the broadcast
     watermarks); the mapping rules run only for extracted records."""
-    flagged = feed_df.join(F.broadcast(marks), "ver", "left").withColumn("extracted", _extracted()).drop("watermark")
-    return N.tag(flagged, "feed", "extracted", run_ts=run_ts, only_when=F.col("extracted"))
+    flagged = (feed_df.join(F.broadcast(marks), "ver", "left")
+               .withColumn("extracted", _extracted()).withColumn("no_update_time", _no_update_time())
+               .drop("watermark"))
+    return N.tag(flagged, "feed", "extracted", "no_update_time", run_ts=run_ts, only_when=F.col("extracted"))
 
 
 def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFrame:
@@ -117,11 +126,11 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     tagged = flag_and_tag(feed_df, marks, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         delta = tagged.where("extracted")
-        staged = N.accepted(delta).drop("feed", "extracted").withColumn("run_id", F.lit(run_id))
+        staged = N.accepted(delta).drop("feed", "extracted", "no_update_time").withColumn("run_id", F.lit(run_id))
         mode = "static" if full_reload else "dynamic"
         (staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy("run_id", "source_schema_version").parquet(target.staging))
-        (N.quarantined(delta).drop("extracted").withColumn("run_id", F.lit(run_id))
+        (N.quarantined(delta).drop("extracted", "no_update_time").withColumn("run_id", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.quarantine))
         summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))

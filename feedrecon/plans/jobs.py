@@ -29,7 +29,7 @@ def ingest_directory(spark: SparkSession, source_dir: str, target: IG.Tables, ru
     unknown = classified.where(F.col("version") == UNKNOWN).select("feed")
     if slots is None:
         empty = spark.createDataFrame([], "schema_version string, file string, total_rows long, extracted_rows long, "
-                                          "mapped_rows long, mapping_errors long, skipped_rows long")
+                                          "mapped_rows long, mapping_errors long, no_update_time_rows long, skipped_rows long")
         return empty, IG.run_totals(empty, unknown)
     summary = IG.run_ingest(spark, slots, target, run_ts, run_id, full_reload=full_reload)
     return summary, IG.run_totals(summary, unknown)

@@ -432,6 +432,7 @@ ORACLE["full_reload"] = (f"{BASE_U}\nSELECT 'run3' AS run_id, {CANON} FROM tagge
 _SUMMARY = """SELECT ver AS schema_version, feed AS file, count(*) AS total_rows,
   count(*) FILTER (WHERE ext) AS extracted_rows, count(*) FILTER (WHERE ext AND reason IS NULL) AS mapped_rows,
   count(*) FILTER (WHERE ext AND reason IS NOT NULL) AS mapping_errors,
+  count(*) FILTER (WHERE u IS NULL) AS no_update_time_rows,
   count(*) - count(*) FILTER (WHERE ext) AS skipped_rows FROM del2 GROUP BY ver, feed"""
 ORACLE["run_summary"] = f"{_runs()}\n{_SUMMARY}"
 ORACLE["run_totals"] = (f"{_runs()}\nSELECT CAST(sum(mapped_rows) AS BIGINT) AS staged, CAST(sum(skipped_rows) AS BIGINT) AS skipped, "
