@@ -105,16 +105,17 @@ def _positional_schema(width: int) -> StructType:
 def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str,
                       multi_line: bool = False) -> DataFrame:
     """SRC-3: files of one layout sharing one header → slot form with ``feed``.
-    The first occurrence of a duplicated name wins (dict semantics).
+    The last occurrence of a duplicated name wins, as when a record is read
+    into a dict keyed by the header.
     ``multi_line`` parses quoted cells with embedded newlines; it makes each
     file one split, so it is a per-feed option, off by default."""
     df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
           .schema(_positional_schema(len(header))).csv(paths))
-    first_pos: dict[str, int] = {}
+    pos: dict[str, int] = {}
     for i, n in enumerate(header):
-        first_pos.setdefault(n, i)
+        pos[n] = i          # a repeated name binds its last occurrence (a row read as a dict)
     named = df.select(F.col("_metadata.file_name").alias("feed"),
-                      *[F.col(f"c{i}").alias(n) for n, i in first_pos.items()])
+                      *[F.col(f"c{i}").alias(n) for n, i in pos.items()])
     return bind_layout(named, LAYOUTS[version], "feed")
 
 

@@ -56,7 +56,7 @@ def test_duplicate_header_names_bind_by_position(spark, tmp_dir):
     slots, classified = CSV.read_feeds(spark, d)
     assert [r.version for r in classified.collect()] == ["v6"]
     r = N.tag(slots).collect()[0]
-    assert r.student_id == "777" and r.issue_date.isoformat() == "2020-01-02"
+    assert r.student_id == "888" and r.issue_date.isoformat() == "2020-01-02"   # last 'id' wins
 
 
 def test_empty_folder_has_no_feeds(spark, tmp_dir):
