@@ -121,3 +121,26 @@ def test_directory_jobs_end_to_end(spark, sf_small, tmp_dir):
     assert results["Row count: v1 (credentials_v1.csv)"].status == "PASS"
     assert results["Row count: notes.csv"].status == "FAIL"
     assert RP.overall(reconcile_directory(spark, src, target)).collect()[0].overall_status == "FAIL"
+
+
+def test_permuted_and_extra_columns_change_nothing(spark, sf_small, tmp_dir):
+    """SURVEY §5 (5): the same records written with the columns in another
+    order and with extra columns classify and map to the same rows."""
+    from pyspark.sql import functions as F
+
+    from feedrecon.functions.rules import ntz
+    from feedrecon.layouts import LAYOUTS
+    from feedrecon.operators import export as EX
+    from feedrecon.plans import scenarios as S
+    st = S.staging(spark, sf_small)
+    for v in ("v1", "v4", "v6"):
+        lay = LAYOUTS[v]
+        out = EX.export_layout(st.where(F.col("source_schema_version") == v), lay, ntz(S.LOAD_TS))
+        EX.write_csv(out, f"{tmp_dir}/plain/{v}")
+        shuffled = out.select(F.lit("x").alias("extra_a"), *reversed(lay.columns), F.lit("").alias("extra_b"))
+        EX.write_csv(shuffled, f"{tmp_dir}/permuted/{v}")
+    a, ca = CSV.read_feeds(spark, f"{tmp_dir}/plain/*")
+    b, cb = CSV.read_feeds(spark, f"{tmp_dir}/permuted/*")
+    assert sorted(r.version for r in ca.collect()) == sorted(r.version for r in cb.collect())
+    na, nb = N.normalise(a).drop("feed"), N.normalise(b).drop("feed")
+    assert na.count() == nb.count() and na.exceptAll(nb).count() == 0
