@@ -79,11 +79,13 @@ def watermarks(state: DataFrame, epoch: _dt.datetime = EPOCH) -> DataFrame:
 def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str) -> DataFrame:
     """ING-3/SNK-3: an ``advance`` event per layout whose run may move its
     watermark (no mapping errors, or at least one row mapped). ``decisions``
-    has ``ver, mapped_rows, mapping_errors``."""
+    has ``ver, mapped_rows, mapping_errors`` and optionally ``advance_to``
+    (the new watermark; the run time when absent)."""
     ok = (F.col("mapping_errors") == 0) | (F.col("mapped_rows") > 0)
     ts = ntz(run_ts)
+    to = F.col("advance_to") if "advance_to" in decisions.columns else ts
     return decisions.where(ok).select(
-        F.col("ver").alias("schema_version"), F.lit("advance").alias("event"), ts.alias("last_processed_at"),
+        F.col("ver").alias("schema_version"), F.lit("advance").alias("event"), to.alias("last_processed_at"),
         F.col("mapped_rows").cast("long").alias("last_run_row_count"), ts.alias("last_run_timestamp"),
         ts.alias("logged_at"), F.lit(1).alias("step"), F.lit(run_id).alias("run_id"))
 

@@ -85,8 +85,10 @@ def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | No
     watermarks); the mapping rules run only for extracted records."""
     flagged = (feed_df.join(F.broadcast(marks), "ver", "left")
                .withColumn("extracted", _extracted()).withColumn("no_update_time", _no_update_time())
+               .withColumn("updated_ts", F.when(F.col("extracted"), R.lenient_updated_at(F.col("raw_updated_at"))))
                .drop("watermark"))
-    return N.tag(flagged, "feed", "extracted", "no_update_time", run_ts=run_ts, only_when=F.col("extracted"))
+    return N.tag(flagged, "feed", "extracted", "no_update_time", "updated_ts", run_ts=run_ts,
+                 only_when=F.col("extracted"))
 
 
 def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFrame:
@@ -107,7 +109,7 @@ def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFr
 
 
 def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts: _dt.datetime, run_id: str,
-               full_reload: bool = False) -> DataFrame:
+               full_reload: bool = False, advance: str = "run_ts") -> DataFrame:
     """ING-1/ING-2: one incremental run over all delivered feeds. Returns the
     run summary read back from storage (one row per feed).
 
@@ -115,7 +117,14 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     once, from the events before this run (P5: a second feed of a layout sees
     the same watermark; a re-executed run sees what its first attempt saw) → one
     scan: flag + map the extracted records (persisted) → write staging,
-    quarantine, summary → append the advance events last."""
+    quarantine, summary → append the advance events last.
+
+    ``advance="run_ts"`` (legacy) moves a layout's watermark to the run time;
+    ``advance="max_updated_at"`` moves it to the newest update time among the
+    run's mapped records (never backwards), so a record stamped before the
+    run but delivered after it is not lost (P3)."""
+    if advance not in ("run_ts", "max_updated_at"):
+        raise ValueError(f"advance must be 'run_ts' or 'max_updated_at', not {advance!r}")
     if full_reload:
         CT.reset(spark, target.control, run_ts, run_id)
     marks = CT.watermarks(CT.current_state(CT.as_seen_by(CT.read_log(spark, target.control), run_id, run_ts)))
@@ -126,11 +135,12 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     tagged = flag_and_tag(feed_df, marks, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         delta = tagged.where("extracted")
-        staged = N.accepted(delta).drop("feed", "extracted", "no_update_time").withColumn("run_id", F.lit(run_id))
+        staged = (N.accepted(delta).drop("feed", "extracted", "no_update_time", "updated_ts")
+                  .withColumn("run_id", F.lit(run_id)))
         mode = "static" if full_reload else "dynamic"
         (staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy("run_id", "source_schema_version").parquet(target.staging))
-        (N.quarantined(delta).drop("extracted", "no_update_time").withColumn("run_id", F.lit(run_id))
+        (N.quarantined(delta).drop("extracted", "no_update_time", "updated_ts").withColumn("run_id", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.quarantine))
         summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))
@@ -140,7 +150,11 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
         # appended only now that staging, quarantine and summary are written
         decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(
             F.count_if(F.col("extracted") & (F.size("reasons") == 0)).alias("mapped_rows"),
-            F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors"))
+            F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors"),
+            F.max(F.when(F.size("reasons") == 0, F.col("updated_ts"))).alias("max_updated_at"))
+        if advance == "max_updated_at":
+            decisions = decisions.join(F.broadcast(marks), "ver", "left").withColumn(
+                "advance_to", F.coalesce(F.greatest("max_updated_at", "watermark"), F.col("watermark")))
         CT.append_events(CT.advance_events(decisions, run_ts, run_id), target.control)
     finally:
         tagged.unpersist()

@@ -75,3 +75,23 @@ def test_empty_delta_still_advances(spark, sf_small):
     IG.run_ingest(spark, f, t, S.RUN2_TS + dt.timedelta(days=1), "r2")
     st = CT.current_state(CT.read_log(spark, t.control)).collect()
     assert [(r.schema_version, r.last_run_row_count) for r in st] == [("v4", 0)]
+
+
+def test_advance_to_max_updated_at_keeps_late_records(spark, sf_small):
+    """P3 option: with the watermark at the newest loaded update time instead
+    of the run time, a record stamped before run 1's time but delivered only
+    in run 2 is still loaded; with the legacy rule it is lost."""
+    f = S.feeds(spark, sf_small).where("ver = 'v1'")
+    d1 = S.delivery(f, S.RUN1_TS, include_late=False)
+    d2 = S.delivery(f, S.RUN2_TS, include_late=True)
+    late_early = d2.join(d1, ["k", "copy_no"], "left_anti").where(F.col("raw_updated_at") != "")
+    results = {}
+    for mode in ("run_ts", "max_updated_at"):
+        t = IG.Tables(new_work_dir(spark, f"t-adv-{mode}"))
+        run1_time = S.RUN1_TS + dt.timedelta(days=400)        # the run happens well after its data
+        IG.run_ingest(spark, d1, t, run1_time, "r1", advance=mode)
+        IG.run_ingest(spark, d2, t, S.RUN2_TS, "r2", advance=mode)
+        results[mode] = IG.read_staging(spark, t).where("run_id = 'r2'").count()
+    n_late = late_early.where(F.to_timestamp("raw_updated_at") <= F.lit(S.RUN1_TS + dt.timedelta(days=400))).count()
+    assert n_late > 0
+    assert results["max_updated_at"] - results["run_ts"] > 0
