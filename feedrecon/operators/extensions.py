@@ -66,3 +66,18 @@ def row_counts_total(feed_counts: DataFrame, staging: DataFrame) -> DataFrame:
                     F.col("source_count").cast("long").alias("source_count"),
                     F.col("staged_count").cast("long").alias("staged_count"),
                     (F.col("staged_count") - F.col("source_count")).cast("long").alias("delta"))
+
+
+RECORD_KEY = ("source_schema_version", "source_student_id")
+
+
+def latest_per_key(staging: DataFrame, keys=RECORD_KEY, newest_first=("staged_at", "run_id")) -> DataFrame:
+    """P6 option: staging stays append-only; this view keeps each key's newest
+    row (by ``newest_first``, then the remaining columns, so the choice is
+    deterministic). ``max`` of a struct per key has a map-side partial step,
+    so a hot key is reduced in every task before the shuffle."""
+    rest = [c for c in staging.columns if c not in keys and c not in newest_first]
+    order = [c for c in newest_first if c in staging.columns] + rest
+    pick = F.max(F.struct(*[F.col(c) for c in order])).alias("r")
+    return staging.groupBy(*keys).agg(pick).select(*keys, *[F.col(f"r.{c}").alias(c) for c in order]) \
+        .select(*staging.columns)

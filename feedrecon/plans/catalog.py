@@ -486,3 +486,10 @@ DAMAGED_MOD = 37
 def recon_report(spark, sf_dir):
     """CHK-13: the rendered report, one row per line."""
     return RP.render(_results(spark, sf_dir), "sim_run", f"{S.LOAD_TS:%Y-%m-%d %H:%M:%S} UTC")
+
+
+@query("latest_records")
+def latest_records(spark, sf_dir):
+    """P6 option over the two-run staging: the newest row per (layout, source id)."""
+    st = IG.read_staging(spark, S.two_runs(spark, sf_dir)).select("run_id", "staged_at", *N.CANONICAL)
+    return XT.latest_per_key(st).drop("staged_at")

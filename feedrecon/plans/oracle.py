@@ -551,3 +551,10 @@ SELECT 1 AS ordinal, 1 AS seq, 'ROW_RECONCILIATION' AS check_type,
   CASE WHEN ver IS NOT NULL THEN CAST(source_count AS VARCHAR) END AS expected,
   CASE WHEN ver IS NOT NULL THEN CAST(staged_count AS VARCHAR) END AS actual, '' AS sample_values
 FROM j2"""
+_STAGED_TWO = (f"SELECT run_id, {CANON} FROM r1 WHERE reason IS NULL "
+               f"UNION ALL SELECT run_id, {CANON} FROM r2 WHERE reason IS NULL")
+_REST = [c for c in CANON.split(", ") if c not in ("source_schema_version", "source_student_id")]
+ORACLE["latest_records"] = (f"{_runs()},\nstaged2 AS ({_STAGED_TWO})\nSELECT run_id, {CANON} FROM ("
+                            "SELECT *, row_number() OVER (PARTITION BY source_schema_version, source_student_id "
+                            "ORDER BY run_id DESC, " + ", ".join(f"{c} DESC NULLS LAST" for c in _REST)
+                            + ") AS rn FROM staged2) WHERE rn = 1")
