@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feedrecon.layouts import LAYOUTS
-from feedrecon.operators.classify import UNKNOWN, classify_headers
+from feedrecon.operators.classify import UNKNOWN, classify_headers, unknown_message
 from feedrecon.operators.normalise import bind_layout
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
@@ -92,8 +92,14 @@ def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def classify_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """CLS-4: ``feed, path, header, version, matches`` for every CSV in the folder."""
-    return classify_headers(read_headers(spark, list_feeds(spark, directory)))
+    """CLS-4: ``feed, path, header, version, matches, detection`` for every CSV
+    in the folder, name-sorted; ``detection`` is the layout or
+    ``UNKNOWN: <message>`` (sorted columns and every fingerprint)."""
+    c = classify_headers(read_headers(spark, list_feeds(spark, directory)))
+    sorted_cols = F.array_join(F.array_sort("header"), ",")
+    detection = F.when(F.col("version") == UNKNOWN, F.concat(F.lit("UNKNOWN: "), unknown_message(sorted_cols))) \
+        .otherwise(F.col("version"))
+    return c.withColumn("detection", detection).orderBy("feed")
 
 
 def _positional_schema(width: int) -> StructType:

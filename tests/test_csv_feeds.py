@@ -37,6 +37,11 @@ def test_read_classify_and_map(spark, tmp_dir):
     slots, classified = CSV.read_feeds(spark, d)
     versions = {r.feed: r.version for r in classified.collect()}
     assert versions == {"a_v2.csv": "v2", "b_unknown.csv": "UNKNOWN", "c_v3_bom.csv": "v3", "d_empty.csv": "UNKNOWN"}
+    det = {r.feed: r.detection for r in classified.collect()}
+    assert det["a_v2.csv"] == "v2" and det["b_unknown.csv"].startswith(
+        "UNKNOWN: Unknown schema version. Column set does not match any of the 8 known fingerprints.\n"
+        "Columns found: ['bar', 'foo']")
+    assert [r.feed for r in classified.collect()] == sorted(versions)
     tagged = N.tag(slots, "feed")
     rows = {r.source_student_id: r for r in tagged.collect()}
     assert rows["S100001"].first_name == 'Ann "Jo"' and rows["S100001"].preferred_name is None
