@@ -80,15 +80,19 @@ def summary_of(tagged: DataFrame) -> DataFrame:
             .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows")))
 
 
-def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
+def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | None = None,
+                 keep_update_time: bool = False) -> DataFrame:
     """Every record with its ``extracted`` flag (FLT-1 against the broadcast
     watermarks); the mapping rules run only for extracted records."""
     flagged = (feed_df.join(F.broadcast(marks), "ver", "left")
                .withColumn("extracted", _extracted()).withColumn("no_update_time", _no_update_time())
-               .withColumn("updated_ts", F.when(F.col("extracted"), R.lenient_updated_at(F.col("raw_updated_at"))))
                .drop("watermark"))
-    return N.tag(flagged, "feed", "extracted", "no_update_time", "updated_ts", run_ts=run_ts,
-                 only_when=F.col("extracted"))
+    keep = ["feed", "extracted", "no_update_time"]
+    if keep_update_time:      # only the max_updated_at advance needs the parsed time
+        flagged = flagged.withColumn("updated_ts", F.when(F.col("extracted"),
+                                                          R.lenient_updated_at(F.col("raw_updated_at"))))
+        keep.append("updated_ts")
+    return N.tag(flagged, *keep, run_ts=run_ts, only_when=F.col("extracted"))
 
 
 def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFrame:
@@ -132,15 +136,16 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     # only for extracted records. Persisted once, the frame feeds the staging
     # write, the quarantine write and the per-feed summary; a skipped record
     # costs only its feed name, layout and flag in the cache.
-    tagged = flag_and_tag(feed_df, marks, run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    by_update_time = advance == "max_updated_at"
+    tagged = flag_and_tag(feed_df, marks, run_ts, keep_update_time=by_update_time).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         delta = tagged.where("extracted")
-        staged = (N.accepted(delta).drop("feed", "extracted", "no_update_time", "updated_ts")
-                  .withColumn("run_id", F.lit(run_id)))
+        aux = ["feed", "extracted", "no_update_time"] + (["updated_ts"] if by_update_time else [])
+        staged = N.accepted(delta).drop(*aux).withColumn("run_id", F.lit(run_id))
         mode = "static" if full_reload else "dynamic"
         (staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
          .partitionBy("run_id", "source_schema_version").parquet(target.staging))
-        (N.quarantined(delta).drop("extracted", "no_update_time", "updated_ts").withColumn("run_id", F.lit(run_id))
+        (N.quarantined(delta).drop(*aux[1:]).withColumn("run_id", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
          .parquet(target.quarantine))
         summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))
@@ -148,11 +153,12 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
          .parquet(target.summaries))
         # advance decisions per layout from the same persisted frame (no re-read),
         # appended only now that staging, quarantine and summary are written
-        decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(
-            F.count_if(F.col("extracted") & (F.size("reasons") == 0)).alias("mapped_rows"),
-            F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors"),
-            F.max(F.when(F.size("reasons") == 0, F.col("updated_ts"))).alias("max_updated_at"))
-        if advance == "max_updated_at":
+        counts = [F.count_if(F.col("extracted") & (F.size("reasons") == 0)).alias("mapped_rows"),
+                  F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors")]
+        if by_update_time:
+            counts.append(F.max(F.when(F.size("reasons") == 0, F.col("updated_ts"))).alias("max_updated_at"))
+        decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(*counts)
+        if by_update_time:
             decisions = decisions.join(F.broadcast(marks), "ver", "left").withColumn(
                 "advance_to", F.coalesce(F.greatest("max_updated_at", "watermark"), F.col("watermark")))
         CT.append_events(CT.advance_events(decisions, run_ts, run_id), target.control)
