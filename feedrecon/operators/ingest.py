@@ -71,8 +71,8 @@ def summary_of(tagged: DataFrame) -> DataFrame:
     skipped (= total − extracted), and the records with no usable update time
     (re-extracted on every run, P2), from the flagged and tagged records of a run.
     Map-side partial aggregation; the key space is the number of files."""
-    ok = F.col("extracted") & (F.size("reasons") == 0)
-    bad = F.col("extracted") & (F.size("reasons") > 0)
+    ok = F.col("extracted") & F.col("accepted")
+    bad = F.col("extracted") & ~F.col("accepted")
     return (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
             .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
                  F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"),
@@ -153,10 +153,10 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
          .parquet(target.summaries))
         # advance decisions per layout from the same persisted frame (no re-read),
         # appended only now that staging, quarantine and summary are written
-        counts = [F.count_if(F.col("extracted") & (F.size("reasons") == 0)).alias("mapped_rows"),
-                  F.count_if(F.col("extracted") & (F.size("reasons") > 0)).alias("mapping_errors")]
+        counts = [F.count_if(F.col("extracted") & F.col("accepted")).alias("mapped_rows"),
+                  F.count_if(F.col("extracted") & ~F.col("accepted")).alias("mapping_errors")]
         if by_update_time:
-            counts.append(F.max(F.when(F.size("reasons") == 0, F.col("updated_ts"))).alias("max_updated_at"))
+            counts.append(F.max(F.when(F.col("accepted"), F.col("updated_ts"))).alias("max_updated_at"))
         decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(*counts)
         if by_update_time:
             decisions = decisions.join(F.broadcast(marks), "ver", "left").withColumn(

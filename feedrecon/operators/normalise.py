@@ -46,8 +46,8 @@ def bind_layout(df: DataFrame, lay: Layout, *keep: str) -> DataFrame:
 
 def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
         only_when: Column | None = None) -> DataFrame:
-    """Canonical columns plus ``reasons`` (array of broken rules, empty when the
-    row is accepted). ``keep`` names pass-through columns (lineage, feed).
+    """Canonical columns plus ``accepted`` and ``reasons`` (array of broken
+    rules, empty when the row is accepted). ``keep`` names pass-through columns (lineage, feed).
     With ``only_when`` the rules run only for rows meeting it (the others get
     NULL canonical columns and NULL ``reasons``; ``source_schema_version`` is
     always set)."""
@@ -57,13 +57,14 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
     raw_id = F.col("raw_student_id")
     raw_school = F.col("raw_school_id")
     issue = R.parse_issue_date(F.col("raw_issue_date"))
-    # concat_ws skips NULLs and stays in generated code (a lambda-based array
-    # filter would be evaluated row by row outside codegen, date parse included)
+    # acceptance is three cheap tests; the reasons array is built only for
+    # rejected rows (concat_ws skips NULLs and stays in generated code)
+    ok = ~R.is_missing_text(raw_id) & ~R.is_missing_text(raw_school) & issue.isNotNull()
     reason_txt = F.concat_ws(",",
                              F.when(R.is_missing_text(raw_id), F.lit(REASONS[0])),
                              F.when(R.is_missing_text(raw_school), F.lit(REASONS[1])),
                              F.when(issue.isNull(), F.lit(REASONS[2])))
-    reasons = F.when(reason_txt == "", F.array().cast("array<string>")).otherwise(F.split(reason_txt, ","))
+    reasons = F.when(ok, F.array().cast("array<string>")).otherwise(F.split(reason_txt, ","))
     exprs = {
         "student_id": R.normalise_student_id(raw_id),
         "first_name": F.when(is_full, full_first).otherwise(R.strip_ws(R.blank_to_empty("raw_first_name"))),
@@ -79,6 +80,7 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
     }
     if run_ts is not None:
         exprs["staged_at"] = R.ntz(run_ts)
+    exprs["accepted"] = ok
     exprs["reasons"] = reasons
     always = {"source_schema_version"}
     return slot_df.select(*keep, *[
@@ -87,12 +89,12 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size("reasons") == 0).drop("reasons")
+    return tagged.where(F.col("accepted")).drop("accepted", "reasons")
 
 
 def quarantined(tagged: DataFrame) -> DataFrame:
     """Rejected rows with every broken rule and the first one (the legacy reason)."""
-    return tagged.where(F.size("reasons") > 0).withColumn("reason", F.element_at("reasons", 1))
+    return tagged.where(~F.col("accepted")).drop("accepted").withColumn("reason", F.element_at("reasons", 1))
 
 
 def normalise(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None) -> DataFrame:

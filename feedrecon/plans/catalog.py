@@ -374,7 +374,7 @@ def export_roundtrip(spark, sf_dir):
         fields = ["student_id", "first_name", "last_name", "school_id", "credential_type", "issue_date", "status"]
         if lay.has_preferred:
             fields.append("preferred_name")
-        same = F.size("reasons") == 0
+        same = F.col("accepted")
         for c in fields:
             same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
         parts.append(back.select(F.lit(v).alias("layout"), same.alias("same")))
