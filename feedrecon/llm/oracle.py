@@ -80,4 +80,30 @@ SELECT doc_id, size, source_size, target,
        size * (whole + CASE WHEN rank IS NOT NULL AND run - size / 2.0 <= missing THEN 1 ELSE 0 END) AS taken FROM o
 """
 
-ORACLE = {"op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}
+# Shortest runs of at least 50 words from and up to every line (within a document); all but the first
+# occurrence of a run go. A run of the same content has the same words, so its text is its class.
+OP1 = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+n AS (SELECT doc_id, ls, list_transform(ls, lambda x: greatest(len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')), 1)) AS ws FROM d),
+s AS (SELECT doc_id, ls, ws, unnest(range(1, len(ls) + 1)) AS i FROM n),
+f AS (SELECT doc_id, ls, i AS a,
+             list_min(list_filter(range(i, len(ls) + 1), lambda e: list_sum(ws[i:e]) >= 50)) AS b FROM s
+      UNION
+      SELECT doc_id, ls, list_max(list_filter(range(1, i + 1), lambda a: list_sum(ws[a:i]) >= 50)) AS a, i AS b FROM s),
+r AS (SELECT DISTINCT doc_id, a, b, array_to_string(ls[a:b], chr(10)) AS run FROM f WHERE a IS NOT NULL AND b IS NOT NULL),
+c AS (SELECT doc_id, a, b, row_number() OVER (PARTITION BY run, b - a ORDER BY doc_id NULLS FIRST, a) AS place FROM r),
+g AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM c WHERE place > 1),
+p AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM g),
+h AS (SELECT doc_id, min(i) - 1 AS lo, max(i) - 1 AS hi FROM p GROUP BY doc_id, island),
+k AS (SELECT doc_id, sum(hi - lo + 1)::INTEGER AS removed_lines,
+             string_agg(lo::VARCHAR || '-' || hi::VARCHAR, ',' ORDER BY lo) AS removed_spans FROM h GROUP BY doc_id),
+j AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
+SELECT x.doc_id,
+       CASE WHEN k.doc_id IS NULL THEN x.text
+            ELSE array_to_string(list_transform(list_filter(range(1, len(d.ls) + 1), lambda i: NOT list_contains(j.gone, i)),
+                                                lambda i: d.ls[i]), chr(10)) END AS text,
+       coalesce(removed_lines, 0) AS removed_lines, coalesce(removed_spans, '') AS removed_spans
+FROM documents x LEFT JOIN d ON x.doc_id = d.doc_id LEFT JOIN k ON x.doc_id = k.doc_id LEFT JOIN j ON x.doc_id = j.doc_id
+"""
+
+ORACLE = {"op1_line_dedup": OP1, "op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}

@@ -5,13 +5,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrecon.llm import mixing, sharding, url_filter
+from feedrecon.llm import line_dedup, mixing, sharding, simhash, url_filter
 from feedrecon.llm.oracle import ORACLE
 from feedrecon.llm.util import table
 
 SHARDS = 8
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"),
                                   url_filter.rules_table(spark, url_filter.RULES))
@@ -26,5 +34,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * SHARDS)
 
 
-REGISTRY = {f.__name__: f for f in (op4_url_filter, op5_source_mixing, op10_sharding)}
+REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_url_filter, op5_source_mixing, op10_sharding)}
 ORACLE = {k: v for k, v in ORACLE.items() if k in REGISTRY}
