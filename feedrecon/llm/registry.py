@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrecon.llm import line_dedup, mixing, sharding, simhash, url_filter
+from feedrecon.llm import bpe, line_dedup, mixing, quality, sharding, simhash, token_files, url_filter
 from feedrecon.llm.oracle import ORACLE
 from feedrecon.llm.util import table
+from feedrecon.session import new_work_dir
 
 SHARDS = 8
 
@@ -30,9 +31,41 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def encoded_documents(spark: SparkSession, docs: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Ids, decoded again, as digests per document; with the ids themselves if asked for."""
+    import public_tokenizers
+    ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    rows = bpe.decode(rows, ranks, public_tokenizers.PATTERN)
+    return rows.select("doc_id", *bpe.digests(rows), *(["ids"] if keep_ids else []))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    tokenizer = token_files.load_tokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                             new_work_dir(spark, "token-files"), tokenizer, end_id=1)
+    return token_files.read_token_files(manifest)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * SHARDS)
 
 
-REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_url_filter, op5_source_mixing, op10_sharding)}
+REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_url_filter, op5_source_mixing, op6_bpe, op8_token_files, op9_quality,
+                                    op10_sharding, pipeline)}
 ORACLE = {k: v for k, v in ORACLE.items() if k in REGISTRY}
