@@ -106,4 +106,29 @@ SELECT x.doc_id,
 FROM documents x LEFT JOIN d ON x.doc_id = d.doc_id LEFT JOIN k ON x.doc_id = k.doc_id LEFT JOIN j ON x.doc_id = j.doc_id
 """
 
-ORACLE = {"op1_line_dedup": OP1, "op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}
+OP7 = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+      FROM e q, e d WHERE q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+OP3 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+      WHERE a.usable AND b.usable AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+c AS (SELECT a AS x, b AS y FROM l UNION SELECT c.x, l.b FROM c JOIN l ON c.y = l.a),
+m AS (SELECT x, min(y) AS y FROM c GROUP BY x),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m.y, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(m.y, vec_id)) AS kept
+FROM v LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.x
+"""
+
+ORACLE = {"op3_embedding_dedup": OP3, "op7_exact_topk": OP7, "op1_line_dedup": OP1, "op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}

@@ -4,8 +4,9 @@ production parameters over whole tables, and their DuckDB SQL."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedrecon.llm import bpe, line_dedup, mixing, quality, sharding, simhash, token_files, url_filter
+from feedrecon.llm import bpe, hnsw, line_dedup, mixing, quality, sharding, simhash, token_files, topk, url_filter
 from feedrecon.llm.oracle import ORACLE
 from feedrecon.llm.util import table
 from feedrecon.session import new_work_dir
@@ -21,6 +22,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"),
                                   url_filter.rules_table(spark, url_filter.RULES))
@@ -44,6 +49,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding").select(
+        F.col("vec_id").alias("id"), topk.scaled(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors.where("id % 20 = 0"), vectors)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     tokenizer = token_files.load_tokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
@@ -66,6 +77,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * SHARDS)
 
 
-REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op4_url_filter, op5_source_mixing, op6_bpe, op8_token_files, op9_quality,
+REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_embedding_dedup, op4_url_filter, op5_source_mixing, op6_bpe, op7_exact_topk, op8_token_files, op9_quality,
                                     op10_sharding, pipeline)}
 ORACLE = {k: v for k, v in ORACLE.items() if k in REGISTRY}
