@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedrecon.llm.util import WORD, remove, stored
+from feedrecon.llm.util import WORD, boxed, field, remove, stored, unboxed
 
 #: A repeated run is deleted from this many words on.
 MIN_WORDS = 50
@@ -151,17 +151,14 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_word
     document, so they don't make each other copies and all get the same result;
     rows of equal id and different text are ordered by the text's hash; an
     empty table stays empty. Lines end at ``\\n``; blank lines count as one word."""
-    spans = repeated_spans(df, key, text, min_words).select(
-        F.col("d").alias("_d"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    body = F.col(f"`{text}`")
-    rows = df.join(spans.hint("shuffle_hash"),
-                   F.col(f"`{key}`").eqNullSafe(F.col("_d")) & (F.xxhash64(body) == F.col("_th")), "left")
+    spans = repeated_spans(df, key, text, min_words)
+    body = field(df, text)
+    rows = boxed(df).join(spans.hint("shuffle_hash"),
+                          field(df, key).eqNullSafe(F.col("d")) & (F.xxhash64(body) == F.col("th")), "left")
     kept = F.array_join(F.filter(F.split(body, "\n"), lambda x, i: ~F.exists(
-        "_spans", lambda s: (i >= s["first"]) & (i <= s["last"]))), "\n")
-    removed = F.aggregate("_spans", F.lit(0), lambda n, s: (n + s["last"] - s["first"] + 1).cast("int"))
-    out = {c: F.col(f"`{c}`") for c in df.columns}
-    out[text] = F.when(F.col("_spans").isNull(), body).otherwise(kept)
-    out["removed_lines"] = F.coalesce(removed, F.lit(0))
-    out["removed_spans"] = F.coalesce(F.array_join(F.transform("_spans", lambda s: F.concat_ws("-", s["first"], s["last"])), ","),
-                                      F.lit(""))
-    return rows.select(*[c.alias(name) for name, c in out.items()])
+        "spans", lambda s: (i >= s["first"]) & (i <= s["last"]))), "\n")
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: (n + s["last"] - s["first"] + 1).cast("int"))
+    shown = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["first"], s["last"])), ",")
+    return unboxed(rows, df.columns, **{
+        text: F.when(F.col("spans").isNull(), body).otherwise(kept),
+        "removed_lines": F.coalesce(removed, F.lit(0)), "removed_spans": F.coalesce(shown, F.lit(""))})

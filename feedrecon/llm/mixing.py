@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.llm.sharding import uniform
-from feedrecon.llm.util import stored, word_count
+from feedrecon.llm.util import boxed, field, stored, unboxed, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -72,17 +72,13 @@ def _bin(rank: Column) -> Column:
     return F.least(F.floor(rank / (rank + F.lit(1.0)) * F.lit(BINS)), F.lit(BINS - 1)).cast("int")
 
 
-def documents_to_mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-                     doc_weight: str | None = None, seed: str = "mix") -> list[Column]:
+def documents_to_mix(key: Column, text: Column, source: Column, doc_weight: Column | None, seed: str) -> list[Column]:
     """The narrow columns a mix decides by: ``doc_id, size, source, g`` (weight),
     ``crc`` and ``u``, the document's stable random number: a hash of seed, key, size and checksum."""
-    k, body = F.col(f"`{key}`"), F.col(f"`{text}`")
-    g = F.lit(1.0) if doc_weight is None else F.greatest(
-        F.coalesce(F.col(f"`{doc_weight}`").cast("double"), F.lit(1.0)), F.lit(0.0))
-    size, crc = word_count(body), F.crc32(F.coalesce(body, F.lit("")).cast("binary"))
-    u = uniform(F.lit(seed), F.coalesce(k.cast("string"), F.lit("")), size.cast("string"), crc.cast("string"))
-    return [k.alias("doc_id"), size.alias("size"), F.col(f"`{source}`").alias("source"), g.alias("g"),
-            crc.alias("crc"), u.alias("u")]
+    g = F.lit(1.0) if doc_weight is None else F.greatest(F.coalesce(doc_weight.cast("double"), F.lit(1.0)), F.lit(0.0))
+    size, crc = word_count(text), F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    u = uniform(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")), size.cast("string"), crc.cast("string"))
+    return [key.alias("doc_id"), size.alias("size"), source.alias("source"), g.alias("g"), crc.alias("crc"), u.alias("u")]
 
 
 def _expected(max_copies: int) -> Column:
@@ -156,7 +152,8 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     document weights count as 1; rows equal in key, size and checksum are one
     document repeated and share one decision; an empty table gives an empty
     result; reruns agree."""
-    rows = stored(df.select(*documents_to_mix(df, key, text, source, doc_weight, seed)), "mix-rows")
+    of = [F.col(f"`{c}`") for c in (key, text, source)]
+    rows = stored(df.select(*documents_to_mix(*of, doc_weight and F.col(f"`{doc_weight}`"), seed)), "mix-rows")
     decisions = stored(decide(rows, weight, max_copies, share), "mix-decisions")
     return _copies(rows, decisions, max_copies).select(
         "doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
@@ -168,9 +165,9 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     """The documents of the mix: every row of ``df`` as often as it is taken,
     all its columns kept. Texts are read once more and never shuffled: the
     decision of a source is one row, and each document finds its copies alone."""
-    mine = documents_to_mix(df, key, text, source, doc_weight, seed)
-    decisions = stored(decide(stored(df.select(*mine), "mix-rows"), weight, max_copies, share), "mix-decisions")
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"), *mine)
+    names = dict(key=key, text=text, source=source, doc_weight=doc_weight)
+    narrow = stored(df.select(*documents_to_mix(**{k: v and F.col(f"`{v}`") for k, v in names.items()}, seed=seed)), "mix-rows")
+    decisions = stored(decide(narrow, weight, max_copies, share), "mix-decisions")
+    rows = boxed(df).select("row", *documents_to_mix(**{k: v and field(df, v) for k, v in names.items()}, seed=seed))
     taken = _copies(rows, decisions, max_copies).where(F.col("copies") > 0)
-    return (taken.select("whole_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-            .select("whole_row.*"))
+    return unboxed(taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")), df.columns)

@@ -121,8 +121,8 @@ def _sample(ids: DataFrame, n: int) -> DataFrame:
 
 def _features_of(docs: DataFrame, ids: DataFrame, key: str, text: str, n: int) -> np.ndarray:
     """Features of a bounded sample of documents; the ids (at most ``n``) are broadcast."""
-    rows = docs.join(F.broadcast(ids), F.col(f"`{key}`") == F.col("id"), "left_semi")
-    rows = rows.select(feature_column(F.col(f"`{text}`")).alias("x")).limit(n).toPandas()
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(ids), "id", "left_semi")
+    rows = rows.select(feature_column(F.col("text")).alias("x")).limit(n).toPandas()
     return np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), N_FEATURES)
 
 

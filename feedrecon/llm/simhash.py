@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.llm.components import connected_components
-from feedrecon.llm.util import stored
+from feedrecon.llm.util import boxed, field, stored, unboxed
 
 #: Fixed values of the fingerprint: hash seed and shingle length of the registered query.
 SEED, SHINGLE, MAX_BITS = 42, 3, 3
@@ -233,10 +233,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     kept: the one with the smallest id (then the smallest text hash; a row
     without an id only if the group has no id). Of rows equal in id and text one stays."""
     docs, nodes = _groups(df, key, text, shingle, max_bits)
-    kept = nodes.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th")).distinct()
-    th = F.xxhash64(F.col(f"`{text}`"))
-    rows = df.join(kept.hint("shuffle_hash"), F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left_semi")
-    if docs.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
-        return rows
-    one = Window.partitionBy(F.col(f"`{key}`"), th).orderBy(F.lit(0))
-    return rows.withColumn("_place", F.row_number().over(one)).where("_place = 1").drop("_place")
+    kept = nodes.select(F.col("first.doc_id").alias("id"), F.col("first.th").alias("th")).distinct()
+    name, th = field(df, key), F.xxhash64(field(df, text))
+    rows = boxed(df).join(kept.hint("shuffle_hash"), name.eqNullSafe(F.col("id")) & (th == F.col("th")), "left_semi")
+    if not docs.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
+        one = Window.partitionBy(name, th).orderBy(F.lit(0))
+        rows = rows.withColumn("place", F.row_number().over(one)).where("place = 1")
+    return unboxed(rows, df.columns)

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: The rules of the registered query as (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -141,9 +140,11 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_keys: int = MAX_KE
 
 
 def rules_table(spark, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """``verdict, key`` of rules given as (verdict, host, path)."""
-    return spark.createDataFrame([(v, h.translate(str.maketrans(_UPPER, _LOWER)) + p) for v, h, p in rules],
-                                 T.StructType([T.StructField("verdict", T.StringType()), T.StructField("key", T.StringType())]))
+    """``verdict, key`` of rules given as (verdict, host, path), as constants of the plan; read long lists as a table."""
+    rows = [F.struct(F.lit(v).alias("verdict"), F.lit(h.translate(str.maketrans(_UPPER, _LOWER)) + p).alias("key")) for v, h, p in rules]
+    if not rows:
+        return spark.range(0).select(F.lit("").alias("verdict"), F.lit("").alias("key"))
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.verdict", "r.key")
 
 
 def _shape(rules: DataFrame) -> tuple[int, list[int]]:

@@ -35,10 +35,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def plain(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named input columns, under the operator's own names, so that
-    further columns with clashing names never meet the operator's."""
-    return df.select(*[F.col(f"`{src}`").alias(name) for name, src in columns.items()])
+def boxed(df: DataFrame) -> DataFrame:
+    """All columns of ``df`` as one struct ``row`` (fields ``c0, c1, …`` by
+    place), so that no name of the input can clash with an operator's own."""
+    fields = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*fields).select(F.struct(*fields).alias("row"))
+
+
+def field(df: DataFrame, name: str) -> Column:
+    """The column ``name`` of ``df``, as a field of its ``boxed`` row."""
+    return F.col(f"row.c{df.columns.index(name)}")
+
+
+def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The input's columns again, by their names; ``changed`` ones replaced, or added at the end."""
+    old = [changed.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(columns)]
+    return rows.select(*old, *[x.alias(c) for c, x in changed.items() if c not in columns])
 
 
 def numbered(df: DataFrame, order: list[str], group: str | None = None, tag: str = "numbered") -> DataFrame:
