@@ -108,7 +108,9 @@ def later_copies(runs: DataFrame, ranks: DataFrame, k: int) -> DataFrame:
                    & (F.col("start") + F.col("n") - 2 ** k == F.col("i2")))
              .select(*DOC, "start", "n", "head", "tail", F.struct("d", "th", "start").alias("place")))
     named = stored(named, f"intervals-{k}")
-    first = named.groupBy("n", "head", "tail").agg(F.min("place").alias("first"))
+    # stored, so that the join below deals both sides anew and a hot interval can be split
+    first = stored(named.groupBy("n", "head", "tail").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("members"))
+                   .where("members > 1").drop("members"), f"first-copies-{k}")
     return named.join(first, ["n", "head", "tail"]).where("place > first").select(*DOC, "start", "n")
 
 

@@ -104,9 +104,9 @@ def decide(rows: DataFrame, weight: Column | None = None, max_copies: int = MAX_
                                       F.sum(F.col("size") * F.col("g")).alias("weighted"))
     goal = targets(sums.select("source", "source_size"), weight, max_copies, share)
     per_weight = F.when(F.col("weighted") > 0, F.col("target") / F.col("weighted")).otherwise(F.lit(0.0))
-    goal = (goal.join(sums.select(F.col("source").alias("of_source"), "weighted"),
-                      F.col("source").eqNullSafe(F.col("of_source")))
-            .select("of_source", "source_size", "target", per_weight.alias("per_weight")))
+    goal = stored(goal.join(sums.select(F.col("source").alias("of_source"), "weighted"),
+                            F.col("source").eqNullSafe(F.col("of_source")))
+                  .select("of_source", "source_size", "target", per_weight.alias("per_weight")), "mix-targets")
     r = _ranked(rows, goal, max_copies)
     # words still missing after the certain copies, and the bin of the ranking where they are reached
     bins = r.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("target").alias("target"),
