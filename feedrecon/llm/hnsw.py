@@ -35,7 +35,7 @@ THRESHOLD = 0.9
 DEGREE = 12
 BUILD_BEAM, FIRST_BEAM = 48, 16
 #: Vectors a shard holds at most (about), shards at least, queries of one task (about).
-SHARD, MIN_SHARDS, BLOCK = 32_768, 4, 4096
+SHARD, MIN_SHARDS, BLOCK = 32_768, 4, 16_384
 AUDITS, AUDIT_RECALL = 256, 0.97
 #: Candidates are taken from a little below the threshold in single precision, then verified.
 SLACK = 1e-4
@@ -249,10 +249,10 @@ def _build(threshold):
     def build(t: pa.Table) -> pa.Table:
         shard, node = t.column("shard")[0].as_py(), t.column("node").to_numpy()
         order = np.random.default_rng(shard).permutation(len(node))     # a random order draws the levels
-        u = unit(_matrix(t.column("v")))[order]
-        graph = audit(build_graph(u.astype(np.float32)), threshold, shard)
+        v = _matrix(t.column("v"))[order]
+        graph = audit(build_graph(unit(v).astype(np.float32)), threshold, shard)
         blob = io.BytesIO()
-        np.savez(blob, u=u, node=node[order], copies=t.column("copies").to_numpy()[order], beam=graph.beam,
+        np.savez(blob, v=v, node=node[order], copies=t.column("copies").to_numpy()[order], beam=graph.beam,
                  **{f"level{i}": links.astype(np.int32) for i, links in enumerate(graph.levels)})
         return pa.table({"dim": [t.column("dim")[0].as_py()], "shard": [shard], "graph": pa.array([blob.getvalue()], pa.binary()),
                          "beam": pa.array([graph.beam], pa.int32())},
@@ -266,7 +266,7 @@ def _query(threshold):
         out = {"node": [], "root": [], "n": []}
         if queries.num_rows and graphs.num_rows:
             with np.load(io.BytesIO(graphs.column("graph")[0].as_py())) as g:
-                u, node, copies = g["u"], g["node"], g["copies"]
+                u, node, copies = unit(g["v"]), g["node"], g["copies"]
                 levels = [g[f"level{i}"].astype(np.int64) for i in range(sum(k.startswith("level") for k in g))]
                 graph = Graph(u.astype(np.float32), levels, int(g["beam"]))
             mine, v = queries.column("node").to_numpy(), unit(_matrix(queries.column("v")))
