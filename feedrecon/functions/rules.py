@@ -89,9 +89,9 @@ def parse_issue_date(c: Column | str) -> Column:
     return F.when(F.year(d) >= 1, d)
 
 
-def normalise_status(c: Column | str) -> Column:
+def normalise_status(c: Column | str, words: dict[str, str] = STATUS_WORDS) -> Column:
     """Case-sensitive vocabulary lookup after trim; anything else is UNKNOWN."""
-    vocab = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in STATUS_WORDS.items()) + ")")
+    vocab = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
     return F.coalesce(F.try_element_at(vocab, strip_ws(blank_to_empty(c))), F.lit(UNKNOWN_STATUS))
 
 

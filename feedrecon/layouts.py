@@ -17,6 +17,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Slot columns: the cells of a legacy record after binding a layout's columns.
+SLOTS = ("raw_student_id", "raw_full_name", "raw_first_name", "raw_last_name", "raw_school_id",
+         "raw_type", "raw_issue_date", "raw_status", "raw_preferred", "raw_updated_at")
+
+
 @dataclass(frozen=True)
 class Layout:
     version: str
@@ -47,7 +52,7 @@ class Layout:
         return self.preferred_name is not None
 
     def source_for(self, slot: str) -> str | None:
-        """Source column bound to a canonical slot (see normalise.SLOTS)."""
+        """Source column bound to a canonical slot (``SLOTS``)."""
         return {
             "raw_student_id": self.student_id,
             "raw_full_name": self.full_name,
@@ -152,10 +157,10 @@ def layout(version: str) -> Layout:
         raise KeyError(f"unknown layout {version!r}; known: {', '.join(VERSIONS)}") from None
 
 
-def detection_order() -> list[Layout]:
+def detection_order(layouts: dict[str, Layout] = LAYOUTS) -> list[Layout]:
     """Layouts in the order a multi-match is resolved: larger fingerprint
     first, registry order among equals."""
-    return sorted(LAYOUTS.values(), key=lambda l: (-len(l.fingerprint), l.position))
+    return sorted(layouts.values(), key=lambda l: (-len(l.fingerprint), l.position))
 
 
 def fingerprints_df(spark: SparkSession) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedrecon.layouts import LAYOUTS, detection_order, fingerprints_df
+from feedrecon.layouts import LAYOUTS, Layout, detection_order, fingerprints_df
 
 UNKNOWN = "UNKNOWN"
 
@@ -27,22 +27,22 @@ def _has_all_sql(header: str, cols) -> str:
     return "(" + " AND ".join(f"coalesce(array_contains({header}, '{c}'), false)" for c in cols) + ")"
 
 
-def classify_sql(header: str = "header") -> tuple[str, str]:
+def classify_sql(header: str = "header", layouts: dict[str, Layout] = LAYOUTS) -> tuple[str, str]:
     """SQL for (winning layout or UNKNOWN, number of matching layouts) of a
     header array column: every fingerprint column must be in the header
     (``array_contains``); the CASE lists layouts larger-first, registry order
     among equals, so its first hit is the winner."""
-    flags = {v: _has_all_sql(header, l.fingerprint) for v, l in LAYOUTS.items()}
-    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order())
+    flags = {v: _has_all_sql(header, l.fingerprint) for v, l in layouts.items()}
+    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order(layouts))
                + f" ELSE '{UNKNOWN}' END")
     matches = "CAST(" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags.values()) + " AS BIGINT)"
     return version, matches
 
 
-def classify_headers(headers: DataFrame, header_col: str = "header") -> DataFrame:
+def classify_headers(headers: DataFrame, header_col: str = "header", layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """``feed, header`` → ``feed, header, version, matches`` (``matches`` = how
     many layouts fit; ``version`` = winner or UNKNOWN). One projection."""
-    version, matches = classify_sql(f"`{header_col}`")
+    version, matches = classify_sql(f"`{header_col}`", layouts)
     return headers.select("*", F.expr(version).alias("version"), F.expr(matches).alias("matches"))
 
 
@@ -73,10 +73,10 @@ def unknown_feeds(classified: DataFrame, header_col: str = "header") -> DataFram
             .select("feed", sorted_cols.alias("sorted_columns"), unknown_message(sorted_cols).alias("message")))
 
 
-def unknown_message(sorted_columns: Column) -> Column:
+def unknown_message(sorted_columns: Column, layouts: dict[str, Layout] = LAYOUTS) -> Column:
     """The text a failed detection reports (sorted columns + every fingerprint)."""
-    fps = "\n".join(f"  {v}: {sorted(l.fingerprint)}" for v, l in LAYOUTS.items())
+    fps = "\n".join(f"  {v}: {sorted(l.fingerprint)}" for v, l in layouts.items())
     cols = F.concat(F.lit("["), F.array_join(F.transform(F.split(sorted_columns, ","),
                                                           lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
-    return F.concat(F.lit("Unknown schema version. Column set does not match any of the 8 known fingerprints.\n"
+    return F.concat(F.lit(f"Unknown schema version. Column set does not match any of the {len(layouts)} known fingerprints.\n"
                           "Columns found: "), cols, F.lit("\nKnown fingerprints:\n" + fps))

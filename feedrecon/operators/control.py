@@ -2,12 +2,15 @@
 
 The legacy control table is one mutable row per layout (upsert / delete).
 Parquet has no MERGE, so every change is an event row appended under its run's
-own partition (``run_id=…/event=…``, rewritten whole on a retry, hence idempotent), and
+own partition (``run_id=…``, rewritten whole on a retry, hence idempotent), and
 the current state is a ``max_by`` over the log: one small aggregation per read.
 
-Log schema: ``schema_version, event ('advance'|'reset'), last_processed_at,
-last_run_row_count, last_run_timestamp, logged_at, step, run_id``. Order of
-events = (logged_at, step).
+Log schema: ``schema_version, event, last_processed_at, last_run_row_count,
+last_run_timestamp, logged_at, seq, step, run_id``; events are ``advance`` and
+``reset`` of a layout, and ``append`` or ``reload`` of a whole run (its rows
+count from then on; a reload hides all earlier runs). Order of events = (seq,
+step), with ``seq`` the run's place in the log, so equal or turned-back clocks
+change nothing.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from feedrecon.functions.rules import ntz
 from feedrecon.layouts import VERSIONS
+from feedrecon.session import read_table
 
 # ---------------------------------------------------------------------------
 # FIXED VALUE — the watermark of a layout that has none (first run).
@@ -28,23 +31,34 @@ EPOCH = _dt.datetime(2000, 1, 1)
 
 LOG_SCHEMA = ("schema_version string, event string, last_processed_at timestamp_ntz, "
               "last_run_row_count long, last_run_timestamp timestamp_ntz, logged_at timestamp_ntz, "
-              "step int, run_id string")
+              "seq long, step int, run_id string")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The whole log, or an empty frame of the log schema when nothing was written yet."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], LOG_SCHEMA)
+    return read_table(spark, path, LOG_SCHEMA)
 
 
-def as_seen_by(log: DataFrame, run_id: str, run_ts: _dt.datetime) -> DataFrame:
-    """The log as a run must see it: events of earlier runs plus the run's own
-    resets. A re-executed run therefore reads the same watermarks as its
-    first attempt and rewrites identical partitions (idempotent retries)."""
-    own = F.col("run_id") == run_id
-    return log.where((own & (F.col("event") == "reset")) | (~own & (F.col("logged_at") < ntz(run_ts))))
+def run_seq(log: DataFrame, run_id: str) -> int:
+    """A run's place in the log: the one it has (a re-executed run), else the next."""
+    r = log.agg(F.min(F.when(F.col("run_id") == run_id, F.col("seq"))).alias("own"), F.max("seq").alias("last")).first()
+    return r.own if r.own is not None else (r.last or 0) + 1
+
+
+def as_seen_by(log: DataFrame, seq: int) -> DataFrame:
+    """The log as the run at place ``seq`` must see it: the events of earlier
+    runs. A re-executed run therefore reads the same watermarks as its first
+    attempt and rewrites identical partitions (idempotent retries)."""
+    return log.where(F.col("seq") < seq)
+
+
+def visible_runs(log: DataFrame) -> list[str]:
+    """Runs whose rows count: completed, and none before the last completed full
+    reload. One short text per run."""
+    runs = log.where(F.col("event").isin("append", "reload"))
+    last = runs.agg(F.max(F.when(F.col("event") == "reload", F.col("seq")))).first()[0]
+    rows = runs.where(F.col("seq") >= (last if last is not None else 0)).select("run_id").distinct().collect()
+    return sorted(r.run_id for r in rows)
 
 
 def current_state(log: DataFrame) -> DataFrame:
@@ -52,7 +66,8 @@ def current_state(log: DataFrame) -> DataFrame:
     A reset (tombstone) hides earlier advances; ``created_at`` is the first
     advance after the latest reset (an upsert keeps it, a delete resets it).
     The log holds a handful of events per layout and run."""
-    order = F.struct("logged_at", "step")
+    order = F.struct("seq", "step")
+    log = log.where(F.col("event").isin("advance", "reset"))
     last_reset = F.max(F.when(F.col("event") == "reset", order)).over(Window.partitionBy("schema_version"))
     marked = log.withColumn("last_reset", last_reset)
     live_advance = (F.col("event") == "advance") & (F.col("last_reset").isNull() | (order > F.col("last_reset")))
@@ -66,17 +81,17 @@ def current_state(log: DataFrame) -> DataFrame:
             .orderBy("schema_version"))
 
 
-def watermarks(state: DataFrame, epoch: _dt.datetime = EPOCH) -> DataFrame:
+def watermarks(state: DataFrame, epoch: _dt.datetime = EPOCH, versions=VERSIONS) -> DataFrame:
     """SCL-9/JON-3: ``ver, watermark`` for every known layout, the epoch where
     none is stored. At most one row per layout, so it is safe to broadcast."""
     spark = state.sparkSession
-    known = spark.createDataFrame([(v,) for v in VERSIONS], "ver string")
+    known = spark.createDataFrame([(v,) for v in versions], "ver string")
     s = state.select(F.col("schema_version").alias("ver"), "last_processed_at")
     return known.join(s, "ver", "left").select(
         "ver", F.coalesce("last_processed_at", ntz(epoch)).alias("watermark"))
 
 
-def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str) -> DataFrame:
+def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str, seq: int) -> DataFrame:
     """ING-3/SNK-3: an ``advance`` event per layout whose run may move its
     watermark (no mapping errors, or at least one row mapped). ``decisions``
     has ``ver, mapped_rows, mapping_errors`` and optionally ``advance_to``
@@ -87,22 +102,27 @@ def advance_events(decisions: DataFrame, run_ts: _dt.datetime, run_id: str) -> D
     return decisions.where(ok).select(
         F.col("ver").alias("schema_version"), F.lit("advance").alias("event"), to.alias("last_processed_at"),
         F.col("mapped_rows").cast("long").alias("last_run_row_count"), ts.alias("last_run_timestamp"),
-        ts.alias("logged_at"), F.lit(1).alias("step"), F.lit(run_id).alias("run_id"))
+        ts.alias("logged_at"), F.lit(seq).cast("long").alias("seq"), F.lit(1).alias("step"), F.lit(run_id).alias("run_id"))
 
 
-def reset_events(spark: SparkSession, run_ts: _dt.datetime, run_id: str, versions=None) -> DataFrame:
+def reset_events(spark: SparkSession, run_ts: _dt.datetime, run_id: str, seq: int, versions=None) -> DataFrame:
     """SNK-4: tombstones for one, several or all layouts."""
     vs = list(versions) if versions else list(VERSIONS)
-    rows = [(v, "reset", None, None, None, run_ts, 0, run_id) for v in vs]
+    rows = [(v, "reset", None, None, None, run_ts, seq, 0, run_id) for v in vs]
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def run_event(spark: SparkSession, run_ts: _dt.datetime, run_id: str, seq: int, reload: bool) -> DataFrame:
+    """The run completed: its rows count, after a reload only its and later ones."""
+    return spark.createDataFrame([(None, "reload" if reload else "append", None, None, None, run_ts, seq, 2, run_id)], LOG_SCHEMA)
+
+
 def append_events(events: DataFrame, log_path: str) -> None:
-    """Write a run's events under its own ``run_id/event`` partition; a retried
-    run replaces its own events only (dynamic partition overwrite)."""
-    (events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "event").parquet(log_path))
+    """Write a run's events as one file under its own ``run_id`` partition, so they
+    appear together; a retried run replaces its own events only (dynamic partition overwrite)."""
+    (events.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(log_path))
 
 
 def reset(spark: SparkSession, log_path: str, run_ts: _dt.datetime, run_id: str, versions=None) -> None:
-    append_events(reset_events(spark, run_ts, run_id, versions), log_path)
+    append_events(reset_events(spark, run_ts, run_id, run_seq(read_log(spark, log_path), run_id), versions), log_path)

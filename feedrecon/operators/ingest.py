@@ -1,15 +1,12 @@
 """J3 — incremental ingest: watermark filter → map → stage → advance.
 
 One plan for all delivered feeds (slot form, ``feed`` + ``ver`` per record):
-the watermarks (≤ one row per layout) are broadcast into the feed scan, the
-source is scanned **once**, every record is flagged ``extracted`` or not and
-only extracted records go through the mapping rules; that frame is persisted
-(a skipped record keeps just its feed name, layout and flag) and feeds the
-staging write, the quarantine write and the per-feed summary. The control
-log is appended last, only after the staging write succeeded. Staging is partitioned by
-``run_id, source_schema_version`` and written with dynamic partition
-overwrite, so re-running a run (after an executor loss or a driver retry)
-replaces exactly that run's partitions and never duplicates rows.
+the watermarks (≤ one row per layout) are broadcast into the feed scan, only
+extracted records go through the mapping rules, and accepted and rejected rows
+are written once, in one pass, under the run's own folder (nothing is cached).
+Staging and quarantine are views of that table over the runs that count, so a
+re-run (after an executor loss or a driver retry) replaces exactly its own
+rows, and a run that did not finish shows nothing.
 """
 
 from __future__ import annotations
@@ -17,13 +14,21 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedrecon.functions import rules as R
+from feedrecon.layouts import LAYOUTS, SLOTS, Layout
 from feedrecon.operators import control as CT
 from feedrecon.operators import normalise as N
+from feedrecon.session import read_table
+
+LOADS_SCHEMA = ("student_id string, first_name string, last_name string, preferred_name string, school_id string, "
+                "credential_type string, issue_date date, status string, source_schema_version string, "
+                "source_student_id string, staged_at timestamp_ntz, feed string, updated_ts timestamp_ntz, "
+                "accepted boolean, reasons array<string>, " + ", ".join(f"{c} string" for c in SLOTS) + ", run_id string")
+SUMMARY_SCHEMA = ("schema_version string, file string, total_rows long, extracted_rows long, mapped_rows long, "
+                  "mapping_errors long, no_update_time_rows long, skipped_rows long, max_updated_at timestamp_ntz, run_id string")
 
 
 @dataclass(frozen=True)
@@ -32,12 +37,9 @@ class Tables:
     root: str
 
     @property
-    def staging(self) -> str:
-        return f"{self.root}/staging"
-
-    @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
+    def loads(self) -> str:
+        """Loaded rows, one folder per run, accepted (staging) and rejected (quarantine) apart."""
+        return f"{self.root}/loads"
 
     @property
     def control(self) -> str:
@@ -66,33 +68,37 @@ def incremental_extract(feed_df: DataFrame, marks: DataFrame) -> DataFrame:
     return j.where(_extracted()).drop("watermark")
 
 
-def summary_of(tagged: DataFrame) -> DataFrame:
+def load_rows(extracted: DataFrame, run_ts: _dt.datetime, keep_update_time: bool = False,
+              layouts: dict[str, Layout] = LAYOUTS, status_words: dict[str, str] = R.STATUS_WORDS) -> DataFrame:
+    """The rows a run stores: canonical columns, ``accepted``, the reasons and
+    raw cells of rejected rows (to replay them), and the update time if asked for."""
+    updated = R.lenient_updated_at(F.col("raw_updated_at")) if keep_update_time else F.lit(None).cast("timestamp_ntz")
+    t = N.tag(extracted.withColumn("updated_ts", updated), "feed", "updated_ts", *SLOTS, run_ts=run_ts,
+              layouts=layouts, status_words=status_words)
+    rejected = ~F.col("accepted")
+    return t.select(*N.STAGING, "feed", "updated_ts", "accepted", F.when(rejected, F.col("reasons")).alias("reasons"),
+                    *[F.when(rejected, F.col(c)).alias(c) for c in SLOTS])
+
+
+def summary_of(seen: DataFrame, loaded: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """AGG-11: per delivered file — total, extracted, mapped, mapping errors,
     skipped (= total − extracted), and the records with no usable update time
-    (re-extracted on every run, P2), from the flagged and tagged records of a run.
-    Map-side partial aggregation; the key space is the number of files."""
-    ok = F.col("extracted") & F.col("accepted")
-    bad = F.col("extracted") & ~F.col("accepted")
-    return (tagged.groupBy(F.col("source_schema_version").alias("schema_version"), F.col("feed").alias("file"))
-            .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
-                 F.count_if(ok).alias("mapped_rows"), F.count_if(bad).alias("mapping_errors"),
-                 F.count_if("no_update_time").alias("no_update_time_rows"))
-            .withColumn("skipped_rows", F.col("total_rows") - F.col("extracted_rows")))
-
-
-def flag_and_tag(feed_df: DataFrame, marks: DataFrame, run_ts: _dt.datetime | None = None,
-                 keep_update_time: bool = False) -> DataFrame:
-    """Every record with its ``extracted`` flag (FLT-1 against the broadcast
-    watermarks); the mapping rules run only for extracted records."""
-    flagged = (feed_df.join(F.broadcast(marks), "ver", "left")
-               .withColumn("extracted", _extracted()).withColumn("no_update_time", _no_update_time())
-               .drop("watermark"))
-    keep = ["feed", "extracted", "no_update_time"]
-    if keep_update_time:      # only the max_updated_at advance needs the parsed time
-        flagged = flagged.withColumn("updated_ts", F.when(F.col("extracted"),
-                                                          R.lenient_updated_at(F.col("raw_updated_at"))))
-        keep.append("updated_ts")
-    return N.tag(flagged, *keep, run_ts=run_ts, only_when=F.col("extracted"))
+    (re-extracted on every run, P2). ``seen`` counts the source, ``loaded`` what was
+    stored; ``files`` (``feed, ver``) lists every recognised file, so one without a record has its row too."""
+    mapped = loaded.groupBy(F.col("feed").alias("file"), F.col("source_schema_version").alias("schema_version")).agg(
+        F.count_if("accepted").alias("mapped_rows"), F.count_if(~F.col("accepted")).alias("mapping_errors"),
+        F.max(F.when(F.col("accepted"), F.col("updated_ts"))).alias("max_updated_at"))
+    every = seen.select(F.col("feed").alias("file"), F.col("ver").alias("schema_version"), "total_rows", "extracted_rows",
+                        "no_update_time_rows")
+    if files is not None:
+        none = [F.lit(0).cast("long").alias(c) for c in ("total_rows", "extracted_rows", "no_update_time_rows")]
+        every = every.unionByName(files.select(F.col("feed").alias("file"), F.col("ver").alias("schema_version"), *none)) \
+            .groupBy("file", "schema_version").agg(*[F.sum(c).alias(c) for c in
+                                                     ("total_rows", "extracted_rows", "no_update_time_rows")])
+    j = every.join(mapped, ["file", "schema_version"], "left")
+    return j.select("schema_version", "file", "total_rows", "extracted_rows",
+                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("mapped_rows", "mapping_errors")],
+                    "no_update_time_rows", (F.col("total_rows") - F.col("extracted_rows")).alias("skipped_rows"), "max_updated_at")
 
 
 def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFrame:
@@ -113,63 +119,78 @@ def run_totals(summary: DataFrame, unknown_feeds: int | DataFrame = 0) -> DataFr
 
 
 def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts: _dt.datetime, run_id: str,
-               full_reload: bool = False, advance: str = "run_ts") -> DataFrame:
+               full_reload: bool = False, advance: str = "run_ts", files: DataFrame | None = None,
+               watermark: bool = True, layouts: dict[str, Layout] = LAYOUTS,
+               status_words: dict[str, str] = R.STATUS_WORDS) -> DataFrame:
     """ING-1/ING-2: one incremental run over all delivered feeds. Returns the
     run summary read back from storage (one row per feed).
 
-    Order: (full reload: reset events, staging overwritten) → watermarks read
-    once, from the events before this run (P5: a second feed of a layout sees
-    the same watermark; a re-executed run sees what its first attempt saw) → one
-    scan: flag + map the extracted records (persisted) → write staging,
-    quarantine, summary → append the advance events last.
+    Order: watermarks read once, from the runs before this one (P5: a second
+    feed of a layout sees the same watermark; a re-executed run sees what its
+    first attempt saw) → the extracted records mapped and written once, under the
+    run's own folder, accepted and rejected apart → the summary, from what was
+    written and a count of the source that reads two columns → last, in one file, the run's events:
+    resets (full reload), advances, and the event that makes its rows count.
+    Until then the table shows the runs before, whatever failed on the way.
 
+    ``full_reload`` reads against the epoch and hides every earlier run.
+    ``watermark=False`` loads every record (a stream whose source already hands over each file once).
     ``advance="run_ts"`` (legacy) moves a layout's watermark to the run time;
     ``advance="max_updated_at"`` moves it to the newest update time among the
     run's mapped records (never backwards), so a record stamped before the
-    run but delivered after it is not lost (P3)."""
+    run but delivered after it is not lost (P3). ``files`` (``feed, ver``)
+    lists the recognised files, so that one without a record is summarised and advances."""
     if advance not in ("run_ts", "max_updated_at"):
         raise ValueError(f"advance must be 'run_ts' or 'max_updated_at', not {advance!r}")
-    if full_reload:
-        CT.reset(spark, target.control, run_ts, run_id)
-    marks = CT.watermarks(CT.current_state(CT.as_seen_by(CT.read_log(spark, target.control), run_id, run_ts)))
-    # One scan: every record gets its ``extracted`` flag; the mapping rules run
-    # only for extracted records. Persisted once, the frame feeds the staging
-    # write, the quarantine write and the per-feed summary; a skipped record
-    # costs only its feed name, layout and flag in the cache.
+    log = CT.read_log(spark, target.control)
+    seq = CT.run_seq(log, run_id)
+    state = CT.current_state(CT.as_seen_by(log, 0 if full_reload else seq))
+    marks = CT.watermarks(state, versions=list(layouts))
     by_update_time = advance == "max_updated_at"
-    tagged = flag_and_tag(feed_df, marks, run_ts, keep_update_time=by_update_time).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        delta = tagged.where("extracted")
-        aux = ["feed", "extracted", "no_update_time"] + (["updated_ts"] if by_update_time else [])
-        staged = N.accepted(delta).drop(*aux).withColumn("run_id", F.lit(run_id))
-        mode = "static" if full_reload else "dynamic"
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy("run_id", "source_schema_version").parquet(target.staging))
-        (N.quarantined(delta).drop(*aux[1:]).withColumn("run_id", F.lit(run_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
-         .parquet(target.quarantine))
-        summary = summary_of(tagged).withColumn("run_id", F.lit(run_id))
-        (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
-         .parquet(target.summaries))
-        # advance decisions per layout from the same persisted frame (no re-read),
-        # appended only now that staging, quarantine and summary are written
-        counts = [F.count_if(F.col("extracted") & F.col("accepted")).alias("mapped_rows"),
-                  F.count_if(F.col("extracted") & ~F.col("accepted")).alias("mapping_errors")]
-        if by_update_time:
-            counts.append(F.max(F.when(F.col("accepted"), F.col("updated_ts"))).alias("max_updated_at"))
-        decisions = tagged.groupBy(F.col("source_schema_version").alias("ver")).agg(*counts)
-        if by_update_time:
-            decisions = decisions.join(F.broadcast(marks), "ver", "left").withColumn(
-                "advance_to", F.coalesce(F.greatest("max_updated_at", "watermark"), F.col("watermark")))
-        CT.append_events(CT.advance_events(decisions, run_ts, run_id), target.control)
-    finally:
-        tagged.unpersist()
-    return spark.read.parquet(target.summaries).where(F.col("run_id") == run_id).drop("run_id")
+    flagged = feed_df.join(F.broadcast(marks), "ver", "left").withColumn("extracted", _extracted() if watermark else F.lit(True))
+    load = load_rows(flagged.where("extracted"), run_ts, by_update_time, layouts, status_words)
+    (load.write.mode("overwrite").partitionBy("accepted", "source_schema_version")
+     .parquet(f"{target.loads}/run_id={run_id}"))
+    loaded = read_loads(spark, target).where(F.col("run_id") == run_id)
+    seen = flagged.groupBy("feed", "ver").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if("extracted").alias("extracted_rows"),
+        F.count_if(_no_update_time()).alias("no_update_time_rows"))
+    summary_of(seen, loaded, files).write.mode("overwrite").parquet(f"{target.summaries}/run_id={run_id}")
+    summary = read_summaries(spark, target).where(F.col("run_id") == run_id)
+    decisions = summary.groupBy(F.col("schema_version").alias("ver")).agg(
+        F.sum("mapped_rows").alias("mapped_rows"), F.sum("mapping_errors").alias("mapping_errors"),
+        F.max("max_updated_at").alias("max_updated_at"))
+    if by_update_time:
+        decisions = decisions.join(F.broadcast(marks), "ver", "left").withColumn(
+            "advance_to", F.coalesce(F.greatest("max_updated_at", "watermark"), F.col("watermark")))
+    events = CT.advance_events(decisions, run_ts, run_id, seq).unionByName(CT.run_event(spark, run_ts, run_id, seq, full_reload))
+    if full_reload:
+        events = events.unionByName(CT.reset_events(spark, run_ts, run_id, seq, list(layouts)))
+    CT.append_events(events, target.control)
+    return summary.drop("run_id", "max_updated_at")
+
+
+def read_loads(spark: SparkSession, target: Tables) -> DataFrame:
+    """Every stored row, of unfinished and hidden runs too."""
+    return read_table(spark, target.loads, LOADS_SCHEMA)
+
+
+def read_summaries(spark: SparkSession, target: Tables) -> DataFrame:
+    return read_table(spark, target.summaries, SUMMARY_SCHEMA)
+
+
+def _visible(spark: SparkSession, target: Tables) -> DataFrame:
+    runs = CT.visible_runs(CT.read_log(spark, target.control))
+    return read_loads(spark, target).where(F.col("run_id").isin(runs) if runs else F.lit(False))
 
 
 def read_staging(spark: SparkSession, target: Tables) -> DataFrame:
-    return spark.read.parquet(target.staging)
+    """SNK-5: the accepted rows of the runs that count."""
+    return _visible(spark, target).where("accepted").select(*N.STAGING, "run_id")
 
 
 def read_quarantine(spark: SparkSession, target: Tables) -> DataFrame:
-    return spark.read.parquet(target.quarantine)
+    """The rejected rows of the runs that count, with every broken rule, the
+    first one, and their raw cells as delivered."""
+    return (_visible(spark, target).where(~F.col("accepted"))
+            .select(*N.STAGING, "feed", "reasons", F.element_at("reasons", 1).alias("reason"), *SLOTS, "run_id"))

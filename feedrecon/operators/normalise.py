@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedrecon.functions import rules as R
-from feedrecon.layouts import FULL_NAME_VERSIONS, PREFERRED_VERSIONS, Layout
-from feedrecon.sources.fixtures import SLOTS
+from feedrecon.layouts import LAYOUTS, SLOTS, Layout
 
 CANONICAL = ("student_id", "first_name", "last_name", "preferred_name", "school_id", "credential_type",
              "issue_date", "status", "source_schema_version", "source_student_id")
@@ -45,15 +44,14 @@ def bind_layout(df: DataFrame, lay: Layout, *keep: str) -> DataFrame:
 
 
 def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
-        only_when: Column | None = None) -> DataFrame:
+        layouts: dict[str, Layout] = LAYOUTS, status_words: dict[str, str] = R.STATUS_WORDS) -> DataFrame:
     """Canonical columns plus ``accepted`` and ``reasons`` (array of broken
     rules, empty when the row is accepted). ``keep`` names pass-through columns (lineage, feed).
-    With ``only_when`` the rules run only for rows meeting it (the others get
-    NULL canonical columns and NULL ``reasons``; ``source_schema_version`` is
-    always set)."""
+    ``layouts`` says which versions carry one full name and which a preferred name."""
     ver = F.col("ver")
     full_first, full_last = R.split_full_name("raw_full_name")
-    is_full = ver.isin(*FULL_NAME_VERSIONS)
+    is_full = ver.isin(*[v for v, lay in layouts.items() if lay.has_full_name])
+    has_preferred = ver.isin(*[v for v, lay in layouts.items() if lay.has_preferred])
     raw_id = F.col("raw_student_id")
     raw_school = F.col("raw_school_id")
     issue = R.parse_issue_date(F.col("raw_issue_date"))
@@ -69,12 +67,12 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
         "student_id": R.normalise_student_id(raw_id),
         "first_name": F.when(is_full, full_first).otherwise(R.strip_ws(R.blank_to_empty("raw_first_name"))),
         "last_name": F.when(is_full, full_last).otherwise(R.strip_ws(R.blank_to_empty("raw_last_name"))),
-        "preferred_name": F.when(ver.isin(*PREFERRED_VERSIONS), R.clean_optional(R.blank_to_empty("raw_preferred")))
+        "preferred_name": F.when(has_preferred, R.clean_optional(R.blank_to_empty("raw_preferred")))
                            .otherwise(F.lit(None).cast("string")),
         "school_id": R.strip_ws(R.blank_to_empty(raw_school)),
         "credential_type": R.normalise_code("raw_type"),
         "issue_date": issue,
-        "status": R.normalise_status("raw_status"),
+        "status": R.normalise_status("raw_status", status_words),
         "source_schema_version": ver,
         "source_student_id": R.strip_ws(R.blank_to_empty(raw_id)),
     }
@@ -82,10 +80,7 @@ def tag(slot_df: DataFrame, *keep: str, run_ts: _dt.datetime | None = None,
         exprs["staged_at"] = R.ntz(run_ts)
     exprs["accepted"] = ok
     exprs["reasons"] = reasons
-    always = {"source_schema_version"}
-    return slot_df.select(*keep, *[
-        (e if only_when is None or name in always else F.when(only_when, e)).alias(name)
-        for name, e in exprs.items()])
+    return slot_df.select(*keep, *[e.alias(name) for name, e in exprs.items()])
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -302,7 +302,7 @@ def watermark_reset(spark, sf_dir):
 @query("watermark_advance")
 def watermark_advance(spark, sf_dir):
     t = S.two_runs(spark, sf_dir)
-    summ = spark.read.parquet(t.summaries).where("run_id = 'run2'")
+    summ = IG.read_summaries(spark, t).where("run_id = 'run2'")
     dec = summ.groupBy(F.col("schema_version")).agg(F.sum("mapped_rows").alias("mapped_rows"),
                                                    F.sum("mapping_errors").alias("mapping_errors"))
     adv = (F.col("mapping_errors") == 0) | (F.col("mapped_rows") > 0)
@@ -331,13 +331,13 @@ def full_reload(spark, sf_dir):
 @query("run_summary")
 def run_summary(spark, sf_dir):
     t = S.two_runs(spark, sf_dir)
-    return spark.read.parquet(t.summaries).where("run_id = 'run2'").drop("run_id")
+    return IG.read_summaries(spark, t).where("run_id = 'run2'").drop("run_id", "max_updated_at")
 
 
 @query("run_totals")
 def run_totals(spark, sf_dir):
     t = S.two_runs(spark, sf_dir)
-    return IG.run_totals(spark.read.parquet(t.summaries).where("run_id = 'run2'"))
+    return IG.run_totals(IG.read_summaries(spark, t).where("run_id = 'run2'"))
 
 
 @query("quarantine_table")

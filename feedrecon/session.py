@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -54,3 +54,19 @@ def work_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused sub folder of the work root for one job run."""
     return f"{work_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def glob_status(spark: SparkSession, pattern: str) -> list:
+    """What the session's Hadoop file system has under a path or glob (an empty
+    list if nothing); an unreachable or denied store raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return list(found) if found is not None else []
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table by its declared schema (partition columns included), also
+    while it is empty or was never written."""
+    if not glob_status(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
