@@ -12,7 +12,7 @@ and type conflicts together. Samples are the ten smallest offending values
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.functions import rules as R
@@ -101,6 +101,12 @@ def with_samples(stats: DataFrame, offenders: DataFrame, value: str, *order: str
                  F.transform(picks, lambda x: x["_s"]).alias("samples"))
 
 
+def result_struct_sql(*args, **kwargs) -> str:
+    """The same as one struct, for several rows in one array."""
+    pairs = [x.rsplit(" AS ", 1) for x in result_sql(*args, **kwargs)]
+    return "named_struct(" + ", ".join(f"'{name}', {expr}" for expr, name in pairs) + ")"
+
+
 # ----------------------------------------------------------------------------- J4
 def source_counts(feeds: DataFrame) -> DataFrame:
     """Records per delivered feed: ``feed, ver, source_count`` (``ver`` NULL for
@@ -161,45 +167,48 @@ def null_profile(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFra
                         "CASE WHEN total > 0 THEN r.null_count / total * 100 ELSE 0.0D END AS null_pct"))
 
 
+def null_rows_sql(thresholds, total: str, counts: list[str]) -> str:
+    """CHK-3/CHK-4 result rows (SQL array of structs) from SQL for the total and the null counts."""
+    per_col = []
+    for i, (c, limit, severity) in enumerate(thresholds):
+        p = f"(CASE WHEN {total} > 0 THEN {counts[i]} / {total} * 100 ELSE 0.0D END)"
+        lim = repr(float(limit))
+        ok = f"({p} <= {lim}D)"
+        detail = (f"concat('null_count=', format_number({counts[i]}, 0), ', null_pct=', format_number({p}, '0.00'), "
+                  f"CASE WHEN {ok} THEN '% (threshold={lim}%)' ELSE '% EXCEEDS threshold={lim}%' END)")
+        per_col.append(result_struct_sql(2, i + 1, NULLS, sql_str(f"Null check: {c}"), f"CASE WHEN {ok} THEN 'PASS' ELSE '{severity}' END",
+                                         f"'{severity}'", detail, sql_str(f"≤{lim}%"), f"concat(format_number({p}, '0.00'), '%')"))
+    empty = result_struct_sql(2, 1, NULLS, "'Null assertions: staging table'", "'FAIL'", "'FAIL'",
+                              "'Staging table is empty — no records to check'")
+    return f"CASE WHEN {total} = 0 THEN array({empty}) ELSE array({', '.join(per_col)}) END"
+
+
 def null_assertions(staging: DataFrame, thresholds=NULL_THRESHOLDS) -> DataFrame:
     """CHK-3/CHK-4: one row per column against its threshold; a single FAIL
     row when staging is empty. Everything comes from one aggregate; the
     per-column rows are one SQL expression (built JVM-side in one call)."""
     one = _null_counts(staging, [c for c, _, _ in thresholds])
+    rows = null_rows_sql(thresholds, "total", [f"n{i}" for i in range(len(thresholds))])
+    return one.selectExpr(f"explode({rows}) AS r").select("r.*")
 
-    def row(ordinal, seq, name, status, severity, detail, expected, actual):
-        return (f"named_struct('ordinal', {ordinal}, 'seq', {seq}, 'check_type', '{NULLS}', 'check_name', {name}, "
-                f"'status', {status}, 'severity', {severity}, 'detail', {detail}, 'expected', {expected}, "
-                f"'actual', {actual}, 'sample_values', CAST(array() AS ARRAY<STRING>))")
 
-    per_col = []
-    for i, (c, limit, severity) in enumerate(thresholds):
-        p = f"(CASE WHEN total > 0 THEN n{i} / total * 100 ELSE 0.0D END)"
-        lim = repr(float(limit))
-        ok = f"({p} <= {lim}D)"
-        detail = (f"concat('null_count=', format_number(n{i}, 0), ', null_pct=', format_number({p}, '0.00'), "
-                  f"CASE WHEN {ok} THEN '% (threshold={lim}%)' ELSE '% EXCEEDS threshold={lim}%' END)")
-        per_col.append(row(2, i + 1, sql_str(f"Null check: {c}"), f"CASE WHEN {ok} THEN 'PASS' ELSE '{severity}' END",
-                           f"'{severity}'", detail, sql_str(f"≤{lim}%"), f"concat(format_number({p}, '0.00'), '%')"))
-    empty = row(2, 1, "'Null assertions: staging table'", "'FAIL'", "'FAIL'",
-                "'Staging table is empty — no records to check'", "CAST(NULL AS STRING)", "CAST(NULL AS STRING)")
-    rows = f"explode(CASE WHEN total = 0 THEN array({empty}) ELSE array({', '.join(per_col)}) END) AS r"
-    return one.selectExpr(rows).select("r.*")
+# ----------------------------------------------------------------------------- J6
+def id_format_sql(total: str, invalid: str, samples: str, column: str = "student_id") -> tuple:
+    """CHK-5's result from SQL for the row total, the invalid rows and their samples."""
+    return (3, 1, INTEGRITY, sql_str(f"{column}: format validation (6-digit numeric)"),
+            f"CASE WHEN {invalid} = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
+            f"CASE WHEN {invalid} = 0 THEN concat('All ', {sql_int(total)}, {sql_str(f' {column} values match expected format')}) "
+            f"ELSE concat({sql_int(invalid)}, {sql_str(f' {column} values do not match expected format')}) END",
+            "CAST(NULL AS STRING)", f"CASE WHEN {invalid} > 0 THEN CAST({invalid} AS STRING) END",
+            f"CASE WHEN {invalid} > 0 THEN {samples} ELSE CAST(array() AS ARRAY<STRING>) END")
 
 
-# ----------------------------------------------------------------------------- J6
 def check_id_format(staging: DataFrame, column: str = "student_id", pattern: str = ID_FORMAT) -> DataFrame:
     """CHK-5: values not matching the six-digit format."""
     bad = ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
     stats = staging.agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("invalid"))
     s = with_samples(stats, staging.where(bad), column)
-    return s.selectExpr(*result_sql(
-        3, 1, INTEGRITY, "'student_id: format validation (6-digit numeric)'",
-        "CASE WHEN invalid = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
-        f"CASE WHEN invalid = 0 THEN concat('All ', {sql_int('total')}, ' student_id values match expected format') "
-        f"ELSE concat({sql_int('invalid')}, ' student_id values do not match expected format') END",
-        actual="CASE WHEN invalid > 0 THEN CAST(invalid AS STRING) END",
-        samples="CASE WHEN invalid > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
+    return s.selectExpr(*result_sql(*id_format_sql("total", "invalid", "samples", column)))
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:
@@ -207,6 +216,26 @@ def value_histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# FIXED VALUES — the texts of the allowed-value checks (column -> passed, failed); any other column uses the second pair.
+ALLOWED_TEXTS = {
+    "credential_type": ("All credential_type values are in the allowed set ({n} types)",
+                        " records have unrecognised credential_type values: "),
+    None: ("All {column} values are in canonical set {values}", " records have non-canonical {column} values: "),
+}
+
+
+def allowed_sql(column: str, allowed, seq: int, fail_status: str, rows: str, values: str, samples: str) -> tuple:
+    """CHK-6/CHK-7's result from SQL for the offending rows, distinct values and samples."""
+    ok_text, bad_text = (t.format(n=len(allowed), column=column, values=sorted(allowed))
+                         for t in ALLOWED_TEXTS.get(column, ALLOWED_TEXTS[None]))
+    return (3, seq, INTEGRITY, sql_str(f"{column}: allowed values check"),
+            f"CASE WHEN {values} = 0 THEN 'PASS' ELSE '{fail_status}' END", f"'{fail_status}'",
+            f"CASE WHEN {values} = 0 THEN {sql_str(ok_text)} "
+            f"ELSE concat({sql_int(rows)}, {sql_str(bad_text)}, {sql_py_list(samples)}) END",
+            "CAST(NULL AS STRING)", f"CASE WHEN {values} > 0 THEN CAST({rows} AS STRING) END",
+            f"CASE WHEN {values} > 0 THEN {samples} ELSE CAST(array() AS ARRAY<STRING>) END")
+
+
 def check_allowed(staging: DataFrame, column: str, allowed, seq: int, fail_status: str) -> DataFrame:
     """CHK-6/CHK-7: values outside the allowed set, from the value histogram.
     The histogram has one row per distinct value, so the samples are distinct."""
@@ -216,19 +245,51 @@ def check_allowed(staging: DataFrame, column: str, allowed, seq: int, fail_statu
     stats = offenders.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("invalid_rows"),
                           F.count(F.lit(1)).alias("invalid_values"))
     s = with_samples(stats, offenders, "value")
-    if column == "credential_type":
-        ok_text = f"All credential_type values are in the allowed set ({len(allowed)} types)"
-        bad_text = " records have unrecognised credential_type values: "
-    else:
-        ok_text = f"All {column} values are in canonical set {sorted(allowed)}"
-        bad_text = f" records have non-canonical {column} values: "
-    return s.selectExpr(*result_sql(
-        3, seq, INTEGRITY, sql_str(f"{column}: allowed values check"),
-        f"CASE WHEN invalid_values = 0 THEN 'PASS' ELSE '{fail_status}' END", f"'{fail_status}'",
-        f"CASE WHEN invalid_values = 0 THEN {sql_str(ok_text)} "
-        f"ELSE concat({sql_int('invalid_rows')}, {sql_str(bad_text)}, {sql_py_list('samples')}) END",
-        actual="CASE WHEN invalid_values > 0 THEN CAST(invalid_rows AS STRING) END",
-        samples="CASE WHEN invalid_values > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
+    return s.selectExpr(*result_sql(*allowed_sql(column, allowed, seq, fail_status, "invalid_rows", "invalid_values", "samples")))
+
+
+def _one_row(facts: DataFrame) -> DataFrame:
+    """``kind, value, cnt`` → one row holding a map from kind to (rows ``n``,
+    distinct ``vals``, ten smallest values as ``dist`` and, repeated as
+    often as they occur, as ``smp``). Both aggregates read the same shuffle;
+    the ten are limited before it (window group limit)."""
+    sums = facts.groupBy("kind").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("vals"))
+    order = Window.partitionBy("kind").orderBy(F.col("value").asc_nulls_first())
+    top = (facts.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= SAMPLE_LIMIT)
+           .groupBy("kind").agg(F.array_sort(F.collect_list(F.struct("rn", "value", "cnt"))).alias("top")))
+    spread = F.flatten(F.transform("top", lambda x: F.array_repeat(x["value"], F.least(x["cnt"], F.lit(SAMPLE_LIMIT)).cast("int"))))
+    entry = F.struct("kind", F.struct("n", "vals", F.slice(spread, 1, SAMPLE_LIMIT).alias("smp"),
+                                      F.transform("top", lambda x: x["value"]).alias("dist")))
+    return sums.join(top, "kind", "left").agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+
+
+def _fact(kind: str, field: str) -> str:
+    if field in ("n", "vals"):
+        return f"coalesce(try_element_at(m, '{kind}').{field}, 0)"
+    return f"coalesce(try_element_at(m, '{kind}').{field}, CAST(array() AS ARRAY<STRING>))"
+
+
+def value_checks(staging: DataFrame, thresholds=NULL_THRESHOLDS, id_column: str = "student_id", id_pattern: str = ID_FORMAT,
+                 allowed=(("credential_type", ALLOWED_CREDENTIAL_TYPES, "FAIL"), ("status", ALLOWED_STATUSES, "WARNING"))) -> DataFrame:
+    """CHK-3 to CHK-7 from one scan: every row states its facts (that it is
+    one, its missing cells, its offending values), they are counted map-side, and all result rows
+    come from the counts. Same rows as the single checks."""
+    none = F.lit(None).cast("string")
+
+    def fact(kind, value, when=None):
+        f = F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+        return f if when is None else F.when(when, f)
+
+    facts = [fact("total", none), fact("id", F.col(id_column), ~F.coalesce(F.col(id_column).rlike(id_pattern), F.lit(False)))]
+    facts += [fact(f"null{i}", none, F.expr(_missing_sql(c))) for i, (c, _, _) in enumerate(thresholds)]
+    facts += [fact(f"not{i}", F.col(c), ~F.coalesce(F.col(c).isin(*vals), F.lit(False))) for i, (c, vals, _) in enumerate(allowed)]
+    rows = staging.select(F.explode(F.array_compact(F.array(*facts))).alias("f")).select("f.kind", "f.value")
+    one = _one_row(rows.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    nulls = null_rows_sql(thresholds, _fact("total", "n"), [_fact(f"null{i}", "n") for i in range(len(thresholds))])
+    others = [result_struct_sql(*id_format_sql(_fact("total", "n"), _fact("id", "n"), _fact("id", "smp"), id_column))]
+    others += [result_struct_sql(*allowed_sql(c, vals, 2 + i, severity, _fact(f"not{i}", "n"), _fact(f"not{i}", "vals"), _fact(f"not{i}", "dist")))
+               for i, (c, vals, severity) in enumerate(allowed)]
+    return one.selectExpr(f"explode(concat({nulls}, array({', '.join(others)}))) AS r").select("r.*")
 
 
 def referential_integrity(staging: DataFrame) -> DataFrame:
@@ -281,19 +342,22 @@ def conflicting(staging: DataFrame, key: str, column: str) -> DataFrame:
             .where(F.col("lo") != F.col("hi")).select(key))
 
 
+def school_conflicts_sql(n: str, samples: str) -> tuple:
+    """CHK-9's result from SQL for the number of students and their samples."""
+    return (4, 2, DUPLICATES, "'Conflict duplicates (same student_id, different school_id)'",
+            f"CASE WHEN {n} = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
+            f"CASE WHEN {n} = 0 THEN 'No student_ids with conflicting school_id found' "
+            f"ELSE concat({sql_int(n)}, ' student_ids appear with >1 distinct school_id — requires investigation "
+            "before Gold load') END",
+            "CAST(NULL AS STRING)", f"CASE WHEN {n} > 0 THEN CAST({n} AS STRING) END",
+            f"CASE WHEN {n} > 0 THEN {samples} ELSE CAST(array() AS ARRAY<STRING>) END")
+
+
 def check_school_conflicts(profile: DataFrame) -> DataFrame:
     """CHK-9 (FAIL): students linked to more than one school."""
     off = profile.where("multi_school")
-    stats = off.agg(F.count(F.lit(1)).alias("n"))
-    s = with_samples(stats, off, "student_id")
-    return s.selectExpr(*result_sql(
-        4, 2, DUPLICATES, "'Conflict duplicates (same student_id, different school_id)'",
-        "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END", "'FAIL'",
-        "CASE WHEN n = 0 THEN 'No student_ids with conflicting school_id found' "
-        f"ELSE concat({sql_int('n')}, ' student_ids appear with >1 distinct school_id — requires investigation "
-        "before Gold load') END",
-        actual="CASE WHEN n > 0 THEN CAST(n AS STRING) END",
-        samples="CASE WHEN n > 0 THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
+    s = with_samples(off.agg(F.count(F.lit(1)).alias("n")), off, "student_id")
+    return s.selectExpr(*result_sql(*school_conflicts_sql("n", "samples")))
 
 
 def duplicate_detection(staging: DataFrame, profile: DataFrame | None = None) -> DataFrame:
@@ -301,6 +365,22 @@ def duplicate_detection(staging: DataFrame, profile: DataFrame | None = None) ->
     return check_exact_duplicates(staging).unionByName(check_school_conflicts(profile))
 
 
+def cross_version_sql(multi: str, n: str, samples: str) -> tuple:
+    """CHK-10/CHK-11's result from SQL for the students in several versions, those that differ, and samples."""
+    hit = f"({multi} > 0 AND {n} > 0)"
+    return (5, 1, CONSISTENCY,
+            f"CASE WHEN {multi} = 0 THEN 'Students appearing in multiple schema versions' "
+            "ELSE 'Cross-version: credential_type consistency' END",
+            f"CASE WHEN {hit} THEN 'WARNING' ELSE 'PASS' END", "'WARNING'",
+            f"CASE WHEN {multi} = 0 THEN 'No student_ids appear across multiple schema versions' "
+            f"WHEN {n} = 0 THEN concat({sql_int(multi)}, ' students appear in multiple schema versions — all have "
+            "consistent credential_type') "
+            f"ELSE concat({sql_int(n)}, ' students have different credential_type values across schema versions — "
+            "review before deduplication') END",
+            "CAST(NULL AS STRING)", f"CASE WHEN {hit} THEN CAST({n} AS STRING) END",
+            f"CASE WHEN {hit} THEN {samples} ELSE CAST(array() AS ARRAY<STRING>) END")
+
+
 def check_cross_version(profile: DataFrame) -> DataFrame:
     """CHK-10/CHK-11: students in several versions; among them, those with
     more than one credential type (WARNING). A single PASS row when no
@@ -308,17 +388,15 @@ def check_cross_version(profile: DataFrame) -> DataFrame:
     multi = profile.where("multi_version")
     off = multi.where("multi_type")
     stats = multi.agg(F.count(F.lit(1)).alias("multi"), F.count_if(F.col("multi_type")).alias("n"))
-    s = with_samples(stats, off, "student_id")
-    hit = "(multi > 0 AND n > 0)"
-    return s.selectExpr(*result_sql(
-        5, 1, CONSISTENCY,
-        "CASE WHEN multi = 0 THEN 'Students appearing in multiple schema versions' "
-        "ELSE 'Cross-version: credential_type consistency' END",
-        f"CASE WHEN {hit} THEN 'WARNING' ELSE 'PASS' END", "'WARNING'",
-        "CASE WHEN multi = 0 THEN 'No student_ids appear across multiple schema versions' "
-        f"WHEN n = 0 THEN concat({sql_int('multi')}, ' students appear in multiple schema versions — all have "
-        "consistent credential_type') "
-        f"ELSE concat({sql_int('n')}, ' students have different credential_type values across schema versions — "
-        "review before deduplication') END",
-        actual=f"CASE WHEN {hit} THEN CAST(n AS STRING) END",
-        samples=f"CASE WHEN {hit} THEN samples ELSE CAST(array() AS ARRAY<STRING>) END"))
+    return with_samples(stats, off, "student_id").selectExpr(*result_sql(*cross_version_sql("multi", "n", "samples")))
+
+
+def student_checks(staging: DataFrame) -> DataFrame:
+    """CHK-9 to CHK-11 from one scan and one aggregate per student."""
+    profile = student_profile(staging.select("student_id", "school_id", "source_schema_version", "credential_type"))
+    kinds = F.array_compact(F.array(F.when(F.col("multi_school"), F.lit("school")), F.when(F.col("multi_version"), F.lit("multi")),
+                                    F.when(F.col("multi_version") & F.col("multi_type"), F.lit("type"))))
+    one = _one_row(profile.select(F.explode(kinds).alias("kind"), F.col("student_id").alias("value"), F.lit(1).cast("long").alias("cnt")))
+    rows = [result_struct_sql(*school_conflicts_sql(_fact("school", "n"), _fact("school", "smp"))),
+            result_struct_sql(*cross_version_sql(_fact("multi", "n"), _fact("type", "n"), _fact("type", "smp")))]
+    return one.selectExpr(f"explode(array({', '.join(rows)})) AS r").select("r.*")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.operators import checks as C
-from feedrecon.session import work_root
 
 REPORT_WIDTH = 74
 TITLE = "MIGRATION — RECONCILIATION REPORT"
@@ -17,24 +16,18 @@ class GateFailed(RuntimeError):
 
 
 def build_results(feed_counts: DataFrame, staging: DataFrame, tolerance_pct: float = C.DEFAULT_TOLERANCE_PCT,
-                  materialize_profile: bool = True) -> DataFrame:
+                  thresholds=C.NULL_THRESHOLDS, allowed_types=C.ALLOWED_CREDENTIAL_TYPES,
+                  allowed_statuses=C.ALLOWED_STATUSES) -> DataFrame:
     """CHK-12: all five check families in suite order, as one results frame.
 
-    ``staging`` has several consumers here (row counts, one null aggregate,
-    three integrity aggregates, the duplicate groups and the per-student
-    profile); pass a staging table read from storage. The per-student profile
-    feeds four consumers (two counts, two samples), so by default it is
-    computed once and its lineage cut with a reliable ``checkpoint()`` into
-    the session's checkpoint folder (one row per student, five columns)."""
-    profile = C.student_profile(staging)
-    if materialize_profile:
-        work_root(staging.sparkSession)      # the shared checkpoint folder (made only for local sessions)
-        profile = profile.checkpoint(eager=True)
+    Four scans of ``staging``: row counts (the version column alone), all value
+    checks together, duplicate groups, and the per-student profile. Nothing
+    runs while the plan is built. Pass a staging table read from storage."""
+    allowed = (("credential_type", allowed_types, "FAIL"), ("status", allowed_statuses, "WARNING"))
     return (C.reconcile_row_counts(feed_counts, staging, tolerance_pct)
-            .unionByName(C.null_assertions(staging))
-            .unionByName(C.referential_integrity(staging))
-            .unionByName(C.duplicate_detection(staging, profile))
-            .unionByName(C.check_cross_version(profile))
+            .unionByName(C.value_checks(staging, thresholds, allowed=allowed))
+            .unionByName(C.check_exact_duplicates(staging))
+            .unionByName(C.student_checks(staging))
             .select(*C.RESULT_COLUMNS))
 
 

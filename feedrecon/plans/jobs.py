@@ -6,6 +6,8 @@
 * ``reconcile_directory`` (CHK-12): the whole reconciliation suite — row
   counts per file (unknown files FAIL), null thresholds, integrity,
   duplicates, cross-version consistency — against the target's staging.
+
+Layouts, status words, thresholds and allowed values are parameters (§2.12).
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedrecon.functions.rules import STATUS_WORDS
+from feedrecon.layouts import LAYOUTS, Layout
+from feedrecon.operators import checks as C
 from feedrecon.operators import ingest as IG
 from feedrecon.operators import normalise as N
 from feedrecon.operators import report as RP
@@ -23,20 +28,24 @@ from feedrecon.sources import csv_feeds as CSV
 
 
 def ingest_directory(spark: SparkSession, source_dir: str, target: IG.Tables, run_ts: _dt.datetime, run_id: str,
-                     full_reload: bool = False, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Returns (per-file run summary, run totals). An empty folder runs nothing."""
-    slots, classified = CSV.read_feeds(spark, source_dir, multi_line=multi_line)
+                     full_reload: bool = False, multi_line: bool = True, layouts: dict[str, Layout] = LAYOUTS,
+                     status_words: dict[str, str] = STATUS_WORDS, advance: str = "run_ts") -> tuple[DataFrame, DataFrame]:
+    """Returns (per-file run summary, run totals). A folder without (known)
+    feeds loads nothing; a full reload of it empties staging."""
+    classified = CSV.classify_directory(spark, source_dir, layouts)
     unknown = classified.where(F.col("version") == UNKNOWN).select("feed")
-    if slots is None:
-        empty = spark.createDataFrame([], "schema_version string, file string, total_rows long, extracted_rows long, "
-                                          "mapped_rows long, mapping_errors long, no_update_time_rows long, skipped_rows long")
-        return empty, IG.run_totals(empty, unknown)
-    summary = IG.run_ingest(spark, slots, target, run_ts, run_id, full_reload=full_reload)
+    files = classified.where(F.col("version") != UNKNOWN).select("feed", F.col("version").alias("ver"))
+    slots = CSV.read_classified(spark, classified, multi_line, layouts)
+    summary = IG.run_ingest(spark, slots, target, run_ts, run_id, full_reload=full_reload, advance=advance, files=files,
+                            layouts=layouts, status_words=status_words)
     return summary, IG.run_totals(summary, unknown)
 
 
-def reconcile_directory(spark: SparkSession, source_dir: str, target: IG.Tables,
-                        tolerance_pct: float = 0.0) -> DataFrame:
+def reconcile_directory(spark: SparkSession, source_dir: str, target: IG.Tables, tolerance_pct: float = 0.0,
+                        multi_line: bool = True, layouts: dict[str, Layout] = LAYOUTS, thresholds=C.NULL_THRESHOLDS,
+                        allowed_types=C.ALLOWED_CREDENTIAL_TYPES, allowed_statuses=C.ALLOWED_STATUSES) -> DataFrame:
     """The suite's results for a folder of feeds and the target's staging."""
     staging = IG.read_staging(spark, target).select(*N.CANONICAL)
-    return RP.build_results(CSV.feed_counts(spark, source_dir), staging, tolerance_pct)
+    counts = CSV.feed_counts(spark, source_dir, multi_line=multi_line, layouts=layouts)
+    return RP.build_results(counts, staging, tolerance_pct, thresholds=thresholds, allowed_types=allowed_types,
+                            allowed_statuses=allowed_statuses)

@@ -1,105 +1,151 @@
 """Legacy CSV feeds on storage: list, read headers, classify, read as text.
 
-* Listing comes from a file index (``binaryFile`` source, ``inputFiles``: no
-  file content is read; Spark parallelises the listing of large folders),
-  name-sorted.
-* A header is the first CSV record of a file; all headers are read in one
-  job (one row per file, each task reads a few KB of its files through the
-  Arrow file system). Headers are bound by position, so duplicate or
-  case-colliding names never clash.
-* Each layout's files are read with an all-string schema built from their
-  header (``enforceSchema``), cells kept as text (``""`` escapes honoured),
-  then bound onto the canonical slots. Files sharing a header are read as one
-  scan; the per-layout scans are unioned into one slot-form frame.
+* Listing goes through the session's Hadoop file system. A missing folder or a
+  store that denies access raises; files whose name Spark's readers would skip
+  (``_x.csv``, ``.x.csv``) are reported as unknown feeds instead of vanishing.
+* A feed is known by the shortest end of its path that is unique in the
+  folder: its file name, or more parts where two folders hold equal names.
+* A header is the first CSV record of a file; all headers are read in one job
+  (each task reads as many bytes of its files as the record needs). The
+  task's code is self-contained: executors need no copy of this package.
+* Each layout's files are read with an all-string positional schema, cells kept
+  as text (``""`` escapes honoured), then bound onto the canonical slots. Quoted
+  cells may hold line breaks, so by default a file is one split; feeds known to
+  have none can be split further (``multi_line=False``). Records are counted by
+  the same reader that loads them.
+
+The driver holds one path and header per file (as Spark's own file index does).
 """
 
 from __future__ import annotations
 
-import posixpath
+from collections import Counter
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from feedrecon.layouts import LAYOUTS
+from feedrecon.layouts import LAYOUTS, SLOTS, Layout
 from feedrecon.operators.classify import UNKNOWN, classify_headers, unknown_message
 from feedrecon.operators.normalise import bind_layout
+from feedrecon.session import glob_status
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
+HEADER_CHUNK = 64 * 1024
+SLOT_SCHEMA = "feed string, ver string, " + ", ".join(f"{c} string" for c in SLOTS)
+CLASSIFIED = "feed string, path string, header array<string>, version string, matches long, detection string"
 
 
-def list_feeds(spark: SparkSession, directory: str) -> list[str]:
-    """SRC-1: ``*.csv`` directly in ``directory``, name-sorted. The list of
-    file paths (one per file) is the only thing brought to the driver."""
-    try:
-        # the file index of the binaryFile source (no content read, no scan; an
-        # empty file is listed too, which a scan would skip)
-        paths = list(spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-                     .option("recursiveFileLookup", "false").load(directory).inputFiles())
-    except Exception:  # noqa: BLE001 — an empty or missing folder has no feeds
-        return []
-    return sorted(paths, key=posixpath.basename)
-
-
-HEADER_CHUNK = 64 * 1024
+def is_hidden(path: str) -> bool:
+    """Names Spark's file readers skip."""
+    return path.rsplit("/", 1)[-1].startswith(("_", "."))
 
 
-def _open_uri(path: str):
-    """(filesystem, path) for a Hadoop-style URI as Spark lists it."""
-    from pyarrow import fs
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    elif path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+def list_feeds(spark: SparkSession, directory: str) -> list[str]:
+    """SRC-1: ``*.csv`` directly in ``directory`` (a folder or a glob of
+    folders), by file name, then path. Hidden names are listed too. An empty folder has no
+    feeds; a folder that is not there, or cannot be listed, raises."""
+    directory = directory.rstrip("/")
+    if not glob_status(spark, directory):
+        raise FileNotFoundError(f"no such feed folder: {directory}")
+    pattern = f"{directory}/*.csv"
+    found = glob_status(spark, pattern)
+    hidden = [s.getPath().toString() for s in found if s.isFile() and is_hidden(s.getPath().getName())]
+    shown = []
+    if len(found) > len(hidden):
+        # the file index lists without reading content, and in parallel where there are many files
+        index = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+        shown = [unquote(p) for p in index.inputFiles()]
+    return sorted({_same_scheme(p) for p in shown + hidden}, key=lambda p: (p.rsplit("/", 1)[-1], p))
+
+
+def _same_scheme(path: str) -> str:
+    """One spelling of a local path, as ``_metadata.file_path`` has it."""
+    return "file:///" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
+def name_depth(paths: list[str]) -> int:
+    """How many trailing parts of the paths tell them apart (1: the file name)."""
+    depth = 1
+    while max(Counter("/".join(p.split("/")[-depth:]) for p in paths).values(), default=1) > 1:
+        depth += 1
+    return depth
+
+
+def feed_name(path: Column, depth: int) -> Column:
+    """A feed's name from its path."""
+    parts = F.split(path, "/")
+    return F.array_join(F.slice(parts, -depth, depth), "/")
+
+
+def _metadata_path() -> Column:
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _header_reader(chunk_size: int):
+    """The function that reads headers in tasks, with everything it needs inside."""
+    def first_record(path: str) -> list[str]:
+        import csv
+        import io
+
+        from pyarrow import fs
+        if path.startswith("s3a://"):
+            path = "s3://" + path[len("s3a://"):]
+        if path.startswith("file:"):
+            system, name = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+        elif "://" in path:
+            system, name = fs.FileSystem.from_uri(path)
+        else:
+            system, name = fs.LocalFileSystem(), path
+        data, ended = b"", False
+        with system.open_input_stream(name) as f:
+            while True:
+                chunk = f.read(chunk_size)       # a short read is not the end of a file; an empty one is
+                data, ended = data + chunk, not chunk
+                rows = csv.reader(io.StringIO(data.decode("utf-8-sig", errors="replace"), newline=""))
+                row = next(rows, [])
+                if ended or next(rows, None) is not None:      # complete once a second record has started
+                    return row
+
+    def read(batches):
+        import pandas as pd
+        for pdf in batches:
+            yield pd.DataFrame({"feed": pdf["feed"], "path": pdf["path"],
+                                "header": [None if h else first_record(p) for p, h in zip(pdf["path"], pdf["hidden"], strict=True)]})
+
+    return first_record, read
 
 
 def first_record(path: str) -> list[str]:
-    """The first CSV record of a file (quotes and doubled quotes honoured, a
-    byte-order mark dropped), reading only as many bytes as it needs."""
-    import csv
-    import io
-    filesystem, p = _open_uri(path)
-    data = b""
-    with filesystem.open_input_stream(p) as f:
-        while True:
-            chunk = f.read(HEADER_CHUNK)
-            data += chunk
-            text = data.decode("utf-8-sig", errors="replace")
-            rows = csv.reader(io.StringIO(text, newline=""))
-            row = next(rows, [])
-            # complete once the file ended or a second record has started
-            if len(chunk) < HEADER_CHUNK or next(rows, None) is not None:
-                return row
-
-
-def _headers_batch(batches):
-    import pandas as pd
-    for pdf in batches:
-        yield pd.DataFrame({"feed": pdf["feed"], "path": pdf["path"],
-                            "header": [first_record(p) for p in pdf["path"]]})
+    """The first CSV record of a file (quotes and doubled quotes honoured, a byte-order mark dropped)."""
+    return _header_reader(HEADER_CHUNK)[0](path)
 
 
 def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """SRC-2: ``feed, path, header`` (array of names, in file order) for every
-    listed file, in **one** job: the path list (one row per file) is spread
-    over the cluster and each task reads the first record of its files
-    (a few KB each). An empty file has an empty header (UNKNOWN)."""
-    listing = spark.createDataFrame([(posixpath.basename(p), p) for p in paths], "feed string, path string")
-    return listing.mapInPandas(_headers_batch, "feed string, path string, header array<string>")
+    listed file, in one job. An empty file has an empty header, a hidden one none (both UNKNOWN)."""
+    depth = name_depth(paths)
+    rows = [("/".join(p.split("/")[-depth:]), p, is_hidden(p)) for p in paths]
+    listing = spark.createDataFrame(rows, "feed string, path string, hidden boolean")
+    return listing.mapInPandas(_header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>")
 
 
-def classify_directory(spark: SparkSession, directory: str) -> DataFrame:
+def classify_directory(spark: SparkSession, directory: str, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """CLS-4: ``feed, path, header, version, matches, detection`` for every CSV
     in the folder, name-sorted; ``detection`` is the layout or
-    ``UNKNOWN: <message>`` (sorted columns and every fingerprint)."""
-    c = classify_headers(read_headers(spark, list_feeds(spark, directory)))
+    ``UNKNOWN: <message>``. The headers are read once; the result is a
+    table of one row per file that later steps use without reading again."""
+    paths = list_feeds(spark, directory)
+    if not paths:
+        return spark.createDataFrame([], CLASSIFIED)
+    c = classify_headers(read_headers(spark, paths), layouts=layouts)
     sorted_cols = F.array_join(F.array_sort("header"), ",")
-    detection = F.when(F.col("version") == UNKNOWN, F.concat(F.lit("UNKNOWN: "), unknown_message(sorted_cols))) \
+    text = F.when(F.col("header").isNull(), F.lit("UNKNOWN: hidden file name, rename it to load it")) \
+        .when(F.col("version") == UNKNOWN, F.concat(F.lit("UNKNOWN: "), unknown_message(sorted_cols, layouts))) \
         .otherwise(F.col("version"))
-    return c.withColumn("detection", detection).orderBy("feed")
+    rows = c.withColumn("detection", text).select("feed", "path", "header", "version", "matches", "detection").collect()
+    return spark.createDataFrame(sorted(rows, key=lambda r: r.feed), CLASSIFIED)
 
 
 def _positional_schema(width: int) -> StructType:
@@ -108,55 +154,67 @@ def _positional_schema(width: int) -> StructType:
     return StructType([StructField(f"c{i}", StringType(), True) for i in range(width)])
 
 
-def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str,
-                      multi_line: bool = False) -> DataFrame:
+def _reader(spark: SparkSession, multi_line: bool, width: int):
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).schema(_positional_schema(max(width, 1)))
+
+
+def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str, multi_line: bool = True,
+                      depth: int = 1, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """SRC-3: files of one layout sharing one header → slot form with ``feed``.
     The last occurrence of a duplicated name wins, as when a record is read
-    into a dict keyed by the header.
-    ``multi_line`` parses quoted cells with embedded newlines; it makes each
-    file one split, so it is a per-feed option, off by default."""
-    df = (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
-          .schema(_positional_schema(len(header))).csv(paths))
+    into a dict keyed by the header. ``multi_line=False`` is for feeds whose
+    cells never hold a line break: their files may then be split."""
+    df = _reader(spark, multi_line, len(header)).csv(paths)
     pos: dict[str, int] = {}
     for i, n in enumerate(header):
         pos[n] = i          # a repeated name binds its last occurrence (a row read as a dict)
-    named = df.select(F.col("_metadata.file_name").alias("feed"),
-                      *[F.col(f"c{i}").alias(n) for n, i in pos.items()])
-    return bind_layout(named, LAYOUTS[version], "feed")
+    named = df.select(feed_name(_metadata_path(), depth).alias("feed"), *[F.col(f"c{i}").alias(n) for n, i in pos.items()])
+    return bind_layout(named, layouts[version], "feed")
 
 
-def read_feeds(spark: SparkSession, directory: str, multi_line: bool = False) -> tuple[DataFrame | None, DataFrame]:
-    """All recognised feeds of a folder in slot form (``feed, ver, raw_*``),
-    and the classification of every file (incl. UNKNOWN ones)."""
-    classified = classify_directory(spark, directory)
+def read_classified(spark: SparkSession, classified: DataFrame, multi_line: bool = True,
+                    layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
+    """The recognised feeds of a classified folder in slot form (``feed, ver, raw_*``)."""
     rows = classified.select("path", "header", "version").collect()   # one row per file
+    depth = name_depth([r.path for r in rows])
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for r in rows:
         if r.version != UNKNOWN:
             groups.setdefault((r.version, tuple(r.header)), []).append(r.path)
-    frames = [read_layout_files(spark, ps, list(h), v, multi_line) for (v, h), ps in sorted(groups.items())]
-    if not frames:
+    out = spark.createDataFrame([], SLOT_SCHEMA)
+    for k, ((v, h), ps) in enumerate(sorted(groups.items())):
+        f = read_layout_files(spark, ps, list(h), v, multi_line, depth, layouts)
+        out = f if k == 0 else out.unionByName(f)
+    return out
+
+
+def read_feeds(spark: SparkSession, directory: str, multi_line: bool = True,
+               layouts: dict[str, Layout] = LAYOUTS) -> tuple[DataFrame | None, DataFrame]:
+    """All recognised feeds of a folder in slot form (None if it has none), and
+    the classification of every file (incl. UNKNOWN ones)."""
+    classified = classify_directory(spark, directory, layouts)
+    if classified.where(F.col("version") != UNKNOWN).isEmpty():
         return None, classified
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, classified
+    return read_classified(spark, classified, multi_line, layouts), classified
 
 
-def count_records(spark: SparkSession, directory: str) -> DataFrame:
-    """SRC-4: data records per feed file (``feed, source_count``), header
-    excluded, blank lines ignored (P10)."""
-    paths = list_feeds(spark, directory)
-    if not paths:
+def count_records(spark: SparkSession, directory: str, multi_line: bool = True, paths: list[str] | None = None) -> DataFrame:
+    """SRC-4: data records per feed (``feed, source_count``), header excluded,
+    blank lines ignored (P10), by the reader that loads them. Hidden files are not counted."""
+    paths = list_feeds(spark, directory) if paths is None else paths
+    shown = [p for p in paths if not is_hidden(p)]
+    if not shown:
         return spark.createDataFrame([], "feed string, source_count long")
-    df = spark.read.options(**CSV_OPTIONS).schema("c0 string").csv(paths)
-    return df.groupBy(F.col("_metadata.file_name").alias("feed")).agg(F.count(F.lit(1)).alias("source_count"))
+    df = _reader(spark, multi_line, 1).csv(shown)
+    return df.groupBy(feed_name(_metadata_path(), name_depth(paths)).alias("feed")).agg(F.count(F.lit(1)).alias("source_count"))
 
 
-def feed_counts(spark: SparkSession, directory: str, classified: DataFrame | None = None) -> DataFrame:
+def feed_counts(spark: SparkSession, directory: str, classified: DataFrame | None = None, multi_line: bool = True,
+                layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """CHK-1/CHK-2 input for a folder: every file with its layout (NULL when
     unknown) and its record count (0 for an empty file) — one row per file."""
-    c = classified if classified is not None else classify_directory(spark, directory)
+    c = classified if classified is not None else classify_directory(spark, directory, layouts)
+    paths = [r.path for r in c.select("path").collect()]
     files = c.select("feed", F.when(F.col("version") != UNKNOWN, F.col("version")).alias("ver"))
-    return (files.join(count_records(spark, directory), "feed", "left")
+    return (files.join(count_records(spark, directory, multi_line, paths), "feed", "left")
             .select("feed", "ver", F.coalesce("source_count", F.lit(0)).cast("long").alias("source_count")))

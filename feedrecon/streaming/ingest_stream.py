@@ -4,13 +4,14 @@ A file source watches one folder per layout (the file source needs a fixed
 schema, so every file in the folder carries the layout's columns in the
 layout's order). ``Trigger.AvailableNow`` processes whatever arrived since the
 last run and stops — the nightly-batch shape — while the stream checkpoint
-remembers which files were consumed (file-level progress on top of the
-row-level watermark, which ``run_ingest`` still applies).
-
-Each micro-batch calls ``run_ingest`` with ``run_id = <prefix>-<epoch>``:
-a micro-batch replayed after a failure writes the same run's partitions
-again (dynamic overwrite), so staging, quarantine, summaries and the control
-log stay exactly-once.
+remembers which files were consumed. That already hands over each file once, so
+every record of a new file is loaded, however old its update time; the
+layout's watermark follows the newest update time loaded.
+
+Each micro-batch calls ``run_ingest`` with ``run_id = <prefix>-<layout>-<epoch>``:
+a micro-batch replayed after a failure writes the same run's rows
+again, so staging, quarantine, summaries and the control log stay
+exactly-once, also with several layouts' streams into one target.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from feedrecon.layouts import Layout
+from feedrecon.layouts import LAYOUTS, Layout
 from feedrecon.operators.ingest import Tables, run_ingest
 from feedrecon.operators.normalise import bind_layout
 from feedrecon.sources.csv_feeds import CSV_OPTIONS
@@ -33,9 +34,11 @@ def layout_schema(lay: Layout) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in lay.columns])
 
 
-def feed_stream(spark: SparkSession, folder: str, lay: Layout, max_files_per_trigger: int | None = None) -> DataFrame:
+def feed_stream(spark: SparkSession, folder: str, lay: Layout, max_files_per_trigger: int | None = None,
+                multi_line: bool = True) -> DataFrame:
     """Slot-form stream of a layout folder, with the source file as ``feed``."""
-    reader = spark.readStream.schema(layout_schema(lay)).options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
+    reader = (spark.readStream.schema(layout_schema(lay)).options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
+              .option("multiLine", str(multi_line).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(folder)
@@ -50,7 +53,8 @@ def start_ingest_stream(spark: SparkSession, folder: str, lay: Layout, target: T
     clock = run_ts or (lambda epoch: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        run_ingest(spark, batch, target, clock(epoch_id), f"{run_prefix}-{epoch_id}")
+        run_ingest(spark, batch, target, clock(epoch_id), f"{run_prefix}-{lay.version}-{epoch_id}",
+                   advance="max_updated_at", watermark=False, layouts={**LAYOUTS, lay.version: lay})
 
     writer = (feed_stream(spark, folder, lay).writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint))
