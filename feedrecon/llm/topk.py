@@ -17,7 +17,6 @@ radius. Radii are the true ones, so every bound holds.
 
 from __future__ import annotations
 
-import heapq
 import io
 
 import numpy as np
@@ -28,7 +27,9 @@ from pyspark.sql import functions as F
 from feedrecon.llm.util import stored
 
 K = 20
-LEAF, FAN = 32, 32
+LEAF, FAN = 64, 32
+#: Queries of a query tree's leaf, and data points scored at once, about.
+QUERY_LEAF, AT_ONCE = 128, 1024
 #: Vectors of a shard and queries of a block, about.
 SHARD, MIN_SHARDS, BLOCK = 16_384, 4, 1024
 #: Bounds are widened by this share before they prune: floating-point rounding can't lose a pair.
@@ -94,6 +95,12 @@ def build_tree(x: np.ndarray, ids: np.ndarray, leaf: int = LEAF, fan: int = FAN)
     return CoverTree(x[order], ids[order], nodes)
 
 
+def ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges lo:hi, one range after the other."""
+    size = hi - lo
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 class DualSearch:
     """Best ``k`` of the data tree for every point of the query tree."""
 
@@ -118,46 +125,53 @@ class DualSearch:
         if not q.children[at]:
             self.leaf(at, nodes)
             return
-        inner = t.children[nodes] > 0
-        below = [np.arange(t.child[i], t.child[i] + t.children[i]) for i in nodes[inner]]
-        nodes = np.concatenate([nodes[~inner], *below])
+        nodes = self.children_of(nodes)
         for child in range(q.child[at], q.child[at] + q.children[at]):
             self.visit(child, nodes)
 
+    def children_of(self, nodes: np.ndarray) -> np.ndarray:
+        """The nodes with every inner one replaced by its children."""
+        t = self.data
+        inner = t.children[nodes] > 0
+        up = nodes[inner]
+        return np.concatenate([nodes[~inner], ranges(t.child[up], t.child[up] + t.children[up])])
+
     def leaf(self, at: int, nodes: np.ndarray) -> None:
-        """Best bound first, until no bound reaches the worst k-th score."""
+        """Descend to the data's leaves, then best bound first, until no bound reaches the worst k-th score."""
         t = self.data
-        heap = [(-b, int(i)) for b, i in zip(self.queries.bounds(at, t, nodes), nodes, strict=True)]
-        heapq.heapify(heap)
-        leaves: list[int] = []
-        while heap and -heap[0][0] >= self.worst(at):
-            i = heapq.heappop(heap)[1]
-            if t.children[i]:
-                below = np.arange(t.child[i], t.child[i] + t.children[i])
-                for b, j in zip(self.queries.bounds(at, t, below), below, strict=True):
-                    heapq.heappush(heap, (-b, int(j)))
-                continue
-            leaves.append(i)
-            if len(leaves) == 8 or not heap:
-                self.compare(at, leaves)
-                leaves = []
-        if leaves:
-            self.compare(at, leaves)
-
-    def compare(self, at: int, leaves: list[int]) -> None:
+        while (t.children[nodes] > 0).any():
+            nodes = self.children_of(nodes)
+            nodes = nodes[self.queries.bounds(at, t, nodes) >= self.worst(at)]
+        bounds = self.queries.bounds(at, t, nodes)
+        order = np.argsort(-bounds, kind="stable")
+        nodes, bounds = nodes[order], bounds[order]
+        ends = np.cumsum(t.hi[nodes] - t.lo[nodes])
+        done, batch = 0, LEAF               # small batches first: they raise the worst score that prunes the rest
+        while done < (left := np.searchsorted(-bounds, -self.worst(at), side="right")):
+            scored = ends[done - 1] if done else 0
+            upto = min(int(np.searchsorted(ends, scored + batch)) + 1, int(left))
+            self.compare(at, ranges(t.lo[nodes[done:upto]], t.hi[nodes[done:upto]]))
+            done, batch = upto, min(AT_ONCE, 2 * batch)
+
+    def compare(self, at: int, rows: np.ndarray) -> None:
+        """Score the data's ``rows`` against all queries of a leaf."""
         t, lo, hi = self.data, self.queries.lo[at], self.queries.hi[at]
-        rows = np.concatenate([np.arange(t.lo[i], t.hi[i]) for i in leaves])
         s = self.queries.x[lo:hi] @ t.x[rows].T
         self.scored += s.size
         s[self.queries.ids[lo:hi, None] == t.ids[rows]] = -np.inf       # not the query itself
-        use = (s >= self.score[lo:hi, -1:]).any(axis=0)
-        if use.any():
-            rows, s = rows[use], s[:, use]
-            score = np.concatenate([self.score[lo:hi], s], axis=1)
-            found = np.concatenate([self.found[lo:hi], np.broadcast_to(t.ids[rows], s.shape)], axis=1)
-            best = np.lexsort((found, -score), axis=1)[:, :self.k]
-            self.score[lo:hi] = np.take_along_axis(score, best, 1)
-            self.found[lo:hi] = np.take_along_axis(found, best, 1)
+        # merge what reaches a query's worst k-th score: few pairs once the best leaves were seen
+        if s.shape[1] > 4 * self.k:
+            s[s < np.partition(s, -self.k, axis=1)[:, -self.k, None]] = -np.inf      # ties with the k-th stay
+        q, c = np.nonzero((s >= self.score[lo:hi, -1:]) & (s > -np.inf))
+        if len(q):
+            at_most, mine = np.arange(self.k), np.unique(q)
+            query = np.concatenate([np.repeat(mine, self.k), q])
+            score = np.concatenate([self.score[lo + mine].ravel(), s[q, c]])
+            found = np.concatenate([self.found[lo + mine].ravel(), t.ids[rows[c]]])
+            order = np.lexsort((found, -score, query))
+            first = np.searchsorted(query[order], mine)
+            best = order[first[:, None] + at_most]
+            self.score[lo + mine], self.found[lo + mine] = score[best], found[best]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -184,7 +198,8 @@ def _search(k: int):
             return schema.empty_table()
         with np.load(io.BytesIO(trees.column("tree")[0].as_py())) as t:
             data = CoverTree(t["x"].astype(np.float64), t["ids"], t["nodes"])
-        s = DualSearch(build_tree(_matrix(queries.column("v")), queries.column("id").to_numpy()), data, k).run()
+        asked = build_tree(_matrix(queries.column("v")), queries.column("id").to_numpy(), QUERY_LEAF)
+        s = DualSearch(asked, data, k).run()
         real = s.score > -np.inf
         ids = np.broadcast_to(s.queries.ids[:, None], s.score.shape)
         return pa.table({"query_id": ids[real], "vec_id": s.found[real], "score": s.score[real].astype(np.int64)}, schema=schema)
