@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedrecon.layouts import Layout
+from feedrecon.session import glob_status
 
 CANONICAL_STATUSES = ("ACTIVE", "EXPIRED", "REVOKED", "PENDING")
 UPDATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
@@ -48,5 +49,22 @@ def export_layout(canonical: DataFrame, lay: Layout, updated_at: Column | None =
 def write_csv(df: DataFrame, path: str) -> None:
     """SNK-6: header line, RFC-4180 quoting with doubled quotes, every cell
     written (empty strings as empty fields)."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-     .option("emptyValue", "").option("nullValue", "").csv(path))
+    _writer(df).csv(path)
+
+
+def _writer(df: DataFrame):
+    return (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+            .option("emptyValue", "").option("nullValue", ""))
+
+
+def write_csv_files(df: DataFrame, part: str, parts: str, folder: str, name: str) -> None:
+    """One file per value of the column ``part`` (the rows of a value in one
+    partition), renamed to ``<folder>/<name><value>.csv``: feeds with fixed names."""
+    _writer(df).partitionBy(part).csv(parts)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for s in glob_status(spark, f"{parts}/{part}=*/*.csv"):
+        value = s.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(s.getPath(), path(f"{folder}/{name}{value}.csv"))

@@ -66,7 +66,10 @@ def render(results: DataFrame, run_id: str, run_timestamp: str) -> DataFrame:
     one ordered window over that small frame."""
     icon = F.when(F.col("status") == "PASS", "✓").when(F.col("status") == "FAIL", "✗") \
         .when(F.col("status") == "WARNING", "⚠").otherwise("?")
-    order = Window.orderBy("ordinal", "seq", "check_name")
+    # row counts in file-name order: the name in brackets, or all of it for an unknown file
+    in_brackets = F.regexp_extract("check_name", r"^Row count: \S+ \((.*)\)$", 1)
+    file = F.when(F.col("ordinal") == 1, F.when(in_brackets != "", in_brackets).otherwise(F.substring("check_name", 12, 1 << 30)))
+    order = Window.orderBy("ordinal", "seq", file, "check_name")
     r = results.withColumn("pos", F.row_number().over(order)) \
         .withColumn("first_of_type", F.lag("check_type").over(order).isNull()
                     | (F.lag("check_type").over(order) != F.col("check_type")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedrecon.functions.rules import ntz
-from feedrecon.layouts import LAYOUTS
+from feedrecon.layouts import LAYOUTS, SLOTS
 from feedrecon.operators import checks as C
 from feedrecon.operators import normalise as N
 from feedrecon.operators import report as RP
@@ -147,9 +147,9 @@ def null_assertions(spark, sf_dir):
 
 @query("null_assertions_empty")
 def null_assertions_empty(spark, sf_dir):
-    # Staging of a delivery that holds nothing newer than a far-future watermark.
-    empty = S.staging(spark, sf_dir).where(F.col("issue_date") > F.lit("9999-01-01").cast("date"))
-    return flat_results(C.null_assertions(empty))
+    # The stored staging table of a run whose every record was rejected (no issue date parses).
+    target = S.rejected_target(spark, sf_dir)
+    return flat_results(C.null_assertions(IG.read_staging(spark, target).select(*N.CANONICAL)))
 
 
 # ============================================================================ J6
@@ -263,7 +263,9 @@ def feed_manifest(spark, sf_dir):
     """CLS-4 over real files: the staged rows exported as one CSV feed per
     layout, plus a damaged copy of each whose header lost its id column."""
     d = exported_feeds(spark, sf_dir)
-    return CSV.classify_directory(spark, d).select("feed", "version", "matches")
+    folder = F.element_at(F.split("path", "/"), -2)
+    return (CSV.classify_directory(spark, d).groupBy(folder.alias("folder"), "version", "matches")
+            .agg((F.count(F.lit(1)) > 0).alias("has_files")))
 
 
 # ============================================================================ J3
@@ -343,7 +345,7 @@ def run_totals(spark, sf_dir):
 @query("quarantine_table")
 def quarantine_table(spark, sf_dir):
     t = S.two_runs(spark, sf_dir)
-    return IG.read_quarantine(spark, t).select("run_id", "source_schema_version", "source_student_id", "reason")
+    return IG.read_quarantine(spark, t).select("run_id", "source_schema_version", "source_student_id", "reason", *SLOTS)
 
 
 # ============================================================================ J11
@@ -413,6 +415,36 @@ def exported_feeds(spark: SparkSession, sf_dir: str) -> str:
 _EXPORTED: dict[tuple, str] = {}
 
 
+def multiline_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Staged v2 and v6 rows as CSV feeds whose first names hold a quoted line
+    break, in two folders with equal file names (``s1/c0.csv`` … ``s2/c3.csv``).
+    Returns a glob over both folders."""
+    key = (spark.sparkContext.applicationId, sf_dir, "multiline")
+    with S._LOCK:
+        if key not in _EXPORTED:
+            root = new_work_dir(spark, "csv-multiline")
+            st = S.staging(spark, sf_dir).withColumn("first_name", F.concat("first_name", F.lit("\nJo")))
+            part = F.pmod(F.col("student_id").cast("int"), F.lit(4))
+            for folder, v in (("s1", "v2"), ("s2", "v6")):
+                out = EX.export_layout(st.where(F.col("source_schema_version") == v).withColumn("part", part), LAYOUTS[v],
+                                       ntz(S.LOAD_TS), "part")
+                EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{folder}", f"{root}/feeds/{folder}", "c")
+            _EXPORTED[key] = f"{root}/feeds/*"
+    return _EXPORTED[key]
+
+
+@query("csv_multiline_roundtrip")
+def csv_multiline_roundtrip(spark, sf_dir):
+    slots, _ = CSV.read_feeds(spark, multiline_feeds(spark, sf_dir))
+    return N.normalise(slots).select(*N.CANONICAL)
+
+
+@query("folder_row_counts")
+def folder_row_counts(spark, sf_dir):
+    """SRC-4 over feeds with quoted line breaks and equal file names."""
+    return CSV.feed_counts(spark, multiline_feeds(spark, sf_dir))
+
+
 # ============================================================================ J12
 @query("orphan_schools")
 def orphan_schools(spark, sf_dir):
@@ -437,20 +469,20 @@ def row_counts_total(spark, sf_dir):
 # ============================================================================ J3 (streaming)
 @query("stream_ingest")
 def stream_ingest(spark, sf_dir):
-    """The staged v1 rows delivered as CSV files and ingested by the
-    AvailableNow file stream (foreachBatch → run_ingest)."""
+    """The staged rows of all layouts delivered as CSV files and ingested into
+    one target by one AvailableNow file stream a layout (foreachBatch → run_ingest)."""
     from feedrecon.streaming.ingest_stream import start_ingest_stream
     key = (spark.sparkContext.applicationId, sf_dir, "stream")
     with S._LOCK:
         if key not in _EXPORTED:
             root = new_work_dir(spark, "stream")
-            lay = LAYOUTS["v1"]
-            st = S.staging(spark, sf_dir).where(F.col("source_schema_version") == "v1")
-            EX.write_csv(EX.export_layout(st, lay, ntz(S.LOAD_TS)), f"{root}/in")
             target = IG.Tables(f"{root}/out")
-            q = start_ingest_stream(spark, f"{root}/in", lay, target, f"{root}/ckpt", "stream",
-                                    run_ts=lambda epoch: S.LOAD_TS)
-            q.awaitTermination()
+            for v, lay in LAYOUTS.items():
+                st = S.staging(spark, sf_dir).where(F.col("source_schema_version") == v)
+                EX.write_csv(EX.export_layout(st, lay, ntz(S.LOAD_TS)), f"{root}/in-{v}")
+                q = start_ingest_stream(spark, f"{root}/in-{v}", lay, target, f"{root}/ckpt-{v}", "stream",
+                                        run_ts=lambda epoch: S.LOAD_TS)
+                q.awaitTermination()
             _EXPORTED[key] = target.root
     return IG.read_staging(spark, IG.Tables(_EXPORTED[key])).select(*N.CANONICAL)
 

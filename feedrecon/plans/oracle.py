@@ -61,15 +61,18 @@ base AS (
   SELECT *, 2 AS copy_no FROM parts WHERE k % 173 = 4
 ), feed0 AS (
 SELECT k, copy_no, concat('v', CAST(v AS VARCHAR)) AS ver,
-  CASE WHEN k % 307 = 5 THEN '' ELSE concat(
+  CASE WHEN k % 307 = 5 THEN '' ELSE concat(CASE WHEN k % 311 <> 12 AND k % 19 = 3 THEN '  ' ELSE '' END,
     CASE v WHEN 1 THEN 'STU' WHEN 2 THEN 'S' WHEN 3 THEN 'stu' WHEN 4 THEN 'LRN' WHEN 5 THEN 'STU'
-           WHEN 6 THEN '' WHEN 7 THEN 'SN' ELSE 'UID' END, CAST(100000 + ck AS VARCHAR)) END AS raw_student_id,
-  CASE WHEN v IN (1, 5, 8) THEN concat(seg, ' ', sur) END AS raw_full_name,
+           WHEN 6 THEN '' WHEN 7 THEN 'SN' ELSE 'UID' END,
+    CASE WHEN k % 311 = 12 THEN '12' ELSE CAST(100000 + ck AS VARCHAR) END,
+    CASE WHEN k % 311 <> 12 AND k % 19 = 3 THEN ' ' ELSE '' END) END AS raw_student_id,
+  CASE WHEN v IN (1, 5, 8) THEN CASE WHEN k % 263 = 7 THEN seg WHEN k % 29 = 4 THEN concat(seg, ' Van ', sur)
+    ELSE concat(seg, ' ', sur) END END AS raw_full_name,
   CASE WHEN v NOT IN (1, 5, 8) THEN seg END AS raw_first_name,
   CASE WHEN v NOT IN (1, 5, 8) THEN sur END AS raw_last_name,
   CASE WHEN k % 401 = 3 THEN '' ELSE concat('DIST', lpad(CAST(nk AS VARCHAR), 3, '0'), '-SCH',
     lpad(CAST(CASE WHEN k % 97 = 1 THEN 999 ELSE ck % 30 END AS VARCHAR), 3, '0')) END AS raw_school_id,
-  CASE WHEN v IN (2, 7) THEN lower(replace(typ, '_', ' ')) WHEN v = 4 THEN replace(typ, '_', '-') ELSE typ END AS raw_type,
+  CASE WHEN k % 223 = 9 THEN 'bogus type' WHEN v IN (2, 7) THEN lower(replace(typ, '_', ' ')) WHEN v = 4 THEN replace(typ, '_', '-') ELSE typ END AS raw_type,
   CASE WHEN k % 211 = 7 THEN 'not-a-date' ELSE
     CASE v WHEN 1 THEN concat(iso, 'T00:00:00') WHEN 2 THEN concat(mm, '/', dd, '/', yyyy)
            WHEN 5 THEN concat(dd, '-', mon, '-', yyyy) WHEN 6 THEN concat(iso, 'T00:00:00Z')
@@ -84,7 +87,7 @@ SELECT k, copy_no, concat('v', CAST(v AS VARCHAR)) AS ver,
            ELSE st END END AS raw_status,
   CASE WHEN v IN (3, 5, 6) THEN NULL WHEN k % 5 < 2 THEN seg
        WHEN v IN (2, 8) THEN 'N/A' WHEN v = 4 THEN 'UNKNOWN' ELSE '' END AS raw_preferred,
-  CASE WHEN k % 131 = 6 THEN '' ELSE concat(upd, 'T00:00:00') END AS raw_updated_at
+  CASE WHEN k % 131 = 6 THEN '' WHEN k % 139 = 10 THEN '1999-12-31T00:00:00' ELSE concat(upd, 'T00:00:00') END AS raw_updated_at
 FROM copies
 ), feed AS (
   SELECT *, concat('credentials_', ver, '.csv') AS feed FROM feed0
@@ -149,8 +152,10 @@ trimmed AS (
   FROM tagged0
 ), tagged AS (
   SELECT *, CASE WHEN reasons_txt <> '' THEN split_part(reasons_txt, ',', 1) END AS reason FROM tagged1
-), acc AS (
+), mapped AS (
   SELECT * FROM tagged WHERE reason IS NULL
+), acc AS (  -- a full first load: nothing updated before the epoch (ISO texts order like times)
+  SELECT * FROM mapped WHERE raw_updated_at = '' OR raw_updated_at > '2000-01-01T00:00:00'
 )"""
 
 
@@ -168,7 +173,7 @@ ORACLE: dict[str, str] = {}
 
 # ============================================================================ J2
 for _v in LAYOUTS:
-    ORACLE[f"normalise_{_v}"] = f"{BASE}\nSELECT {CANON} FROM acc WHERE source_schema_version = '{_v}'"
+    ORACLE[f"normalise_{_v}"] = f"{BASE}\nSELECT {CANON} FROM mapped WHERE source_schema_version = '{_v}'"
 ORACLE["normalise_all"] = f"{BASE}\nSELECT {CANON} FROM acc"
 ORACLE["normalise_names"] = f"{BASE}\nSELECT k, copy_no, source_schema_version, first_name, last_name FROM tagged"
 ORACLE["normalise_preferred"] = f"{BASE}\nSELECT k, copy_no, source_schema_version, raw_preferred, preferred_name FROM tagged"
@@ -462,9 +467,11 @@ ORACLE["run_summary"] = f"{_runs()}\n{_SUMMARY}"
 ORACLE["run_totals"] = (f"{_runs()}\nSELECT CAST(sum(mapped_rows) AS BIGINT) AS staged, CAST(sum(skipped_rows) AS BIGINT) AS skipped, "
                         "CAST(sum(mapping_errors) AS BIGINT) AS errors, CASE WHEN sum(mapping_errors) = 0 THEN 'COMPLETED' "
                         f"ELSE 'COMPLETED WITH WARNINGS' END AS status FROM ({_SUMMARY})")
-ORACLE["quarantine_table"] = (f"{_runs()}\nSELECT run_id, source_schema_version, source_student_id, reason FROM r1 "
-                              "WHERE reason IS NOT NULL UNION ALL SELECT run_id, source_schema_version, source_student_id, "
-                              "reason FROM r2 WHERE reason IS NOT NULL")
+_RAW = ("raw_student_id, raw_full_name, raw_first_name, raw_last_name, raw_school_id, raw_type, raw_issue_date, raw_status, "
+        "raw_preferred, raw_updated_at")
+ORACLE["quarantine_table"] = (f"{_runs()}\nSELECT run_id, source_schema_version, source_student_id, reason, {_RAW} FROM r1 "
+                              f"WHERE reason IS NOT NULL UNION ALL SELECT run_id, source_schema_version, source_student_id, "
+                              f"reason, {_RAW} FROM r2 WHERE reason IS NOT NULL")
 ORACLE["incremental_extract"] = (f"{BASE_U}\nSELECT k, copy_no, ver, raw_updated_at FROM tagged WHERE u IS NULL OR "
                                  f"u > CASE WHEN ver IN ('v1', 'v2', 'v3', 'v4') THEN {T1} ELSE {E0} END")
 
@@ -553,7 +560,42 @@ SELECT ver AS schema_version, source_count, staged_count, staged_count - source_
 UNION ALL
 SELECT 'TOTAL', CAST(sum(source_count) AS BIGINT), CAST(sum(staged_count) AS BIGINT),
        CAST(sum(staged_count) - sum(source_count) AS BIGINT) FROM j"""
-ORACLE["stream_ingest"] = f"{BASE}\nSELECT {CANON} FROM acc WHERE source_schema_version = 'v1'"
+ORACLE["stream_ingest"] = f"{BASE}\nSELECT {CANON} FROM acc"
+_JO = "first_name || chr(10) || 'Jo' AS first_name"
+ORACLE["csv_multiline_roundtrip"] = (
+    f"{BASE}\nSELECT {CANON.replace('first_name', _JO, 1)} "
+    "FROM acc WHERE source_schema_version IN ('v2', 'v6')")
+ORACLE["folder_row_counts"] = (
+    f"{BASE}\nSELECT CASE source_schema_version WHEN 'v2' THEN 's1/c' ELSE 's2/c' END || CAST(CAST(student_id AS INT) % 4 AS VARCHAR) "
+    "|| '.csv' AS feed, source_schema_version AS ver, count(*) AS source_count FROM acc "
+    "WHERE source_schema_version IN ('v2', 'v6') GROUP BY ALL")
+ORACLE["feed_manifest"] = (f"{BASE}\nSELECT DISTINCT source_schema_version AS folder, source_schema_version AS version, "
+                           "CAST(1 AS BIGINT) AS matches, true AS has_files FROM acc UNION ALL "
+                           "SELECT DISTINCT source_schema_version || '_damaged', 'UNKNOWN', CAST(0 AS BIGINT), true FROM acc")
+# The report's fixed texts, restated. Samples arrive joined by commas.
+ORACLE["recon_report"] = f"""
+WITH r0 AS ({ORACLE["recon_results"]}),
+r1 AS (SELECT *, CASE WHEN ordinal <> 1 THEN NULL WHEN regexp_full_match(check_name, 'Row count: \\S+ \\(.*\\)')
+         THEN regexp_extract(check_name, '^Row count: \\S+ \\((.*)\\)$', 1) ELSE substr(check_name, 12) END AS file FROM r0),
+r2 AS (SELECT *, row_number() OVER w AS pos, lag(check_type) OVER w AS before FROM r1
+       WINDOW w AS (ORDER BY ordinal, seq, file NULLS FIRST, check_name)),
+b AS (SELECT pos, list_concat(
+        CASE WHEN before IS NULL OR before <> check_type THEN ['', check_type, repeat('-', 74)] ELSE [] END,
+        ['  [' || rpad(status, 7, ' ') || '] ' || CASE status WHEN 'PASS' THEN '✓' WHEN 'FAIL' THEN '✗' WHEN 'WARNING' THEN '⚠' ELSE '?' END
+           || '  ' || check_name, repeat(' ', 13) || detail],
+        CASE WHEN sample_values = '' THEN []
+             ELSE [repeat(' ', 13) || 'Sample: [' || array_to_string(string_split(sample_values, ',')[1:5], ', ') || ']'] END) AS ls FROM r2),
+o AS (SELECT count(*) FILTER (WHERE status = 'PASS') AS p, count(*) FILTER (WHERE status = 'WARNING') AS w,
+             count(*) FILTER (WHERE status = 'FAIL') AS f FROM r0),
+a AS (SELECT 0 AS pos, ['', repeat('=', 74), 'MIGRATION — RECONCILIATION REPORT', 'Run timestamp  : 2024-01-01 00:00:00 UTC',
+                        'Pipeline run   : sim_run', repeat('=', 74)] AS ls
+      UNION ALL SELECT pos, ls FROM b
+      UNION ALL SELECT 1000000000, ['', repeat('=', 74), 'OVERALL RESULT : ' || CASE WHEN f > 0 THEN 'FAIL' WHEN w > 0
+                        THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END, '  Passed   : ' || p, '  Warnings : ' || w, '  Failed   : ' || f,
+                        repeat('=', 74)] FROM o),
+l AS (SELECT pos, unnest(ls) AS line, generate_subscripts(ls, 1) AS sub FROM a)
+SELECT CAST(row_number() OVER (ORDER BY pos, sub) AS INTEGER) AS line_no, line FROM l
+"""
 ORACLE["row_counts_unknown_feed"] = f"""{BASE},
 f2 AS (SELECT *, k % 37 = 0 AS damaged,
               CASE WHEN k % 37 = 0 THEN 'credentials_' || ver || '_damaged.csv' ELSE feed END AS feed2 FROM feed),

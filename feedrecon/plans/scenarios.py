@@ -85,6 +85,18 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staging(spark, loaded_target(spark, sf_dir)).select(*N.CANONICAL)
 
 
+def rejected_target(spark: SparkSession, sf_dir: str) -> Tables:
+    """The ingest target after a run that rejected every record of one layout: its staging is stored and empty."""
+    key = (spark.sparkContext.applicationId, sf_dir, "rejected")
+    with _LOCK:
+        if key not in _LOADED:
+            target = Tables(new_work_dir(spark, "rejected"))
+            bad = feeds(spark, sf_dir).where("ver = 'v2'").withColumn("raw_issue_date", F.lit("not-a-date"))
+            run_ingest(spark, bad, target, LOAD_TS, "rejected")
+            _LOADED[key] = target.root
+    return Tables(_LOADED[key])
+
+
 def delivery(feed_df: DataFrame, as_of: _dt.datetime, include_late: bool) -> DataFrame:
     """What a feed file holds at ``as_of``: records updated by then (and those
     with no usable update time); late records only when ``include_late``."""

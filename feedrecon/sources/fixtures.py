@@ -85,6 +85,7 @@ def credential_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 173 == 4, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
 
     id_prefix = _pick(v, ("STU", "S", "stu", "LRN", "STU", "", "SN", "UID"), base=1)
+    full_id = F.concat(id_prefix, (F.lit(100000) + F.col("ck")).cast("string"))
     school = F.concat(F.lit("DIST"), F.lpad(F.col("nk").cast("string"), 3, "0"), F.lit("-SCH"),
                       F.lpad(F.when(k % 97 == 1, 999).otherwise(F.col("ck") % 30).cast("string"), 3, "0"))
     typ = F.col("typ")
@@ -111,16 +112,19 @@ def credential_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select(
         k, "copy_no",
         F.concat(F.lit("v"), v.cast("string")).alias("ver"),
-        F.when(k % 307 == 5, F.lit("")).otherwise(F.concat(id_prefix, (F.lit(100000) + F.col("ck")).cast("string"))).alias("raw_student_id"),
-        F.when(full_name_v, F.concat_ws(" ", F.col("seg"), F.col("sur"))).alias("raw_full_name"),
+        F.when(k % 307 == 5, F.lit("")).when(k % 311 == 12, F.concat(id_prefix, F.lit("12")))
+         .when(k % 19 == 3, F.concat(F.lit("  "), full_id, F.lit(" "))).otherwise(full_id).alias("raw_student_id"),
+        F.when(full_name_v, F.when(k % 263 == 7, F.col("seg"))
+               .when(k % 29 == 4, F.concat_ws(" ", F.col("seg"), F.lit("Van"), F.col("sur")))
+               .otherwise(F.concat_ws(" ", F.col("seg"), F.col("sur")))).alias("raw_full_name"),
         F.when(~full_name_v, F.col("seg")).alias("raw_first_name"),
         F.when(~full_name_v, F.col("sur")).alias("raw_last_name"),
         F.when(k % 401 == 3, F.lit("")).otherwise(school).alias("raw_school_id"),
-        raw_type.alias("raw_type"),
+        F.when(k % 223 == 9, F.lit("bogus type")).otherwise(raw_type).alias("raw_type"),
         F.when(k % 211 == 7, F.lit("not-a-date")).otherwise(issue).alias("raw_issue_date"),
         F.when(k % 101 == 9, F.lit("BOGUS")).otherwise(status).alias("raw_status"),
         preferred.alias("raw_preferred"),
-        F.when(k % 131 == 6, F.lit("")).otherwise(F.concat(upd, F.lit("T00:00:00"))).alias("raw_updated_at"),
+        F.when(k % 131 == 6, F.lit("")).when(k % 139 == 10, F.lit("1999-12-31T00:00:00")).otherwise(F.concat(upd, F.lit("T00:00:00"))).alias("raw_updated_at"),
     )
 
 
