@@ -13,16 +13,19 @@ attempts that counted are in it) holds the counts; the base of each partition
 is a prefix sum over the manifest. Readers map the files into memory.
 
 Encoding: the tokenizers library encodes the words; a word's ids are looked up
-when it was met before. That is exact for a tokenizer that drops white space
-and merges inside words only, which ``drops_space`` probes for; any other
-tokenizer gets its texts whole.
+when it was met before. That is exact for the kind of tokenizer that drops
+white space and merges inside words only, which is recognised by its file
+(``keeps_words_apart``); any other gets its texts whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +41,14 @@ MAX_TOKENIZER_BYTES = 64 << 20
 #: Words kept with their ids in a worker; beyond it the table starts anew.
 CACHE_WORDS = 400_000
 #: Characters of text encoded at once, and documents read back at once.
-TEXT_BATCH, READ_DOCS = 1 << 21, 50_000
+TEXT_BATCH, READ_DOCS = 1 << 20, 50_000
+WORDS_AT_ONCE = 4096
+# FIXED VALUE: the pattern of the kind of tokenizer whose words are looked up one by one.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Lower-case letters that normalising leaves as they are.
+LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+#: A word of such letters, maybe with signs after it (no apostrophe, and no sign a special token starts with).
+_PLAIN = re.compile(rf"([{LETTERS}]+)([!-&(-/:;=-@\[-`{{-~]*)")
 MANIFEST = "part int, file string, width int, n_docs long, n_ids long"
 _LOADED: dict = {}
 
@@ -58,34 +68,72 @@ class WordEncoder:
     def __init__(self, data: bytes, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")    # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.cache: dict[bytes, bytes] = {}
         self.cache_words = cache_words
-        self.by_word = self.drops_space()
+        self.signs: dict[str, bytes] = {}
+        by_byte = ByteLevel(add_prefix_space=False, use_regex=False)          # how the model spells a letter's bytes
+        self.spelling = {ord(c): by_byte.pre_tokenize_str(c)[0][0] for c in LETTERS}
+        self.model, self.code = self.tokenizer.model, "H" if self.width == 2 else "I"     # native order: little-endian hosts
+        self.by_word = self.keeps_words_apart()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, straight from the library."""
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def drops_space(self) -> bool:
-        """Whether ASCII white space only parts words: probed on texts whose words meet it in every way."""
-        a, b = "it's 3 Words, naïve-ÉTÉ <|x|>", "Aé1'll ok..."
-        one, two = self._ids([a.replace(" ", ""), b.replace(" ", "")])
-        words = b"".join(self._ids((a + " " + b).split()))
-        probes = [f"{s}{a.replace(' ', s)}{s}{b.replace(' ', s)}{s}" for s in (" ", "\n", "\t", "\r\n", "  ", "\x0b", "\x0c")]
-        return all(x == words for x in self._ids(probes)) and bool(one) and bool(two)
+    def keeps_words_apart(self) -> bool:
+        """Whether the file is of the kind whose words can be looked up: white space is dropped, A-Z read as a-z,
+        and letters, digits and other signs never merge."""
+        spec = json.loads(self.tokenizer.to_str())
+        norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+        kinds = [n["type"] for n in norm.get("normalizers", [])]
+        split = (pre.get("pretokenizers") or [{}])[0]
+        added = [t["content"] for t in spec["added_tokens"]]
+        return (kinds == ["NFC", "Replace", "Lowercase"] and split.get("pattern") == {"Regex": WORD_PATTERN}
+                and split.get("invert") and split.get("behavior") == "Removed" and spec["model"]["type"] == "BPE"
+                and all(t.startswith("<") and not any(c.isspace() for c in t) for t in added))
+
+    def _word_ids(self, word: bytes) -> bytes | None:
+        """Ids of a word of plain letters by the library's BPE model alone (nothing
+        is left to normalise or split), with plain signs after it; None for any other word."""
+        m = _PLAIN.fullmatch(word.decode())
+        if not m:
+            return None
+        core, signs = m.groups()
+        ids = self.cache.get(core.encode()) if signs else None
+        if ids is None:
+            spelled = core if core.isascii() else core.translate(self.spelling)
+            ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        if signs:
+            if signs not in self.signs:
+                if len(self.signs) > self.cache_words:
+                    self.signs.clear()
+                self.signs[signs] = self._ids([signs])[0]
+            ids += self.signs[signs]
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._ids(texts)
-        split = [t.encode().split() for t in texts]
-        new = set().union(*split) - self.cache.keys()
-        if len(self.cache) + len(new) > self.cache_words:
-            self.cache.clear()
-            new = set().union(*split)
-        order = list(new)
-        self.cache.update(zip(order, self._ids([w.decode() for w in order]), strict=True))
+        # A-Z as a-z finds more words again; not where a special token might stand, which the library takes as written
+        split = [(d if b"<" in (d := t.encode()) else d.lower()).split() for t in texts]
+        here = set().union(*split)
+        new = here - self.cache.keys()
+        if len(self.cache) + len(new) > self.cache_words:       # keep what this batch uses
+            self.cache = {w: self.cache[w] for w in here if w in self.cache}
+        rest = []
+        for w in new:
+            ids = self._word_ids(w)
+            if ids is None:
+                rest.append(w)
+            else:
+                self.cache[w] = ids
+        for at in range(0, len(rest), WORDS_AT_ONCE):
+            part = rest[at:at + WORDS_AT_ONCE]
+            self.cache.update(zip(part, self._ids([w.decode() for w in part]), strict=True))
         return [b"".join(map(self.cache.__getitem__, words)) for words in split]
 
 
@@ -133,14 +181,15 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: Broadcast, end_id:
                       key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text (null: empty), append ``end_id`` to each
     document, write the files under ``folder`` in ascending ``key`` order
-    (nulls first, then by text) and return the manifest with ``first_id`` and
+    (nulls first, then by the text's hash) and return the manifest with ``first_id`` and
     ``first_doc``, the ids and documents of all files before.
 
     Keys must be integers. Repeated rows are documents of their own; an empty
     table has an empty manifest; other columns are not read."""
     rows = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-    rows = rows.repartitionByRange(F.col("key").asc_nulls_first(), F.col("t")).sortWithinPartitions(
-        F.col("key").asc_nulls_first(), "t")
+    # dealt by narrow columns: the sample that sets the ranges holds no text
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("t")]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
