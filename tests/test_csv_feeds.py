@@ -76,7 +76,7 @@ def test_embedded_newline_with_multiline(spark, tmp_dir):
     d = _local(tmp_dir)
     _write(d, "ml.csv", V2_HEADER + 'S100001,"Ann\nMarie",Lee,DIST001-SCH001,ged,01/05/2021,Active,N/A,\n'
            + "S100002,Bo,Li,DIST001-SCH002,ged,01/05/2021,Active,N/A,\n")
-    slots, _ = CSV.read_feeds(spark, d, multi_line=True)
+    slots, _ = CSV.read_feeds(spark, d)
     rows = {r.source_student_id: r for r in N.tag(slots).collect()}
     assert len(rows) == 2 and rows["S100001"].first_name == "Ann\nMarie"
 
@@ -149,3 +149,123 @@ def test_permuted_and_extra_columns_change_nothing(spark, sf_small, tmp_dir):
     assert sorted(r.version for r in ca.collect()) == sorted(r.version for r in cb.collect())
     na, nb = N.normalise(a).drop("feed"), N.normalise(b).drop("feed")
     assert na.count() == nb.count() and na.exceptAll(nb).count() == 0
+
+
+V2_ROW = "S100001,A,B,S1,ged,01/05/2021,Active,N/A,2021-02-01T00:00:00\n"
+V3_HEADER = "stu_id,firstName,lastName,school_code,credential_category,issued_on,status_code,modified_timestamp\n"
+
+
+def test_hidden_and_partition_like_names(spark, tmp_dir):
+    """Names Spark would skip are reported as unknown; folders named like partitions hide nothing."""
+    d = _local(tmp_dir)
+    for name in ("top.csv", "_x.csv", ".y.csv", "a b%20c.csv"):
+        _write(d, name, V2_HEADER + V2_ROW)
+    _write(f"{d}/p=1", "in.csv", V2_HEADER + V2_ROW)
+    _write(f"{d}/q=1", "in.csv", V2_HEADER + V2_ROW)
+    slots, classified = CSV.read_feeds(spark, d)
+    rows = {r.feed: r for r in classified.collect()}
+    assert set(rows) == {"top.csv", "_x.csv", ".y.csv", "a b%20c.csv"}
+    assert rows["_x.csv"].version == "UNKNOWN" and "hidden" in rows["_x.csv"].detection
+    assert sorted(r.feed for r in slots.collect()) == ["a b%20c.csv", "top.csv"]
+    counts = {r.feed: (r.ver, r.source_count) for r in CSV.feed_counts(spark, d, classified).collect()}
+    assert counts["a b%20c.csv"] == ("v2", 1) and counts["_x.csv"] == (None, 0)
+
+
+def test_a_folder_that_cannot_be_listed_raises(spark, tmp_dir):
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        CSV.list_feeds(spark, f"{tmp_dir}/nowhere")
+    with pytest.raises(Exception, match="nostore"):
+        CSV.list_feeds(spark, "nostore://host/feeds")
+
+
+def test_equal_names_in_two_folders(spark, tmp_dir):
+    d = _local(tmp_dir)
+    _write(f"{d}/s1", "c.csv", V2_HEADER + V2_ROW)
+    _write(f"{d}/s2", "c.csv", V2_HEADER + V2_ROW + V2_ROW.replace("100001", "100002"))
+    counts = {r.feed: r.source_count for r in CSV.feed_counts(spark, f"{d}/*").collect()}
+    assert counts == {"s1/c.csv": 1, "s2/c.csv": 2}
+    slots, _ = CSV.read_feeds(spark, f"{d}/*")
+    assert sorted(r.feed for r in slots.collect()) == ["s1/c.csv", "s2/c.csv", "s2/c.csv"]
+
+
+def test_quoted_newlines_load_and_reconcile_by_default(spark, tmp_dir):
+    from feedrecon.operators import ingest as IG
+    from feedrecon.plans import scenarios as S
+    from feedrecon.plans.jobs import ingest_directory, reconcile_directory
+    d = _local(f"{tmp_dir}/feeds")
+    _write(d, "ml.csv", V2_HEADER + 'S100001,"Ann\nMarie",Lee,DIST001-SCH001,ged,01/05/2021,Active,N/A,2021-02-01T00:00:00\n'
+           + V2_ROW.replace("100001", "100002"))
+    target = IG.Tables(f"{tmp_dir}/target")
+    _, totals = ingest_directory(spark, f"{tmp_dir}/feeds", target, S.RUN1_TS, "r1")
+    assert totals.collect()[0].staged == 2
+    res = {r.check_name: r for r in reconcile_directory(spark, f"{tmp_dir}/feeds", target).collect()}
+    assert res["Row count: v2 (ml.csv)"].status == "PASS"
+
+
+def test_header_reader_is_self_contained_and_survives_short_reads(tmp_path):
+    """The task's function runs where this package is not importable."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    (tmp_path / "h.csv").write_bytes('\ufeffa,"b\nc",d\n1,2,3\n'.encode())
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(CSV._header_reader(3)[0]))
+    out = subprocess.run([sys.executable, "-c", "import pickle,sys;f=pickle.load(open('f','rb'));print(f('h.csv'))"],
+                         cwd=tmp_path, env={"PATH": os.environ["PATH"]}, capture_output=True, text=True, check=True)
+    assert out.stdout.strip().splitlines()[-1] == str(["a", "b\nc", "d"])
+
+
+def test_header_only_feed_is_summarised_and_advances(spark, tmp_dir):
+    from feedrecon.operators import control as CT
+    from feedrecon.operators import ingest as IG
+    from feedrecon.plans import scenarios as S
+    from feedrecon.plans.jobs import ingest_directory, reconcile_directory
+    d = _local(f"{tmp_dir}/feeds")
+    _write(d, "a_v2.csv", V2_HEADER)
+    _write(d, "b_v3.csv", V3_HEADER + "stu100009,Ed,Ng,DIST002-SCH001,GED,not a date,ACT,\n")
+    target = IG.Tables(f"{tmp_dir}/target")
+    summary, _ = ingest_directory(spark, f"{tmp_dir}/feeds", target, S.RUN1_TS, "20240102")
+    rows = {r.file: r for r in summary.collect()}
+    assert rows["a_v2.csv"].total_rows == 0 and rows["b_v3.csv"].mapping_errors == 1
+    state = {r.schema_version for r in CT.current_state(CT.read_log(spark, target.control)).collect()}
+    assert state == {"v2"}                                  # v3 rejected everything
+    q = IG.read_quarantine(spark, target).collect()
+    assert [(r.raw_issue_date, r.reason, r.run_id) for r in q] == [("not a date", "unparseable_issue_date", "20240102")]
+    res = {r.check_type: r for r in reconcile_directory(spark, f"{tmp_dir}/feeds", target).collect()}
+    assert res["NULL_ASSERTIONS"].check_name == "Null assertions: staging table" and res["NULL_ASSERTIONS"].status == "FAIL"
+
+
+def test_full_reload_of_an_empty_folder_empties_staging(spark, tmp_dir):
+    from feedrecon.operators import ingest as IG
+    from feedrecon.plans import scenarios as S
+    from feedrecon.plans.jobs import ingest_directory
+    d = _local(f"{tmp_dir}/feeds")
+    _write(d, "a_v2.csv", V2_HEADER + V2_ROW + "S1,A,B,,ged,01/05/2021,Active,N/A,\n")
+    target = IG.Tables(f"{tmp_dir}/target")
+    ingest_directory(spark, f"{tmp_dir}/feeds", target, S.RUN1_TS, "r1")
+    assert IG.read_staging(spark, target).count() == 1 and IG.read_quarantine(spark, target).count() == 1
+    os.makedirs(_local(f"{tmp_dir}/none"))
+    ingest_directory(spark, f"{tmp_dir}/none", target, S.RUN2_TS, "r2", full_reload=True)
+    assert IG.read_staging(spark, target).count() == 0 and IG.read_quarantine(spark, target).count() == 0
+
+
+def test_a_ninth_layout_as_data(spark, tmp_dir):
+    from feedrecon.functions.rules import STATUS_WORDS
+    from feedrecon.layouts import LAYOUTS, Layout
+    from feedrecon.operators import ingest as IG
+    from feedrecon.plans import scenarios as S
+    from feedrecon.plans.jobs import ingest_directory, reconcile_directory
+    cols = ("pupil", "whole_name", "campus", "award", "on_date", "condition", "touched")
+    lay = Layout(version="v9", student_id="pupil", full_name="whole_name", school_id="campus", credential_type="award",
+                 issue_date="on_date", status="condition", updated_at="touched", columns=cols, fingerprint=cols[:6], position=8)
+    d = _local(f"{tmp_dir}/feeds")
+    _write(d, "nine.csv", ",".join(cols) + "\nP100001,Ann Marie Lee,C1,diploma x,2021-01-05,vivant,2021-02-01T00:00:00\n")
+    layouts, target = {**LAYOUTS, "v9": lay}, IG.Tables(f"{tmp_dir}/target")
+    ingest_directory(spark, f"{tmp_dir}/feeds", target, S.RUN1_TS, "r1", layouts=layouts,
+                     status_words={**STATUS_WORDS, "vivant": "ACTIVE"})
+    r = IG.read_staging(spark, target).collect()[0]
+    assert (r.student_id, r.first_name, r.last_name, r.status, r.source_schema_version) == ("100001", "Ann Marie", "Lee", "ACTIVE", "v9")
+    res = {x.check_name: x.status for x in reconcile_directory(
+        spark, f"{tmp_dir}/feeds", target, layouts=layouts, allowed_types=("DIPLOMA_X",)).collect()}
+    assert res["Row count: v9 (nine.csv)"] == "PASS" and res["credential_type: allowed values check"] == "PASS"

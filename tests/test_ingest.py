@@ -44,7 +44,7 @@ def test_rerun_of_same_run_changes_nothing(spark, sf_small):
 
 def test_watermark_read_once_per_run_second_feed_same_version(spark, sf_small):
     """P5 fix: two files of one layout in one run are filtered by the same watermark."""
-    f = S.feeds(spark, sf_small).where("ver = 'v3'")
+    f = S.feeds(spark, sf_small).where("ver = 'v3' AND (raw_updated_at = '' OR raw_updated_at > '2000-01-01')")   # none before the epoch
     split = f.withColumn("feed", F.when(F.col("k") % 16 == 2, F.lit("v3_a.csv")).otherwise(F.lit("v3_b.csv")))
     t = IG.Tables(new_work_dir(spark, "t-p5"))
     summ = IG.run_ingest(spark, split, t, S.RUN1_TS, "r1")
@@ -61,7 +61,7 @@ def test_reset_and_upsert_semantics(spark, sf_small):
 
 
 def test_no_advance_when_every_row_fails(spark, sf_small):
-    f = S.feeds(spark, sf_small).where("ver = 'v2'").withColumn("raw_issue_date", F.lit("bad"))
+    f = S.feeds(spark, sf_small).where("ver = 'v2' AND raw_updated_at <> '1999-12-31T00:00:00'").withColumn("raw_issue_date", F.lit("bad"))
     t = IG.Tables(new_work_dir(spark, "t-noadv"))
     IG.run_ingest(spark, f, t, S.RUN1_TS, "r1")
     assert CT.current_state(CT.read_log(spark, t.control)).count() == 0
@@ -95,3 +95,35 @@ def test_advance_to_max_updated_at_keeps_late_records(spark, sf_small):
     n_late = late_early.where(F.to_timestamp("raw_updated_at") <= F.lit(S.RUN1_TS + dt.timedelta(days=400))).count()
     assert n_late > 0
     assert results["max_updated_at"] - results["run_ts"] > 0
+
+
+def test_failure_inside_a_full_reload_changes_nothing(spark, sf_small, monkeypatch):
+    """The reload's rows are written, then the run dies before its events: the
+    table still shows the runs before; the rerun replaces them once."""
+    import pytest
+    f = S.feeds(spark, sf_small)
+    t = IG.Tables(new_work_dir(spark, "t-reload"))
+    IG.run_ingest(spark, S.delivery(f, S.RUN1_TS, include_late=False), t, S.RUN1_TS, "r1")
+    before, state = IG.read_staging(spark, t).count(), CT.current_state(CT.read_log(spark, t.control)).collect()
+    with monkeypatch.context() as m:
+        m.setattr(CT, "append_events", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            IG.run_ingest(spark, f, t, S.RUN2_TS, "r2", full_reload=True)
+    assert IG.read_staging(spark, t).count() == before
+    assert CT.current_state(CT.read_log(spark, t.control)).collect() == state
+    IG.run_ingest(spark, f, t, S.RUN2_TS, "r2", full_reload=True)
+    one = IG.Tables(new_work_dir(spark, "t-reload-one"))
+    IG.run_ingest(spark, f, one, S.RUN2_TS, "r2")
+    a, b = _canon(IG.read_staging(spark, t)), _canon(IG.read_staging(spark, one))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    assert {r.run_id for r in IG.read_quarantine(spark, t).select("run_id").distinct().collect()} == {"r2"}
+
+
+def test_two_runs_with_equal_run_time(spark, sf_small):
+    """The second run sees the first one's watermark whatever the clock says."""
+    f = S.feeds(spark, sf_small).where("raw_updated_at <> ''")
+    t = IG.Tables(new_work_dir(spark, "t-clock"))
+    IG.run_ingest(spark, f, t, S.RUN2_TS, "r1")
+    n = IG.read_staging(spark, t).count()
+    IG.run_ingest(spark, f, t, S.RUN2_TS, "r2")
+    assert IG.read_staging(spark, t).count() == n

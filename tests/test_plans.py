@@ -28,3 +28,12 @@ def test_profile_single_exchange(spark, sf_small):
 def test_staging_scan_is_pruned(spark, sf_small):
     text = plan_text(REGISTRY["school_conflicts"](spark, sf_small))
     assert "ReadSchema: struct<student_id:string,school_id:string>" in text
+
+
+def test_suite_scans_staging_four_times(spark, sf_small):
+    """Once the plan has run: row counts, value checks, duplicates, students; the rest reuses their shuffles."""
+    df = REGISTRY["recon_results"](spark, sf_small)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    scans = [line for line in final.split("\n") if "FileScan" in line and "/loads" in line]
+    assert len(scans) == 4 and final.count("ReusedExchange") == 3

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedrecon.functions.rules import ntz
 from feedrecon.layouts import LAYOUTS
+from feedrecon.operators import control as CT
 from feedrecon.operators import export as EX
 from feedrecon.operators import ingest as IG
 from feedrecon.plans import scenarios as S
@@ -23,8 +24,8 @@ def test_available_now_stream_picks_up_new_files(spark, sf_small, tmp_dir):
     q.awaitTermination()
     assert IG.read_staging(spark, target).count() == first.count()
     # a new file arrives; the next AvailableNow run ingests only it (the old file is not re-read)
-    # updated after run 1 (a record stamped before the last run would be skipped: P3)
-    EX.write_csv(EX.export_layout(second, lay, ntz(S.LOAD_TS + dt.timedelta(days=1))), f"{tmp_dir}/in2")
+    # its records were updated long before the first run: a new file is loaded whole all the same
+    EX.write_csv(EX.export_layout(second, lay, ntz(S.LOAD_TS - dt.timedelta(days=900))), f"{tmp_dir}/in2")
     src = f"{tmp_dir}/in2".replace("file:", "")
     dst = f"{tmp_dir}/in".replace("file:", "")
     for name in os.listdir(src):
@@ -34,3 +35,15 @@ def test_available_now_stream_picks_up_new_files(spark, sf_small, tmp_dir):
                             run_ts=lambda e: S.LOAD_TS + dt.timedelta(days=2))
     q.awaitTermination()
     assert IG.read_staging(spark, target).count() == st.count()
+
+
+def test_streams_of_two_layouts_into_one_target(spark, sf_small, tmp_dir):
+    target = IG.Tables(f"{tmp_dir}/out")
+    st = S.staging(spark, sf_small)
+    for v in ("v2", "v3"):
+        EX.write_csv(EX.export_layout(st.where(F.col("source_schema_version") == v), LAYOUTS[v], ntz(S.LOAD_TS)), f"{tmp_dir}/in-{v}")
+        start_ingest_stream(spark, f"{tmp_dir}/in-{v}", LAYOUTS[v], target, f"{tmp_dir}/ckpt-{v}", "s",
+                            run_ts=lambda e: S.LOAD_TS).awaitTermination()
+    assert IG.read_staging(spark, target).count() == st.where("source_schema_version IN ('v2', 'v3')").count()
+    assert {r.schema_version for r in IG.read_summaries(spark, target).collect()} == {"v2", "v3"}
+    assert {r.schema_version for r in CT.current_state(CT.read_log(spark, target.control)).collect()} == {"v2", "v3"}
