@@ -19,11 +19,13 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedrecon.llm.util import release_memory
+
 MAX_RANK_BYTES = 64 << 20
 #: Texts longer than this many characters are encoded in pieces of about this size.
 PIECE = 1 << 16
 #: Token ids of one output batch, about.
-BATCH_IDS = 1 << 20
+BATCH_IDS = 1 << 18
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _LOADED: dict = {}
 
@@ -73,48 +75,70 @@ def encode_text(encoding, text: str) -> list[int]:
     return [i for part in pieces(text) for i in encoding.encode_ordinary(part)]
 
 
-def encode(df: DataFrame, ranks: Broadcast, pattern: str, text: str = "text", ids: str = "ids",
-           keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all but the text) and ``ids`` (array of
-    int): the ids of every row's whole text. A null or empty text has none;
-    repeated rows stay; an empty table stays empty; a column called like
-    ``ids`` is replaced."""
-    kept = [c for c in (df.columns if keep is None else keep) if c not in ((text, ids) if keep is None else (ids,))]
-    rows = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").alias("t"))
-    schema = ", ".join([*[f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(kept))], "ids array<int>"])
+def _mapped(df: DataFrame, keep: list[str], source: str, made: dict[str, str], make) -> DataFrame:
+    """Columns ``keep`` and, per row of ``source``, what ``make()`` (called once a
+    task) returns for it: one value per column of ``made`` (name to type). One pass
+    through Python; output batches hold about ``BATCH_IDS`` ids, however many rows arrive at once."""
+    rows = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{source}`").alias("s"))
+    n = len(keep)
+    schema = ", ".join([*[f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(n)],
+                        *[f"m{i} {kind}" for i, kind in enumerate(made.values())]])
+    arrow = {"array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
+    kinds = [arrow[k] for k in made.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, _ = encoder(ranks.value, pattern)
+        of_row = make()
         for batch in batches:
-            texts, start, out, size = batch.column(len(kept)), 0, [], 0
+            values, start, out, size = batch.column(n), 0, [], 0
             for at in range(batch.num_rows):
-                out.append(encode_text(encoding, texts[at].as_py() or ""))
-                size += len(out[-1])
+                out.append(of_row(values[at].as_py()))
+                size += len(out[-1][0])
                 if size >= BATCH_IDS or at == batch.num_rows - 1:
-                    cols = [batch.column(i).slice(start, len(out)) for i in range(len(kept))]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.list_(pa.int32()))],
-                                                     names=[*batch.schema.names[:len(kept)], "ids"])
+                    cols = [batch.column(i).slice(start, len(out)) for i in range(n)]
+                    cols += [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:n], *[f"m{i}" for i in range(len(kinds))]])
                     start, out, size = at + 1, [], 0
+            del batch, values
+        release_memory()
 
     done = rows.mapInArrow(run, schema)
-    return done.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)], F.col("ids").alias(ids))
+    return done.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"m{i}").alias(c) for i, c in enumerate(made)])
+
+
+def encode(df: DataFrame, ranks: Broadcast, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """All columns but the text, and ``ids`` (array of int): the ids of every
+    row's whole text. A null or empty text has none; repeated rows stay; an empty
+    table stays empty; a column called like ``ids`` is replaced."""
+    def make():
+        encoding, _ = encoder(ranks.value, pattern)
+        return lambda t: (encode_text(encoding, t or ""),)
+
+    return _mapped(df, [c for c in df.columns if c not in (text, ids)], text, {ids: "array<int>"}, make)
 
 
 def decode(df: DataFrame, ranks: Broadcast, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with ``decoded`` (binary): the raw bytes of the ids. Null ids decode to nothing."""
-    names = [c for c in df.columns if c != decoded]
-    rows = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
-    at = f"k{names.index(ids)}"
-    schema = ", ".join([*[f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(names))], "decoded binary"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         _, by_id = encoder(ranks.value, pattern)
-        for batch in batches:
-            out = [b"".join([by_id[i] for i in row.as_py() or ()]) for row in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
+        return lambda row: (b"".join([by_id[i] for i in row or ()]),)
+
+    return _mapped(df, [c for c in df.columns if c != decoded], ids, {decoded: "binary"}, make)
+
+
+def round_trip(df: DataFrame, ranks: Broadcast, pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass through Python: all columns but the
+    text, the ids, and the raw bytes the ids decode to."""
+    def make():
+        encoding, by_id = encoder(ranks.value, pattern)
+
+        def of_text(t):
+            found = encode_text(encoding, t or "")
+            return found, b"".join([by_id[i] for i in found])
+        return of_text
 
-    return rows.mapInArrow(run, schema).select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(names)], F.col("decoded").alias(decoded))
+    return _mapped(df, [c for c in df.columns if c not in (text, ids, decoded)], text,
+                   {ids: "array<int>", decoded: "binary"}, make)
 
 
 def digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> list:

@@ -16,6 +16,7 @@ documents, by the order of a hash. Every document is scored, over its whole text
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedrecon.llm.util import release_memory
+
 #: Bounds of the sample the model is fitted on (documents).
 MAX_POSITIVE, MAX_UNLABELLED = 20_000, 20_000
 THRESHOLD = 0.3
@@ -146,8 +149,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score_column(model: Model, text: Column) -> Column:
     """Score of a whole text, from the text alone."""
     @F.pandas_udf("double")
-    def of_text(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack([features(t) for t in texts])) if len(texts) else [], dtype=float)
+    def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(model.score(np.stack([features(t) for t in texts])) if len(texts) else [], dtype=float)
+        release_memory()
 
     return of_text(text)
 

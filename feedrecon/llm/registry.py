@@ -40,8 +40,7 @@ def encoded_documents(spark: SparkSession, docs: DataFrame, keep_ids: bool = Fal
     """Ids, decoded again, as digests per document; with the ids themselves if asked for."""
     import public_tokenizers
     ranks = bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    rows = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    rows = bpe.decode(rows, ranks, public_tokenizers.PATTERN)
+    rows = bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return rows.select("doc_id", *bpe.digests(rows), *(["ids"] if keep_ids else []))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.llm.components import connected_components
-from feedrecon.llm.util import boxed, field, stored, unboxed
+from feedrecon.llm.util import boxed, field, release_memory, stored, unboxed
 
 #: Fixed values of the fingerprint: hash seed and shingle length of the registered query.
 SEED, SHINGLE, MAX_BITS = 42, 3, 3
@@ -66,8 +66,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, th, fp``: id, hash of the text and fingerprint (signed 64-bit) of every row of ``df``."""
     @F.pandas_udf("long")
-    def of_text(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), "<u8", len(texts)).view("<i8"))
+    def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), "<u8", len(texts)).view("<i8"))
+        release_memory()
 
     body = F.col(f"`{text}`")
     return df.select(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(body).alias("th"), of_text(body).alias("fp"))

@@ -34,7 +34,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedrecon.llm.util import stored
+from feedrecon.llm.util import release_memory, stored
 
 NULL_KEY = -2 ** 63
 MAX_TOKENIZER_BYTES = 64 << 20
@@ -217,6 +217,7 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: Broadcast, end_id:
             yield pa.RecordBatch.from_pylist([{"part": part, "file": name, "width": enc.width, "n_docs": n_docs, "n_ids": n_ids}],
                                              pa.schema([("part", pa.int32()), ("file", pa.string()), ("width", pa.int32()),
                                                         ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+        release_memory()
 
     manifest = stored(rows.mapInArrow(write, MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)      # one row per partition

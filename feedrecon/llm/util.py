@@ -3,6 +3,8 @@ numbering by prefix sums, word counting."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,19 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system: a Python worker
+    lives on for later tasks, and its allocator would keep the peak."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # a C library without it keeps the memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files behind a ``stored`` table that nothing reads any more."""
     spark = df.sparkSession

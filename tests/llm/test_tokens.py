@@ -39,6 +39,8 @@ def test_encode_and_decode(spark, docs, encoding):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3]), (None, "no id")]
     ranks = bpe.load_ranks(spark, RANKS)
     out = bpe.decode(bpe.encode(docs(rows), ranks, P.PATTERN), ranks, P.PATTERN)
+    both = bpe.round_trip(docs(rows), ranks, P.PATTERN)
+    assert both.columns == out.columns and both.exceptAll(out).count() == 0 and both.count() == out.count()
     got = out.select("doc_id", "ids", "decoded", *bpe.digests(out), "k0").collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
