@@ -77,8 +77,8 @@ def shard_documents(df: DataFrame, weights: Sequence[float], key: str = "doc_id"
 
 def write_shards(df: DataFrame, path: str, weights: Sequence[float], key: str = "doc_id",
                  rows_per_file: int = 1_000_000) -> None:
-    """The documents as Parquet, one folder per shard. Rows are spread by a
-    round robin inside each shard's own set of files, so a shard is never one
-    task; a rerun replaces the folders."""
+    """The documents as Parquet, one folder per shard. Every task writes its own
+    file into each shard it has rows for (at most ``rows_per_file`` rows a file), so no
+    shard is gathered in one task and nothing is shuffled; a rerun replaces the folders."""
     (assign(df, key, weights).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
      .partitionBy("shard").parquet(path))

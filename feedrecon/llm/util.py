@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import contextlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedrecon.session import new_work_dir
+from feedrecon.sources.tables import table  # noqa: F401 (used by the queries)
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,9 +91,3 @@ def numbered(df: DataFrame, order: list[str], group: str | None = None, tag: str
     return (placed.join(F.broadcast(bases), on)
             .withColumn("pos", (F.col("_row") - F.col("_first") + F.col("_base")).cast("long"))
             .drop("_row", "_part", "_group", "_first", "_base", "_n"))
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A Parquet table of a data directory."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
