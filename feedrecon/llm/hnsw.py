@@ -40,6 +40,8 @@ AUDITS, AUDIT_RECALL = 256, 0.97
 #: Candidates are taken from a little below the threshold in single precision, then verified.
 SLACK = 1e-4
 _AT_ONCE, _EXPAND = 256, 4
+#: A beam of this part of a shard is replaced by the whole shard; pairs verified at once.
+ALL, VERIFY = 8, 1 << 17
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -162,13 +164,18 @@ class Graph:
 
     def close(self, q, least, beam):
         """(query rows, ids) of the nodes found with at least ``least``; queries
-        whose beam ends full of such nodes are searched again with a wider one."""
+        whose beam ends full of such nodes are searched again with a wider one,
+        and from an ``ALL``-th of the shard on with all of it."""
         found, rows = [], np.arange(len(q))
         while len(rows):
+            if beam * ALL >= len(self.x):       # such a beam costs more than the whole shard
+                s = q[rows] @ self.x.T
+                a, b = np.nonzero(s >= least)
+                found.append((rows[a], b))
+                break
             hits: list = []
-            beam = min(beam, len(self.x))
             sims = beam_search(self.x, self.levels[0], q[rows], self.descend(q[rows], 0), beam, hits, least)[1]
-            full = (sims[:, -1] >= least) & (beam < len(self.x))
+            full = sims[:, -1] >= least
             a, b = (np.concatenate(c) for c in zip(*hits, strict=True))
             done = ~full[a]
             found.append((rows[a[done]], b[done]))
@@ -227,14 +234,14 @@ def audit(graph, threshold, seed):
     turned = (t * x + np.sqrt(1 - t * t) * away).astype(np.float32)
     turned /= np.linalg.norm(turned, axis=1, keepdims=True)
     ok = np.einsum("kd,kd->k", turned, x) >= threshold           # one-dimensional vectors cannot be turned
-    true = set(zip(*map(np.ndarray.tolist, np.nonzero(x @ graph.x.T >= threshold)), strict=True))
+    true = np.flatnonzero(x @ graph.x.T >= threshold)            # (sample, node) pairs as numbers
     while True:
         a, b = graph.close(turned, threshold - SLACK, graph.beam)
         met = np.zeros(len(at), bool)
         met[a[at[a] == b]] = True
-        found = set(zip(*map(np.ndarray.tolist, graph.close(x, threshold - SLACK, graph.beam)), strict=True))
+        a, b = graph.close(x, threshold - SLACK, graph.beam)
         good = met[ok].mean() if ok.any() else 1.0
-        if graph.beam >= n or (good >= AUDIT_RECALL and len(true & found) >= AUDIT_RECALL * len(true)):
+        if graph.beam >= n or (good >= AUDIT_RECALL and np.isin(true, a * n + b).sum() >= AUDIT_RECALL * len(true)):
             return graph
         graph.beam *= 2
 
@@ -270,17 +277,21 @@ def _query(threshold):
                 levels = [g[f"level{i}"].astype(np.int64) for i in range(sum(k.startswith("level") for k in g))]
                 graph = Graph(u.astype(np.float32), levels, int(g["beam"]))
             mine, v = queries.column("node").to_numpy(), unit(_matrix(queries.column("v")))
-            pairs = []
+            names, place = np.unique(np.concatenate([mine, node]), return_inverse=True)
+            group, n = np.arange(len(names)), np.zeros(len(mine), np.int64)
             for at in range(0, len(mine), _AT_ONCE):
                 a, b = graph.close(v[at:at + _AT_ONCE].astype(np.float32), threshold - SLACK, graph.beam)
                 a = a + at
-                real = (np.einsum("kd,kd->k", v[a], u[b]) >= threshold) & (mine[a] != node[b])
-                pairs.append((a[real], b[real]))
-            a, b = (np.concatenate(c) for c in zip(*pairs, strict=True))
-            names, at = np.unique(np.concatenate([mine, node]), return_inverse=True)
-            child, root = forest(at[:len(mine)][a], at[len(mine):][b], len(names))
-            n = np.zeros(len(mine), np.int64)
-            np.add.at(n, a, copies[b])
+                for part in range(0, len(a), VERIFY):           # however many links there are, few are held at once
+                    x, y = a[part:part + VERIFY], b[part:part + VERIFY]
+                    real = (np.einsum("kd,kd->k", v[x], u[y]) >= threshold) & (mine[x] != node[y])
+                    x, y = x[real], y[real]
+                    np.add.at(n, x, copies[y])
+                    child, root = forest(group[place[:len(mine)][x]], group[place[len(mine):][y]], len(names))
+                    group[child] = root
+                    group = group[group]
+            child = np.flatnonzero(group != np.arange(len(names)))
+            root = group[child]
             out = {"node": np.concatenate([mine, names[child]]), "root": np.concatenate([mine, names[root]]),
                    "n": np.concatenate([n, np.zeros(len(child), np.int64)])}
         return pa.table({k: pa.array(c, pa.int64()) for k, c in out.items()})
