@@ -399,7 +399,7 @@ def exported_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Staged rows written as CSV feeds, one folder per layout, plus for each
     layout a damaged copy whose header lost the layout's id column. Returns a
     glob over all feed files (each part file is one feed)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = S.prepared_key(spark, sf_dir)
     with S._LOCK:
         if key not in _EXPORTED:
             root = new_work_dir(spark, "csv-feeds")
@@ -419,7 +419,7 @@ def multiline_feeds(spark: SparkSession, sf_dir: str) -> str:
     """Staged v2 and v6 rows as CSV feeds whose first names hold a quoted line
     break, in two folders with equal file names (``s1/c0.csv`` … ``s2/c3.csv``).
     Returns a glob over both folders."""
-    key = (spark.sparkContext.applicationId, sf_dir, "multiline")
+    key = S.prepared_key(spark, sf_dir, "multiline")
     with S._LOCK:
         if key not in _EXPORTED:
             root = new_work_dir(spark, "csv-multiline")
@@ -472,7 +472,7 @@ def stream_ingest(spark, sf_dir):
     """The staged rows of all layouts delivered as CSV files and ingested into
     one target by one AvailableNow file stream a layout (foreachBatch → run_ingest)."""
     from feedrecon.streaming.ingest_stream import start_ingest_stream
-    key = (spark.sparkContext.applicationId, sf_dir, "stream")
+    key = S.prepared_key(spark, sf_dir, "stream")
     with S._LOCK:
         if key not in _EXPORTED:
             root = new_work_dir(spark, "stream")

@@ -14,7 +14,7 @@ from feedrecon.operators import normalise as N
 from feedrecon.operators.control import EPOCH
 from feedrecon.functions import rules as R
 from feedrecon.operators.ingest import Tables, read_staging, run_ingest
-from feedrecon.session import new_work_dir
+from feedrecon.session import glob_status, new_work_dir
 from feedrecon.sources.fixtures import credential_feed, feed_file_name
 
 # Run timestamps used by the two-run scenarios (data time; see FIXTURES.md).
@@ -34,7 +34,16 @@ def derived_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.withColumn("feed", feed_file_name(F.col("ver")))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+def prepared_key(spark: SparkSession, sf_dir: str, *parts) -> tuple:
+    """What a prepared table is kept under: session, directory, and the state of
+    its input files (size and time of change), so that changed input is prepared anew."""
+    files = [(s.getPath().toString(), s.getLen(), s.getModificationTime())
+             for name in ("orders", "customer") for pattern in (f"{sf_dir}/{name}.parquet", f"{sf_dir}/{name}.parquet/*")
+             for s in glob_status(spark, pattern)]
+    return (spark.sparkContext.applicationId, sf_dir, tuple(files), *parts)
+
+
+_LANDED: dict[tuple, str] = {}
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +51,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     once per session and data directory (parquet, partitioned by layout, in
     the shared work folder) and every job scans them like real feed files,
     so the mapping plans start from a scan, not from the derivation."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = prepared_key(spark, sf_dir)
     with _LOCK:
         if key not in _LANDED:
             path = new_work_dir(spark, "landed-feeds")
@@ -63,7 +72,7 @@ def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.normalise(full_extract(feeds(spark, sf_dir))).select(*N.CANONICAL)
 
 
-_LOADED: dict[tuple[str, str], str] = {}
+_LOADED: dict[tuple, str] = {}
 
 
 def loaded_target(spark: SparkSession, sf_dir: str) -> Tables:
@@ -71,7 +80,7 @@ def loaded_target(spark: SparkSession, sf_dir: str) -> Tables:
     feeds (J3 with no stored watermark), written once per session and data
     directory under the shared work folder. Reconciliation reads staging
     from storage, as it does after a real load."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = prepared_key(spark, sf_dir)
     with _LOCK:
         if key not in _LOADED:
             target = Tables(new_work_dir(spark, "full-load"))
@@ -87,7 +96,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_target(spark: SparkSession, sf_dir: str) -> Tables:
     """The ingest target after a run that rejected every record of one layout: its staging is stored and empty."""
-    key = (spark.sparkContext.applicationId, sf_dir, "rejected")
+    key = prepared_key(spark, sf_dir, "rejected")
     with _LOCK:
         if key not in _LOADED:
             target = Tables(new_work_dir(spark, "rejected"))
@@ -116,7 +125,7 @@ def two_runs(spark: SparkSession, sf_dir: str, reset_versions: tuple[str, ...] =
     second delivery (everything, late records included), and optionally a
     third, full-reload run at RUN3_TS. Written once per session, data
     directory and variant."""
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(reset_versions), full_reload_third)
+    key = prepared_key(spark, sf_dir, tuple(reset_versions), full_reload_third)
     with _LOCK:
         if key not in _RUNS:
             f = feeds(spark, sf_dir)
