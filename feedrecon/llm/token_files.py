@@ -43,6 +43,8 @@ CACHE_WORDS = 400_000
 #: Characters of text encoded at once, and documents read back at once.
 TEXT_BATCH, READ_DOCS = 1 << 20, 50_000
 WORDS_AT_ONCE = 4096
+#: Tasks that read files back, at most; beyond it a task reads several slices.
+MAX_READERS = 10_000
 # FIXED VALUE: the pattern of the kind of tokenizer whose words are looked up one by one.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Lower-case letters that normalising leaves as they are.
@@ -233,7 +235,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     documents, spread over the cluster."""
     slices = manifest.select("folder", "file", "width", "first_id", "n_docs", F.explode(
         F.sequence(F.lit(0), F.col("n_docs") - 1, F.lit(READ_DOCS))).alias("lo"))
-    slices = slices.repartition(F.col("file"), F.col("lo"))
+    # a slice is a short row but much work: a stated number of tasks, which adaptive execution does not merge
+    n = manifest.agg(F.sum(F.ceil(F.col("n_docs") / F.lit(READ_DOCS)))).first()[0] or 0
+    slices = slices.repartition(int(min(max(n, 1), MAX_READERS)), F.col("file"), F.col("lo"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
