@@ -7,6 +7,8 @@ single-name layouts, and the layout's column order. No shuffle.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,14 +59,17 @@ def _writer(df: DataFrame):
             .option("emptyValue", "").option("nullValue", ""))
 
 
-def write_csv_files(df: DataFrame, part: str, parts: str, folder: str, name: str) -> None:
+def write_csv_files(df: DataFrame, part: str, parts: str, folder: str, name: str = "") -> None:
     """One file per value of the column ``part`` (the rows of a value in one
-    partition), renamed to ``<folder>/<name><value>.csv``: feeds with fixed names."""
+    partition), renamed to ``<folder>/<name><value>.csv``: feeds with fixed names.
+    A value may hold a folder (``s1/v1_0``)."""
     _writer(df).partitionBy(part).csv(parts)
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
     for s in glob_status(spark, f"{parts}/{part}=*/*.csv"):
-        value = s.getPath().getParent().getName().split("=", 1)[1]
-        fs.rename(s.getPath(), path(f"{folder}/{name}{value}.csv"))
+        value = unquote(s.getPath().getParent().getName().split("=", 1)[1])
+        to = path(f"{folder}/{name}{value}.csv")
+        fs.mkdirs(to.getParent())
+        fs.rename(s.getPath(), to)

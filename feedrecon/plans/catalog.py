@@ -445,6 +445,46 @@ def folder_row_counts(spark, sf_dir):
     return CSV.feed_counts(spark, multiline_feeds(spark, sf_dir))
 
 
+#: Files a layout has in each folder of ``multiline_all_feeds``: four, and one more for so many of its rows.
+FILE_ROWS = 16_384
+
+
+def multiline_all_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Staged rows of every layout as CSV feeds with a quoted line break in the
+    name and in the school id (a cell every layout has), in two folders with
+    equal file names (``s1/v1_0.csv`` … ``s2/v8_3.csv``). The number of files
+    grows with the rows. Returns a glob over both folders."""
+    key = S.prepared_key(spark, sf_dir, "multiline-all", FILE_ROWS)
+    with S._LOCK:
+        if key not in _EXPORTED:
+            root = new_work_dir(spark, "csv-multiline-all")
+            staged = S.staging(spark, sf_dir)
+            rows = {r.source_schema_version: r["count"] for r in staged.groupBy("source_schema_version").count().collect()}
+            st = (staged.withColumn("first_name", F.concat("first_name", F.lit("\nJo")))
+                  .withColumn("school_id", F.concat("school_id", F.lit("\nEast"))))
+            n = F.col("student_id").cast("int") + F.unix_date("issue_date")
+            for v, lay in LAYOUTS.items():
+                files = 4 + rows.get(v, 0) // FILE_ROWS
+                name = F.concat(F.lit("s"), F.pmod(n, F.lit(2)) + 1, F.lit(f"/{v}_"), F.pmod(F.floor(n / 2), F.lit(files)))
+                out = EX.export_layout(st.where(F.col("source_schema_version") == v).withColumn("part", name), lay,
+                                       ntz(S.LOAD_TS), "part")
+                EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{v}", f"{root}/feeds")
+            _EXPORTED[key] = f"{root}/feeds/*"
+    return _EXPORTED[key]
+
+
+@query("csv_multiline_roundtrip_all")
+def csv_multiline_roundtrip_all(spark, sf_dir):
+    slots, _ = CSV.read_feeds(spark, multiline_all_feeds(spark, sf_dir))
+    return N.normalise(slots).select(*N.CANONICAL)
+
+
+@query("folder_row_counts_all")
+def folder_row_counts_all(spark, sf_dir):
+    """SRC-4 over all layouts, with quoted line breaks and equal file names."""
+    return CSV.feed_counts(spark, multiline_all_feeds(spark, sf_dir))
+
+
 # ============================================================================ J12
 @query("orphan_schools")
 def orphan_schools(spark, sf_dir):

@@ -569,6 +569,20 @@ ORACLE["folder_row_counts"] = (
     f"{BASE}\nSELECT CASE source_schema_version WHEN 'v2' THEN 's1/c' ELSE 's2/c' END || CAST(CAST(student_id AS INT) % 4 AS VARCHAR) "
     "|| '.csv' AS feed, source_schema_version AS ver, count(*) AS source_count FROM acc "
     "WHERE source_schema_version IN ('v2', 'v6') GROUP BY ALL")
+_SCHOOL_ALL = "school_id || chr(10) || 'East' AS school_id"
+# A full name is split at white space, line breaks included: one word leaves its last part to the break's.
+_FULL = f"source_schema_version IN {_in(FULL_NAME_VERSIONS)}"
+_FIRST_ALL = (f"CASE WHEN NOT {_FULL} THEN first_name || chr(10) || 'Jo' WHEN last_name = '' THEN first_name "
+              "ELSE first_name || ' Jo' END AS first_name")
+_LAST_ALL = f"CASE WHEN {_FULL} AND last_name = '' THEN 'Jo' ELSE last_name END AS last_name"
+ORACLE["csv_multiline_roundtrip_all"] = (
+    f"{BASE}\nSELECT student_id, {_FIRST_ALL}, {_LAST_ALL}, preferred_name, {_SCHOOL_ALL}, credential_type, issue_date, status, "
+    "source_schema_version, source_student_id FROM acc")
+ORACLE["folder_row_counts_all"] = (
+    f"{BASE}, placed AS (SELECT source_schema_version AS ver, CAST(student_id AS INT) + (issue_date - DATE '1970-01-01') AS n, "
+    "4 + count(*) OVER (PARTITION BY source_schema_version) // 16384 AS files FROM acc)\n"
+    "SELECT 's' || CAST(n % 2 + 1 AS VARCHAR) || '/' || ver || '_' || CAST((n // 2) % files AS VARCHAR) || '.csv' AS feed, ver, "
+    "count(*) AS source_count FROM placed GROUP BY ALL")
 ORACLE["feed_manifest"] = (f"{BASE}\nSELECT DISTINCT source_schema_version AS folder, source_schema_version AS version, "
                            "CAST(1 AS BIGINT) AS matches, true AS has_files FROM acc UNION ALL "
                            "SELECT DISTINCT source_schema_version || '_damaged', 'UNKNOWN', CAST(0 AS BIGINT), true FROM acc")

@@ -95,12 +95,12 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_target(spark: SparkSession, sf_dir: str) -> Tables:
-    """The ingest target after a run that rejected every record of one layout: its staging is stored and empty."""
+    """The ingest target after a run that rejected every record of all layouts: its staging is stored and empty."""
     key = prepared_key(spark, sf_dir, "rejected")
     with _LOCK:
         if key not in _LOADED:
             target = Tables(new_work_dir(spark, "rejected"))
-            bad = feeds(spark, sf_dir).where("ver = 'v2'").withColumn("raw_issue_date", F.lit("not-a-date"))
+            bad = feeds(spark, sf_dir).withColumn("raw_issue_date", F.lit("not-a-date"))
             run_ingest(spark, bad, target, LOAD_TS, "rejected")
             _LOADED[key] = target.root
     return Tables(_LOADED[key])
