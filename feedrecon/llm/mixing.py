@@ -68,8 +68,8 @@ def pareto_rank(u: Column, p: Column) -> Column:
 
 
 def _bin(rank: Column) -> Column:
-    """Monotone in the rank, even for a rank that is an odds ratio: its place in (0, 1)."""
-    return F.least(F.floor(rank / (rank + F.lit(1.0)) * F.lit(BINS)), F.lit(BINS - 1)).cast("int")
+    """Monotone in the rank, even for a rank that is an odds ratio: its place in (0, 1); null for a null rank."""
+    return F.when(rank.isNotNull(), F.least(F.floor(rank / (rank + F.lit(1.0)) * F.lit(BINS)), F.lit(BINS - 1))).cast("int")
 
 
 def documents_to_mix(key: Column, text: Column, source: Column, doc_weight: Column | None, seed: str) -> list[Column]:

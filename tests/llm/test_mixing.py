@@ -73,5 +73,20 @@ def test_document_weights(docs, spark):
     assert sum(r.taken for r in got) == 2000 and all(r.taken == 0 for r in got if r.doc_id % 2)
 
 
+def test_capped_source_draws_no_further_copies(docs):
+    small = [(0, "", "b")] + [(i, "w " * 10, "b") for i in range(1, 11)]
+    df = docs(small + [(i, "w " * 10, "a") for i in range(100, 400)])
+    got = [r.copies for r in M.mix(df).collect() if r.source == "b"]
+    assert got == [3] * 11                                       # the empty text too
+    assert M.mixed_documents(df).where("source = 'b'").count() == 33
+
+
+def test_capped_source_with_document_weights(spark):
+    rows = [(i, "w " * 10, "b", 0.0 if i % 2 else 2.0) for i in range(10)] + [(i, "w " * 10, "a", 1.0) for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, quality double")
+    got = {r.doc_id: r.copies for r in M.mix(df, doc_weight="quality").collect() if r.source == "b"}
+    assert got == {i: 0 if i % 2 else 3 for i in range(10)}
+
+
 def test_empty_table(docs):
     assert M.mix(docs([])).count() == 0 and M.mixed_documents(docs([])).count() == 0
