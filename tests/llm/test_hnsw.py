@@ -71,3 +71,43 @@ def test_beam_widens_past_a_large_group():
     g.beam = 16
     a, _ = g.close(x[:5].astype(np.float32), 0.9, 16)
     assert (np.bincount(a, minlength=5) >= 0.97 * (x[:5] @ x.T >= 0.9).sum(axis=1)).all()
+
+
+class Losing:
+    """A graph whose narrow beams find a vector itself and its ``hot`` group, and lose all other links."""
+
+    def __init__(self, x, hot):
+        self.x, self.hot, self.beam = x, hot, H.FIRST_BEAM
+
+    def close(self, q, least, beam):
+        s = q @ self.x.T
+        a, b = np.nonzero(s >= least)
+        keep = (s[a, b] == s.max(axis=1)[a]) | ((a >= 0) & (b < self.hot)) | (beam >= 64)
+        return a[keep], b[keep]
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_audit_sees_few_links_beside_self_matches_and_a_hot_group(hot):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((1000, 48))
+    x[:hot] = rng.standard_normal(48) + 0.02 * rng.standard_normal((hot, 48))
+    pairs = np.arange(400, 424).reshape(-1, 2)
+    x[pairs[:, 1]] = x[pairs[:, 0]] + 0.05 * rng.standard_normal((len(pairs), 48))
+    g = H.audit(Losing(H.unit(x).astype(np.float32), hot), 0.9, 0)
+    assert g.beam >= 64
+
+
+def test_recall_of_the_query_on_shards_answered_by_the_graph(spark):
+    n, d = 8000, 24
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((n, d))
+    for at in np.split(rng.permutation(n)[:3000], 1000):                  # 1000 groups of three
+        x[at[1:]] = x[at[0]] + 0.2 * rng.standard_normal((2, d))
+    x = x.astype(np.float32)
+    u = H.unit(x)
+    want = (u @ u.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in H.near_duplicates(df).select("vec_id", "n_links").collect()}
+    got = np.array([got[i] for i in range(n)])
+    print(f"links {got.sum()} of {want.sum()}, recall per linked vector {(got[want > 0] / want[want > 0]).mean():.4f}")
+    assert (got <= want).all() and (got[want > 0] / want[want > 0]).mean() >= 0.97
