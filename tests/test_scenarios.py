@@ -45,3 +45,13 @@ def test_line_breaks_pass_through_every_layout(spark, sf_small):
     assert back.where("contains(school_id, '\\nEast')").groupBy("source_schema_version").count().exceptAll(
         st.groupBy("source_schema_version").count()).count() == 0
     assert back.count() == st.count() > 0
+
+
+def test_files_grow_with_the_rows(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(CAT, "FILE_ROWS", 40)
+    rows = {r.source_schema_version: r["count"] for r in S.staging(spark, sf_small).groupBy("source_schema_version").count().collect()}
+    counts = CAT.folder_row_counts_all(spark, sf_small).collect()
+    assert sum(r.source_count for r in counts) == sum(rows.values())
+    for folder in ("s1", "s2"):
+        names = {r.feed for r in counts if r.feed.startswith(folder)}
+        assert names == {f"{folder}/{v}_{i}.csv" for v, n in rows.items() for i in range(4 + n // 40)}
