@@ -131,4 +131,94 @@ SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m.y,
 FROM v LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.x
 """
 
-ORACLE = {"op3_embedding_dedup": OP3, "op7_exact_topk": OP7, "op1_line_dedup": OP1, "op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}
+def _edit(state: str, cost: str, initial: str, kept: str | None) -> str:
+    """The path ``state`` (cost, audit, kept turns) with one more edit."""
+    turns = f"list_append({state}.r, {kept})" if kept else f"{state}.r"
+    return f"CASE WHEN {state}.c IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{initial}', 'r': {turns}}} END"
+
+
+def _insert_after(z: list[str], out: str) -> str:
+    """Two rounds of at most one insert each, as columns ``{out}0`` to ``{out}3``."""
+    user, bot = "'user:'", "'assistant:'"
+    z2 = ", ".join([z[2], *[_edit(z[q], "5", "I", user) for q in (0, 1, 3)]])
+    z3 = ", ".join([z[3], _edit(z[2], "5", "I", bot)])
+    return f"{z[0]} AS {out}0, {z[1]} AS {out}1, list_min([{z2}]) AS {out}2, list_min([{z3}]) AS {out}3"
+
+
+def _turn(z: list[str]) -> str:
+    """One turn (initial ``c``, fault ``f``, ``role``, ``text``) on four states."""
+    keep, extra = "role || ':' || text", "CASE WHEN f = 't' THEN 5 ELSE 0 END"
+    cols = []
+    for to, letter, origin in ((0, "", ()), (1, "s", (0,)), (2, "u", (0, 1, 3)), (3, "a", (2,))):
+        paths = [_edit(z[to], "2", "D", None)]
+        for q in origin:
+            paths.append(f"CASE WHEN f NOT IN ('b', 'd') AND c = '{letter}' THEN {_edit(z[q], extra, 'K', keep)} END")
+            if letter != "s":
+                role = "user" if letter == "u" else "assistant"
+                paths.append(f"CASE WHEN f NOT IN ('b', 'd') THEN {_edit(z[q], f'1 + {extra}', 'R', repr(role + ':') + ' || text')} END")
+        cols.append(f"list_min([{', '.join(paths)}]) AS z{to}")
+    return ", ".join(cols)
+
+
+# A forward recurrence over whole paths: per state the least (cost, edits); the operator goes backward over costs.
+OP11 = f"""
+WITH RECURSIVE {_CRC32},
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+o AS (SELECT k.*, {_crc32('name')} % 20 AS kind FROM k, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM o WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM d),
+m AS (SELECT conv_id, i, turn, role, text, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS p,
+             CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 't' ELSE '' END AS f FROM n),
+s AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}} AS z0, NULL::STRUCT(c INTEGER, a VARCHAR, r VARCHAR[]) AS z1,
+             NULL::STRUCT(c INTEGER, a VARCHAR, r VARCHAR[]) AS z2, NULL::STRUCT(c INTEGER, a VARCHAR, r VARCHAR[]) AS z3 FROM m
+      UNION ALL
+      SELECT conv_id, i, {_turn(['y0', 'y1', 'y2', 'y3'])} FROM (
+        SELECT conv_id, i, role, text, c, f, {_insert_after(['x0', 'x1', 'x2', 'x3'], 'y')} FROM (
+          SELECT m.conv_id, m.i, role, text, c, f, {_insert_after(['z0', 'z1', 'z2', 'z3'], 'x')}
+          FROM s JOIN m ON m.i = s.i + 1 AND m.conv_id IS NOT DISTINCT FROM s.conv_id))),
+g AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+             count(*) FILTER (p IS NOT NULL AND p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM m GROUP BY conv_id),
+e AS (SELECT conv_id, list_min([y0, y3]) AS best FROM (
+        SELECT conv_id, {_insert_after(['x0', 'x1', 'x2', 'x3'], 'y')} FROM (
+          SELECT s.conv_id, {_insert_after(['z0', 'z1', 'z2', 'z3'], 'x')}
+          FROM s JOIN g ON s.i = g.n AND s.conv_id IS NOT DISTINCT FROM g.conv_id)))
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN g ON a.conv_id IS NOT DISTINCT FROM g.conv_id
+     LEFT JOIN e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+_SHARE = "1 + (1000000000 * ({0} + 5)::HUGEINT) // ({1} + 5 * {2})::HUGEINT"
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS (SELECT doc, lang, source, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, source, t.term, count(*) AS n FROM t JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS count,
+             {_SHARE.format('coalesce(c.n, 0)', 'coalesce(s.total, 0)', 'v.v')} AS p, {_SHARE.format('k.n', 'v.n', 'v.v')} AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+             LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE count > 0 AND p > q),
+r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM x)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE = {"op11_conversation_repair": OP11, "op12_source_divergence": OP12, "op3_embedding_dedup": OP3, "op7_exact_topk": OP7, "op1_line_dedup": OP1, "op5_source_mixing": OP5, "op4_url_filter": OP4, "op10_sharding": OP10}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrecon.llm import bpe, hnsw, line_dedup, mixing, quality, sharding, simhash, token_files, topk, url_filter
+from feedrecon.llm import bpe, conversation, divergence, hnsw, language, line_dedup, mixing, quality, sharding, simhash, token_files, topk, url_filter
 from feedrecon.llm.oracle import ORACLE
 from feedrecon.llm.util import table
 from feedrecon.session import new_work_dir
@@ -76,6 +76,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), [1.0] * SHARDS)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation.audit(turns, conversation.damage(turns))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language.predict(docs, language.fit(docs))
+
+
 REGISTRY = {f.__name__: f for f in (op1_line_dedup, op2_simhash, op3_embedding_dedup, op4_url_filter, op5_source_mixing, op6_bpe, op7_exact_topk, op8_token_files, op9_quality,
-                                    op10_sharding, pipeline)}
+                                    op10_sharding, op11_conversation_repair, op12_source_divergence, op13_language_id, pipeline)}
 ORACLE = {k: v for k, v in ORACLE.items() if k in REGISTRY}
