@@ -25,7 +25,7 @@ r"""SimHash near-dedup with pivot distance tables.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pandas as pd
@@ -58,7 +58,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     n, counts = max(1, len(words) - shingle + 1), np.zeros(64, np.int64)
     shingles = map(b" ".join, zip(*grams, strict=False))
     for at in range(0, n, _CHUNK):
-        part = np.fromiter(map(h, (s for s, _ in zip(shingles, range(min(_CHUNK, n - at)), strict=False))), "<u8")
+        part = np.fromiter(map(h, islice(shingles, min(_CHUNK, n - at))), "<u8")
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 

@@ -43,6 +43,27 @@ def test_fingerprint(text):
     assert S.fingerprint(text) == plain_fingerprint(text)
 
 
+@pytest.mark.parametrize("words", [65_536, 65_537, 65_538, 65_539, 131_073, 131_075, 200_000])
+def test_fingerprint_over_several_chunks(words):
+    """No shingle is lost or counted twice where a chunk of hashes ends."""
+    rng = random.Random(words)
+    vocab = [f"w{i}" for i in range(50)]
+    text = [rng.choice(vocab) for _ in range(words)]
+    hs = np.array([xxh64_intdigest(" ".join(text[i:i + 3]).encode(), seed=42) for i in range(words - 2)], "<u8")
+    counts = np.unpackbits(hs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    assert S.fingerprint(" ".join(text)) == sum(1 << b for b in range(64) if 2 * counts[b] > len(hs))
+
+
+def test_every_chunk_size_gives_the_same(monkeypatch):
+    """Bits that one shingle decides: small chunks against the plain version."""
+    rng = random.Random(9)
+    for k in (1, 2, 3, 5):
+        monkeypatch.setattr(S, "_CHUNK", k)
+        for n in range(1, 24):
+            text = " ".join(rng.choice("abcdefg") for _ in range(n))
+            assert S.fingerprint(text) == plain_fingerprint(text)
+
+
 def test_components_match_brute_force(docs):
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(400)]
