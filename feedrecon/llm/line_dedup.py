@@ -2,7 +2,8 @@ r"""Line dedup by a distributed suffix array (native).
 
 Every document is a sequence of line ids. A run of lines that occurs earlier in
 the corpus (order: doc_id, nulls first, then line number) and holds at least
-``min_words`` words is a later copy and is deleted; the first copy stays.
+``min_words`` words is a later copy and is deleted; the first copy stays. So is a whole
+document of fewer words that equals an earlier one.
 
 * **Line ids.** Lines that occur once break every repeated run, so only lines
   that occur at least twice are kept, as stretches of consecutive repeated
@@ -41,11 +42,13 @@ DOC = ["d", "th"]
 
 
 def line_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``d, th, i, h1, h2, w``: document (id and text hash), line number, line id (two
-    64-bit hashes) and words (at least 1), one row per line. Null texts have no line."""
-    lines = df.select(F.col(f"`{key}`").alias("d"), F.xxhash64(F.col(f"`{text}`")).alias("th"),
-                      F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("i", "line"))
-    return lines.select("d", "th", "i", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
+    """``d, th, of, i, h1, h2, w``: document (id and text hash), its lines (0 for an empty text), line number,
+    line id (two 64-bit hashes) and words (at least 1), one row per line. Null texts have no line."""
+    body = F.col(f"`{text}`")
+    lines = df.select(F.col(f"`{key}`").alias("d"), F.xxhash64(body).alias("th"),
+                      F.when(body == "", 0).otherwise(F.regexp_count(body, F.lit("\n")) + 1).alias("of"),
+                      F.posexplode(F.split(body, "\n")).alias("i", "line"))
+    return lines.select("d", "th", "of", "i", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
                         F.greatest(F.regexp_count("line", F.lit(WORD)), F.lit(1)).alias("w"))
 
 
@@ -57,22 +60,24 @@ def _names(groups: DataFrame, a: str, b: str, tag: str) -> DataFrame:
 
 def repeated_stretches(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``d, th, seg, i, w, upto, total, r``: lines that occur at least twice, in
-    stretches (``seg``) of at least ``min_words`` words; ``upto`` counts the
+    stretches (``seg``) of at least ``min_words`` words or of a whole document; ``upto`` counts the
     stretch's words up to the line, ``r`` is rank 0."""
     names = _names(lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")), "h1", "h2", "line-names")
-    rows = lines.join(names, ["h1", "h2"]).select("d", "th", "i", "w", F.col("id").alias("r"))
+    rows = lines.join(names, ["h1", "h2"]).select("d", "th", "of", "i", "w", F.col("id").alias("r"))
     by_line = Window.partitionBy(*DOC).orderBy("i")
     once = rows.withColumn("before", F.lag("i").over(by_line)).where("before IS NULL OR before <> i")  # a repeated row
     seg = once.withColumn("seg", F.col("i") - F.row_number().over(by_line))
     part = Window.partitionBy(*DOC, "seg")
-    return (seg.withColumn("total", F.sum("w").over(part)).where(F.col("total") >= min_words)
+    return (seg.withColumn("total", F.sum("w").over(part)).withColumn("lines", F.count(F.lit(1)).over(part))
+            .where((F.col("total") >= min_words) | (F.col("lines") == F.col("of")))
             .withColumn("upto", F.sum("w").over(part.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
             .select(*DOC, "seg", "i", "w", "upto", "total", "r"))
 
 
 def shortest_runs(stretches: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``d, th, start, n``: for each line the shortest run from it, and the
-    shortest run up to it, with at least ``min_words`` words in its stretch."""
+    shortest run up to it, with at least ``min_words`` words in its stretch; of a document
+    with fewer words, all of it."""
     part = Window.partitionBy(*DOC, "seg")
     back = F.max("i").over(part.orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words))
     s = (stretches.withColumn("ahead", F.col("upto") - F.col("w"))
@@ -82,7 +87,9 @@ def shortest_runs(stretches: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     beyond = F.min("i").over(part.orderBy(F.col("ahead").desc()).rangeBetween(Window.unboundedPreceding, -min_words))
     s = s.withColumn("end", F.coalesce(beyond - 1, F.when(F.col("total") - F.col("ahead") >= min_words, F.col("last"))))
     runs = F.array(F.struct(F.col("i").alias("start"), (F.col("end") - F.col("i") + 1).alias("n")),
-                   F.struct(F.col("start_back").alias("start"), (F.col("i") - F.col("start_back") + 1).alias("n")))
+                   F.struct(F.col("start_back").alias("start"), (F.col("i") - F.col("start_back") + 1).alias("n")),
+                   F.struct(F.col("first").alias("start"),
+                            F.when((F.col("total") < min_words) & (F.col("i") == F.col("first")), F.col("last") - F.col("first") + 1).alias("n")))
     return (s.select(*DOC, F.explode(F.array_distinct(runs)).alias("run")).select(*DOC, "run.*")
             .where("start IS NOT NULL AND n IS NOT NULL"))
 

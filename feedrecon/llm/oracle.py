@@ -80,7 +80,7 @@ SELECT doc_id, size, source_size, target,
        size * (whole + CASE WHEN rank IS NOT NULL AND run - size / 2.0 <= missing THEN 1 ELSE 0 END) AS taken FROM o
 """
 
-# Shortest runs of at least 50 words from and up to every line (within a document); all but the first
+# Shortest runs of at least 50 words from and up to every line (within a document), and whole documents of fewer; all but the first
 # occurrence of a run go. A run of the same content has the same words, so its text is its class.
 OP1 = """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
@@ -90,7 +90,8 @@ f AS (SELECT doc_id, ls, i AS a,
              list_min(list_filter(range(i, len(ls) + 1), lambda e: list_sum(ws[i:e]) >= 50)) AS b FROM s
       UNION
       SELECT doc_id, ls, list_max(list_filter(range(1, i + 1), lambda a: list_sum(ws[a:i]) >= 50)) AS a, i AS b FROM s),
-r AS (SELECT DISTINCT doc_id, a, b, array_to_string(ls[a:b], chr(10)) AS run FROM f WHERE a IS NOT NULL AND b IS NOT NULL),
+r AS (SELECT DISTINCT doc_id, a, b, array_to_string(ls[a:b], chr(10)) AS run FROM f WHERE a IS NOT NULL AND b IS NOT NULL
+      UNION SELECT doc_id, 1, len(ls), text FROM d JOIN n USING (doc_id, ls) WHERE text <> '' AND list_sum(ws) < 50),
 c AS (SELECT doc_id, a, b, row_number() OVER (PARTITION BY run, b - a ORDER BY doc_id NULLS FIRST, a) AS place FROM r),
 g AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM c WHERE place > 1),
 p AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM g),

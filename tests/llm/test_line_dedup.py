@@ -21,6 +21,8 @@ def brute(rows, min_words):
                 if sum(map(weight, run)) >= min_words:
                     if seen.setdefault(run, (n, a)) != (n, a):
                         cut.update(range(a, b + 1))
+        if t and sum(map(weight, lines)) < min_words and seen.setdefault(t, n) != n:        # a whole short document
+            cut.update(range(len(lines)))
         gone[(d, t)] = cut
     return gone
 
@@ -52,6 +54,7 @@ def test_random_line_sequences(docs, seed):
             lines.insert(rng.randrange(len(lines)), f"only here {d}")
         rows.append((d, "\n".join(lines)))
     rows += [(20, rows[3][1]), (21, rows[3][1] + "\nf"), (22, "a b c\n" * 40)]
+    rows += [(d, t) for d, t in zip(range(30, 40), ["f", "d e\nf", "f", "", "d e\nf", "", "\n", "\n", "d e\nf\nd e", "solo"], strict=True)]
     check(docs, rows, 8)
 
 
@@ -78,3 +81,17 @@ def test_repeat_inside_a_document(docs):
 def test_empty_table(docs):
     out = dedup_lines(docs([]))
     assert out.count() == 0 and {"doc_id", "text", "removed_lines", "removed_spans"} <= set(out.columns)
+
+
+def test_no_copy_of_an_equal_text_stays(spark):
+    """On the given documents every group of equal texts keeps one whole text."""
+    from feedrecon.llm.util import table
+    docs = table(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    after = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    groups = {}
+    for d in sorted(before):
+        if before[d]:
+            groups.setdefault(before[d], []).append(d)
+    copies = [ds for ds in groups.values() if len(ds) > 1]
+    assert len(copies) > 50 and all(after[d] != before[d] for ds in copies for d in ds[1:])
