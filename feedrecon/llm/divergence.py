@@ -5,12 +5,13 @@ source's and from the whole language's.
 
 1. **Parts**: each task counts its texts' terms (occurrences and documents) per
    language and source and stores them with a 64-bit digest of each term: one
-   row per group and distinct term of a bounded run of texts.
-2. **Shuffles carry digests only**: counts are summed by (language, source, digest) and by (language,
-   digest). The term column is not read.
+   row per group and distinct term of a bounded run of texts. Languages and groups are digests, too (a seed is
+   taken under which no two of them share one).
+2. **Shuffles carry digests only**: counts are summed by (group, digest) and by (language,
+   digest), all fixed-width. The term column is not read.
 3. **Collisions**: for digests that may be kept, the smallest and the largest term are
-   found; where they differ the digest stands for several terms, its rows are split by the
-   terms themselves (``sub``) and counted again.
+   found (the only strings that leave their tasks); where they differ the digest stands for several terms, its
+   rows are split by the terms themselves (``sub``) and counted again.
 4. **Pairs**: |p - q| summed over terms is, but for the terms that neither source has,
    a sum over stored rows. Blocks of terms (bounded in rows) become matrices of source x term,
    and each emits one partial sum per pair of sources, never a row per pair and term.
@@ -35,10 +36,12 @@ from feedrecon.llm.util import release_memory, stored
 
 MIN_DOCUMENTS, TOP, SCALE, SMOOTHING = 30, 50, 1_000_000_000, 5
 #: Entries a task gathers before it emits them, and stored rows and empty cells a block of the pair sums holds at most.
-HELD, BLOCK = 200_000, 500_000
+HELD, BLOCK = 500_000, 100_000
+#: Digests up to which the kept ones are broadcast to filter the terms (8 bytes each); beyond it an ordinary join does the same.
+BROADCAST = 4_000_000
 #: ASCII letters in lower case and all bytes of other characters; the rest are blanks.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-KEY = ["lang", "source"]
+GROUP, LANG = ["lid", "gid"], ["lid", "digest"]
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -53,21 +56,20 @@ def _counts(batches: Iterator[pa.RecordBatch], bits: int, held: int) -> Iterator
     entries = 0
 
     def emit():
-        for (lang, source), (n, docs) in tallies.items():
+        for (lid, gid), (n, docs) in tallies.items():
             words = list(n)
             digests = np.fromiter((xxh64_intdigest(w) for w in words), "<u8", len(words)) >> np.uint64(64 - bits)
-            size = len(words) + 1               # a row without a term tells that the group occurs
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()), pa.array([*digests.view("<i8").tolist(), None], pa.int64()),
-                 pa.array([*[w.decode() for w in words], None], pa.string()), pa.array([*n.values(), 0], pa.int64()),
-                 pa.array([*[docs[w] for w in words], 0], pa.int64())], names=["lang", "source", "digest", "term", "n", "docs"])
+                [pa.array(np.full(len(words), lid)), pa.array(np.full(len(words), gid)), pa.array(digests.view("<i8")),
+                 pa.array(words, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
+                 pa.array([docs[w] for w in words], pa.int64())], names=["lid", "gid", "digest", "term", "n", "docs"])
 
     for batch in batches:
-        columns = [batch.column(c) for c in ("lang", "source", "text")]
-        for lang, source, text in zip(*[(x.as_py() for x in c) for c in columns], strict=True):
-            n, docs = tallies.setdefault((lang, source), (Counter(), Counter()))
+        columns = [batch.column(c) for c in ("lid", "gid", "text")]
+        for lid, gid, text in zip(*[(x.as_py() for x in c) for c in columns], strict=True):
+            n, docs = tallies.setdefault((lid, gid), (Counter(), Counter()))
             found = terms(text)
-            entries += 1 - len(n)
+            entries -= len(n)
             n.update(found)
             docs.update(set(found))
             entries += len(n)
@@ -79,10 +81,27 @@ def _counts(batches: Iterator[pa.RecordBatch], bits: int, held: int) -> Iterator
     release_memory()
 
 
-def parts(df: DataFrame, bits: int = 64, held: int = HELD) -> DataFrame:
-    """``lang, source, digest, term, n, docs``: per task counts, stored; a row of nulls for every group."""
-    return stored(df.mapInArrow(lambda b: _counts(b, bits, held),
-                                "lang string, source string, digest long, term string, n long, docs long"), "term-parts")
+def named_groups(df: DataFrame) -> tuple[DataFrame, int]:
+    """``lang, source, lid, gid`` of every group that occurs, stored, and the seed under which no two languages and no two
+    groups share a digest."""
+    groups = stored(df.select("lang", "source").distinct(), "groups")
+    seed = 0
+    while True:
+        named = groups.select("*", *digests_of(seed))
+        r = named.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("gid").alias("g"), F.count_distinct("lang").alias("l"), F.count_distinct("lid").alias("d")).first()
+        if r.n == r.g and r.l == r.d:
+            return named, seed
+        seed += 1
+
+
+def digests_of(seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(seed), "lang").alias("lid"), F.xxhash64(F.lit(seed), "lang", "source").alias("gid")]
+
+
+def parts(df: DataFrame, seed: int = 0, bits: int = 64, held: int = HELD) -> DataFrame:
+    """``lid, gid, digest, term, n, docs``: per task counts, stored."""
+    return stored(df.select(*digests_of(seed), "text").mapInArrow(
+        lambda b: _counts(b, bits, held), "lid long, gid long, digest long, term string, n long, docs long"), "term-parts")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -94,40 +113,42 @@ def share(count: Column, total: Column, kept: Column) -> Column:
 
 
 def kept_terms(found: DataFrame, min_documents: int) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, digest, sub, n, n_lang`` of the kept terms of each language, and ``digest, sub, term``."""
-    key = ["lang", "digest"]
-    rows = found.where("digest is not null")
-    counts = stored(rows.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    """``lid, gid, digest, sub, n, n_lang`` of the kept terms of each language, and ``digest, sub, term``."""
+    counts = stored(found.groupBy(*GROUP, "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
                     .withColumn("sub", F.lit(0)), "term-counts")
 
     def enough(c, *k):
-        return c.groupBy("lang", *k).agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_documents).drop("docs")
+        return (c.groupBy("lid", *k).agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
+                .where(F.col("docs") >= min_documents).drop("docs"))
 
     # documents of a digest are at least those of any of its terms: no term is lost here
     maybe = stored(enough(counts, "digest"), "kept-digests")
-    names = stored(rows.select("digest", "term").join(maybe.select("digest").distinct(), "digest", "left_semi")
+    wanted = maybe.select("digest").distinct()
+    if maybe.count() <= BROADCAST:
+        wanted = F.broadcast(wanted)
+    names = stored(found.select("digest", "term").join(wanted, "digest", "left_semi")
                    .groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last")), "digest-terms")
     several = names.where("term <> last").select("digest")
     if several.isEmpty():
-        return counts.select("lang", "source", "digest", "sub", "n").join(maybe, key), names.select("digest", F.lit(0).alias("sub"), "term")
+        return counts.select(*GROUP, "digest", "sub", "n").join(maybe, LANG), names.select("digest", F.lit(0).alias("sub"), "term")
     by_term = Window.partitionBy("digest").orderBy("term")              # the terms of one 64-bit digest
-    split = stored(rows.join(several, "digest", "left_semi").select("digest", "term").distinct()
+    split = stored(found.join(several, "digest", "left_semi").select("digest", "term").distinct()
                    .withColumn("sub", F.row_number().over(by_term)), "split-terms")
-    again = (rows.join(split, ["digest", "term"]).groupBy("lang", "source", "digest", "sub")
+    again = (found.join(split, ["digest", "term"]).groupBy(*GROUP, "digest", "sub")
              .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     counts = counts.join(several, "digest", "left_anti").unionByName(again)
     names = names.join(several, "digest", "left_anti").select("digest", F.lit(0).alias("sub"), "term").unionByName(split.select("digest", "sub", "term"))
     counts = stored(counts, "term-counts-split")
-    return counts.select("lang", "source", "digest", "sub", "n").join(enough(counts, "digest", "sub"), [*key, "sub"]), names
+    return counts.select(*GROUP, "digest", "sub", "n").join(enough(counts, "digest", "sub"), [*LANG, "sub"]), names
 
 
 def _pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one block: per pair of sources, |p - q| over its terms less |base - base| of each."""
-    given = rows["digest"].isna()
-    base = rows[given].sort_values("source")
-    sources, floor = base["source"].to_numpy(), base["p"].to_numpy(np.int64)
+    """Of one block: per pair of groups, |p - q| over its terms less |base - base| of each."""
+    given = rows["base"].to_numpy(bool)
+    base = rows[given].sort_values("gid")
+    sources, floor = base["gid"].to_numpy(np.int64), base["p"].to_numpy(np.int64)
     rows = rows[~given]
-    at = rows["source"].map({s: i for i, s in enumerate(sources)}).to_numpy(int)
+    at = np.searchsorted(sources, rows["gid"].to_numpy(np.int64))
     term = rows.groupby(["digest", "sub"]).ngroup().to_numpy()
     width = int(term.max()) + 1 if len(term) else 0
     p = np.repeat(floor[:, None], width, axis=1)
@@ -139,7 +160,7 @@ def _pair_sums(rows: pd.DataFrame) -> pd.DataFrame:
             d += np.abs(p[a + 1:, lo:lo + 4096] - p[a, lo:lo + 4096]).sum(axis=1)
         out.append(pd.DataFrame({"a": sources[a], "b": sources[a + 1:], "excess": d - width * np.abs(floor[a + 1:] - floor[a])}))
     out = pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "excess": []})
-    return out.assign(lang=base["lang"].iloc[0])[["lang", "a", "b", "excess"]].astype({"excess": np.int64})
+    return out[["a", "b", "excess"]].astype(np.int64)
 
 
 def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
@@ -153,43 +174,44 @@ def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: st
     gives no rows; other columns are not read. ``bits`` of the digest are used (fewer, to test collisions)."""
     empty = F.lit("")
     rows = df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), empty).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    found = parts(rows, bits, held)
-    live, names = kept_terms(found, min_documents)
+    named, seed = named_groups(rows)
+    live, names = kept_terms(parts(rows, seed, bits, held), min_documents)
     live = stored(live, "kept-counts")
-    totals = live.groupBy(*KEY).agg(F.sum("n").alias("total"))
-    of_lang = live.groupBy("lang", "digest", "sub").agg(F.first("n_lang").alias("n_lang")).groupBy("lang").agg(
+    totals = live.groupBy(*GROUP).agg(F.sum("n").alias("total"))
+    of_lang = live.groupBy("lid", "digest", "sub").agg(F.first("n_lang").alias("n_lang")).groupBy("lid").agg(
         F.count(F.lit(1)).alias("kept"), F.sum("n_lang").alias("total_lang"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    groups = (found.select(*KEY).distinct().join(totals, KEY, "left").join(of_lang, "lang", "left")
-              .select(*KEY, zero("total"), zero("kept"), zero("total_lang")))
+    groups = (named.join(totals, GROUP, "left").join(of_lang, "lid", "left")
+              .select("lang", "source", *GROUP, zero("total"), zero("kept"), zero("total_lang")))
     groups = stored(groups.withColumn("base", share(F.lit(0).cast("long"), F.col("total"), F.col("kept")))
-                    .withColumn("base", zero("base")), "groups")
-    scored = stored(live.join(groups, KEY).select(
-        *KEY, "digest", "sub", share(F.col("n"), F.col("total"), F.col("kept")).cast("long").alias("p"),
+                    .withColumn("base", zero("base")), "group-totals")
+    scored = stored(live.join(groups.drop("lang", "source"), GROUP).select(
+        *GROUP, "digest", "sub", share(F.col("n"), F.col("total"), F.col("kept")).cast("long").alias("p"),
         share(F.col("n_lang"), F.col("total_lang"), F.col("kept")).cast("long").alias("q"), "n"), "term-shares")
+    name = groups.select(*GROUP, "lang", "source")
 
     # part term: by value first, then by text among what is left
-    best = Window.partitionBy(*KEY)
+    best = Window.partitionBy(*GROUP)
     near = (scored.where("n > 0 and p > q").withColumn("value", F.col("p") - F.col("q"))
             .withColumn("place", F.rank().over(best.orderBy(F.desc("value")))).where(F.col("place") <= top))
-    out_term = (near.join(names, ["digest", "sub"]).select(*KEY, F.lit("term").alias("part"), F.col("term").alias("item"), "value")
+    out_term = (near.join(names, ["digest", "sub"]).select(*GROUP, F.lit("term").alias("part"), F.col("term").alias("item"), "value")
                 .withColumn("rank", F.row_number().over(best.orderBy(F.desc("value"), "item"))).where(F.col("rank") <= top))
 
     # part pair: partial sums per block of terms
-    blocks = (groups.groupBy("lang").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("sources"))
-              .where("kept > 0 and sources > 1").select("lang", F.ceil(F.col("kept") * F.col("sources") / F.lit(block)).cast("int").alias("blocks")))
-    dealt = (scored.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("digest", "sub"), F.col("blocks")).cast("int"))
-             .select(*KEY, "block", "digest", "sub", "p"))
-    floors = (groups.join(blocks, "lang").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select(*KEY, "block", F.lit(None).cast("long").alias("digest"), F.lit(0).alias("sub"), F.col("base").alias("p")))
-    sums = (dealt.unionByName(floors).groupBy("lang", "block").applyInPandas(_pair_sums, "lang string, a string, b string, excess long")
-            .groupBy("lang", "a", "b").agg(F.sum("excess").alias("excess")))
-    one = groups.select("lang", "source", "base", "kept")
-    other = groups.select("lang", F.col("source").alias("item"), F.col("base").alias("other"))
+    blocks = (groups.groupBy("lid").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("sources"))
+              .where("kept > 0 and sources > 1").select("lid", F.ceil(F.col("kept") * F.col("sources") / F.lit(block)).cast("int").alias("blocks")))
+    dealt = (scored.join(blocks, "lid").withColumn("block", F.pmod(F.xxhash64("digest", "sub"), F.col("blocks")).cast("int"))
+             .select(*GROUP, "block", "digest", "sub", "p", F.lit(False).alias("base")))
+    floors = (groups.join(blocks, "lid").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select(*GROUP, "block", F.lit(0).cast("long").alias("digest"), F.lit(0).alias("sub"), F.col("base").alias("p"), F.lit(True).alias("base")))
+    sums = (dealt.unionByName(floors).groupBy("lid", "block").applyInPandas(_pair_sums, "a long, b long, excess long")
+            .groupBy("a", "b").agg(F.sum("excess").alias("excess")))
+    one = groups.select(*GROUP, "base", "kept")
+    other = groups.select("lid", F.col("gid").alias("other"), F.col("source").alias("item"), F.col("base").alias("floor"))
     # one row per pair of sources of a language: the result itself
-    pairs = (one.join(other, "lang").where("source <> item").withColumn("a", F.least("source", "item")).withColumn("b", F.greatest("source", "item"))
-             .join(sums, ["lang", "a", "b"], "left")
-             .select(*KEY, F.lit("pair").alias("part"), "item",
-                     (F.coalesce("excess", F.lit(0)) + F.col("kept") * F.abs(F.col("base") - F.col("other"))).cast("long").alias("value")))
+    pairs = (one.join(other, "lid").where("gid <> other").withColumn("a", F.least("gid", "other")).withColumn("b", F.greatest("gid", "other"))
+             .join(sums, ["a", "b"], "left")
+             .select(*GROUP, F.lit("pair").alias("part"), "item",
+                     (F.coalesce("excess", F.lit(0)) + F.col("kept") * F.abs(F.col("base") - F.col("floor"))).cast("long").alias("value")))
     out_pair = pairs.withColumn("rank", F.row_number().over(best.orderBy(F.desc("value"), "item")))
-    return out_pair.unionByName(out_term)
+    return out_pair.unionByName(out_term).join(name, GROUP).select("lang", "source", "part", "item", "value", "rank")

@@ -82,10 +82,18 @@ def test_large_counts_stay_exact(spark):
     assert [r.p for r in df.orderBy("t").collect()] == [1 + 10**9 * (c + 5) // (t + 5 * k) for c, t, k in sorted(cases, key=lambda x: x[1])]
 
 
-def test_text_is_not_shuffled_with_the_counts(spark, rows):
-    df = spark.createDataFrame(rows, "text string, lang string, source string")
-    found = D.parts(df.select("lang", "source", "text"))
+def test_shuffles_carry_no_text(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string, source string").na.fill("")
+    found = D.parts(df)
     from tests.plan_utils import plan_text
-    plan = plan_text(found.where("digest is not null").groupBy("lang", "source", "digest").sum("n"))
+    plan = plan_text(found.groupBy(*D.GROUP, "digest").sum("n"))
     scan = [x for x in plan.splitlines() if "ReadSchema" in x]
-    assert scan and all("term" not in x for x in scan)
+    assert scan and all("string" not in x for x in scan)
+
+
+def test_group_digests_that_collide_take_another_seed(spark, rows, monkeypatch):
+    real = D.digests_of
+    monkeypatch.setattr(D, "digests_of", lambda seed: real(seed) if seed > 1 else [c.bitwiseAND(1).alias(n) for c, n in zip(real(seed), D.GROUP, strict=True)])
+    df = spark.createDataFrame(rows, "text string, lang string, source string").na.fill("")
+    assert D.named_groups(df)[1] == 2
+    assert audited(spark, rows[:80], min_documents=12) == plain(rows[:80], 12)
