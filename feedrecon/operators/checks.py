@@ -5,8 +5,8 @@ Each check returns a *results* DataFrame with the common schema
 actual, sample_values`` (``ordinal`` = check family in suite order, ``seq`` =
 position inside the family). Counts come from aggregates that run with
 partial (map-side) aggregation; "more than one distinct value" is tested as
-``min <> max`` so one hash aggregation per student answers school, version
-and type conflicts together. Samples are the ten smallest offending values
+``min <> max`` of 64-bit hashes, so one hash aggregation per student, with
+fixed-width buffers, answers school, version and type conflicts together. Samples are the ten smallest offending values
 (``orderBy().limit(10)``, a bounded top-k), never a collected group.
 """
 
@@ -123,11 +123,15 @@ def staged_counts(staging: DataFrame) -> DataFrame:
 def reconcile_row_counts(feed_counts: DataFrame, staging: DataFrame,
                          tolerance_pct: float = DEFAULT_TOLERANCE_PCT) -> DataFrame:
     """CHK-1/CHK-2: one row per feed (by feed name). Known feeds compare their
-    record count with the staged total of their version; unknown feeds FAIL.
+    record count with the staged total of their version; unknown feeds FAIL."""
+    return row_count_results(feed_counts, staging.groupBy("source_schema_version").agg(F.count(F.lit(1)).alias("cnt")), tolerance_pct)
+
+
+def row_count_results(feed_counts: DataFrame, staged_counts: DataFrame, tolerance_pct: float = DEFAULT_TOLERANCE_PCT) -> DataFrame:
+    """The same from staged rows per version (``source_schema_version, cnt``).
     Both inputs are already aggregated (one row per feed / per version), so
     the join is between two small frames."""
-    staged = (staging.groupBy("source_schema_version").agg(F.count(F.lit(1)).alias("staged_count"))
-              .withColumnRenamed("source_schema_version", "ver"))
+    staged = staged_counts.select(F.col("source_schema_version").alias("ver"), F.col("cnt").alias("staged_count"))
     j = feed_counts.join(staged, "ver", "left").withColumn("staged_count", F.coalesce("staged_count", F.lit(0)))
     tol, tol_txt = f"{float(tolerance_pct)!r}D", repr(float(tolerance_pct))
     delta = "(staged_count - source_count)"
@@ -216,7 +220,11 @@ def value_histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-# FIXED VALUES — the texts of the allowed-value checks (column -> passed, failed); any other column uses the second pair.
+# ---------------------------------------------------------------------------
+# FIXED VALUES — check names and texts below (here, and in null_rows_sql, id_format_sql, duplicate_results,
+# school_conflicts_sql and cross_version_sql) must equal the legacy report's. Column -> passed, failed; any other
+# column uses the second pair.
+# ---------------------------------------------------------------------------
 ALLOWED_TEXTS = {
     "credential_type": ("All credential_type values are in the allowed set ({n} types)",
                         " records have unrecognised credential_type values: "),
@@ -274,6 +282,12 @@ def value_checks(staging: DataFrame, thresholds=NULL_THRESHOLDS, id_column: str
     """CHK-3 to CHK-7 from one scan: every row states its facts (that it is
     one, its missing cells, its offending values), they are counted map-side, and all result rows
     come from the counts. Same rows as the single checks."""
+    return value_results(value_facts(staging, thresholds, id_column, id_pattern, allowed), thresholds, id_column, allowed)
+
+
+def value_facts(staging: DataFrame, thresholds=NULL_THRESHOLDS, id_column: str = "student_id", id_pattern: str = ID_FORMAT,
+                allowed=(("credential_type", ALLOWED_CREDENTIAL_TYPES, "FAIL"), ("status", ALLOWED_STATUSES, "WARNING"))) -> DataFrame:
+    """``kind, value, cnt``: counted facts of the rows. Counts of parts of a table add up."""
     none = F.lit(None).cast("string")
 
     def fact(kind, value, when=None):
@@ -284,7 +298,13 @@ def value_checks(staging: DataFrame, thresholds=NULL_THRESHOLDS, id_column: str
     facts += [fact(f"null{i}", none, F.expr(_missing_sql(c))) for i, (c, _, _) in enumerate(thresholds)]
     facts += [fact(f"not{i}", F.col(c), ~F.coalesce(F.col(c).isin(*vals), F.lit(False))) for i, (c, vals, _) in enumerate(allowed)]
     rows = staging.select(F.explode(F.array_compact(F.array(*facts))).alias("f")).select("f.kind", "f.value")
-    one = _one_row(rows.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    return rows.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def value_results(facts: DataFrame, thresholds=NULL_THRESHOLDS, id_column: str = "student_id",
+                  allowed=(("credential_type", ALLOWED_CREDENTIAL_TYPES, "FAIL"), ("status", ALLOWED_STATUSES, "WARNING"))) -> DataFrame:
+    """CHK-3 to CHK-7 from counted facts."""
+    one = _one_row(facts)
     nulls = null_rows_sql(thresholds, _fact("total", "n"), [_fact(f"null{i}", "n") for i in range(len(thresholds))])
     others = [result_struct_sql(*id_format_sql(_fact("total", "n"), _fact("id", "n"), _fact("id", "smp"), id_column))]
     others += [result_struct_sql(*allowed_sql(c, vals, 2 + i, severity, _fact(f"not{i}", "n"), _fact(f"not{i}", "vals"), _fact(f"not{i}", "dist")))
@@ -306,7 +326,11 @@ def exact_duplicates(df: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame:
 
 def check_exact_duplicates(staging: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame:
     """CHK-8 (WARNING): number of duplicate groups and excess rows."""
-    groups = exact_duplicates(staging, keys)
+    return duplicate_results(exact_duplicates(staging, keys), keys)
+
+
+def duplicate_results(groups: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame:
+    """CHK-8 from the key groups that occur more than once."""
     stats = groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("excess"))
     s = with_samples(stats, groups, keys[0], *keys)
     return s.selectExpr(*result_sql(
@@ -320,20 +344,59 @@ def check_exact_duplicates(staging: DataFrame, keys=DUPLICATE_KEYS) -> DataFrame
 
 
 # ----------------------------------------------------------------------------- J8/J9
-def student_profile(staging: DataFrame, key: str = "student_id") -> DataFrame:
-    """One hash aggregation per student answering every "more than one
-    distinct value" question at once (min <> max; NULLs ignored like
-    COUNT(DISTINCT)). One exchange, keyed on the student."""
-    cols = {"school_id": "school", "source_schema_version": "version", "credential_type": "type",
-            "issue_date": "date"}
-    aggs = []
-    for c, n in cols.items():
-        if c in staging.columns:
-            aggs += [F.min(c).alias(f"min_{n}"), F.max(c).alias(f"max_{n}")]
-    prof = staging.groupBy(key).agg(*aggs)
-    flags = {f"multi_{n}": F.coalesce(F.col(f"min_{n}") != F.col(f"max_{n}"), F.lit(False))
-             for c, n in cols.items() if c in staging.columns}
-    return prof.select(key, *[v.alias(k) for k, v in flags.items()])
+PROFILE = {"school_id": "school", "source_schema_version": "version", "credential_type": "type", "issue_date": "date"}
+#: All bits of a hash; a test uses fewer, to make values collide.
+HASH_BITS = 64
+
+
+def _hash(c: str, bits: int) -> Column:
+    """64-bit hash of a value; null stays null."""
+    h = F.xxhash64(c) if bits == 64 else F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    return F.when(F.col(c).isNotNull(), h)
+
+
+def student_hashes(staging: DataFrame, key: str = "student_id", bits: int = HASH_BITS) -> DataFrame:
+    """Per student the smallest and the largest hash of each of the ``PROFILE`` columns present (NULLs ignored like
+    COUNT(DISTINCT)). One hash aggregate over fixed-width buffers, one exchange; minima and maxima of parts of a
+    table combine."""
+    return staging.groupBy(key).agg(*[f(_hash(c, bits)).alias(f"{m}_{n}") for c, n in PROFILE.items() if c in staging.columns
+                                      for f, m in ((F.min, "min"), (F.max, "max"))])
+
+
+def hash_flags(hashes: DataFrame, key: str = "student_id") -> DataFrame:
+    """``multi_<name>``: more than one distinct hash."""
+    names = [n for n in PROFILE.values() if f"min_{n}" in hashes.columns]
+    return hashes.select(key, *[F.coalesce(F.col(f"min_{n}") != F.col(f"max_{n}"), F.lit(False)).alias(f"multi_{n}") for n in names])
+
+
+def colliding_values(values: DataFrame, bits: int = HASH_BITS) -> DataFrame:
+    """``name, value`` of the distinct values (``name, value``) whose hash another value of the same column shares. Empty, but for
+    odds of one in 2^64 a pair."""
+    hashed = values.withColumn("hash", _hash("value", bits) if bits != 64 else F.xxhash64("value"))
+    shared = hashed.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "hash")
+    return hashed.join(shared, ["name", "hash"], "left_semi").select("name", "value")
+
+
+def profile_values(staging: DataFrame) -> DataFrame:
+    """``name, value``: the distinct values of the ``PROFILE`` columns present, as text."""
+    cells = [F.struct(F.lit(n).alias("name"), F.col(c).cast("string").alias("value")) for c, n in PROFILE.items() if c in staging.columns]
+    return staging.select(F.explode(F.array(*cells)).alias("v")).select("v.*").where("value IS NOT NULL").distinct()
+
+
+def student_profile(staging: DataFrame, key: str = "student_id", bits: int = HASH_BITS) -> DataFrame:
+    """``key`` and ``multi_school``, ``multi_version``, … : whether the student has more than one distinct value. Different
+    hashes are different values; equal hashes are equal values unless two values of the column share one,
+    and only for such values (none, as a rule) texts are compared."""
+    text = staging.select(key, *[F.col(c).cast("string").alias(c) for c in PROFILE if c in staging.columns])
+    flags = hash_flags(student_hashes(text, key, bits), key)
+    names = [n for c, n in PROFILE.items() if c in staging.columns]
+    shared = colliding_values(profile_values(text), bits)
+    cells = [F.struct(F.lit(n).alias("name"), F.col(c).alias("value")) for c, n in PROFILE.items() if c in staging.columns]
+    differ = (text.select(key, F.explode(F.array(*cells)).alias("v")).select(key, "v.*").join(F.broadcast(shared), ["name", "value"], "left_semi")
+              .groupBy(key, "name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).where("lo <> hi")
+              .groupBy(key).agg(*[F.max(F.col("name") == n).alias(f"also_{n}") for n in names]))
+    return flags.join(F.broadcast(differ), key, "left").select(
+        key, *[(F.col(f"multi_{n}") | F.coalesce(F.col(f"also_{n}"), F.lit(False))).alias(f"multi_{n}") for n in names])
 
 
 def conflicting(staging: DataFrame, key: str, column: str) -> DataFrame:
@@ -393,7 +456,11 @@ def check_cross_version(profile: DataFrame) -> DataFrame:
 
 def student_checks(staging: DataFrame) -> DataFrame:
     """CHK-9 to CHK-11 from one scan and one aggregate per student."""
-    profile = student_profile(staging.select("student_id", "school_id", "source_schema_version", "credential_type"))
+    return student_results(student_profile(staging.select("student_id", "school_id", "source_schema_version", "credential_type")))
+
+
+def student_results(profile: DataFrame) -> DataFrame:
+    """CHK-9 to CHK-11 from the students' flags."""
     kinds = F.array_compact(F.array(F.when(F.col("multi_school"), F.lit("school")), F.when(F.col("multi_version"), F.lit("multi")),
                                     F.when(F.col("multi_version") & F.col("multi_type"), F.lit("type"))))
     one = _one_row(profile.select(F.explode(kinds).alias("kind"), F.col("student_id").alias("value"), F.lit(1).cast("long").alias("cnt")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedrecon.layouts import Layout
-from feedrecon.session import glob_status
+from feedrecon.session import file_system, glob_status
 
 CANONICAL_STATUSES = ("ACTIVE", "EXPIRED", "REVOKED", "PENDING")
 UPDATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
@@ -62,14 +62,22 @@ def _writer(df: DataFrame):
 def write_csv_files(df: DataFrame, part: str, parts: str, folder: str, name: str = "") -> None:
     """One file per value of the column ``part`` (the rows of a value in one
     partition), renamed to ``<folder>/<name><value>.csv``: feeds with fixed names.
-    A value may hold a folder (``s1/v1_0``)."""
+    A value may hold a folder (``s1/v1_0``). The driver renames one file per value: an export
+    of a bounded number of named feeds; ``write_csv`` has no such loop."""
     _writer(df).partitionBy(part).csv(parts)
     spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path(folder))
     for s in glob_status(spark, f"{parts}/{part}=*/*.csv"):
         value = unquote(s.getPath().getParent().getName().split("=", 1)[1])
-        to = path(f"{folder}/{name}{value}.csv")
-        fs.mkdirs(to.getParent())
-        fs.rename(s.getPath(), to)
+        _rename(spark, s.getPath(), f"{folder}/{name}{value}.csv")
+
+
+def move_files(spark: SparkSession, pattern: str, folder: str) -> None:
+    """Move the files of a glob into a folder (files that arrive)."""
+    for s in glob_status(spark, pattern):
+        _rename(spark, s.getPath(), f"{folder}/{s.getPath().getName()}")
+
+
+def _rename(spark: SparkSession, path, name: str) -> None:
+    fs, to = file_system(spark, name)
+    fs.mkdirs(to.getParent())
+    fs.rename(path, to)

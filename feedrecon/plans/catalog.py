@@ -24,6 +24,8 @@ from feedrecon.operators import control as CT
 from feedrecon.operators import export as EX
 from feedrecon.operators import extensions as XT
 from feedrecon.operators import ingest as IG
+from feedrecon.functions import rules as R
+from feedrecon.plans.jobs import ingest_directory, reconcile_kept
 from feedrecon.session import new_work_dir
 from feedrecon.sources import csv_feeds as CSV
 from feedrecon.sources.fixtures import header_manifest, layout_feed
@@ -260,12 +262,70 @@ def feed_unknown(spark, sf_dir):
 
 @query("feed_manifest")
 def feed_manifest(spark, sf_dir):
-    """CLS-4 over real files: the staged rows exported as one CSV feed per
-    layout, plus a damaged copy of each whose header lost its id column."""
-    d = exported_feeds(spark, sf_dir)
+    """CLS-4 over real files: per folder, layout and number of matches the files and the smallest and largest name."""
+    folder, name = F.substring_index("feed", "/", 1), F.substring_index("feed", "/", -1)
+    return (CSV.classify_directory(spark, multiline_all_feeds(spark, sf_dir))
+            .groupBy(folder.alias("folder"), "version", "matches").agg(F.count(F.lit(1)).alias("files"), F.min(name).alias("first"), F.max(name).alias("last")))
+
+
+@query("feed_manifest_damaged")
+def feed_manifest_damaged(spark, sf_dir):
+    """CLS-4 with damaged copies: a folder per layout, and one whose headers lost the id column."""
     folder = F.element_at(F.split("path", "/"), -2)
-    return (CSV.classify_directory(spark, d).groupBy(folder.alias("folder"), "version", "matches")
-            .agg((F.count(F.lit(1)) > 0).alias("has_files")))
+    rows = CSV.classify_directory(spark, exported_feeds(spark, sf_dir)).groupBy(folder.alias("folder"), "version", "matches").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("folder", "version", "matches")
+
+
+# ============================================================================ J3 over files
+def banded_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """All delivered records as CSV files by layout and year of update (``v1_2015.csv`` …; ``v1_none.csv`` holds those
+    without a usable update time, mixed with some that have one)."""
+    key = S.prepared_key(spark, sf_dir, "banded")
+    with S._LOCK:
+        if key not in _EXPORTED:
+            root = new_work_dir(spark, "csv-banded")
+            f = S.feeds(spark, sf_dir)
+            u = R.lenient_updated_at(F.col("raw_updated_at"))
+            band = F.when(u.isNull() | (F.col("k") % S.LATE_MOD == S.LATE_REM), "none").otherwise(F.year(u).cast("string"))
+            for v, lay in LAYOUTS.items():
+                rows = f.where(F.col("ver") == v).withColumn("part", F.concat(F.lit(f"{v}_"), band))
+                cells = {lay.source_for(s): s for s in SLOTS if lay.source_for(s)}
+                out = rows.select("part", *[F.coalesce(cells[c], F.lit("")).alias(c) for c in lay.columns])
+                EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{v}", f"{root}/feeds")
+            _EXPORTED[key] = f"{root}/feeds"
+    return _EXPORTED[key]
+
+
+def folder_runs(spark: SparkSession, sf_dir: str) -> IG.Tables:
+    """Two runs over the folder of ``banded_feeds``, unchanged between them: the second opens only files that may hold
+    something newer than the first one's time."""
+    key = S.prepared_key(spark, sf_dir, "folder-runs")
+    with S._LOCK:
+        if key not in _EXPORTED:
+            target = IG.Tables(new_work_dir(spark, "folder-runs"))
+            for run_id, ts in (("run1", S.RUN1_TS), ("run2", S.RUN2_TS)):
+                ingest_directory(spark, banded_feeds(spark, sf_dir), target, ts, run_id)
+            _EXPORTED[key] = target.root
+    return IG.Tables(_EXPORTED[key])
+
+
+@query("files_skipped")
+def files_skipped(spark, sf_dir):
+    """FLT-1 over files: what both runs did with every file."""
+    return IG.read_files(spark, folder_runs(spark, sf_dir)).select(
+        "run_id", "file", "opened", "total_rows", "extracted_rows", "skipped_rows", "no_update_time_rows", _fmt_ts("newest").alias("newest"))
+
+
+@query("files_two_runs")
+def files_two_runs(spark, sf_dir):
+    """ING-1 over the folder: what both runs staged, with files left unopened."""
+    return _staged(spark, folder_runs(spark, sf_dir))
+
+
+@query("recon_results_kept")
+def recon_results_kept(spark, sf_dir):
+    """CHK-12 after two runs over files, from the kept partial aggregates and the run's file table."""
+    return flat_results(reconcile_kept(spark, folder_runs(spark, sf_dir), compact=2))
 
 
 # ============================================================================ J3
@@ -333,7 +393,7 @@ def full_reload(spark, sf_dir):
 @query("run_summary")
 def run_summary(spark, sf_dir):
     t = S.two_runs(spark, sf_dir)
-    return IG.read_summaries(spark, t).where("run_id = 'run2'").drop("run_id", "max_updated_at")
+    return IG.read_summaries(spark, t).where("run_id = 'run2'").select(*IG.SUMMARY)
 
 
 @query("run_totals")
@@ -415,34 +475,35 @@ def exported_feeds(spark: SparkSession, sf_dir: str) -> str:
 _EXPORTED: dict[tuple, str] = {}
 
 
-def multiline_feeds(spark: SparkSession, sf_dir: str) -> str:
-    """Staged v2 and v6 rows as CSV feeds whose first names hold a quoted line
-    break, in two folders with equal file names (``s1/c0.csv`` … ``s2/c3.csv``).
-    Returns a glob over both folders."""
-    key = S.prepared_key(spark, sf_dir, "multiline")
+def large_feeds(spark: SparkSession, sf_dir: str) -> str:
+    """Staged rows of all layouts as one CSV file a layout, in two folders with equal file names (``broken/v1.csv`` …
+    ``plain/v8.csv``): in the first every third record holds a quoted line break, in the second none does. Returns a glob over both."""
+    key = S.prepared_key(spark, sf_dir, "large")
     with S._LOCK:
         if key not in _EXPORTED:
-            root = new_work_dir(spark, "csv-multiline")
-            st = S.staging(spark, sf_dir).withColumn("first_name", F.concat("first_name", F.lit("\nJo")))
-            part = F.pmod(F.col("student_id").cast("int"), F.lit(4))
-            for folder, v in (("s1", "v2"), ("s2", "v6")):
-                out = EX.export_layout(st.where(F.col("source_schema_version") == v).withColumn("part", part), LAYOUTS[v],
-                                       ntz(S.LOAD_TS), "part")
-                EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{folder}", f"{root}/feeds/{folder}", "c")
+            root = new_work_dir(spark, "csv-large")
+            st = S.staging(spark, sf_dir)
+            third = F.pmod(F.unix_date("issue_date"), F.lit(3)) == 0
+            broken = st.withColumn("school_id", F.when(third, F.concat("school_id", F.lit(',"East"\nwing'))).otherwise(F.col("school_id")))
+            for folder, rows in (("broken", broken), ("plain", st)):
+                for v, lay in LAYOUTS.items():
+                    out = EX.export_layout(rows.where(F.col("source_schema_version") == v).withColumn("part", F.lit(v)), lay, ntz(S.LOAD_TS), "part")
+                    EX.write_csv_files(out.coalesce(1), "part", f"{root}/parts-{folder}-{v}", f"{root}/feeds/{folder}")
             _EXPORTED[key] = f"{root}/feeds/*"
     return _EXPORTED[key]
 
 
 @query("csv_multiline_roundtrip")
 def csv_multiline_roundtrip(spark, sf_dir):
-    slots, _ = CSV.read_feeds(spark, multiline_feeds(spark, sf_dir))
-    return N.normalise(slots).select(*N.CANONICAL)
+    """SRC-3 over one file a layout, with and without quoted line breaks: files over one split are read by ranges."""
+    slots, _ = CSV.read_feeds(spark, large_feeds(spark, sf_dir))
+    return N.normalise(slots, "feed").select(F.substring_index("feed", "/", 1).alias("folder"), *N.CANONICAL)
 
 
 @query("folder_row_counts")
 def folder_row_counts(spark, sf_dir):
-    """SRC-4 over feeds with quoted line breaks and equal file names."""
-    return CSV.feed_counts(spark, multiline_feeds(spark, sf_dir))
+    """SRC-4 over one file a layout, with quoted line breaks and equal file names."""
+    return CSV.feed_counts(spark, large_feeds(spark, sf_dir))
 
 
 #: Files a layout has in each folder of ``multiline_all_feeds``: four, and one more for so many of its rows.
@@ -507,24 +568,45 @@ def row_counts_total(spark, sf_dir):
 
 
 # ============================================================================ J3 (streaming)
-@query("stream_ingest")
-def stream_ingest(spark, sf_dir):
-    """The staged rows of all layouts delivered as CSV files and ingested into
-    one target by one AvailableNow file stream a layout (foreachBatch → run_ingest)."""
+def streamed_target(spark: SparkSession, sf_dir: str) -> IG.Tables:
+    """The staged rows of all layouts delivered as CSV files into one folder and ingested by one stream of file names in
+    two runs: files with the layout's column order, files with reversed and extra columns, damaged copies without
+    the id column, and a file with a hidden name."""
     from feedrecon.streaming.ingest_stream import start_ingest_stream
     key = S.prepared_key(spark, sf_dir, "stream")
     with S._LOCK:
         if key not in _EXPORTED:
             root = new_work_dir(spark, "stream")
-            target = IG.Tables(f"{root}/out")
+            target, staged = IG.Tables(f"{root}/out"), S.staging(spark, sf_dir)
+            part = F.pmod(F.unix_date("issue_date"), F.lit(3))
             for v, lay in LAYOUTS.items():
-                st = S.staging(spark, sf_dir).where(F.col("source_schema_version") == v)
-                EX.write_csv(EX.export_layout(st, lay, ntz(S.LOAD_TS)), f"{root}/in-{v}")
-                q = start_ingest_stream(spark, f"{root}/in-{v}", lay, target, f"{root}/ckpt-{v}", "stream",
-                                        run_ts=lambda epoch: S.LOAD_TS)
-                q.awaitTermination()
+                out = EX.export_layout(staged.where(F.col("source_schema_version") == v).withColumn("part", part), lay, ntz(S.LOAD_TS), "part")
+                EX.write_csv_files(out.where("part = 0").repartition("part"), "part", f"{root}/parts0-{v}", f"{root}/in", f"{v}_")
+                turned = [F.lit("x").alias("extra_a"), *reversed(lay.columns), F.lit("").alias("extra_b")]
+                for i in (1, 2):
+                    EX.write_csv_files(out.where(F.col("part") == i).select("part", *turned).repartition("part"), "part",
+                                       f"{root}/parts{i}-{v}", f"{root}/{'in' if i == 1 else 'later'}", f"{v}_")
+                cut = out.where("part = 0").select("part", *[c for c in lay.columns if c != lay.fingerprint[0]])
+                EX.write_csv_files(cut.repartition("part"), "part", f"{root}/cut-{v}", f"{root}/later", f"{v}_damaged_")
+                EX.write_csv_files(out.where("part = 0").repartition("part"), "part", f"{root}/hid-{v}", f"{root}/in", f"_{v}_hidden_")
+            start_ingest_stream(spark, f"{root}/in", target, f"{root}/ckpt", "stream", run_ts=lambda epoch: S.LOAD_TS).awaitTermination()
+            EX.move_files(spark, f"{root}/later/*.csv", f"{root}/in")
+            start_ingest_stream(spark, f"{root}/in", target, f"{root}/ckpt", "stream", run_ts=lambda epoch: S.LOAD_TS).awaitTermination()
             _EXPORTED[key] = target.root
-    return IG.read_staging(spark, IG.Tables(_EXPORTED[key])).select(*N.CANONICAL)
+    return IG.Tables(_EXPORTED[key])
+
+
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    return IG.read_staging(spark, streamed_target(spark, sf_dir)).select(*N.CANONICAL)
+
+
+@query("stream_files")
+def stream_files(spark, sf_dir):
+    """CLS-4/CLS-5 over the stream: every file it met, recognised or not, with its records."""
+    rows = IG.read_files(spark, streamed_target(spark, sf_dir))
+    known = F.coalesce("schema_version", F.lit(CL.UNKNOWN))
+    return rows.select(F.substring_index("file", "/", -1).alias("file"), known.alias("version"), "mapped_rows", "mapping_errors")
 
 
 @query("row_counts_unknown_feed")

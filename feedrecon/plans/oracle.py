@@ -562,13 +562,13 @@ SELECT 'TOTAL', CAST(sum(source_count) AS BIGINT), CAST(sum(staged_count) AS BIG
        CAST(sum(staged_count) - sum(source_count) AS BIGINT) FROM j"""
 ORACLE["stream_ingest"] = f"{BASE}\nSELECT {CANON} FROM acc"
 _JO = "first_name || chr(10) || 'Jo' AS first_name"
+_BROKEN = "(issue_date - DATE '1970-01-01') % 3 = 0"
+_EAST = f"CASE WHEN {_BROKEN} THEN school_id || ',\"East\"' || chr(10) || 'wing' ELSE school_id END AS school_id"
 ORACLE["csv_multiline_roundtrip"] = (
-    f"{BASE}\nSELECT {CANON.replace('first_name', _JO, 1)} "
-    "FROM acc WHERE source_schema_version IN ('v2', 'v6')")
+    f"{BASE}\nSELECT 'plain' AS folder, {CANON} FROM acc UNION ALL SELECT 'broken', {CANON.replace('school_id', _EAST, 1)} FROM acc")
 ORACLE["folder_row_counts"] = (
-    f"{BASE}\nSELECT CASE source_schema_version WHEN 'v2' THEN 's1/c' ELSE 's2/c' END || CAST(CAST(student_id AS INT) % 4 AS VARCHAR) "
-    "|| '.csv' AS feed, source_schema_version AS ver, count(*) AS source_count FROM acc "
-    "WHERE source_schema_version IN ('v2', 'v6') GROUP BY ALL")
+    f"{BASE}\nSELECT folder || '/' || source_schema_version || '.csv' AS feed, source_schema_version AS ver, count(*) AS source_count "
+    "FROM acc, (VALUES ('plain'), ('broken')) f(folder) GROUP BY ALL")
 _SCHOOL_ALL = "school_id || chr(10) || 'East' AS school_id"
 # A full name is split at white space, line breaks included: one word leaves its last part to the break's.
 _FULL = f"source_schema_version IN {_in(FULL_NAME_VERSIONS)}"
@@ -578,14 +578,41 @@ _LAST_ALL = f"CASE WHEN {_FULL} AND last_name = '' THEN 'Jo' ELSE last_name END
 ORACLE["csv_multiline_roundtrip_all"] = (
     f"{BASE}\nSELECT student_id, {_FIRST_ALL}, {_LAST_ALL}, preferred_name, {_SCHOOL_ALL}, credential_type, issue_date, status, "
     "source_schema_version, source_student_id FROM acc")
-ORACLE["folder_row_counts_all"] = (
+_PLACED = (
     f"{BASE}, placed AS (SELECT source_schema_version AS ver, CAST(student_id AS INT) + (issue_date - DATE '1970-01-01') AS n, "
-    "4 + count(*) OVER (PARTITION BY source_schema_version) // 16384 AS files FROM acc)\n"
-    "SELECT 's' || CAST(n % 2 + 1 AS VARCHAR) || '/' || ver || '_' || CAST((n // 2) % files AS VARCHAR) || '.csv' AS feed, ver, "
-    "count(*) AS source_count FROM placed GROUP BY ALL")
-ORACLE["feed_manifest"] = (f"{BASE}\nSELECT DISTINCT source_schema_version AS folder, source_schema_version AS version, "
-                           "CAST(1 AS BIGINT) AS matches, true AS has_files FROM acc UNION ALL "
-                           "SELECT DISTINCT source_schema_version || '_damaged', 'UNKNOWN', CAST(0 AS BIGINT), true FROM acc")
+    "4 + count(*) OVER (PARTITION BY source_schema_version) // 16384 AS files FROM acc),\n"
+    "named AS (SELECT 's' || CAST(n % 2 + 1 AS VARCHAR) AS folder, ver || '_' || CAST((n // 2) % files AS VARCHAR) || '.csv' AS name, ver FROM placed)\n")
+ORACLE["folder_row_counts_all"] = f"{_PLACED}SELECT folder || '/' || name AS feed, ver, count(*) AS source_count FROM named GROUP BY ALL"
+ORACLE["feed_manifest"] = (f"{_PLACED}SELECT folder, ver AS version, CAST(1 AS BIGINT) AS matches, count(DISTINCT name) AS files, "
+                           "min(name) AS first, max(name) AS last FROM named GROUP BY ALL")
+ORACLE["feed_manifest_damaged"] = (f"{BASE}\nSELECT DISTINCT source_schema_version AS folder, source_schema_version AS version, "
+                                   "CAST(1 AS BIGINT) AS matches FROM acc UNION ALL "
+                                   "SELECT DISTINCT source_schema_version || '_damaged', 'UNKNOWN', CAST(0 AS BIGINT) FROM acc")
+_THIRD = "(issue_date - DATE '1970-01-01') % 3"
+ORACLE["stream_files"] = (
+    f"{BASE}\nSELECT source_schema_version || '_' || CAST({_THIRD} AS VARCHAR) || '.csv' AS file, source_schema_version AS version, "
+    "count(*) AS mapped_rows, CAST(0 AS BIGINT) AS mapping_errors FROM acc GROUP BY ALL UNION ALL "
+    "SELECT DISTINCT source_schema_version || '_damaged_0.csv', 'UNKNOWN', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM acc "
+    f"WHERE {_THIRD} = 0 UNION ALL "
+    "SELECT DISTINCT '_' || source_schema_version || '_hidden_0.csv', 'UNKNOWN', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM acc "
+    f"WHERE {_THIRD} = 0")
+# Files by layout and year of update; the second run opens those with a record without update time or past the first one's time.
+_BANDS = f"""{BASE_U},
+banded AS (SELECT *, ver || '_' || CASE WHEN u IS NULL OR k % 17 = 3 THEN 'none' ELSE CAST(extract(YEAR FROM u) AS VARCHAR) END || '.csv' AS file
+           FROM tagged),
+one AS (SELECT *, u IS NULL OR u > {E0} AS ext1, u IS NULL OR u > {T1} AS ext2 FROM banded),
+f1 AS (SELECT file, count(*) AS total_rows, count(*) FILTER (ext1) AS extracted1, count(*) FILTER (ext2) AS extracted2,
+              count(*) FILTER (u IS NULL) AS no_update_time_rows, max(u) AS newest,
+              count(*) FILTER (u IS NULL) > 0 OR max(u) > {T1} AS again FROM one GROUP BY file)"""
+ORACLE["files_skipped"] = (
+    f"{_BANDS}\nSELECT 'run1' AS run_id, file, true AS opened, total_rows, extracted1 AS extracted_rows, total_rows - extracted1 AS skipped_rows, "
+    f"no_update_time_rows, {_fmt_ts('newest')} AS newest FROM f1 UNION ALL "
+    f"SELECT 'run2', file, again, total_rows, extracted2, total_rows - extracted2, no_update_time_rows, {_fmt_ts('newest')} FROM f1")
+ORACLE["files_two_runs"] = (f"{_BANDS}\nSELECT 'run1' AS run_id, {CANON} FROM one WHERE ext1 AND reason IS NULL "
+                            f"UNION ALL SELECT 'run2', {CANON} FROM one WHERE ext2 AND reason IS NULL")
+ORACLE["recon_results_kept"] = (
+    f"{_BANDS},\nacc2 AS (SELECT * FROM one WHERE ext1 AND reason IS NULL UNION ALL SELECT * FROM one WHERE ext2 AND reason IS NULL),\n"
+    "feed2 AS (SELECT ver, file AS feed FROM one)" + ORACLE["recon_results"][len(BASE):].replace("FROM acc", "FROM acc2").replace("FROM feed ", "FROM feed2 "))
 # The report's fixed texts, restated. Samples arrive joined by commas.
 ORACLE["recon_report"] = f"""
 WITH r0 AS ({ORACLE["recon_results"]}),

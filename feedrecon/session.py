@@ -56,11 +56,17 @@ def new_work_dir(spark: SparkSession, tag: str) -> str:
     return f"{work_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, name: str) -> tuple:
+    """The session's Hadoop file system for a path, and the path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def glob_status(spark: SparkSession, pattern: str) -> list:
     """What the session's Hadoop file system has under a path or glob (an empty
     list if nothing); an unreachable or denied store raises."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    fs, path = file_system(spark, pattern)
+    found = fs.globStatus(path)
     return list(found) if found is not None else []
 
 

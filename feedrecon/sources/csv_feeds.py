@@ -1,25 +1,26 @@
 """Legacy CSV feeds on storage: list, read headers, classify, read as text.
 
-* Listing goes through the session's Hadoop file system. A missing folder or a
-  store that denies access raises; files whose name Spark's readers would skip
-  (``_x.csv``, ``.x.csv``) are reported as unknown feeds instead of vanishing.
+* The listing is a table (path, length, time of change) made by Spark's own file index through the
+  session's Hadoop file system. A missing folder or a store that denies access raises; files whose
+  name Spark's readers would skip (``_x.csv``, ``.x.csv``) are reported as unknown feeds instead of
+  vanishing; what lies in a folder that is itself called ``x.csv`` is no feed.
 * A feed is known by the shortest end of its path that is unique in the
   folder: its file name, or more parts where two folders hold equal names.
 * A header is the first CSV record of a file; all headers are read in one job
   (each task reads as many bytes of its files as the record needs). The
   task's code is self-contained: executors need no copy of this package.
-* Each layout's files are read with an all-string positional schema, cells kept
-  as text (``""`` escapes honoured), then bound onto the canonical slots. Quoted
-  cells may hold line breaks, so by default a file is one split; feeds known to
-  have none can be split further (``multi_line=False``). Records are counted by
-  the same reader that loads them.
-
-The driver holds one path and header per file (as Spark's own file index does).
+* Files are read with an all-string positional schema, cells kept as text (``""`` escapes
+  honoured), then bound onto the canonical slots. Quoted cells may hold line breaks; files
+  over one split are read by many tasks all the same (``csv_ranges``). Records are counted by
+  the same readers that load them.
+
+Up to ``FEW`` files the per-file tables are small enough to be kept on the driver and each group
+of equal headers is a scan of its own. Beyond that they stay distributed: the driver gets the distinct
+(layout, header) pairs only, and one scan of the folder is joined with the file table by file path.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +30,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 from feedrecon.layouts import LAYOUTS, SLOTS, Layout
 from feedrecon.operators.classify import UNKNOWN, classify_headers, unknown_message
 from feedrecon.operators.normalise import bind_layout
-from feedrecon.session import glob_status
+from feedrecon.session import file_system, glob_status, new_work_dir
+from feedrecon.sources import csv_ranges as CR
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
 HEADER_CHUNK = 64 * 1024
 SLOT_SCHEMA = "feed string, ver string, " + ", ".join(f"{c} string" for c in SLOTS)
-CLASSIFIED = "feed string, path string, header array<string>, version string, matches long, detection string"
+LISTED = "path string, length long, modified long, hidden boolean, feed string"
+CLASSIFIED = ("feed string, path string, header array<string>, version string, matches long, detection string, "
+              "length long, modified long")
+#: Files up to which per-file tables are local and groups of equal headers are scanned apart.
+FEW = 10_000
+#: Entries of a folder up to which the driver asks for each one's length and time itself.
+LOCAL_LISTING = 512
 
 
 def is_hidden(path: str) -> bool:
@@ -42,35 +50,75 @@ def is_hidden(path: str) -> bool:
     return path.rsplit("/", 1)[-1].startswith(("_", "."))
 
 
-def list_feeds(spark: SparkSession, directory: str) -> list[str]:
-    """SRC-1: ``*.csv`` directly in ``directory`` (a folder or a glob of
-    folders), by file name, then path. Hidden names are listed too. An empty folder has no
+def held(df: DataFrame, tag: str) -> DataFrame:
+    """A per-file table evaluated once: a local one up to ``FEW`` rows, else stored."""
+    spark = df.sparkSession
+    rows = df.limit(FEW + 1).collect()
+    if len(rows) <= FEW:
+        return spark.createDataFrame(rows, df.schema)
+    path = new_work_dir(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def list_files(spark: SparkSession, directory: str) -> DataFrame:
+    """SRC-1: ``path, length, modified, hidden, feed`` of every ``*.csv`` directly in ``directory`` (a folder or a glob of
+    folders). Hidden names are listed too. An empty folder has no
     feeds; a folder that is not there, or cannot be listed, raises."""
     directory = directory.rstrip("/")
     if not glob_status(spark, directory):
         raise FileNotFoundError(f"no such feed folder: {directory}")
     pattern = f"{directory}/*.csv"
-    found = glob_status(spark, pattern)
-    hidden = [s.getPath().toString() for s in found if s.isFile() and is_hidden(s.getPath().getName())]
-    shown = []
-    if len(found) > len(hidden):
-        # the file index lists without reading content, and in parallel where there are many files
-        index = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
-        shown = [unquote(p) for p in index.inputFiles()]
-    return sorted({_same_scheme(p) for p in shown + hidden}, key=lambda p: (p.rsplit("/", 1)[-1], p))
+    fs, path = file_system(spark, pattern)
+    found = fs.globStatus(path) or []
+    if len(found) <= LOCAL_LISTING:
+        rows = _statuses(spark, list(found))
+    else:
+        rows = _statuses(spark, glob_status(spark, f"{directory}/[._]*.csv")).where("hidden").unionByName(
+            _indexed(spark, pattern, len(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().split("/"))))
+    rows = rows.withColumn("path", _same_scheme(F.col("path")))
+    return held(named(rows).select(*[c.split()[0] for c in LISTED.split(", ")]), "listing")
+
+
+def _statuses(spark: SparkSession, found: list) -> DataFrame:
+    """What the file system says of some files (folders left out)."""
+    rows = [(s.getPath().toString(), s.getLen(), 1000 * s.getModificationTime()) for s in found if s.isFile()]
+    return spark.createDataFrame([(*r, is_hidden(r[0])) for r in rows], "path string, length long, modified long, hidden boolean")
+
+
+def _indexed(spark: SparkSession, pattern: str, depth: int) -> DataFrame:
+    """The same from Spark's file index, which lists in parallel and without reading content. It shows neither hidden
+    names nor, in a scan, empty files; and it enters folders that match, whose files lie deeper than ``depth``."""
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    shown = index.select("path", "length", F.unix_micros("modificationTime").alias("modified"), F.lit(False).alias("hidden"))
+    if len(index._jdf.inputFiles()) > shown.count():
+        every = spark.createDataFrame([(unquote(p),) for p in index.inputFiles()], "path string")
+        empty = every.withColumn("path", _same_scheme(F.col("path"))).join(
+            shown.select(_same_scheme(F.col("path")).alias("path")), "path", "left_anti")
+        shown = shown.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(0).cast("long").alias("modified"),
+                                               F.lit(False).alias("hidden")))
+    return shown.where(F.size(F.split(_same_scheme(F.col("path")), "/")) == depth)
+
+
+def named(files: DataFrame) -> DataFrame:
+    """``feed``: as many trailing parts of the path as tell the files apart (one: the file name)."""
+    depth = 1
+    while True:
+        names = files.withColumn("feed", feed_name(F.col("path"), depth))
+        n = names.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("feed").alias("names")).first()
+        if n.names == n.files:
+            return names
+        depth += 1
 
 
-def _same_scheme(path: str) -> str:
-    """One spelling of a local path, as ``_metadata.file_path`` has it."""
-    return "file:///" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+def list_feeds(spark: SparkSession, directory: str) -> list[str]:
+    """The paths of ``list_files``, by file name, then path."""
+    return sorted((r.path for r in list_files(spark, directory).collect()), key=lambda p: (p.rsplit("/", 1)[-1], p))
 
 
-def name_depth(paths: list[str]) -> int:
-    """How many trailing parts of the paths tell them apart (1: the file name)."""
-    depth = 1
-    while max(Counter("/".join(p.split("/")[-depth:]) for p in paths).values(), default=1) > 1:
-        depth += 1
-    return depth
+def _same_scheme(path: Column) -> Column:
+    """One spelling of a local path."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def feed_name(path: Column, depth: int) -> Column:
@@ -79,10 +127,6 @@ def feed_name(path: Column, depth: int) -> Column:
     return F.array_join(F.slice(parts, -depth, depth), "/")
 
 
-def _metadata_path() -> Column:
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def _header_reader(chunk_size: int):
     """The function that reads headers in tasks, with everything it needs inside."""
     def first_record(path: str) -> list[str]:
@@ -122,30 +166,29 @@ def first_record(path: str) -> list[str]:
     return _header_reader(HEADER_CHUNK)[0](path)
 
 
-def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_headers(listing: DataFrame) -> DataFrame:
     """SRC-2: ``feed, path, header`` (array of names, in file order) for every
     listed file, in one job. An empty file has an empty header, a hidden one none (both UNKNOWN)."""
-    depth = name_depth(paths)
-    rows = [("/".join(p.split("/")[-depth:]), p, is_hidden(p)) for p in paths]
-    listing = spark.createDataFrame(rows, "feed string, path string, hidden boolean")
-    return listing.mapInPandas(_header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>")
+    return listing.select("feed", "path", "hidden").mapInPandas(
+        _header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>")
 
 
-def classify_directory(spark: SparkSession, directory: str, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
-    """CLS-4: ``feed, path, header, version, matches, detection`` for every CSV
-    in the folder, name-sorted; ``detection`` is the layout or
-    ``UNKNOWN: <message>``. The headers are read once; the result is a
-    table of one row per file that later steps use without reading again."""
-    paths = list_feeds(spark, directory)
-    if not paths:
-        return spark.createDataFrame([], CLASSIFIED)
-    c = classify_headers(read_headers(spark, paths), layouts=layouts)
+def classify_files(listing: DataFrame, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
+    """``feed, path, header, version, matches, detection, length, modified`` of listed files; ``detection`` is the
+    layout or ``UNKNOWN: <message>``. The headers are read once."""
+    c = classify_headers(read_headers(listing), layouts=layouts)
     sorted_cols = F.array_join(F.array_sort("header"), ",")
     text = F.when(F.col("header").isNull(), F.lit("UNKNOWN: hidden file name, rename it to load it")) \
         .when(F.col("version") == UNKNOWN, F.concat(F.lit("UNKNOWN: "), unknown_message(sorted_cols, layouts))) \
         .otherwise(F.col("version"))
-    rows = c.withColumn("detection", text).select("feed", "path", "header", "version", "matches", "detection").collect()
-    return spark.createDataFrame(sorted(rows, key=lambda r: r.feed), CLASSIFIED)
+    rows = (c.withColumn("detection", text).join(listing.select("path", "length", "modified"), "path")
+            .select(*[x.split()[0] for x in CLASSIFIED.split(", ")]))
+    return held(rows.orderBy("feed"), "classified")
+
+
+def classify_directory(spark: SparkSession, directory: str, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
+    """CLS-4: every CSV of the folder, name-sorted, with its layout (``classify_files``)."""
+    return classify_files(list_files(spark, directory), layouts)
 
 
 def _positional_schema(width: int) -> StructType:
@@ -158,32 +201,89 @@ def _reader(spark: SparkSession, multi_line: bool, width: int):
     return spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).schema(_positional_schema(max(width, 1)))
 
 
-def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str, multi_line: bool = True,
-                      depth: int = 1, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
-    """SRC-3: files of one layout sharing one header → slot form with ``feed``.
+def csv_rows(spark: SparkSession, paths: list[str], width: int, multi_line: bool = True, ways: dict[str, str] | None = None) -> DataFrame:
+    """SRC-3: ``path, c0 … c<width-1>``: the records of the files, header and blank lines left out. Files with a
+    way of their own (``csv_ranges.ways``) are read by it; ``multi_line=False`` is for feeds whose cells never hold a line break."""
+    ways = ways or {}
+    by: dict[str, list[str]] = {}
+    for p in paths:
+        by.setdefault(ways.get(p, CR.WHOLE if multi_line else CR.PLAIN), []).append(p)
+    out = None
+    for way, some in sorted(by.items()):
+        if way == CR.RANGES:
+            df = CR.read_ranges(spark, some, _positional_schema(max(width, 1)).simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS)
+        else:
+            df = _reader(spark, way == CR.WHOLE, width).csv(some).select(CR.file_path().alias("path"), "*")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def large_file_ways(spark: SparkSession, files: DataFrame, multi_line: bool = True) -> dict[str, str]:
+    """How the files over one split are to be read (none of them where line breaks are ruled out)."""
+    if not multi_line:
+        return {}
+    large = files.where(F.col("length") > CR.split_bytes(spark)).select("path").collect()
+    return CR.ways(spark, [r.path for r in large])
+
+
+def _positions(header: list[str]) -> dict[str, int]:
+    """A repeated name binds its last occurrence (a row read as a dict)."""
+    return {n: i for i, n in enumerate(header)}
+
+
+def read_layout_files(spark: SparkSession, paths: list[str], header: list[str], version: str, names: DataFrame, multi_line: bool = True,
+                      layouts: dict[str, Layout] = LAYOUTS, ways: dict[str, str] | None = None) -> DataFrame:
+    """SRC-3: files of one layout sharing one header → slot form with ``feed`` (from ``names``: ``path, feed``).
     The last occurrence of a duplicated name wins, as when a record is read
-    into a dict keyed by the header. ``multi_line=False`` is for feeds whose
-    cells never hold a line break: their files may then be split."""
-    df = _reader(spark, multi_line, len(header)).csv(paths)
-    pos: dict[str, int] = {}
-    for i, n in enumerate(header):
-        pos[n] = i          # a repeated name binds its last occurrence (a row read as a dict)
-    named = df.select(feed_name(_metadata_path(), depth).alias("feed"), *[F.col(f"c{i}").alias(n) for n, i in pos.items()])
-    return bind_layout(named, layouts[version], "feed")
+    into a dict keyed by the header."""
+    df = csv_rows(spark, paths, len(header), multi_line, ways).join(F.broadcast(names), "path")
+    bound = df.select("feed", *[F.col(f"c{i}").alias(n) for n, i in _positions(header).items() if n != "feed"],
+                      *[F.col(f"c{i}").alias("feed ") for n, i in _positions(header).items() if n == "feed"])
+    return bind_layout(bound, layouts[version], "feed")
+
+
+def read_joined(spark: SparkSession, directory: str, classified: DataFrame, multi_line: bool = True,
+                layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
+    """The recognised feeds of a folder of many files in slot form: one scan of the folder, joined with the file
+    table by path. The driver gets one row per distinct (layout, header); every slot is one expression over the position
+    it has in each. The file table is broadcast where Spark finds it small enough."""
+    known = classified.where(F.col("version") != UNKNOWN)
+    groups = [(r.version, list(r.header)) for r in known.select("version", "header").distinct().orderBy("version", "header").collect()]
+    if not groups:
+        return spark.createDataFrame([], SLOT_SCHEMA)
+    pairs = spark.createDataFrame([(i, v, h) for i, (v, h) in enumerate(groups)], "grp int, version string, header array<string>")
+    files = known.join(F.broadcast(pairs), ["version", "header"]).select("path", "feed", "grp", F.col("version").alias("ver"))
+    scan = _reader(spark, multi_line, max(len(h) for _, h in groups)).csv(f"{directory.rstrip('/')}/*.csv")
+    rows = scan.select(CR.file_path().alias("path"), "*").join(files, "path")
+
+    def slot(name: str) -> Column:
+        by: dict[str, list[int]] = {}
+        for i, (v, h) in enumerate(groups):
+            source = layouts[v].source_for(name)
+            cell = "CAST(NULL AS STRING)" if source is None else f"coalesce(c{_positions(h)[source]}, '')" if source in h else "''"
+            by.setdefault(cell, []).append(i)
+        return F.expr("CASE " + " ".join(f"WHEN grp IN ({', '.join(map(str, g))}) THEN {cell}" for cell, g in by.items()) + " END").alias(name)
+
+    return rows.select("feed", "ver", *[slot(c) for c in SLOTS])
 
 
 def read_classified(spark: SparkSession, classified: DataFrame, multi_line: bool = True,
-                    layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
-    """The recognised feeds of a classified folder in slot form (``feed, ver, raw_*``)."""
-    rows = classified.select("path", "header", "version").collect()   # one row per file
-    depth = name_depth([r.path for r in rows])
+                    layouts: dict[str, Layout] = LAYOUTS, directory: str | None = None) -> DataFrame:
+    """The recognised feeds among classified files in slot form (``feed, ver, raw_*``). Over ``FEW`` files of
+    a folder are read by one joined scan."""
+    known = classified.where(F.col("version") != UNKNOWN).select("path", "feed", "header", "version", "length")
+    rows = known.limit(FEW + 1).collect()
+    if len(rows) > FEW and directory is not None:
+        return read_joined(spark, directory, classified, multi_line, layouts)
+    rows = rows if len(rows) <= FEW else known.collect()
+    ways = large_file_ways(spark, known, multi_line)
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for r in rows:
-        if r.version != UNKNOWN:
-            groups.setdefault((r.version, tuple(r.header)), []).append(r.path)
+        groups.setdefault((r.version, tuple(r.header)), []).append(r.path)
     out = spark.createDataFrame([], SLOT_SCHEMA)
+    names = known.select("path", "feed")
     for k, ((v, h), ps) in enumerate(sorted(groups.items())):
-        f = read_layout_files(spark, ps, list(h), v, multi_line, depth, layouts)
+        f = read_layout_files(spark, ps, list(h), v, names, multi_line, layouts, ways)
         out = f if k == 0 else out.unionByName(f)
     return out
 
@@ -195,18 +295,23 @@ def read_feeds(spark: SparkSession, directory: str, multi_line: bool = True,
     classified = classify_directory(spark, directory, layouts)
     if classified.where(F.col("version") != UNKNOWN).isEmpty():
         return None, classified
-    return read_classified(spark, classified, multi_line, layouts), classified
+    return read_classified(spark, classified, multi_line, layouts, directory), classified
 
 
-def count_records(spark: SparkSession, directory: str, multi_line: bool = True, paths: list[str] | None = None) -> DataFrame:
+def count_records(spark: SparkSession, directory: str, multi_line: bool = True, listing: DataFrame | None = None) -> DataFrame:
     """SRC-4: data records per feed (``feed, source_count``), header excluded,
-    blank lines ignored (P10), by the reader that loads them. Hidden files are not counted."""
-    paths = list_feeds(spark, directory) if paths is None else paths
-    shown = [p for p in paths if not is_hidden(p)]
-    if not shown:
+    blank lines ignored (P10), by the readers that load them. Hidden files are not counted."""
+    listing = list_files(spark, directory) if listing is None else listing
+    shown = listing.where(~F.col("hidden"))
+    paths = [r.path for r in shown.select("path").limit(FEW + 1).collect()]
+    if not paths:
         return spark.createDataFrame([], "feed string, source_count long")
-    df = _reader(spark, multi_line, 1).csv(shown)
-    return df.groupBy(feed_name(_metadata_path(), name_depth(paths)).alias("feed")).agg(F.count(F.lit(1)).alias("source_count"))
+    if len(paths) > FEW:
+        df = _reader(spark, multi_line, 1).csv(f"{directory.rstrip('/')}/*.csv").select(CR.file_path().alias("path"))
+    else:
+        df = csv_rows(spark, paths, 1, multi_line, large_file_ways(spark, shown, multi_line))
+    return (df.groupBy("path").agg(F.count(F.lit(1)).alias("source_count")).join(shown.select("path", "feed"), "path")
+            .select("feed", "source_count"))
 
 
 def feed_counts(spark: SparkSession, directory: str, classified: DataFrame | None = None, multi_line: bool = True,
@@ -214,7 +319,7 @@ def feed_counts(spark: SparkSession, directory: str, classified: DataFrame | Non
     """CHK-1/CHK-2 input for a folder: every file with its layout (NULL when
     unknown) and its record count (0 for an empty file) — one row per file."""
     c = classified if classified is not None else classify_directory(spark, directory, layouts)
-    paths = [r.path for r in c.select("path").collect()]
     files = c.select("feed", F.when(F.col("version") != UNKNOWN, F.col("version")).alias("ver"))
-    return (files.join(count_records(spark, directory, multi_line, paths), "feed", "left")
+    listing = c.select("path", "length", "modified", F.col("header").isNull().alias("hidden"), "feed")
+    return (files.join(count_records(spark, directory, multi_line, listing), "feed", "left")
             .select("feed", "ver", F.coalesce("source_count", F.lit(0)).cast("long").alias("source_count")))

@@ -79,9 +79,9 @@ def test_publish_only_when_gate_open(spark, tmp_dir):
     stg = _stg(spark, ROWS[:1])
     feeds_ok = spark.createDataFrame([("f.csv", "v1", 1)], "feed string, ver string, source_count long")
     ok = RP.build_results(feeds_ok, stg)
-    assert RP.publish_if_passed(ok, stg, f"{tmp_dir}/gold") == "PASS"
-    assert spark.read.parquet(f"{tmp_dir}/gold").count() == 1
+    assert RP.publish_if_passed(ok, stg, f"{tmp_dir}/gold", "v1") == "PASS"
+    assert RP.read_published(spark, f"{tmp_dir}/gold").count() == 1
     bad = RP.build_results(spark.createDataFrame([("f.csv", "v1", 5)], "feed string, ver string, source_count long"), stg)
     with pytest.raises(RP.GateFailed):
-        RP.publish_if_passed(bad, stg, f"{tmp_dir}/gold2")
+        RP.publish_if_passed(bad, stg, f"{tmp_dir}/gold2", "v1")
     assert RP.suite_run_id(_d.datetime(2024, 1, 2, 3, 4, 5)) == "sim_run_20240102_030405"

@@ -19,7 +19,7 @@ def test_no_python_in_plans(spark, sf_small, name):
 
 
 def test_profile_single_exchange(spark, sf_small):
-    prof = C.student_profile(S.staging(spark, sf_small))
+    prof = C.hash_flags(C.student_hashes(S.staging(spark, sf_small)))
     text = plan_text(prof)
     tree = text.split("\n\n")[0]
     assert tree.count("Exchange") == 1 and "Expand" not in tree

@@ -14,7 +14,7 @@ from feedrecon.sources import csv_feeds as CSV
 
 def test_changed_input_is_prepared_anew(spark, sf_small, tmp_path):
     for t in ("orders", "customer"):
-        shutil.copy(f"{sf_small}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{sf_small}/{t}.parquet", tmp_path / f"{t}.parquet")      # the data may be read-only
     d = str(tmp_path)
     a, n = S.prepared_key(spark, d), S.feeds(spark, d).count()
     assert S.prepared_key(spark, d) == a
