@@ -349,7 +349,10 @@ def _merged(batches: Iterator[pa.RecordBatch], rows: int = 8192) -> Iterator[pa.
 
 
 def _by_part(rows: DataFrame) -> DataFrame:
-    return rows.repartition("part").sortWithinPartitions("part", "place")
+    """A partition's rows in order, in as many tasks as a shuffle has: the rows are a few bytes each, so that
+    adaptive execution would put a whole table of them into one."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "part").sortWithinPartitions("part", "place")
 
 
 def _borders(turns: DataFrame) -> DataFrame:
