@@ -1,6 +1,6 @@
 """Embedding near-dedup with hierarchical navigable small-world graphs.
 
-1. Equal vectors are one node (with its multiplicity) from here on.
+1. Equal vectors are one node (with its multiplicity), known by a running number, from here on.
 2. Nodes are dealt into shards of bounded size by hash; each task builds one
    shard's graph: levels by a geometric draw, links chosen by the diversity
    rule, both ways, pruned to a bounded degree. Points enter in small batches whose beams
@@ -11,15 +11,18 @@
    ``AUDIT_RECALL`` (at the latest when it covers the shard).
 4. Every block of nodes queries every shard. A query whose beam ends full of
    links is widened further, so a group larger than the beam is found whole.
-5. Candidates are verified by cosine in double precision. A query counts its
-   links locally, and only a spanning forest of a task's links leaves it: the
-   rows that are shuffled grow with the vectors, not with the pairs.
+5. Candidates are verified by cosine in double precision, and only a spanning forest of a task's
+   links leaves it: the rows that are shuffled grow with the vectors, not with the pairs.
 6. Connected components of the links.
+7. **Counts**: linked vectors are in one component, so within each component all cosines are taken
+   (in double precision, in slices of bounded size) and every link is counted at both its ends,
+   whichever end's search had met it.
 """
 
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +31,18 @@ from pyspark.sql import functions as F
 
 from feedrecon.llm.components import connected_components
 from feedrecon.llm.simhash import forest
-from feedrecon.llm.util import stored
+from feedrecon.llm.util import numbered, stored
 
 THRESHOLD = 0.9
 #: Links kept per node on the upper levels; twice as many on the lowest.
 DEGREE = 12
 BUILD_BEAM, FIRST_BEAM = 48, 16
-#: Vectors a shard holds at most (about), shards at least, queries of one task (about).
-SHARD, MIN_SHARDS, BLOCK = 32_768, 4, 16_384
+#: Vectors a shard holds at most (about), queries of one task (about).
+SHARD, BLOCK = 32_768, 16_384
+#: Shards of a small table: up to so many, of so many vectors at least.
+SOME_SHARDS, LEAST = 4, 2_048
+#: Vectors of a slice of a component.
+SLICE = 2_048
 AUDITS, AUDIT_RECALL = 256, 0.97
 #: Candidates are taken from a little below the threshold in single precision, then verified.
 SLACK = 1e-4
@@ -266,7 +273,7 @@ def _build(threshold):
         v = _matrix(t.column("v"))[order]
         graph = audit(build_graph(unit(v).astype(np.float32)), threshold, shard)
         blob = io.BytesIO()
-        np.savez(blob, v=v, node=node[order], copies=t.column("copies").to_numpy()[order], beam=graph.beam,
+        np.savez(blob, v=v, node=node[order], beam=graph.beam,
                  **{f"level{i}": links.astype(np.int32) for i, links in enumerate(graph.levels)})
         return pa.table({"dim": [t.column("dim")[0].as_py()], "shard": [shard], "graph": pa.array([blob.getvalue()], pa.binary()),
                          "beam": pa.array([graph.beam], pa.int32())},
@@ -277,15 +284,15 @@ def _build(threshold):
 
 def _query(threshold):
     def query(queries: pa.Table, graphs: pa.Table) -> pa.Table:
-        out = {"node": [], "root": [], "n": []}
+        out = {"node": [], "root": []}
         if queries.num_rows and graphs.num_rows:
             with np.load(io.BytesIO(graphs.column("graph")[0].as_py())) as g:
-                u, node, copies = unit(g["v"]), g["node"], g["copies"]
+                u, node = unit(g["v"]), g["node"]
                 levels = [g[f"level{i}"].astype(np.int64) for i in range(sum(k.startswith("level") for k in g))]
                 graph = Graph(u.astype(np.float32), levels, int(g["beam"]))
             mine, v = queries.column("node").to_numpy(), unit(_matrix(queries.column("v")))
             names, place = np.unique(np.concatenate([mine, node]), return_inverse=True)
-            group, n = np.arange(len(names)), np.zeros(len(mine), np.int64)
+            group = np.arange(len(names))
             for at in range(0, len(mine), _AT_ONCE):
                 a, b = graph.close(v[at:at + _AT_ONCE].astype(np.float32), threshold - SLACK, graph.beam)
                 a = a + at
@@ -293,14 +300,12 @@ def _query(threshold):
                     x, y = a[part:part + VERIFY], b[part:part + VERIFY]
                     real = (np.einsum("kd,kd->k", v[x], u[y]) >= threshold) & (mine[x] != node[y])
                     x, y = x[real], y[real]
-                    np.add.at(n, x, copies[y])
                     child, root = forest(group[place[:len(mine)][x]], group[place[len(mine):][y]], len(names))
                     group[child] = root
                     group = group[group]
             child = np.flatnonzero(group != np.arange(len(names)))
             root = group[child]
-            out = {"node": np.concatenate([mine, names[child]]), "root": np.concatenate([mine, names[root]]),
-                   "n": np.concatenate([n, np.zeros(len(child), np.int64)])}
+            out = {"node": names[child], "root": names[root]}
         return pa.table({k: pa.array(c, pa.int64()) for k, c in out.items()})
 
     return query
@@ -313,11 +318,10 @@ def usable(v: Column) -> Column:
 
 
 def near_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``node, root, n`` from ``node, copies, v`` (distinct usable vectors):
-    per node and shard the number of rows linked (``n``), and the links'
-    spanning forests as (``node``, ``root``)."""
+    """``node, root`` from ``node, v`` (distinct usable vectors): spanning
+    forests of the links that the graphs' searches met and the cosine confirmed."""
     total = vectors.count()
-    shards, blocks = max(MIN_SHARDS, -(-total // SHARD)), max(1, -(-total // BLOCK))
+    shards, blocks = max(1, min(SOME_SHARDS, total // LEAST), -(-total // SHARD)), max(1, -(-total // BLOCK))
     v = vectors.withColumn("dim", F.size("v"))
     graphs = stored(v.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
                     .groupBy("dim", "shard").applyInArrow(_build(threshold), "dim int, shard int, graph binary, beam int"), "graphs")
@@ -326,7 +330,80 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     stock = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return (queries.groupBy("dim", "shard", "block").cogroup(stock.groupBy("dim", "shard", "block"))
-            .applyInArrow(_query(threshold), "node long, root long, n long"))
+            .applyInArrow(_query(threshold), "node long, root long"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """``node, n``: linked rows among each pair of slices, from batches sorted by (component, lo, hi)."""
+    def emit(keys, side, node, copies, v):
+        (_, lo, hi), u = keys[0], unit(v)
+        a = np.flatnonzero(side == lo)
+        b = a if lo == hi else np.flatnonzero(side == hi)
+        n = np.zeros(len(node), np.int64)
+        for at in range(0, len(a), 512):
+            rows = a[at:at + 512]
+            close = (u[rows] @ u[b].T) >= threshold
+            if lo == hi:
+                close[np.arange(len(rows)), np.arange(at, at + len(rows))] = False       # not with itself
+            n[rows] += close @ copies[b]
+            if lo != hi:
+                n[b] += copies[rows] @ close
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(n)], names=["node", "n"])
+
+    held: list[tuple] = []
+
+    def whole():
+        return emit(*[np.concatenate(x) for x in zip(*held, strict=True)])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("component", "lo", "hi")], 1)
+        rest = [batch.column(c).to_numpy() for c in ("side", "node", "copies")]
+        v = _matrix_of(batch.column("v"))
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        bounds = [0, *cuts.tolist(), len(keys)]
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if held and (held[-1][0][0] != keys[lo]).any():
+                yield whole()
+                held = []
+            held.append((keys[lo:hi], *[r[lo:hi] for r in rest], v[lo:hi]))
+    if held:
+        yield whole()
+
+
+def _matrix_of(column: pa.Array):
+    """Rows of one length as a matrix; of several lengths (components never mix them) as an array of arrays."""
+    sizes = column.value_lengths().to_numpy()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if (sizes == sizes[0]).all():
+        return flat.reshape(len(column), -1)
+    return _Rows(flat, np.concatenate(([0], np.cumsum(sizes))))
+
+
+class _Rows:
+    """Slices of rows of equal length out of rows of different ones."""
+    def __init__(self, flat, at):
+        self.flat, self.at = flat, at
+
+    def __getitem__(self, rows: slice):
+        lo, hi, _ = rows.indices(len(self.at) - 1)
+        return self.flat[self.at[lo]:self.at[hi]].reshape(hi - lo, -1)
+
+
+def link_counts(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``node, n`` from ``node, component, copies, v``: per node the rows of other nodes of its component
+    with a cosine of at least ``threshold``. Components are cut into slices; each pair of slices is a group of its own, so
+    no task holds a large component."""
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    slices = F.ceil(F.col("size") / F.lit(SLICE)).cast("int")
+    dealt = (members.join(sizes, "component").withColumn("slices", slices)
+             .withColumn("side", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+             .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other")))
+    rows = (dealt.select("component", "lo", "hi", "side", "node", "copies", "v").repartition("component", "lo", "hi")
+            .sortWithinPartitions("component", "lo", "hi"))
+    return rows.mapInArrow(lambda b: _counted(b, threshold), "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
@@ -342,19 +419,19 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     v = F.col(f"`{vector}`")
     rows = stored(df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), v.alias("v"), usable(v).alias("usable"))
                   .withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(7), "v")), "vectors")
-    # equal vectors are one node, named by its smallest id (without any: a large number from its hash)
-    spare = F.lit(2 ** 63 - 1) - F.col("h1").bitwiseAND(F.lit(2 ** 61 - 1))
-    nodes = stored(rows.where("usable").groupBy("h1", "h2").agg(
-        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
-        .withColumn("node", F.coalesce("least", spare)), "vector-nodes")
-    links = stored(near_links(nodes.select("node", "copies", "v"), threshold), "vector-links")
-    found = connected_components(links.where("node <> root"), "node", "root").withColumnRenamed("node", "member")
-    counts = links.groupBy(F.col("node").alias("counted")).agg(F.sum("n").alias("n"))
+    nodes = numbered(rows.where("usable").groupBy("h1", "h2").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), ["h1", "h2"], tag="vector-nodes")
+    nodes = nodes.withColumnRenamed("pos", "node")
+    links = stored(near_links(nodes.select("node", "v"), threshold), "vector-links")
+    found = stored(connected_components(links, "node", "root").withColumnRenamed("node", "member"), "vector-components")
+    members = nodes.join(found, F.col("node") == F.col("member"))
+    counts = stored(link_counts(members.select("node", "component", "copies", "v"), threshold).withColumnRenamed("node", "counted"), "link-counts")
+    firsts = members.groupBy("component").agg(F.min("least").alias("first"))
     ids = (nodes.select("h1", "h2", "node", "least", "copies")
            .join(found, F.col("node") == F.col("member"), "left").join(counts, F.col("node") == F.col("counted"), "left")
+           .join(firsts, "component", "left")
            .select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                   F.coalesce("component", "node").alias("component")))
-    ids = ids.withColumn("component", F.when(F.col("component") < F.lit(2 ** 63 - 2 ** 61 - 1), F.col("component")))
+                   F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("first")).alias("component")))
     out = rows.where("usable").join(ids, ["h1", "h2"]).select("vec_id", F.col("n").alias("n_links"),
                                                               F.col("component").alias("component_id"))
     alone = rows.where("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -59,6 +59,33 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert got == brute([(i, None if v is None else [None if c is None else np.float32(c) for c in v]) for i, v in rows])
 
 
+def near(v, seed):
+    return [float(np.float32(c)) for c in np.array(v) + 0.02 * np.random.default_rng(seed).standard_normal(len(v))]
+
+
+@pytest.mark.parametrize("ids", [(7, 7, 9, 10), (7, 9, 7, 10), (7, 7, 7, 7), (None, 7, None, 7)])
+def test_repeated_ids_name_no_vector(spark, ids):
+    """Rows that share an id but not a vector: a, a', b, b' under every grouping of ids."""
+    rng = np.random.default_rng(2)
+    a, b = ([float(np.float32(c)) for c in rng.standard_normal(16)] for _ in range(2))
+    rows = list(zip(ids, [a, near(a, 1), b, near(b, 2)], strict=True)) + [(1, [float(i) for i in range(16)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in H.near_duplicates(df).drop("vec_id").collect())
+    assert [r[0] for r in got] == [0, 1, 1, 1, 1] or sorted(r[0] for r in got) == [0, 1, 1, 1, 1]
+    assert {tuple(r) for r in H.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()} == brute(rows)
+
+
+def test_links_are_counted_at_both_ends_in_slices(spark, monkeypatch):
+    """A chain and a dense group over many slices; lengths mixed in one batch."""
+    monkeypatch.setattr(H, "SLICE", 7)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(c)) for c in [np.cos(0.3 * i), np.sin(0.3 * i)]]) for i in range(60)]
+    centre = rng.standard_normal(5)
+    rows += [(100 + i, [float(np.float32(c)) for c in centre + 0.05 * rng.standard_normal(5)]) for i in range(50)] + [(160, rows[3][1]), (161, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert {tuple(r) for r in H.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()} == brute(rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert H.near_duplicates(df).count() == 0
@@ -107,7 +134,12 @@ def test_recall_of_the_query_on_shards_answered_by_the_graph(spark):
     u = H.unit(x)
     want = (u @ u.T >= 0.9).sum(axis=1) - 1
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    got = {r.vec_id: r.n_links for r in H.near_duplicates(df).select("vec_id", "n_links").collect()}
+    out = H.near_duplicates(df).collect()
+    sizes = {}
+    for r in out:
+        sizes[r.component_id] = sizes.get(r.component_id, 0) + 1
+    assert all((r.n_links > 0) == (sizes[r.component_id] > 1) for r in out)          # a link shows at both its ends
+    got = {r.vec_id: r.n_links for r in out}
     got = np.array([got[i] for i in range(n)])
     print(f"links {got.sum()} of {want.sum()}, recall per linked vector {(got[want > 0] / want[want > 0]).mean():.4f}")
     assert (got <= want).all() and (got[want > 0] / want[want > 0]).mean() >= 0.97
