@@ -147,23 +147,27 @@ def _encoder(data: bytes) -> WordEncoder:
 
 
 def file_system(uri: str):
-    """(pyarrow file system, path) of a folder or file URI."""
+    """(pyarrow file system, path) of a folder or file URI. Spark's ``s3a:`` and ``s3n:`` are Arrow's ``s3:``; ``hdfs:``
+    needs libhdfs on the executors."""
     from pyarrow import fs
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3://" + uri.split("://", 1)[1]
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
-def read_flat(uri: str, dtype: np.dtype) -> np.ndarray:
-    """A flat file as an array: mapped into memory on a mounted file system, else read."""
+def read_flat(uri: str, dtype: np.dtype, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """Items ``lo`` to ``hi`` of a flat file: mapped into memory on a mounted file
+    system, else those bytes alone are read."""
     from pyarrow import fs
     system, path = file_system(uri)
-    if system.get_file_info(path).size == 0:
-        return np.zeros(0, dtype)
     if isinstance(system, fs.LocalFileSystem):
-        return np.memmap(path, dtype, "r")
-    with system.open_input_stream(path) as f:
-        return np.frombuffer(f.read(), dtype)
+        size = system.get_file_info(path).size // dtype.itemsize
+        return np.memmap(path, dtype, "r")[lo:hi] if size else np.zeros(0, dtype)
+    with system.open_input_file(path) as f:
+        end = f.size() // dtype.itemsize if hi is None else hi
+        return np.frombuffer(f.read_at((end - lo) * dtype.itemsize, lo * dtype.itemsize), dtype)
 
 
 def _text_batches(batch: pa.RecordBatch) -> Iterable[tuple[list, list[str]]]:
@@ -179,6 +183,18 @@ def _text_batches(batch: pa.RecordBatch) -> Iterable[tuple[list, list[str]]]:
         yield keys, texts
 
 
+def ranges(rows: DataFrame) -> int | None:
+    """Ranges of ``RANGE_BYTES`` if that is more than a shuffle has (adaptive execution can't split a
+    range); None where the plan's size is unknown or small."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = -(-size // RANGE_BYTES)
+    return n if int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) < n < MAX_RANGES else None
+
+
+#: Bytes of the input (as its plan states them) to a range, and ranges that no real table exceeds.
+RANGE_BYTES, MAX_RANGES = 256 << 20, 10_000_000
+
+
 def write_token_files(df: DataFrame, folder: str, tokenizer: Broadcast, end_id: int | None = 1,
                       key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode every whole text (null: empty), append ``end_id`` to each
@@ -189,9 +205,12 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: Broadcast, end_id:
     Keys must be integers. Repeated rows are documents of their own; an empty
     table has an empty manifest; other columns are not read."""
     rows = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-    # dealt by narrow columns: the sample that sets the ranges holds no text
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("t")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # dealt by narrow columns: the sample that sets the ranges holds no text; rows equal in both are told apart,
+    # so that even they are dealt over several ranges
+    rows = rows.withColumn("tie", F.pmod(F.monotonically_increasing_id(), F.lit(1024)))
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("t"), F.col("tie")]
+    n = ranges(rows)
+    rows = (rows.repartitionByRange(n, *order) if n else rows.repartitionByRange(*order)).sortWithinPartitions(*order).drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -244,11 +263,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for s in batch.to_pylist():
                 name, lo, hi = f"{s['folder']}/{s['file']}", s["lo"], min(s["lo"] + READ_DOCS, s["n_docs"])
-                ids, idx, doc = (read_flat(f"{name}.{x}", np.dtype(t)) for x, t in
-                                 (("bin", f"<u{s['width']}"), ("idx", "<i8"), ("key", "<i8")))
-                ends = np.asarray(idx[lo:hi + 1])
-                crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                keys = np.asarray(doc[lo:hi])
+                ends = np.asarray(read_flat(f"{name}.idx", np.dtype("<i8"), lo, hi + 1))
+                keys = np.asarray(read_flat(f"{name}.key", np.dtype("<i8"), lo, hi))
+                ids, at = read_flat(f"{name}.bin", np.dtype(f"<u{s['width']}"), int(ends[0]), int(ends[-1])), ends - ends[0]
+                crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64(), mask=keys == NULL_KEY), pa.array(ends[:-1] + s["first_id"]),
                      pa.array(np.diff(ends)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])

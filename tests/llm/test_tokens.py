@@ -90,3 +90,57 @@ def test_token_files_round_trip(spark, docs, tmp_dir):
 def test_empty_table_has_no_file(spark, docs, tmp_dir):
     manifest = token_files.write_token_files(docs([]), tmp_dir, token_files.load_tokenizer(spark, WORDS))
     assert manifest.count() == 0 and token_files.read_token_files(manifest).count() == 0
+
+
+def test_object_stores_are_read_by_ranges(tmp_path, monkeypatch):
+    """Off a mounted file system a slice reads its own bytes only; Spark's scheme names reach Arrow's file systems."""
+    from pyarrow import fs
+    np.arange(10_000, dtype="<u2").tofile(tmp_path / "x.bin")
+    read = []
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+        def size(self):
+            return self.f.size()
+
+        def read_at(self, n, at):
+            read.append(n)
+            return self.f.read_at(n, at)
+
+    class Store:
+        def open_input_file(self, path):
+            return Counting(fs.LocalFileSystem().open_input_file(path))
+
+    seen = []
+    monkeypatch.setattr(token_files, "file_system", lambda uri: seen.append(uri) or (Store(), "/" + uri.split("://")[1]))
+    name = f"s3a://{str(tmp_path).lstrip('/')}/x.bin"
+    assert token_files.read_flat(name, np.dtype("<u2"), 100, 250).tolist() == list(range(100, 250)) and read == [300]
+    assert token_files.read_flat(name, np.dtype("<u2")).tolist() == list(range(10_000))
+    assert token_files.read_flat(name, np.dtype("<u2"), 5, 5).tolist() == [] and seen
+
+
+def test_scheme_names():
+    from pyarrow import fs
+    assert isinstance(token_files.file_system("file:/tmp/x")[0], fs.LocalFileSystem)
+    if hasattr(fs, "S3FileSystem"):
+        system, path = token_files.file_system("s3a://bucket/some/key?region=eu-west-1&scheme=http")
+        assert isinstance(system, fs.S3FileSystem) and path == "bucket/some/key"
+
+
+def test_equal_rows_are_dealt(spark, docs, tmp_dir):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs([(1, "same words")] * 400), tmp_dir, token_files.load_tokenizer(spark, WORDS))
+        assert manifest.count() > 1
+        got = token_files.read_token_files(manifest).collect()
+        assert sorted(r.start for r in got) == [i * got[0].n_tokens for i in range(400)] and len({r.ids_crc32 for r in got}) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
