@@ -20,9 +20,18 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from feedrecon.functions import rules as R  # noqa: E402
+from feedrecon.operators import export as EX  # noqa: E402
 from feedrecon.operators import ingest as IG  # noqa: E402
+from feedrecon.operators import normalise as N  # noqa: E402
+from feedrecon.operators import report as RP  # noqa: E402
+from feedrecon.operators import suite_state as SS  # noqa: E402
+from feedrecon.plans import catalog as CAT  # noqa: E402
 from feedrecon.plans import scenarios as S  # noqa: E402
 from feedrecon.plans.catalog import REGISTRY  # noqa: E402
+from feedrecon.plans.jobs import ingest_directory, reconcile_kept  # noqa: E402
 from feedrecon.session import local_session, new_work_dir  # noqa: E402
 
 
@@ -58,7 +67,49 @@ def jobs(spark, sf):
             prepared.append(target)
         IG.run_ingest(spark, S.feeds(spark, sf), prepared[0], S.RUN2_TS, "delta")
 
+    folder: dict = {}
+
+    def deliveries():
+        """The feeds as CSV files by layout and delivery: six that came before, the newest 3 %, and the records
+        without an update time, which every run extracts again, in files of their own."""
+        if not folder:
+            f = S.feeds(spark, sf)
+            t = F.unix_seconds(R.lenient_updated_at(F.col("raw_updated_at")).cast("timestamp"))
+            cuts = f.select(F.percentile_approx(t, [i / 6 * 0.97 for i in range(1, 7)])).first()[0]
+            band = F.when(t.isNull(), "none")
+            for i, c in enumerate(cuts):
+                band = band.when(t <= c, f"d{i}")
+            path = CAT.write_feed_files(f, band.otherwise("new"), new_work_dir(spark, "bench-folder"))
+            before = dt.datetime.fromtimestamp(cuts[-1], dt.timezone.utc).replace(tzinfo=None)
+            EX.move_files(spark, f"{path}/*_new.csv", f"{path}-new")
+            target = IG.Tables(new_work_dir(spark, "bench-nightly"))
+            ingest_directory(spark, path, target, before, "before")
+            SS.update(spark, target)
+            EX.move_files(spark, f"{path}-new/*.csv", path)
+            folder.update(path=path, target=target)
+        return folder
+
+    def folder_load():
+        path = deliveries()["path"]
+        ingest_directory(spark, path, IG.Tables(new_work_dir(spark, "bench-folder-load")), S.LOAD_TS, "bench")
+
+    def folder_delta():
+        d = deliveries()
+        ingest_directory(spark, d["path"], d["target"], S.RUN2_TS, "delta")
+
+    def suite_full():
+        d = deliveries()
+        _noop(RP.build_results(IG.known_counts(spark, d["target"]), IG.read_staging(spark, d["target"]).select(*N.CANONICAL)))
+
+    def suite_kept():
+        d = deliveries()
+        _noop(reconcile_kept(spark, d["target"]))
+
     return {
+        "folder_full_load": folder_load,             # J3 over CSV files: classify, read, map, stage, advance
+        "folder_delta": folder_delta,                # the same night after night: only files that may hold news are opened
+        "suite_full": suite_full,                    # J10 after that night, from all of staging
+        "suite_kept": suite_kept,                    # J10 after that night, from kept aggregates and what was added
         "full_load": full_load,                      # J3: classify-free full ingest (map + stage + advance)
         "incremental_delta": delta,                  # J3: one run over a 3 % delta (published ratio to a full load: 0.375)
         "incremental_two_runs": two_runs,            # J3: two incremental runs

@@ -163,12 +163,12 @@ def detection_order(layouts: dict[str, Layout] = LAYOUTS) -> list[Layout]:
     return sorted(layouts.values(), key=lambda l: (-len(l.fingerprint), l.position))
 
 
-def fingerprints_df(spark: SparkSession) -> DataFrame:
+def fingerprints_df(spark: SparkSession, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """Long form (version, column, flag, fp_size, position) — 54 rows, fixed;
     ``flag`` is the column's bit in its layout's fingerprint mask."""
     rows = [
         (l.version, c, 1 << i, len(l.fingerprint), l.position)
-        for l in LAYOUTS.values()
+        for l in layouts.values()
         for i, c in enumerate(l.fingerprint)
     ]
     return spark.createDataFrame(rows, "version string, column string, flag int, fp_size int, position int")

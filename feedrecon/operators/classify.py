@@ -46,31 +46,31 @@ def classify_headers(headers: DataFrame, header_col: str = "header", layouts: di
     return headers.select("*", F.expr(version).alias("version"), F.expr(matches).alias("matches"))
 
 
-def classify_long(long_df: DataFrame) -> DataFrame:
+def classify_long(long_df: DataFrame, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """``feed, column`` → ``feed, version, matches`` (relational division).
 
     One broadcast join to the fingerprint rows (a column may sit in several
     layouts) and **one** aggregation per feed holding a bit mask per layout
     (``bit_or`` combines map-side); a layout matches when its mask is full.
     Columns in no fingerprint keep their feed in the result (left join)."""
-    fps = F.broadcast(fingerprints_df(long_df.sparkSession))
+    fps = F.broadcast(fingerprints_df(long_df.sparkSession, layouts))
     hits = long_df.join(fps, "column", "left")
     masks = hits.groupBy("feed").agg(*[
-        F.expr(f"coalesce(bit_or(CASE WHEN version = '{v}' THEN flag END), 0) AS m_{v}") for v in LAYOUTS])
-    full = {v: (1 << len(l.fingerprint)) - 1 for v, l in LAYOUTS.items()}
-    flags = {v: f"(m_{v} = {full[v]})" for v in LAYOUTS}
-    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order())
+        F.expr(f"coalesce(bit_or(CASE WHEN version = '{v}' THEN flag END), 0) AS m_{v}") for v in layouts])
+    full = {v: (1 << len(l.fingerprint)) - 1 for v, l in layouts.items()}
+    flags = {v: f"(m_{v} = {full[v]})" for v in layouts}
+    version = ("CASE " + " ".join(f"WHEN {flags[l.version]} THEN '{l.version}'" for l in detection_order(layouts))
                + f" ELSE '{UNKNOWN}' END AS version")
     matches = "CAST(" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags.values()) + " AS BIGINT) AS matches"
     return masks.selectExpr("feed", version, matches)
 
 
-def unknown_feeds(classified: DataFrame, header_col: str = "header") -> DataFrame:
+def unknown_feeds(classified: DataFrame, header_col: str = "header", layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
     """CLS-3: feeds no layout fits, with their columns sorted and the legacy
     error text (sorted columns and every fingerprint)."""
     sorted_cols = F.array_join(F.array_sort(F.col(header_col)), ",")
     return (classified.where(F.col("version") == UNKNOWN)
-            .select("feed", sorted_cols.alias("sorted_columns"), unknown_message(sorted_cols).alias("message")))
+            .select("feed", sorted_cols.alias("sorted_columns"), unknown_message(sorted_cols, layouts).alias("message")))
 
 
 def unknown_message(sorted_columns: Column, layouts: dict[str, Layout] = LAYOUTS) -> Column:

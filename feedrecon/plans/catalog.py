@@ -257,7 +257,7 @@ def feed_classify_long(spark, sf_dir):
 
 @query("feed_unknown")
 def feed_unknown(spark, sf_dir):
-    return CL.unknown_feeds(CL.classify_headers(header_manifest(spark, sf_dir))).select("feed", "sorted_columns")
+    return CL.unknown_feeds(CL.classify_headers(header_manifest(spark, sf_dir))).select("feed", "sorted_columns", "message")
 
 
 @query("feed_manifest")
@@ -277,6 +277,16 @@ def feed_manifest_damaged(spark, sf_dir):
 
 
 # ============================================================================ J3 over files
+def write_feed_files(f: DataFrame, band, root: str) -> str:
+    """Delivered records as CSV files ``<layout>_<band>.csv``, cells as they came; the folder."""
+    for v, lay in LAYOUTS.items():
+        rows = f.where(F.col("ver") == v).withColumn("part", F.concat(F.lit(f"{v}_"), band))
+        cells = {lay.source_for(s): s for s in SLOTS if lay.source_for(s)}
+        out = rows.select("part", *[F.coalesce(cells[c], F.lit("")).alias(c) for c in lay.columns])
+        EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{v}", f"{root}/feeds")
+    return f"{root}/feeds"
+
+
 def banded_feeds(spark: SparkSession, sf_dir: str) -> str:
     """All delivered records as CSV files by layout and year of update (``v1_2015.csv`` …; ``v1_none.csv`` holds those
     without a usable update time, mixed with some that have one)."""
@@ -287,12 +297,7 @@ def banded_feeds(spark: SparkSession, sf_dir: str) -> str:
             f = S.feeds(spark, sf_dir)
             u = R.lenient_updated_at(F.col("raw_updated_at"))
             band = F.when(u.isNull() | (F.col("k") % S.LATE_MOD == S.LATE_REM), "none").otherwise(F.year(u).cast("string"))
-            for v, lay in LAYOUTS.items():
-                rows = f.where(F.col("ver") == v).withColumn("part", F.concat(F.lit(f"{v}_"), band))
-                cells = {lay.source_for(s): s for s in SLOTS if lay.source_for(s)}
-                out = rows.select("part", *[F.coalesce(cells[c], F.lit("")).alias(c) for c in lay.columns])
-                EX.write_csv_files(out.repartition("part"), "part", f"{root}/parts-{v}", f"{root}/feeds")
-            _EXPORTED[key] = f"{root}/feeds"
+            _EXPORTED[key] = write_feed_files(f, band, root)
     return _EXPORTED[key]
 
 

@@ -7,10 +7,40 @@ match is evidence that both implement the same semantics.
 
 from __future__ import annotations
 
-from feedrecon.layouts import LAYOUTS
-
+# ---------------------------------------------------------------------------
 # FIXED VALUES
 # Restated here, so that a wrong value in the code under test cannot stay green.
+# Per layout: the columns of a file in order, as (column, canonical field); the columns that identify
+# it are all but preferred name and update time. Then id prefix, date pattern, status words (ACTIVE, EXPIRED,
+# REVOKED, PENDING), missing token.
+# ---------------------------------------------------------------------------
+LAYOUTS = {
+    "v1": ((("student_id", "id"), ("student_name", "name"), ("schoolId", "school"), ("credentialType", "type"), ("issueDate", "date"),
+            ("status", "status"), ("preferred_name", "preferred"), ("updated_at", "updated")),
+           "STU", "%Y-%m-%dT%H:%M:%S", ("ACTIVE", "EXPIRED", "REVOKED", "PENDING"), ""),
+    "v2": ((("studentId", "id"), ("first_name", "first"), ("last_name", "last"), ("school_id", "school"), ("cred_type", "type"),
+            ("issue_date", "date"), ("credentialStatus", "status"), ("preferredName", "preferred"), ("last_modified", "updated")),
+           "S", "%m/%d/%Y", ("Active", "Expired", "Revoked", "Pending"), "N/A"),
+    "v3": ((("stu_id", "id"), ("firstName", "first"), ("lastName", "last"), ("school_code", "school"), ("credential_category", "type"),
+            ("issued_on", "date"), ("status_code", "status"), ("modified_timestamp", "updated")),
+           "stu", "%Y-%m-%d", ("ACT", "EXP", "REV", "PND"), ""),
+    "v4": ((("learner_id", "id"), ("given_name", "first"), ("family_name", "last"), ("institution_id", "school"), ("type_cd", "type"),
+            ("date_issued", "date"), ("cred_status", "status"), ("pref_name", "preferred"), ("last_updated", "updated")),
+           "LRN", "%Y-%m-%d", ("A", "E", "R", "P"), "UNKNOWN"),
+    "v5": ((("student_id", "id"), ("student_name", "name"), ("school_ref", "school"), ("credential_type", "type"), ("issue_dt", "date"),
+            ("status", "status"), ("updated_at", "updated")),
+           "STU", "%d-%b-%Y", ("ACTIVE", "EXPIRED", "REVOKED", "PENDING"), ""),
+    "v6": ((("id", "id"), ("name_first", "first"), ("name_last", "last"), ("schl_id", "school"), ("credType", "type"),
+            ("issuedDate", "date"), ("state", "status"), ("modified", "updated")),
+           "", "%Y-%m-%dT%H:%M:%SZ", ("active", "expired", "revoked", "pending"), "null"),
+    "v7": ((("student_number", "id"), ("first_name", "first"), ("last_name", "last"), ("school_number", "school"), ("cert_type", "type"),
+            ("cert_date", "date"), ("cert_status", "status"), ("preferred_name", "preferred"), ("record_updated", "updated")),
+           "SN", "%m-%d-%Y", ("Active", "Expired", "Revoked", "Pending"), ""),
+    "v8": ((("student_uid", "id"), ("full_name", "name"), ("school_id", "school"), ("qualification_type", "type"), ("issue_date", "date"),
+            ("credential_state", "status"), ("preferred_name", "preferred"), ("updated_at", "updated")),
+           "UID", "%Y-%m-%d", ("ISSUED", "EXPIRED", "REVOKED", "DRAFT"), "N/A"),
+}
+EPOCH = "2000-01-01 00:00:00"
 FULL_NAME_VERSIONS = ("v1", "v5", "v8")
 PREFERRED_VERSIONS = ("v1", "v2", "v4", "v7", "v8")
 MISSING_WORDS = ("", "n/a", "null", "unknown", "none", "na")
@@ -52,7 +82,8 @@ base AS (
          lpad(CAST(extract(MONTH FROM d) AS VARCHAR), 2, '0') AS mm,
          lpad(CAST(extract(DAY FROM d) AS VARCHAR), 2, '0') AS dd,
          CAST(extract(YEAR FROM d) AS VARCHAR) AS yyyy,
-         substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(3 * extract(MONTH FROM d) - 2 AS INT), 3) AS mon,
+         CASE extract(MONTH FROM d) WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' WHEN 5 THEN 'May'
+           WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep' WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' ELSE 'Dec' END AS mon,
          CASE si WHEN 1 THEN 'ACTIVE' WHEN 2 THEN 'EXPIRED' WHEN 3 THEN 'REVOKED' ELSE 'PENDING' END AS st
   FROM base
 ), copies AS (
@@ -377,12 +408,12 @@ def _list(values) -> str:
     return "[" + ", ".join("'" + v + "'" for v in values) + "]"
 
 
-_LAYS = list(LAYOUTS.values())
-_COLS_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN {_list(l.columns)}" for i, l in enumerate(_LAYS)) + " END"
-_NEXT_CASE = "CASE (k + 1) % 8 " + " ".join(f"WHEN {i} THEN {_list(l.columns)}" for i, l in enumerate(_LAYS)) + " END"
-_FP0_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN '{l.fingerprint[0]}'" for i, l in enumerate(_LAYS)) + " END"
-_FP_VALUES = ", ".join(f"('{l.version}', '{c}', {len(l.fingerprint)}, {l.position})"
-                       for l in _LAYS for c in l.fingerprint)
+_COLUMNS = {v: [c for c, _ in l[0]] for v, l in LAYOUTS.items()}
+_FINGERPRINTS = {v: [c for c, field in l[0] if field not in ("preferred", "updated")] for v, l in LAYOUTS.items()}
+_COLS_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN {_list(c)}" for i, c in enumerate(_COLUMNS.values())) + " END"
+_NEXT_CASE = "CASE (k + 1) % 8 " + " ".join(f"WHEN {i} THEN {_list(c)}" for i, c in enumerate(_COLUMNS.values())) + " END"
+_FP0_CASE = "CASE k % 8 " + " ".join(f"WHEN {i} THEN '{c[0]}'" for i, c in enumerate(_FINGERPRINTS.values())) + " END"
+_FP_VALUES = ", ".join(f"('{v}', '{c}', {len(f)}, {i})" for i, (v, f) in enumerate(_FINGERPRINTS.items()) for c in f)
 MANIFEST = f"""WITH h0 AS (
   SELECT o_orderkey AS k, {_COLS_CASE} AS cols, {_FP0_CASE} AS fp0, {_NEXT_CASE} AS nxt FROM orders
 ), h1 AS (SELECT k, CASE WHEN k % 37 = 0 THEN list_filter(cols, lambda x: x <> fp0) ELSE cols END AS h, nxt FROM h0
@@ -402,7 +433,11 @@ MANIFEST = f"""WITH h0 AS (
 ORACLE["feed_classify"] = f"{MANIFEST}\nSELECT feed, version FROM classified"
 ORACLE["feed_classify_long"] = f"{MANIFEST}\nSELECT feed, version, matches FROM classified"
 ORACLE["feed_classify_ambiguous"] = f"{MANIFEST}\nSELECT feed, matches, version FROM classified WHERE matches > 1"
-ORACLE["feed_unknown"] = (f"{MANIFEST}\nSELECT feed, array_to_string(list_sort(header), ',') AS sorted_columns "
+_KNOWN = "Known fingerprints:\n" + "\n".join(f"  {v}: {sorted(f)}" for v, f in _FINGERPRINTS.items())
+_MESSAGE = ("'Unknown schema version. Column set does not match any of the 8 known fingerprints.' || chr(10) || 'Columns found: [' || "
+            "array_to_string(list_transform(list_sort(header), lambda x: chr(39) || x || chr(39)), ', ') || ']' || chr(10) || '"
+            + _KNOWN.replace("'", "' || chr(39) || '").replace("\n", "' || chr(10) || '") + "'")
+ORACLE["feed_unknown"] = (f"{MANIFEST}\nSELECT feed, array_to_string(list_sort(header), ',') AS sorted_columns, {_MESSAGE} AS message "
                           "FROM classified WHERE version = 'UNKNOWN'")
 
 # ============================================================================ J3
@@ -414,14 +449,13 @@ def _fmt_ts(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%dT%H:%M:%S')"
 
 
-from feedrecon.operators.control import EPOCH as _EPOCH  # noqa: E402
 from feedrecon.plans.scenarios import LATE_MOD, LATE_REM, RUN1_TS, RUN2_TS, RUN3_TS, LOAD_TS  # noqa: E402
 
 _U_S = "split_part(replace(replace(raw_updated_at, 'Z', ''), 'T', ' '), '.', 1)"
 _U = _UPD.replace("u_s", _U_S)
 BASE_U = BASE.replace("FROM feed\n), tagged0", "FROM feed\n), tagged0").replace(
     "    string_split_regex(", f"    {_U} AS u,\n    string_split_regex(", 1)
-E0, T1, T2, T3 = _ts(_EPOCH), _ts(RUN1_TS), _ts(RUN2_TS), _ts(RUN3_TS)
+E0, T1, T2, T3 = f"TIMESTAMP '{EPOCH}'", _ts(RUN1_TS), _ts(RUN2_TS), _ts(RUN3_TS)
 
 
 def _runs(reset: tuple[str, ...] = ()) -> str:
@@ -477,59 +511,23 @@ ORACLE["incremental_extract"] = (f"{BASE_U}\nSELECT k, copy_no, ver, raw_updated
 
 
 # ============================================================================ J11
-def _strftime(pattern: str) -> str:
-    out, i = "", 0
-    tokens = [("yyyy", "%Y"), ("MMM", "%b"), ("MM", "%m"), ("dd", "%d"), ("HH", "%H"), ("mm", "%M"), ("ss", "%S")]
-    while i < len(pattern):
-        if pattern[i] == "'":
-            j = pattern.index("'", i + 1)
-            out += pattern[i + 1:j]
-            i = j + 1
-            continue
-        for tok, rep in tokens:
-            if pattern.startswith(tok, i):
-                out += rep
-                i += len(tok)
-                break
-        else:
-            out += pattern[i]
-            i += 1
-    return out
-
-
-def _export_select(lay) -> str:
-    status = ("CASE status " + " ".join(f"WHEN '{c}' THEN '{w}'" for c, w in
-                                       zip(("ACTIVE", "EXPIRED", "REVOKED", "PENDING"), lay.status_vocab))
-              + " ELSE status END")
-    cells = {
-        lay.student_id: f"'{lay.id_prefix}' || student_id",
-        lay.school_id: "school_id",
-        lay.credential_type: "credential_type",
-        lay.issue_date: f"strftime(issue_date, '{_strftime(lay.date_pattern)}')",
-        lay.status: status,
-        lay.updated_at: f"'{LOAD_TS:%Y-%m-%dT%H:%M:%S}'",
-    }
-    if lay.has_full_name:
-        cells[lay.full_name] = "first_name || ' ' || last_name"
-    else:
-        cells[lay.first_name] = "first_name"
-        cells[lay.last_name] = "last_name"
-    if lay.has_preferred:
-        cells[lay.preferred_name] = f"coalesce(preferred_name, '{lay.missing_token}')"
-    return ", ".join(f'{cells[c]} AS "{c}"' for c in lay.columns)
+def _export_select(version: str) -> str:
+    columns, prefix, pattern, words, missing = LAYOUTS[version]
+    status = "CASE status " + " ".join(f"WHEN '{c}' THEN '{w}'" for c, w in zip(("ACTIVE", "EXPIRED", "REVOKED", "PENDING"), words)) + " ELSE status END"
+    cells = {"id": f"'{prefix}' || student_id", "name": "first_name || ' ' || last_name", "first": "first_name", "last": "last_name",
+             "school": "school_id", "type": "credential_type", "date": f"strftime(issue_date, '{pattern}')", "status": status,
+             "preferred": f"coalesce(preferred_name, '{missing}')", "updated": f"'{LOAD_TS:%Y-%m-%dT%H:%M:%S}'"}
+    return ", ".join(f'{cells[field]} AS "{c}"' for c, field in columns)
 
 
-for _v, _lay in LAYOUTS.items():
-    ORACLE[f"export_{_v}"] = f"{BASE}\nSELECT {_export_select(_lay)} FROM acc"
+for _v in LAYOUTS:
+    ORACLE[f"export_{_v}"] = f"{BASE}\nSELECT {_export_select(_v)} FROM acc"
 
 
-def _roundtrip_loss(lay) -> str:
-    conds = []
-    if lay.id_prefix:
-        conds.append("NOT regexp_full_match(student_id, '[0-9]+')")
-    else:
-        conds.append("student_id = ''")
-    if lay.has_full_name:
+def _roundtrip_loss(version: str) -> str:
+    columns, prefix, *_ = LAYOUTS[version]
+    conds = ["NOT regexp_full_match(student_id, '[0-9]+')" if prefix else "student_id = ''"]
+    if any(field == "name" for _, field in columns):
         conds.append(r"(regexp_matches(last_name, '\s') OR regexp_matches(first_name, '^\s|\s$|\s\s') "
                      r"OR (first_name = '' AND last_name <> '') OR (last_name = '' AND regexp_matches(first_name, '\s')))")
     conds.append("school_id = ''")
@@ -537,8 +535,7 @@ def _roundtrip_loss(lay) -> str:
 
 
 ORACLE["export_roundtrip"] = f"{BASE}\n" + "\nUNION ALL\n".join(
-    f"SELECT '{v}' AS layout, count(*) AS rows, count(*) FILTER (WHERE {_roundtrip_loss(l)}) AS mismatches FROM acc"
-    for v, l in LAYOUTS.items())
+    f"SELECT '{v}' AS layout, count(*) AS rows, count(*) FILTER (WHERE {_roundtrip_loss(v)}) AS mismatches FROM acc" for v in LAYOUTS)
 ORACLE["csv_roundtrip"] = f"{BASE}\nSELECT {CANON} FROM acc"
 
 # ============================================================================ J12
