@@ -65,8 +65,11 @@ def field(df: DataFrame, name: str) -> Column:
 
 def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     """The input's columns again, by their names; ``changed`` ones replaced, or added at the end."""
-    old = [changed.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(columns)]
-    return rows.select(*old, *[x.alias(c) for c, x in changed.items() if c not in columns])
+    # first the changed ones under names of their own: an expression may not meet an input's name as an alias beside it
+    place = {c: f"new{i}" for i, c in enumerate(changed)}
+    rows = rows.select("row", *[x.alias(place[c]) for c, x in changed.items()])
+    old = [F.col(place[c] if c in place else f"row.c{i}").alias(c) for i, c in enumerate(columns)]
+    return rows.select(*old, *[F.col(n).alias(c) for c, n in place.items() if c not in columns])
 
 
 def numbered(df: DataFrame, order: list[str], group: str | None = None, tag: str = "numbered") -> DataFrame:

@@ -1,9 +1,12 @@
 """The pipeline's stages against brute force, each on its own input."""
 
 import hashlib
+from collections import Counter
 
 import public_tokenizers as P
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from feedrecon.llm import bpe, mixing, simhash
@@ -66,4 +69,47 @@ def test_run_and_registry(spark):
     out = E.queries()["pipeline"](spark, SF)
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"} == set(out.columns) and out.count() > 0
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
+
+
+def _odd(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clash = ["row", "th", "d", "spans", "size", "rank", "fp", "ids", "first", "place", "copies", "removed_lines", "score"]
+    return df.select(*[F.lit(f"{c}!").alias(c) for c in clash], "*")
+
+
+LONG = " ".join(f"word{i % 977}" for i in range(60_000)) + ".\n"
+ROWS = ([(i, f"A good plain sentence number {i} with some more words in it, and an end.\nAnd line {i * 7}.", "en", f"s{i % 3}", 9) for i in range(30)]
+        + [(30, None, None, None, None), (31, "", "en", None, 0), (None, "a text without an id", "en", "s1", 20), (None, None, None, None, None),
+           (3, "another text of the same id", "en", "s0", 27), (3, "another text of the same id", "en", "s0", 27),
+           (40, LONG, "en", "s0", len(LONG)), (41, LONG, "en", "s1", len(LONG)), (42, " \n\t ", "", "", 4)])
+
+
+@pytest.mark.parametrize("name,stage", C.STAGES)
+def test_stages_take_odd_rows(spark, name, stage):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, clashing extra columns."""
+    out = stage(spark, stored(_odd(spark, ROWS), f"odd-{name}"), SF)
+    rows = out.collect()
+    key = lambda r: (r.doc_id, r.text) if name != "encoding" else r.doc_id
+    given = Counter((r[0], r[1]) for r in ROWS)
+    if name != "encoding":
+        assert out.columns == C.COLUMNS
+    if name == "quality":
+        assert all(given[key(r)] for r in rows) and all(n in (0, given[k]) for k, n in Counter(map(key, rows)).items())
+    if name == "line_dedup":
+        assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ROWS)
+        assert {r.doc_id: r.text for r in rows}[41] == "" and {r.doc_id: r.text for r in rows}[30] is None
+        assert [r.n_chars for r in rows if r.doc_id == 41] == [0]
+    if name == "near_dedup":
+        assert max(Counter(map(key, rows)).values()) == 1 and (40, LONG) in set(map(key, rows)) and (41, LONG) not in set(map(key, rows))
+        assert [r.doc_id for r in rows if not (r.text or "").split()] == [30]             # one of the texts without a word
+    if name == "mixing":
+        assert all(given[key(r)] for r in rows) and all(n <= 3 * given[k] for k, n in Counter(map(key, rows)).items())
+    if name == "encoding":
+        assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ROWS)
+        assert all(r.decoded_sha256 == hashlib.sha256(b"").hexdigest() and r.n_tokens == 0 for r in rows if r.doc_id in (30, 31))
+
+
+@pytest.mark.parametrize("name,stage", C.STAGES)
+def test_stages_take_an_empty_table(spark, name, stage):
+    assert stage(spark, stored(_odd(spark, []), f"none-{name}"), SF).count() == 0
