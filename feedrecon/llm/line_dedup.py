@@ -45,9 +45,10 @@ def line_table(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """``d, th, of, i, h1, h2, w``: document (id and text hash), its lines (0 for an empty text), line number,
     line id (two 64-bit hashes) and words (at least 1), one row per line. Null texts have no line."""
     body = F.col(f"`{text}`")
-    lines = df.select(F.col(f"`{key}`").alias("d"), F.xxhash64(body).alias("th"),
-                      F.when(body == "", 0).otherwise(F.regexp_count(body, F.lit("\n")) + 1).alias("of"),
-                      F.posexplode(F.split(body, "\n")).alias("i", "line"))
+    # what holds for a document is computed before its lines are dealt out, once
+    whole = df.select(F.col(f"`{key}`").alias("d"), F.xxhash64(body).alias("th"), F.split(body, "\n").alias("lines"), body.alias("body"))
+    whole = whole.select("d", "th", F.when(F.col("body") == "", 0).otherwise(F.size("lines")).alias("of"), "lines")
+    lines = whole.select("d", "th", "of", F.posexplode("lines").alias("i", "line"))
     return lines.select("d", "th", "of", "i", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
                         F.greatest(F.regexp_count("line", F.lit(WORD)), F.lit(1)).alias("w"))
 
