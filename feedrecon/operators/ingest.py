@@ -218,8 +218,9 @@ def run_ingest(spark: SparkSession, feed_df: DataFrame, target: Tables, run_ts:
     updated = R.lenient_updated_at(F.col("raw_updated_at"))
     newer = F.col("updated_ts").isNull() | (F.col("updated_ts") > _watermark(run.marks))
     flagged = feed_df.withColumn("updated_ts", updated).withColumn("extracted", F.coalesce(newer, F.lit(False)) if watermark else F.lit(True))
-    (load_rows(flagged, run_ts, layouts, status_words).write.mode("overwrite").partitionBy("outcome", "source_schema_version")
-     .parquet(f"{target.loads}/run_id={run_id}"))
+    # static: a run executed again over a source that has changed leaves nothing of its first attempt
+    (load_rows(flagged, run_ts, layouts, status_words).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("outcome", "source_schema_version").parquet(f"{target.loads}/run_id={run_id}"))
     loaded = _of_run(spark, target.loads, LOADS_SCHEMA, run_id)
     (summary_of(loaded, files, carried).drop("run_id").coalesce(SUMMARY_FILES)
      .write.mode("overwrite").parquet(f"{target.summaries}/run_id={run_id}"))

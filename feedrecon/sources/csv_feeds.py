@@ -50,15 +50,16 @@ def is_hidden(path: str) -> bool:
     return path.rsplit("/", 1)[-1].startswith(("_", "."))
 
 
-def held(df: DataFrame, tag: str) -> DataFrame:
-    """A per-file table evaluated once: a local one up to ``FEW`` rows, else stored."""
+def held(df: DataFrame, tag: str, order: str | None = None) -> DataFrame:
+    """A per-file table evaluated once, in the order of a column if asked for: a local one up to ``FEW`` rows, else stored."""
     spark = df.sparkSession
     rows = df.limit(FEW + 1).collect()
     if len(rows) <= FEW:
-        return spark.createDataFrame(rows, df.schema)
+        return spark.createDataFrame(sorted(rows, key=lambda r: r[order]) if order else rows, df.schema)
     path = new_work_dir(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored.orderBy(order) if order else stored
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -72,18 +73,21 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     fs, path = file_system(spark, pattern)
     found = fs.globStatus(path) or []
     if len(found) <= LOCAL_LISTING:
-        rows = _statuses(spark, list(found))
-    else:
-        rows = _statuses(spark, glob_status(spark, f"{directory}/[._]*.csv")).where("hidden").unionByName(
-            _indexed(spark, pattern, len(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().split("/"))))
+        rows, depth = _statuses(list(found)), 1
+        while len({tuple(r[0].split("/")[-depth:]) for r in rows}) < len(rows):
+            depth += 1
+        return spark.createDataFrame([(*r, "/".join(r[0].split("/")[-depth:])) for r in rows], LISTED)
+    hidden = spark.createDataFrame(_statuses(glob_status(spark, f"{directory}/[._]*.csv")), "path string, length long, modified long, hidden boolean")
+    rows = hidden.where("hidden").unionByName(
+        _indexed(spark, pattern, len(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().split("/"))))
     rows = rows.withColumn("path", _same_scheme(F.col("path")))
     return held(named(rows).select(*[c.split()[0] for c in LISTED.split(", ")]), "listing")
 
 
-def _statuses(spark: SparkSession, found: list) -> DataFrame:
-    """What the file system says of some files (folders left out)."""
+def _statuses(found: list) -> list[tuple]:
+    """What the file system says of some files (folders left out): path, length, time of change, hidden."""
     rows = [(s.getPath().toString(), s.getLen(), 1000 * s.getModificationTime()) for s in found if s.isFile()]
-    return spark.createDataFrame([(*r, is_hidden(r[0])) for r in rows], "path string, length long, modified long, hidden boolean")
+    return [("file:/" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p, n, t, is_hidden(p)) for p, n, t in rows]
 
 
 def _indexed(spark: SparkSession, pattern: str, depth: int) -> DataFrame:
@@ -153,10 +157,9 @@ def _header_reader(chunk_size: int):
                     return row
 
     def read(batches):
-        import pandas as pd
         for pdf in batches:
-            yield pd.DataFrame({"feed": pdf["feed"], "path": pdf["path"],
-                                "header": [None if h else first_record(p) for p, h in zip(pdf["path"], pdf["hidden"], strict=True)]})
+            header = [None if h else first_record(p) for p, h in zip(pdf["path"], pdf["hidden"], strict=True)]
+            yield pdf[["feed", "path", "length", "modified"]].assign(header=header)[["feed", "path", "header", "length", "modified"]]
 
     return first_record, read
 
@@ -167,10 +170,9 @@ def first_record(path: str) -> list[str]:
 
 
 def read_headers(listing: DataFrame) -> DataFrame:
-    """SRC-2: ``feed, path, header`` (array of names, in file order) for every
+    """SRC-2: ``feed, path, header`` (array of names, in file order), ``length, modified`` of every
     listed file, in one job. An empty file has an empty header, a hidden one none (both UNKNOWN)."""
-    return listing.select("feed", "path", "hidden").mapInPandas(
-        _header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>")
+    return listing.mapInPandas(_header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>, length long, modified long")
 
 
 def classify_files(listing: DataFrame, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
@@ -181,9 +183,7 @@ def classify_files(listing: DataFrame, layouts: dict[str, Layout] = LAYOUTS) ->
     text = F.when(F.col("header").isNull(), F.lit("UNKNOWN: hidden file name, rename it to load it")) \
         .when(F.col("version") == UNKNOWN, F.concat(F.lit("UNKNOWN: "), unknown_message(sorted_cols, layouts))) \
         .otherwise(F.col("version"))
-    rows = (c.withColumn("detection", text).join(listing.select("path", "length", "modified"), "path")
-            .select(*[x.split()[0] for x in CLASSIFIED.split(", ")]))
-    return held(rows.orderBy("feed"), "classified")
+    return held(c.withColumn("detection", text).select(*[x.split()[0] for x in CLASSIFIED.split(", ")]), "classified", "feed")
 
 
 def classify_directory(spark: SparkSession, directory: str, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
@@ -213,7 +213,7 @@ def csv_rows(spark: SparkSession, paths: list[str], width: int, multi_line: bool
         if way == CR.RANGES:
             df = CR.read_ranges(spark, some, _positional_schema(max(width, 1)).simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS)
         else:
-            df = _reader(spark, way == CR.WHOLE, width).csv(some).select(CR.file_path().alias("path"), "*")
+            df = _reader(spark, way == CR.WHOLE, width).csv([CR.escaped(p) for p in some]).select(CR.file_path().alias("path"), "*")
         out = df if out is None else out.unionByName(df)
     return out
 

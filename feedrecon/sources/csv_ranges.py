@@ -39,11 +39,11 @@ def file_path():
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*").text([_escaped(p) for p in paths])
+    return (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*").text([escaped(p) for p in paths])
             .select(file_path().alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"))
 
 
-def _escaped(path: str) -> str:
+def escaped(path: str) -> str:
     """A path as a glob pattern that matches only itself."""
     return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
 
