@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from feedrecon.functions.rules import ntz
 from feedrecon.layouts import VERSIONS
-from feedrecon.session import file_system, glob_status
+from feedrecon.session import file_system, glob_status, local_table
 
 # ---------------------------------------------------------------------------
 # FIXED VALUE — the watermark of a layout that has none (first run).
@@ -65,7 +65,7 @@ def read_log(spark: SparkSession, path: str, before: int | None = None) -> DataF
     frame of the log schema when nothing was written yet."""
     files = log_files(spark, path, before)
     if not files:
-        return spark.createDataFrame([], LOG_SCHEMA)
+        return local_table(spark, [], LOG_SCHEMA)
     log = spark.read.schema(LOG_SCHEMA).parquet(*files)
     return log if before is None else log.where(F.col("seq") < before)
 
@@ -196,12 +196,12 @@ def reset_events(spark: SparkSession, run_ts: _dt.datetime, run_id: str, seq: in
     """SNK-4: tombstones for one, several or all layouts."""
     vs = list(versions) if versions else list(VERSIONS)
     rows = [(v, "reset", None, None, None, run_ts, seq, 0, run_id) for v in vs]
-    return spark.createDataFrame(rows, LOG_SCHEMA)
+    return local_table(spark, rows, LOG_SCHEMA)
 
 
 def run_event(spark: SparkSession, run_ts: _dt.datetime, run_id: str, seq: int, reload: bool) -> DataFrame:
     """The run completed: its rows count, after a reload only its and later ones."""
-    return spark.createDataFrame([(None, "reload" if reload else "append", None, None, None, run_ts, seq, 2, run_id)], LOG_SCHEMA)
+    return local_table(spark, [(None, "reload" if reload else "append", None, None, None, run_ts, seq, 2, run_id)], LOG_SCHEMA)
 
 
 def append_events(events: DataFrame, log_path: str, run_id: str, seq: int) -> None:

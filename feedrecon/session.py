@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -24,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FEEDRECON_DRIVER_MEMORY", "16g"))
@@ -70,9 +72,20 @@ def glob_status(spark: SparkSession, pattern: str) -> list:
     return list(found) if found is not None else []
 
 
+def local_table(spark: SparkSession, rows: list, schema: str | StructType) -> DataFrame:
+    """A few rows that are part of the plan: filters, projections and limits over them are worked out while planning,
+    without a job. ``rows`` are tuples or Rows in the schema's order."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), kind)
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored table by its declared schema (partition columns included), also
     while it is empty or was never written."""
     if not glob_status(spark, path):
-        return spark.createDataFrame([], schema)
+        return local_table(spark, [], schema)
     return spark.read.schema(schema).parquet(path)

@@ -30,7 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from feedrecon.layouts import LAYOUTS, SLOTS, Layout
 from feedrecon.operators.classify import UNKNOWN, classify_headers, unknown_message
 from feedrecon.operators.normalise import bind_layout
-from feedrecon.session import file_system, glob_status, new_work_dir
+from feedrecon.session import file_system, glob_status, local_table, new_work_dir
 from feedrecon.sources import csv_ranges as CR
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
@@ -55,7 +55,7 @@ def held(df: DataFrame, tag: str, order: str | None = None) -> DataFrame:
     spark = df.sparkSession
     rows = df.limit(FEW + 1).collect()
     if len(rows) <= FEW:
-        return spark.createDataFrame(sorted(rows, key=lambda r: r[order]) if order else rows, df.schema)
+        return local_table(spark, sorted(rows, key=lambda r: r[order]) if order else rows, df.schema)
     path = new_work_dir(spark, tag)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
@@ -76,7 +76,7 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
         rows, depth = _statuses(list(found)), 1
         while len({tuple(r[0].split("/")[-depth:]) for r in rows}) < len(rows):
             depth += 1
-        return spark.createDataFrame([(*r, "/".join(r[0].split("/")[-depth:])) for r in rows], LISTED)
+        return local_table(spark, [(*r, "/".join(r[0].split("/")[-depth:])) for r in rows], LISTED)
     hidden = spark.createDataFrame(_statuses(glob_status(spark, f"{directory}/[._]*.csv")), "path string, length long, modified long, hidden boolean")
     rows = hidden.where("hidden").unionByName(
         _indexed(spark, pattern, len(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().split("/"))))
@@ -172,7 +172,8 @@ def first_record(path: str) -> list[str]:
 def read_headers(listing: DataFrame) -> DataFrame:
     """SRC-2: ``feed, path, header`` (array of names, in file order), ``length, modified`` of every
     listed file, in one job. An empty file has an empty header, a hidden one none (both UNKNOWN)."""
-    return listing.mapInPandas(_header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>, length long, modified long")
+    n = listing.sparkSession.sparkContext.defaultParallelism
+    return listing.repartition(n).mapInPandas(_header_reader(HEADER_CHUNK)[1], "feed string, path string, header array<string>, length long, modified long")
 
 
 def classify_files(listing: DataFrame, layouts: dict[str, Layout] = LAYOUTS) -> DataFrame:
@@ -250,8 +251,8 @@ def read_joined(spark: SparkSession, directory: str, classified: DataFrame, mult
     known = classified.where(F.col("version") != UNKNOWN)
     groups = [(r.version, list(r.header)) for r in known.select("version", "header").distinct().orderBy("version", "header").collect()]
     if not groups:
-        return spark.createDataFrame([], SLOT_SCHEMA)
-    pairs = spark.createDataFrame([(i, v, h) for i, (v, h) in enumerate(groups)], "grp int, version string, header array<string>")
+        return local_table(spark, [], SLOT_SCHEMA)
+    pairs = local_table(spark, [(i, v, h) for i, (v, h) in enumerate(groups)], "grp int, version string, header array<string>")
     files = known.join(F.broadcast(pairs), ["version", "header"]).select("path", "feed", "grp", F.col("version").alias("ver"))
     scan = _reader(spark, multi_line, max(len(h) for _, h in groups)).csv(f"{directory.rstrip('/')}/*.csv")
     rows = scan.select(CR.file_path().alias("path"), "*").join(files, "path")
@@ -280,7 +281,7 @@ def read_classified(spark: SparkSession, classified: DataFrame, multi_line: bool
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for r in rows:
         groups.setdefault((r.version, tuple(r.header)), []).append(r.path)
-    out = spark.createDataFrame([], SLOT_SCHEMA)
+    out = local_table(spark, [], SLOT_SCHEMA)
     names = known.select("path", "feed")
     for k, ((v, h), ps) in enumerate(sorted(groups.items())):
         f = read_layout_files(spark, ps, list(h), v, names, multi_line, layouts, ways)
